@@ -1,0 +1,457 @@
+"""The operators against plain Python over a small table of awkward rows and a part of the driver's."""
+
+import base64
+import hashlib
+import itertools
+import os
+import re
+import struct
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+import zstandard
+from pyspark.sql import functions as F
+
+from firn.llm import bpe, chat, components, crf, exact_dedup, mixing, ordinal, queries, repeats, simhash, sketch, warc
+from firn.llm.common import SPACES
+
+sha = lambda t: hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest()
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@pytest.fixture(scope="session")
+def some(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def texts_of(df):
+    return [(r.doc_id, r.text or "") for r in df.select("doc_id", "text").collect()]
+
+
+# --- exact dedup
+
+
+@pytest.mark.parametrize("table", ["docs", "some"])
+def test_exact_dedup(table, request):
+    df = request.getfixturevalue(table)
+    groups = defaultdict(list)
+    for i, t in texts_of(df):
+        groups[t.translate(dict.fromkeys(map(ord, SPACES)))].append((-len(t), i is None, i))
+    got = exact_dedup.exact_dedup(df).collect()
+    want = Counter()
+    for norm, rows in groups.items():
+        keep = min(rows, key=lambda r: (r[0], r[1], r[2] or 0))
+        for row in rows:
+            want[row[2], keep[2], len(rows), sha(norm)] += 1
+    assert Counter((r.id, r.keep_id, r.group_size, r.sha) for r in got) == want
+    assert sum(r.kept for r in got) == len(groups)
+    assert all(not r.kept or r.id == r.keep_id for r in got)
+    left = exact_dedup.exact_distinct(df)
+    assert left.columns == df.columns and left.count() == len(groups)
+
+
+def test_exact_dedup_across_many_partitions(spark):
+    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, " same text").otherwise(F.concat(F.lit("t"), (F.col("id") % 700).cast("string"))).alias("text"))
+    got = exact_dedup.exact_dedup(df).groupBy("sha").agg(F.sum(F.col("kept").cast("int")).alias("k"), F.max("group_size").alias("g"), F.count("*").alias("n"), F.countDistinct("keep_id").alias("d")).collect()
+    assert all(r.k == 1 and r.g == r.n and r.d == 1 for r in got)
+
+
+# --- components and simhash
+
+
+def test_components(spark):
+    rng = np.random.default_rng(5)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 400, (330, 2))] + [(1000, k) for k in range(1001, 1300)] + [(k, k + 1) for k in range(2000, 2100)] + [(5, None), (7, 7)]
+    up = {}
+    root = lambda x: x if up.setdefault(x, x) == x else root(up[x])
+    for a, b in pairs:
+        if b is not None and a != b:
+            up[root(a)] = root(b)
+    got = defaultdict(set)
+    for r in components.components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect():
+        got[r.label].add(r.node)
+    want = defaultdict(set)
+    for x in up:
+        want[root(x)].add(x)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+    assert components.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def plain_simhash(text, k=3):
+    words = WORDS.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    grams = [" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))] if words else []
+    h = [xxhash.xxh64_intdigest(g.encode(), seed=42) for g in grams]
+    return sum(1 << b for b in range(64) if sum(x >> b & 1 for x in h) * 2 > len(h))
+
+
+@pytest.mark.parametrize("table", ["docs", "some"])
+def test_simhash(table, request):
+    df = request.getfixturevalue(table)
+    rows = [(i, plain_simhash(t)) for i, t in texts_of(df)]
+    label = list(range(len(rows)))
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        if (rows[a][1] ^ rows[b][1]).bit_count() <= 3 and label[a] != label[b]:
+            label = [label[a] if x == label[b] else x for x in label]
+    least = {x: min((r[0] for r, y in zip(rows, label, strict=True) if x == y and r[0] is not None), default=None) for x in label}
+    want = Counter((i, f"{f:016x}", least[x]) for (i, f), x in zip(rows, label, strict=True))
+    assert Counter(map(tuple, simhash.simhash_components(df).collect())) == want
+
+
+def test_search_finds_all_links(spark, monkeypatch):
+    """Small leaves and blocks, so that trees, visits and block pairs all take part."""
+    monkeypatch.setattr(simhash, "LEAF", 64)
+    monkeypatch.setattr(simhash, "BLOCK", 100)
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 2**63, 500, dtype=np.uint64)
+    near = [int(b) ^ sum(1 << int(k) for k in rng.choice(64, rng.integers(0, 5), False)) for b in rng.choice(base, 1500)]
+    values = sorted({*map(int, base), *near})
+    classes = spark.createDataFrame([(bytearray(v.to_bytes(8, "big")),) for v in values], "fp binary")
+    found = components.components(simhash.links(classes, 3, 1, 2, 1)).collect()
+    label = {int.from_bytes(r.node, "big"): r.label for r in found}
+    linked = [(a, b) for a, b in itertools.combinations(values, 2) if (a ^ b).bit_count() <= 3]
+    assert linked and all(label[a] == label[b] for a, b in linked)
+    assert set(label) == {x for p in linked for x in p}
+
+
+def test_near_distinct(spark, docs, empty):
+    words = [f"tok{i}" for i in range(900)]
+    edit = lambda k: " ".join("zz" if i % k == 7 else w for i, w in enumerate(words))
+    other = " ".join(f"oth{i * 7}" for i in range(900))
+    df = spark.createDataFrame([(3, edit(10_000)), (1, edit(200)), (2, edit(90)), (4, other), (5, other + " end"), (6, "short one"), (7, None)], "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in simhash.near_distinct(df).collect()) == [1, 4, 6, 7]
+    left = simhash.near_distinct(exact_dedup.exact_distinct(docs))
+    assert left.columns == docs.columns and left.count() > 8
+    assert simhash.near_distinct(empty).count() == 0
+
+
+# --- repeats
+
+
+def plain_repeats(rows, window):
+    at = defaultdict(list)
+    words = [WORDS.findall(t) for _, t in rows]
+    for d, w in enumerate(words):
+        for i in range(len(w) - window + 1):
+            at[tuple(w[i : i + window])].append((d, i))
+    gone = [set() for _ in rows]
+    for places in at.values():
+        if len(places) > 1:
+            for d, i in places:
+                gone[d].update(range(i, i + window))
+    return Counter((i, len(w), len(g), sha(" ".join(x for k, x in enumerate(w) if k not in g))) for (i, _), w, g in zip(rows, words, gone, strict=True))
+
+
+@pytest.mark.parametrize("table", ["docs", "some"])
+def test_repeats(table, request):
+    df = request.getfixturevalue(table)
+    got = Counter((r.id, r.n_words, r.n_removed, r.kept_sha256) for r in repeats.without_repeats(df).collect())
+    assert got == plain_repeats(texts_of(df), repeats.WINDOW)
+
+
+def test_repeats_among_few_words(spark):
+    """A tiny vocabulary and small windows: overlaps, runs and repeats of every length."""
+    rng = np.random.default_rng(3)
+    rows = [(d, " ".join(rng.choice(list("abc"), rng.integers(0, 90), p=[0.6, 0.3, 0.1]))) for d in range(150)]
+    for window, seed in ((9, 4), (12, 3), (6, 6)):
+        got = Counter((r.id, r.n_words, r.n_removed, r.kept_sha256) for r in repeats.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), window=window, seed=seed).collect())
+        assert got == plain_repeats(rows, window)
+
+
+# --- sketches
+
+
+@pytest.mark.parametrize("table", ["docs", "some"])
+def test_edited_fingerprints(table, request):
+    df = request.getfixturevalue(table)
+    order = {}
+    for r in df.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie")).collect():
+        order.setdefault((r.doc_id is not None, r.doc_id or 0, r.tie), []).append((r.doc_id, r.text or ""))
+    rows = [x for k in sorted(order) for x in order[k]]
+    want = Counter()
+    for k, (i, t) in enumerate(rows):
+        nxt, cut = rows[(k + 1) % len(rows)][1], len(t) // 4
+        want[i, len(t), sha(t[: len(t) - cut] + nxt[:cut])] += 1
+    got = sketch.edited_fingerprints(df).collect()
+    assert Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in got) == want
+    assert all(0 <= x <= 1 for r in got for x in (r.near_edited, r.near_next))
+    by_text = defaultdict(set)
+    texts = dict(rows)
+    for r in got:
+        by_text[texts[r.doc_id] if r.doc_id is not None else ("none", r.fingerprint)].add(r.fingerprint)
+    assert all(len(x) == 1 for x in by_text.values())
+
+
+def test_edited_fingerprints_over_many_ranges(spark, some, monkeypatch):
+    monkeypatch.setattr(sketch, "BUCKET_BYTES", 20_000)
+    want = {r.doc_id: tuple(r) for r in sketch.edited_fingerprints(some).collect()}
+    monkeypatch.setattr(sketch, "BUCKET_BYTES", 10**12)
+    assert {r.doc_id: tuple(r) for r in sketch.edited_fingerprints(some).collect()} == want
+
+
+def test_likeness_and_containment(spark):
+    words = [f"t{i}" for i in range(3000)]
+    df = spark.createDataFrame([(0, " ".join(words)), (1, " ".join(words[:300])), (2, " ".join(words[:2000] + [f"u{i}" for i in range(1000)]))], "k int, text string")
+    s = df.withColumn("w", sketch.word_hashes(F.col("text"))).select("k", sketch.sketch(F.col("w")).alias("sketch"))
+    pairs = {(r.x, r.y): (r.l, r.c) for r in s.selectExpr("k x", "sketch a").join(s.selectExpr("k y", "sketch b")).select("x", "y", sketch.likeness(F.col("a"), F.col("b")).alias("l"), sketch.containment(F.col("a"), F.col("b")).alias("c")).collect()}
+    assert pairs[1, 0][1] == 1 and abs(pairs[0, 1][1] - 0.1) < 0.03 and abs(pairs[0, 2][0] - 0.5) < 0.06
+    both = sketch.merged(s.withColumn("g", F.lit(1)).where("k < 2"), ["g"]).first().sketch
+    assert both == s.where("k = 0").first().sketch
+    union = sketch.merged(s.withColumn("g", F.lit(1)), ["g"]).first().sketch
+    assert union == sorted({h for r in s.collect() for h in r.sketch})
+
+
+# --- BPE
+
+
+@pytest.mark.parametrize("table", ["docs", "some"])
+def test_bpe(table, request):
+    from tokenizers import Tokenizer
+
+    df = request.getfixturevalue(table)
+    tokenizer = Tokenizer.from_file(queries.tokenizer_path())
+    want = Counter()
+    for i, t in texts_of(df):
+        ids = tokenizer.encode(t, add_special_tokens=False).ids
+        want[i, len(ids), sha(",".join(map(str, ids))), sha(tokenizer.decode(ids, skip_special_tokens=False))] += 1
+    got = bpe.bpe(df, queries.tokenizer_path(), with_ids=True).collect()
+    assert Counter((r.id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got) == want
+    assert all(sha(",".join(map(str, r.ids))) == r.ids_sha256 for r in got)
+
+
+def test_bpe_joins():
+    """Texts of awkward white space, joined at cuts anywhere."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(queries.tokenizer_path())
+    rng = np.random.default_rng(2)
+    atoms = [" ", "  ", "\n", "\t", " ", " ", "a", "word", "'s", "'", "12", "!?", "é", "漢字", "<|endoftext|>", "\U0001f600", "\x1c", "　", "᠎"]
+    for _ in range(60):
+        text = "".join(rng.choice(atoms, 3000, p=[0.25, *[0.75 / 18] * 18]))
+        parts = bpe.pieces(text)
+        assert "".join(p for p, _ in parts) == text and (len(parts) > 1 or len(text) < 9000)
+        assert bpe.encode_texts([text], queries.tokenizer_path())[0][0] == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_shared_passages_are_cut_alike():
+    rng = np.random.default_rng(4)
+    word = lambda n: " ".join("".join(rng.choice(list("abcdefgh"), 6)) for _ in range(n))
+    passage = word(2000)
+    a, b = ({p for p, inner in bpe.pieces(word(300) + " " + passage + " " + word(400)) if inner} for _ in range(2))
+    assert sum(map(len, a & b)) > 0.8 * len(passage)
+
+
+# --- WARC
+
+
+def test_warc(spark):
+    rows = [(5, "http://a/\r\nb", "<p>same</p>"), (9, "http://b", "<p>same</p>"), (2, "http://c", "<p>same</p>"), (3, None, None), (4, "http://d", ""), (7, "http://e", "é" * 3000), (9, "http://b", "<p>same</p>"), (None, "u", "none"), (8, "x", "P*M\x18\0\0\0\0" * 40)]
+    df = spark.createDataFrame([(*r, "y") for r in rows], "page_id bigint, url string, html string, keeper string").repartition(3)
+    keeper = {}
+    for i, _, h in rows:
+        keeper[h or ""] = max(keeper.get(h or "", -1), -1 if i is None else i)
+    want = Counter()
+    for i, _, h in rows:
+        body = (h or "").encode()
+        revisit = i is not None and keeper[h or ""] != i
+        want[i, len(body), base64.b32encode(hashlib.sha1(body).digest()).decode(), "revisit" if revisit else "response", keeper[h or ""] if revisit else None] += 1
+    got = warc.round_trip(df).collect()
+    assert all(r.error is None for r in got)
+    assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == want
+    assert Counter(r.record_type for r in warc.round_trip(df, least=100).collect())["revisit"] == 0
+    assert warc.round_trip(df.limit(0)).count() == 0
+
+
+def test_warc_finds_faults(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"http://x/{i}", f"<p>{i}</p>" * 50) for i in range(20)], "page_id bigint, url string, html string").coalesce(1)
+    warc.write_archives(df, str(tmp_path / "w"))
+    (name,) = [p for p in (tmp_path / "w").iterdir() if p.name.startswith("part-")]
+    data = name.read_bytes()
+    assert struct.unpack_from("<I", data)[0] == warc.DICT_MAGIC and data.endswith(warc.SEPARATOR)
+    all_frames = list(warc.frames(data))
+    assert sum(m == warc.FRAME_MAGIC for m, _, _ in all_frames) == 20
+    assert len(list(warc.unpack(data))) == 20
+    # A plain reader that knows the dictionary takes the records one by one.
+    words = zstandard.ZstdCompressionDict(data[all_frames[0][1] : all_frames[0][2]])
+    _, start, end = next(f for f in all_frames if f[0] == warc.FRAME_MAGIC)
+    assert zstandard.ZstdDecompressor(dict_data=words).decompress(data[start:end]).startswith(b"WARC/1.1\r\n")
+    got = list(warc.unpack(data[: end - 3]))
+    assert got[-1]["error"] and "longer than the file" in got[-1]["error"]
+    broken = bytearray(data)
+    broken[(start + end) // 2] ^= 0xFF
+    got = list(warc.unpack(bytes(broken)))
+    assert sum(r["error"] is not None for r in got) >= 1
+    raw = warc.record(1, "u", b"abc", base64.b32encode(hashlib.sha1(b"abc").digest()).decode(), None)
+    assert warc.parse(raw)["payload"] == b"abc"
+    for wrong in (raw.replace(b"abc", b"abd"), raw.replace(b"abc", b"abcd"), raw.replace(b"WARC-Date", b"WARC-Dote"), raw[:-1], raw.replace(b"WARC/1.1", b"WORC/1.1")):
+        with pytest.raises(ValueError):
+            warc.parse(wrong)
+    assert list(warc.unpack(b"")) == [] and list(warc.unpack(b"garbage!!"))[0]["error"]
+
+
+# --- chat
+
+
+def test_escapes():
+    for t in ("<|im_end|>", "<\\|x", "<\\\\|", "a<|", "<<||>>", "<\\", "|", "", "<|im_start|>assistant\n<\\|im_end|>"):
+        assert chat.unescape(chat.escape(t)) == t and "<|" not in chat.escape(t)
+
+
+def test_chat(spark):
+    rows = [(1, 1, "assistant", "second"), (1, 0, "user", "first <|im_end|>"), (1, 2, "user", None), (2, 0, "assistant", ""), (3, 0, "user", "only"), (4, 5, None, "x"), (4, 5, "assistant", "t"), (4, 5, "assistant", "t"), (None, 0, "user", "q"), (None, None, "assistant", "r\n<\\|")]
+    rows += [(5, k, "user" if k % 2 == 0 else "assistant", f"turn {k}") for k in range(301)]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "conv_id bigint, turn bigint, role string, text string, example int").repartition(3)
+    convs = defaultdict(list)
+    for c, t, r, x in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
+        convs[c].append((r or "", x or ""))
+    made = chat.examples(df)
+    got = {r.conv_id: r for r in chat.read_back(made).collect()}
+    assert set(got) == set(convs)
+    for c, turns in convs.items():
+        loss = "".join(x for r, x in turns if r == "assistant")
+        assert (got[c].n_turns, got[c].turns_sha256, got[c].loss_chars, got[c].loss_sha256) == (len(turns), sha("".join(f"{r}\n{x}\n" for r, x in turns)), len(loss), sha(loss))
+    each = made.where("conv_id = 5").orderBy("example").collect()
+    assert len(each) == 151 and each[-1].loss_start is None and each[-1].n_turns == 301
+    for k, r in enumerate(each[:-1]):
+        assert chat.parsed(r.formatted) == convs[5][: 2 * k + 2] and r.formatted[r.loss_start : r.loss_end] == f"turn {2 * k + 1}"
+    assert chat.read_back(chat.examples(df.limit(0))).count() == 0
+
+
+# --- mixing
+
+
+def plain_mix(rows, weights, budget, epochs, seed):
+    """rows: (id, domain, lang, source, n)."""
+
+    def fill(pool, children):
+        out, live = {}, {k: v for k, v in children.items() if v[0] > 0}
+        while live:
+            level = pool / sum(w for w, _ in live.values())
+            full = {k for k, (w, cap) in live.items() if cap <= round(level * w, 6)}
+            if not full:
+                return {k: 0 for k in children} | out | {k: int(np.floor(round(level * w, 6))) for k, (w, _) in live.items()}
+            for k in full:
+                out[k] = live[k][1]
+                pool -= live.pop(k)[1]
+        return {k: 0 for k in children} | out
+
+    held = Counter()
+    for _, d, la, s, n in rows:
+        held[d, la, s] += n
+    share = {(): int(np.floor(round(sum(held.values()) * budget, 6)))}
+    for depth, level in ((1, "domain"), (2, "lang"), (3, "source")):
+        for parent in {k[: depth - 1] for k in held}:
+            nodes = {k[:depth] for k in held if k[: depth - 1] == parent}
+            share |= fill(share[parent], {k: (weights[level].get(k[-1], 1.0), epochs * sum(n for x, n in held.items() if x[:depth] == k)) for k in nodes})
+    out = Counter()
+    for leaf, total in held.items():
+        whole, rest = divmod(share[leaf], total) if total else (0, 0)
+        mine = defaultdict(list)
+        for r in rows:
+            if r[1:4] == leaf:
+                mine[hashlib.md5(f"{seed}:{whole}:{'' if r[0] is None else r[0]}".encode()).hexdigest()].append(r)
+        used, fits = 0, rest > 0
+        for h in sorted(mine):
+            used += sum(r[4] for r in mine[h])
+            fits &= used <= rest
+            for r in mine[h]:
+                out[r[0], leaf, r[4], share[leaf], whole + fits] += 1
+    return out
+
+
+@pytest.mark.parametrize("budget", [0.1, 0.75, 1.6])
+@pytest.mark.parametrize("table", ["docs", "some"])
+def test_mixing(table, budget, request):
+    df = request.getfixturevalue(table)
+    df = df.where("doc_id <> 9 OR doc_id IS NULL").where("doc_id IS NOT NULL OR text IS NOT NULL") if table == "docs" else df
+    number = lambda s: int(re.search(r"\d*$", s or "")[0] or 0)
+    rows = [(r.doc_id, queries.DOMAINS[number(r.source) % 4], r.lang or "", r.source or "", len(WORDS.findall(r.text or ""))) for r in df.collect()]
+    want = plain_mix(rows, queries.WEIGHTS, budget, 2, 42)
+    got = mixing.copies(df, queries.domain_of(), queries.WEIGHTS, budget, 2).collect()
+    strict = lambda c: Counter({k: v for k, v in c.items() if k[2]})  # noqa: E731  rows without tokens come with any prefix that reaches them
+    assert strict(Counter((r.id, (r.domain, r.lang, r.source), r.n_tokens, r.share, r.copies) for r in got)) == strict(want)
+    for leaf in {k[1] for k in want}:
+        assert sum(r.copies * r.n_tokens for r in got if (r.domain, r.lang, r.source) == leaf) <= next(k[3] for k in want if k[1] == leaf)
+    out = mixing.mixed(df, queries.domain_of(), queries.WEIGHTS, budget)
+    assert out.columns == df.columns and out.count() == sum(r.copies for r in got)
+
+
+def test_mixing_empty_and_repeated(docs, empty):
+    assert mixing.copies(empty, queries.domain_of(), queries.WEIGHTS, 0.5).count() == 0
+    assert mixing.copies(docs, queries.domain_of(), queries.WEIGHTS, 0.5).count() == docs.count()
+
+
+# --- language
+
+
+def test_forward_backward_against_enumeration():
+    rng = np.random.default_rng(0)
+    emit, trans, start = rng.normal(size=(9, 3)), rng.normal(size=(3, 3)), rng.normal(size=3)
+    first = np.zeros(9, bool)
+    first[[0, 5, 6]] = True
+    gamma = crf.forward_backward(emit, trans, start, first)[0]
+    for lo, hi in ((0, 5), (5, 6), (6, 9)):
+        want, total = np.zeros((hi - lo, 3)), 0.0
+        for path in itertools.product(range(3), repeat=hi - lo):
+            p = np.exp(start[path[0]] + sum(emit[lo + k, y] for k, y in enumerate(path)) + sum(trans[x, y] for x, y in itertools.pairwise(path)))
+            total += p
+            for k, y in enumerate(path):
+                want[k, y] += p
+        assert np.allclose(gamma[lo:hi], want / total)
+
+
+def test_language(spark, docs, empty):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    model = crf.train(df.where(~held))
+    got = crf.identify(df, model, keep=[F.col("lang"), held.alias("held")]).where("held").collect()
+    assert sum(r.lang == r.lang_pred for r in got) > 0.97 * len(got) and all(0 <= r.score <= 1 for r in got)
+    assert {zlib.crc32(str(r.id).encode()) % 4 for r in got} == {2}
+    en, de = (" ".join(w for r in got if r.lang == x for w in crf.words_of(df.where(F.col("doc_id") == r.id).first().text)[:5]) for x in ("en", "de"))
+    mixed_text = spark.createDataFrame([(1, f"{en} {de}")], "doc_id bigint, text string")
+    spans = crf.identify(mixed_text, model).first().spans
+    assert {s.lang for s in spans} >= {"en", "de"} and sum(s.words for s in spans) == len(crf.words_of(f"{en} {de}"))
+    odd = crf.identify(docs, model).collect()
+    assert len(odd) == docs.count() and any(r.lang_pred == "und" and r.score == 0 for r in odd)
+    assert crf.identify(empty, model).count() == 0
+    assert crf.train(empty) is None and {r.lang_pred for r in crf.identify(docs, None).collect()} == {"und"}
+
+
+# --- quality
+
+
+def test_quality(spark, docs, empty):
+    df, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    model = ordinal.train(df, labels.where(half))
+    assert np.all(np.diff(model.thresholds) > 0)
+    got = ordinal.scored(ordinal.rated(df, labels.where(~half)), model, "body").collect()
+    right = sum((r.grade >= 1) == r.accepted for r in got)
+    assert right > 0.93 * len(got)
+    good = [r for r in got if r.grade == 2]
+    assert sum(r.accepted for r in good) > 0.98 * len(good)
+    assert all(0 <= r.expected_grade <= 2 for r in got)
+    kept = ordinal.accepted(docs, model)
+    assert kept.columns == docs.columns and kept.count() > 0 and ordinal.accepted(empty, model).count() == 0
+    assert ordinal.train(empty, labels.limit(0)) is None and ordinal.accepted(docs, None).count() == docs.count()
+    odd = labels.select("doc_id", F.lit(None).cast("int").alias("quality"), F.lit(None).cast("int").alias("toxic"))
+    assert ordinal.train(df, odd) is None
+
+
+def test_fit_on_a_known_scale():
+    rng = np.random.default_rng(0)
+    rows = []
+    for _ in range(600):
+        good = rng.random()
+        rows.append(([str(rng.choice(["good", "bad!!"], p=[good, 1 - good])) for _ in range(40)], int(good > 0.33) + int(good > 0.66)))
+    model = ordinal.fit(rows)
+    score = np.array([sum(model.weights[f] * v for f, v in ordinal.doc_features(w).items()) for w, _ in rows])
+    p = model.tails(score)
+    assert np.mean((p > 0.5).sum(1) == [g for _, g in rows]) > 0.8 and (p[:, 0] >= p[:, 1]).all()
+
+
+def test_all_registered():
+    assert [int(re.match(r"op(\d+)_", k)[1]) for k in queries.QUERIES] == list(range(1, 11))
+    assert os.path.exists(queries.tokenizer_path())
