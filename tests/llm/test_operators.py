@@ -453,5 +453,5 @@ def test_fit_on_a_known_scale():
 
 
 def test_all_registered():
-    assert [int(re.match(r"op(\d+)_", k)[1]) for k in queries.QUERIES] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", k)[1]) for k in queries.QUERIES if k != "pipeline"] == list(range(1, 11))
     assert os.path.exists(queries.tokenizer_path())
