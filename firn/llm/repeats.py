@@ -116,17 +116,18 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
     spans = docs.mapInArrow(find, "key binary, anchor bigint, span bigint, first int, last int, place int")
     spans = spans.select("key", "anchor", "span", (F.col("place") - F.col("first")).alias("before"), (F.col("last") - F.col("place")).alias("after"), "first")
     spans = written(spans, "spans")
+    # Most anchors occur once; only counts of them are shuffled before those leave.
+    shared = spans.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    spans = written(spans.join(shared, "anchor", "left_semi"), "shared-spans")
     kind = ["anchor", "span", "before", "after"]
     # One row a kind of span; the hottest passages shrink before the shuffle.
-    kinds = spans.groupBy(*kind).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "first")).alias("one"))
-    kinds = written(kinds, "kinds")
-    shared = kinds.groupBy("anchor").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds")).where("`all` > 1")
-    kinds = written(kinds.join(shared, "anchor"), "shared-kinds")
+    kinds = written(spans.groupBy(*kind).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "first")).alias("one")), "kinds")
+    several = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("anchor")
     length = F.col("before") + F.col("after") + 1
     # Every span whose kind occurs twice repeats as a whole.
     whole = spans.join(kinds.where("n > 1").select(*kind), kind).select("key", "first", (F.col("first") + length - 1).alias("last"))
 
-    torn = kinds.where("kinds > 1").select(F.col("one.key").alias("key"), F.struct("anchor", F.col("one.first").alias("first"), "before", length.alias("len"), (F.col("n") == 1).alias("open")).alias("piece"))
+    torn = kinds.join(several, "anchor", "left_semi").select(F.col("one.key").alias("key"), F.struct("anchor", F.col("one.first").alias("first"), "before", length.alias("len"), (F.col("n") == 1).alias("open")).alias("piece"))
     torn = torn.groupBy("key").agg(F.collect_list("piece").alias("pieces"))  # as many as the text's spans at most
 
     def tear(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
