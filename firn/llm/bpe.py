@@ -6,7 +6,9 @@ chunks, and each Python worker encodes a shared chunk once. Cuts fall anywhere,
 what lies outside its first and last safe place, and the text between two such places is encoded again as one piece. A
 place is safe where a blank or line feed follows a character that is not white space: the vocabulary's pre-tokens never
 cross it, so the pieces' ids in a row are the whole text's ids. A chunk without a safe place joins its neighbours'
-piece, at worst the whole text. The ids are decoded, and a text that does not come back is encoded whole.
+piece, at worst the whole text. Within a piece, runs of text between safe places of plain ASCII white space go through a
+dictionary that the worker keeps, so the tokenizer sees each run once. Every run's ids are decoded; a text that does not
+come back is encoded and decoded whole.
 
 A null text counts as empty and has no tokens. Repeated rows and null ids give one result row each; an empty table gives
 an empty result; other columns are ignored.
@@ -15,7 +17,8 @@ an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +32,12 @@ CHUNK_LEAST = 128
 #: Shared chunks that workers keep, and the longest of them.
 SHARED = 16_384
 SHARED_CHARS = 8_192
-_PIECES = 4_096
+#: Runs that a worker keeps.
+RUNS = 600_000
 _WORKER: dict = {}
+_RUN = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+#: White space, or what some tables take for it, beside the four characters above: a piece with any of it is one run.
+_ODD = re.compile("[\x0b\x0c\x1c-\x1f\x7f-\xa0\u1680\u180e\u2000-\u206f\u3000\ufeff]")
 
 
 def cuts(cps: np.ndarray) -> list[int]:
@@ -81,7 +88,8 @@ def pieces(text: str) -> list[tuple[str, bool]]:
     return out
 
 
-def _tokenizer(path: str):
+def _tokenizer(path: str) -> tuple:
+    """(tokenizer, kept chunks, kept runs, bytes of each token) of this worker; chunks and runs map a text to (decimal ids joined by commas, their number, decoded text)."""
     if path not in _WORKER:
         import os
 
@@ -91,37 +99,69 @@ def _tokenizer(path: str):
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        _WORKER[path] = (tokenizer, {})
+        # A token of the byte-level vocabulary is written with a character for each byte; an added one stands for itself.
+        added = {i: t.content.encode() for i, t in tokenizer.get_added_tokens_decoder().items()}
+        sizes = np.array([len(added.get(i) or tokenizer.id_to_token(i) or "") for i in range(tokenizer.get_vocab_size())])
+        _WORKER[path] = (tokenizer, {}, {}, sizes)
     return _WORKER[path]
 
 
-def encode_texts(texts: list[str], path: str, shared: frozenset[int] = frozenset()) -> list[tuple[list[int], str]]:
-    """(ids, decoded text) of each text; chunks whose hash is in `shared` are encoded once in a worker."""
-    tokenizer, kept = _tokenizer(path)
-    parts = [pieces(t) for t in texts]
-    new, known = {}, {}
-    for part in parts:
+def _encoded(tokenizer, texts: list[str]) -> list[tuple[str, int, str]]:
+    ids = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    back = tokenizer.decode_batch(ids, skip_special_tokens=False)
+    return [(",".join(map(str, i)), len(i), t if b == t else b) for t, i, b in zip(texts, ids, back, strict=True)]
+
+
+def _encoded_runs(tokenizer, sizes: np.ndarray, runs: Iterable[str]) -> dict[str, tuple[str, int, str]]:
+    """Runs that begin with white space and end without are encoded many at a time, as safe places part them, and told apart by their tokens' bytes."""
+    many, alone, made = [], set(), {}
+    for r in runs:
+        (many.append if r[0] <= " " < r[-1] else alone.add)(r)
+    groups = [many[lo : lo + 512] for lo in range(0, len(many), 512)]
+    lines = ["".join(g) for g in groups]
+    ids = [e.ids for e in tokenizer.encode_batch_fast(lines, add_special_tokens=False)]
+    for group, line, own, back in zip(groups, lines, ids, tokenizer.decode_batch(ids, skip_special_tokens=False), strict=True):
+        ends = np.cumsum(sizes[own]) if own else np.zeros(0, np.int64)
+        want = np.cumsum([len(r.encode("utf-8", "surrogatepass")) for r in group])
+        at = np.searchsorted(ends, want)
+        if back != line or at[-1] >= len(ends) or (ends[at] != want).any():
+            alone.update(group)
+            continue
+        text, cut = list(map(str, own)), [0, *(at + 1).tolist()]
+        for r, lo, hi in zip(group, cut, cut[1:], strict=False):
+            made[r] = (",".join(text[lo:hi]), hi - lo, r)
+    some = list(alone)
+    made.update(zip(some, _encoded(tokenizer, some), strict=True))
+    return made
+
+
+def encode_texts(texts: list[str], path: str, shared: frozenset[int] = frozenset()) -> list[tuple[str, int, str]]:
+    """(decimal ids joined by commas, their number, decoded text) of each text; chunks whose hash is in `shared` are encoded once in a worker."""
+    tokenizer, kept, runs, sizes = _tokenizer(path)
+    if len(runs) > RUNS:
+        runs.clear()
+    parts, cut = [], {}
+    for t in texts:
+        part = pieces(t)
+        parts.append([p for p, _ in part])
         for piece, inner in part:
-            if piece in known or piece in new:
-                continue
-            if inner and piece in kept:
-                known[piece] = kept[piece]
-            else:
-                new[piece] = inner
-    todo = list(new)
-    for lo in range(0, len(todo), _PIECES):
-        some = todo[lo : lo + _PIECES]
-        for piece, got in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-            known[piece] = got.ids
-            if new[piece] and len(piece) <= SHARED_CHARS and len(kept) < SHARED and xxhash.xxh64_intdigest(piece) in shared:
-                kept[piece] = known[piece]
-    ids = [[i for piece, _ in part for i in known[piece]] for part in parts]
+            if piece not in kept and piece not in cut:
+                cut[piece] = (_RUN.findall(piece) if _ODD.search(piece) is None else [piece]), inner
+    new = set().union(*(own for own, _ in cut.values())).difference(runs)
+    odd = [r for r in new.intersection(cut) if _ODD.search(r)]
+    runs.update(_encoded_runs(tokenizer, sizes, new.difference(odd)))
+    runs.update(zip(odd, _encoded(tokenizer, odd), strict=True))
+    known = {}
+    for piece, (own, inner) in cut.items():
+        got = [runs[r] for r in own]
+        known[piece] = made = (",".join([g[0] for g in got]), sum([g[1] for g in got]), "".join([g[2] for g in got]))
+        if inner and len(piece) <= SHARED_CHARS and len(kept) < SHARED and xxhash.xxh64_intdigest(piece) in shared:
+            kept[piece] = made
     out = []
-    for text, own, back in zip(texts, ids, tokenizer.decode_batch(ids, skip_special_tokens=False), strict=True):
-        if back != text:
-            own = tokenizer.encode(text, add_special_tokens=False).ids
-            back = tokenizer.decode(own, skip_special_tokens=False)
-        out.append((own, back))
+    for text, part in zip(texts, parts, strict=True):
+        got = [known.get(p) or kept[p] for p in part]
+        made = (",".join([g[0] for g in got]), sum([g[1] for g in got]), "".join([g[2] for g in got]))
+        out.append(made if made[2] == text else _encoded(tokenizer, [text])[0])
     return out
 
 
@@ -159,10 +199,14 @@ def bpe(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "tex
             for lo in range(0, len(whole), 256):
                 batch = whole.slice(lo, 256)
                 got = encode_texts(batch.column("body").to_pylist(), path, shared.value)
-                sha = [hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest() for ids, _ in got]
-                back = [hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest() for _, text in got]
-                cols = [batch.column("id"), pa.array([len(ids) for ids, _ in got], pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string())]
-                yield pa.RecordBatch.from_arrays(cols + [pa.array([ids for ids, _ in got], pa.list_(pa.int32()))] * with_ids, names=names)
+                sha = [hashlib.sha256(ids.encode()).hexdigest() for ids, _, _ in got]
+                back = [hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest() for _, _, text in got]
+                cols = [batch.column("id"), pa.array([n for _, n, _ in got], pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string())]
+                if with_ids:
+                    flat_ids = np.fromstring(",".join(ids for ids, n, _ in got if n), np.int32, sep=",")
+                    ends = np.cumsum([0, *(n for _, n, _ in got)]).astype(np.int32)
+                    cols.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat_ids, pa.int32())))
+                yield pa.RecordBatch.from_arrays(cols, names=names)
 
     kind = flat.schema["id"].dataType.simpleString()
     return flat.mapInArrow(run, f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
