@@ -116,13 +116,14 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
     spans = docs.mapInArrow(find, "key binary, anchor bigint, span bigint, first int, last int, place int")
     spans = spans.select("key", "anchor", "span", (F.col("place") - F.col("first")).alias("before"), (F.col("last") - F.col("place")).alias("after"), "first")
     spans = written(spans, "spans")
-    # Most anchors occur once; only counts of them are shuffled before those leave.
-    shared = spans.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    # Most anchors occur once; only counts of them are shuffled before those leave. Counts are written, since Spark splits a
+    # hot key's rows only where a join's two sides are plain shuffles.
+    shared = written(spans.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "anchors")
     spans = written(spans.join(shared, "anchor", "left_semi"), "shared-spans")
     kind = ["anchor", "span", "before", "after"]
     # One row a kind of span; the hottest passages shrink before the shuffle.
     kinds = written(spans.groupBy(*kind).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "first")).alias("one")), "kinds")
-    several = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("anchor")
+    several = written(kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("anchor"), "several-kinds")
     length = F.col("before") + F.col("after") + 1
     # Every span whose kind occurs twice repeats as a whole.
     whole = spans.join(kinds.where("n > 1").select(*kind), kind).select("key", "first", (F.col("first") + length - 1).alias("last"))
@@ -149,7 +150,7 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
     cells = docs.join(torn, "key").mapInArrow(tear, "key binary, anchor bigint, ahead int, hash bigint, start int, open boolean").distinct()
     cells = written(cells, "windows")
     same = ["anchor", "ahead", "hash"]
-    twice = cells.groupBy(*same).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    twice = written(cells.groupBy(*same).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "repeated-windows")
     apart = cells.where("open").join(twice, same).select("key", F.col("start").alias("first"), F.col("start").alias("last"))
     return whole.unionByName(apart)
 
