@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 #: Characters that separate words: blank, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = " \t\n\x0b\x0c\r"
 #: A hot key is dealt over so many places.
-SALTS = 32
+SALTS = 16
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,11 +32,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def salted_join(many: DataFrame, one: DataFrame, keys: list[str], spread: Column, how: str = "inner", salts: int = SALTS) -> DataFrame:
     """Join rows of which any share may have the same key to a table with one row a key.
 
-    Rows of a key go to `salts` places by `spread`; each row of `one` is repeated for each place.
+    Rows of a key go to `salts` places by `spread`; each row of `one` is repeated for each place. Neither side is broadcast.
     """
     many = many.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     one = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return many.join(one, [*keys, "_salt"], how).drop("_salt")
+    return many.join(one.hint("merge"), [*keys, "_salt"], how).drop("_salt")
 
 
 def stripped(text: Column) -> Column:
