@@ -35,8 +35,11 @@ SEED = 42
 #: The tree is fitted on so many fingerprints at most.
 SAMPLE = 65_536
 #: A shard is split while it holds more classes than this, and compared in blocks of BLOCK classes.
-LEAF = 8_192
-BLOCK = 16_384
+LEAF = 65_536
+BLOCK = 262_144
+#: Pairs that are compared at once, and rows of one part above which the links found so far spare comparisons.
+PAIRS = 2_000_000
+CROWD = 256
 #: Longest run of shingles whose bits are unpacked at once.
 _STEP = 8_192
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -127,36 +130,84 @@ def _masks(words64: int, parts: int) -> list[np.ndarray]:
     return [np.packbits(bits == p).view(">u8").astype(np.uint64) for p in range(parts)]
 
 
-def _merge(labels: np.ndarray, at: int, others: np.ndarray) -> None:
-    """Give the components of row `at` and of the rows `others` one label."""
-    if len(met := np.unique(np.append(labels[others], labels[at]))) > 1:
-        labels[np.isin(labels, met[1:])] = met[0]
-
-
-def _cell_links(fp: np.ndarray, home: np.ndarray, side: np.ndarray, radius: int, mask: np.ndarray, part_radius: int) -> np.ndarray:
-    """Labels that join the rows within radius of each other and within part_radius under the mask; two visitors are compared
-    at home elsewhere; two rows of one block only in that block's own cell (side is 0 for it, else 0 or 1 by block)."""
-    labels = np.arange(len(fp))
-    cross = side.any()
-    at = np.flatnonzero(mask)
-    part = _squeezed(fp[:, at[0]], int(mask[at[0]])) if len(at) == 1 else None
-    for s in (0, 1) if cross else (0,):
-        a, b = np.flatnonzero(side == s), np.flatnonzero((side != s if cross else np.ones(len(fp), bool)) & home)
-        step = max(1, 2_000_000 // max(len(b), 1))
-        for lo in range(0, len(a) if len(b) else 0, step):
-            rows = a[lo : lo + step]
-            if part is None:
-                near = np.nonzero(sum(np.bitwise_count((fp[rows, w][:, None] ^ fp[b, w][None, :]) & mask[w]) for w in at) <= part_radius)
-            else:
-                near = np.nonzero(np.bitwise_count(part[rows][:, None] ^ part[b][None, :]) <= part_radius)
-            close = np.bitwise_count(fp[rows[near[0]]] ^ fp[b[near[1]]]).sum(1, dtype=np.int64) <= radius
-            near = (near[0][close], near[1][close])
-            cut = np.searchsorted(near[0], np.arange(len(rows) + 1))
-            for i in np.flatnonzero(np.diff(cut)):
-                _merge(labels, rows[i], b[near[1][cut[i] : cut[i + 1]]])
+def _near(fp: np.ndarray, a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
+    return np.bitwise_count(fp[a] ^ fp[b]).sum(-1, dtype=np.int64) <= radius
+
+
+def _labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least row of each row's component under the edges (a, b)."""
+    labels = np.arange(n)
+    while len(a):
+        low = np.minimum(labels[a], labels[b])
+        np.minimum.at(labels, labels[a], low)
+        np.minimum.at(labels, labels[b], low)
+        while (labels[labels] != labels).any():
+            labels = labels[labels]
+        apart = labels[a] != labels[b]
+        a, b = a[apart], b[apart]
     return labels
 
 
+def _product(fp: np.ndarray, a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs within radius of all of a with all of b, a slice at a time."""
+    step, out = max(1, PAIRS // max(len(b), 1)), [(a[:0], b[:0])]
+    for lo in range(0, len(a) if len(b) else 0, step):
+        x, y = np.repeat(a[lo : lo + step], len(b)), np.tile(b, len(a[lo : lo + step]))
+        close = _near(fp, x, y, radius)
+        out.append((x[close], y[close]))
+    return tuple(map(np.concatenate, zip(*out, strict=True)))
+
+
+def _dense(fp: np.ndarray, rows: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links of rows that agree in the part: what a pivot is linked to is not compared with itself again."""
+    while len(rows) > 1:
+        pivot, others = np.full(len(rows) - 1, rows[0]), rows[1:]
+        close = _near(fp, pivot, others, radius)
+        yield pivot[close], others[close]
+        yield _product(fp, others[~close], others[close], radius)
+        rows = others[~close]
+
+
+def _cell_links(fp: np.ndarray, part: np.ndarray, bits: int, part_radius: int, radius: int) -> np.ndarray:
+    """Labels that join the rows within radius of each other whose parts differ in part_radius bits (0 or 1) at most.
+
+    Rows are sorted by part; those with equal parts, or parts a flipped bit apart, are found by search and compared whole.
+    """
+    order = np.argsort(part, kind="stable")
+    values, begin, count = np.unique(part[order], return_index=True, return_counts=True)
+    crowd = count > CROWD
+    edges = [e for g in np.flatnonzero(crowd) for e in _dense(fp, order[begin[g] : begin[g] + count[g]], radius)]
+    known = _labels(len(fp), *map(np.concatenate, zip(*edges, strict=True))) if edges else np.arange(len(fp))
+    for flip in (0, *(1 << k for k in range(bits if part_radius else 0))):
+        target = values ^ values.dtype.type(flip)
+        at = np.minimum(np.searchsorted(values, target), len(values) - 1)
+        met = (values[at] == target) & (at >= np.arange(len(values)))
+        for g in np.flatnonzero(met & (crowd | crowd[at]) & (flip > 0)):
+            x, y = (order[begin[k] : begin[k] + count[k]] for k in (g, at[g]))
+            main = np.bincount(known[np.concatenate([x, y])]).argmax()  # rows that are joined already need no comparison
+            edges += [_product(fp, x[known[x] == main], y[known[y] != main], radius), _product(fp, x[known[x] != main], y, radius)]
+        few = np.flatnonzero(met & ~crowd & ~crowd[at])
+        size = count[few] * count[at[few]]
+        for lo, hi in _slices(size, PAIRS):
+            g, n = few[lo:hi], size[lo:hi]
+            which = np.repeat(np.arange(len(g)), n)
+            k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            wide = count[at[g]][which]
+            x, y = order[begin[g][which] + k // wide], order[begin[at[g]][which] + k % wide]
+            ok = x < y if flip == 0 else slice(None)
+            x, y = x[ok], y[ok]
+            close = _near(fp, x, y, radius)
+            edges.append((x[close], y[close]))
+    return _labels(len(fp), *map(np.concatenate, zip(*edges, strict=True))) if edges else known
+
+
+def _slices(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of sizes whose sums stay near `most`."""
+    if len(sizes):
+        cut = np.flatnonzero(np.diff(np.cumsum(sizes) // most)) + 1
+        yield from zip([0, *cut.tolist()], [*cut.tolist(), len(sizes)], strict=True)
+
+
 def _squeezed(word: np.ndarray, mask: int) -> np.ndarray:
     """The bits under a contiguous mask in the smallest type that holds them."""
     low, bits = (mask & -mask).bit_length() - 1, mask.bit_count()
@@ -167,7 +218,7 @@ def _squeezed(word: np.ndarray, mask: int) -> np.ndarray:
 def links(classes: DataFrame, radius: int, words64: int, parts: int, part_radius: int) -> DataFrame:
     """Edges (a, b) of fingerprints that connect just what all pairs within radius, and within part_radius in some part, connect.
 
-    classes: fp binary, unique. Each task returns a spanning forest of its links, so a dense group does not give all its pairs.
+    classes: fp binary, unique; a part lies within one word of the fingerprint; part_radius is 0 or 1. Each task returns a spanning forest of its links, so a dense group does not give all its pairs.
     """
     spark, n = classes.sparkSession, classes.count()
     share = min(1.0, 1.2 * SAMPLE / max(n, 1))
@@ -191,11 +242,12 @@ def links(classes: DataFrame, radius: int, words64: int, parts: int, part_radius
     blocks = met.groupBy(*shard).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.max("home").alias("any_home")).where("any_home").drop("any_home")
     cells = met.join(F.broadcast(blocks), shard).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = cells.select(*shard, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "home", "fp")
+    cells = cells.select(*shard, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "fp")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        side = ((pdf["block"] == pdf["j"]) & (pdf["i"] != pdf["j"])).to_numpy().astype(int)
-        labels = _cell_links(words(pdf["fp"]), pdf["home"].to_numpy(), side, radius, masks[int(pdf["tree"].iloc[0])], part_radius)
+        fp, mask = words(pdf["fp"]), masks[int(pdf["tree"].iloc[0])]
+        (at,) = np.flatnonzero(mask)
+        labels = _cell_links(fp, _squeezed(fp[:, at], int(mask[at])), int(mask[at]).bit_count(), part_radius, radius)
         at = np.flatnonzero(labels != np.arange(len(labels)))
         fp = pdf["fp"].to_numpy()
         return pd.DataFrame({"a": fp[at], "b": fp[labels[at]]})

@@ -104,6 +104,8 @@ def test_search_finds_all_links(spark, monkeypatch):
     """Small leaves and blocks, so that trees, visits and block pairs all take part."""
     monkeypatch.setattr(simhash, "LEAF", 64)
     monkeypatch.setattr(simhash, "BLOCK", 100)
+    monkeypatch.setattr(simhash, "CROWD", 2)
+    monkeypatch.setattr(simhash, "PAIRS", 50)
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**63, 500, dtype=np.uint64)
     near = [int(b) ^ sum(1 << int(k) for k in rng.choice(64, rng.integers(0, 5), False)) for b in rng.choice(base, 1500)]
