@@ -252,7 +252,7 @@ def _weighted(spark, sf):
 
 @query
 def global_mwe(spark, sf):
-    return rounded(combine.area_weighted(_weighted(spark, sf)))
+    return rounded(combine.area_weighted(_weighted(spark, sf)).withColumn("area", F.round("area", 3)))
 
 
 @query
@@ -262,7 +262,7 @@ def global_gt(spark, sf):
 
 @query
 def adjusted_areas(spark, sf):
-    return rounded(_weighted(spark, sf).select("region", "start_date", "adjusted_area"))
+    return rounded(_weighted(spark, sf).select("region", "start_date", F.round("adjusted_area", 3).alias("adjusted_area")))
 
 
 # --- windows, grids, gaps
@@ -389,7 +389,7 @@ def three_digits(spark, sf):
 
 
 def _unit(f: Callable[[], Column]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf: table(spark, sf, "part").select("p_partkey", F.round(f(), 6).alias("value"))
+    return lambda spark, sf: table(spark, sf, "part").select("p_partkey", F.round(f(), 8).alias("value"))
 
 
 QUERIES |= {

@@ -17,11 +17,11 @@ def _numbered(df: DataFrame) -> DataFrame:
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """region, user_group, dataset_id, seq, start_date, end_date, change, error: a month of a region's priority a row."""
+    """region, user_group, dataset_id, seq, start_date, end_date, change (sums over 997 thousand, which no rounding of decimals ties), error: a month of a region's priority a row."""
     t = lambda n: table(spark, sf_dir, n)
     small = t("customer").join(F.broadcast(t("nation")), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("n_regionkey").alias("r_regionkey"))
     rows = t("orders").join(small, F.col("o_custkey") == F.col("c_custkey"))
-    rows = rows.groupBy("r_regionkey", F.col("o_orderpriority").alias("user_group"), F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m")).agg((F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double") / 1e6).alias("change"), (F.stddev_pop("o_totalprice") / 1e6).alias("error"))
+    rows = rows.groupBy("r_regionkey", F.col("o_orderpriority").alias("user_group"), F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m")).agg((F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double") / 997e3).alias("change"), (F.stddev_pop("o_totalprice") / 1e6).alias("error"))
     names = F.broadcast(dims.regions(spark).select((F.col("rgi_id") - 1).alias("r_regionkey"), F.col("name").alias("region")))
     out = rows.join(names, "r_regionkey").select("region", "user_group", F.concat_ws("|", "region", "user_group").alias("dataset_id"), (F.col("y") + (F.col("m") - 1) / 12).alias("start_date"), (F.col("y") + F.col("m") / 12).alias("end_date"), "change", "error")
     return _numbered(out)

@@ -62,7 +62,7 @@ class RegionConfig:
 
 @dataclass
 class RunConfig:
-    glambie_version: int
+    version: int
     config_folder: str
     result_base_path: str
     region_config_base_path: str
@@ -82,7 +82,7 @@ class RunConfig:
         out = cls(**values | {"method_to_extract_trends": TrendMethod(values["method_to_extract_trends"]), "seasonal_correction_method": SeasonalMethod(values["seasonal_correction_method"])})
         for r in out.regions:
             if r["enable_this_region"]:
-                own = RegionConfig.load(Path(out.region_config_base_path) / f"{out.config_folder}{out.glambie_version}" / r["config_file_path"])
+                own = RegionConfig.load(Path(out.region_config_base_path) / f"{out.config_folder}{out.version}" / r["config_file_path"])
                 if own.region_name != r["region_name"]:
                     raise ValueError(f"{r['config_file_path']} is of {own.region_name}, not {r['region_name']}")
                 out.region_configs.append(own)
