@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: The fit sees at most so many rated documents, of each so many words in a row from a seeded place.
-ROWS, WORDS = 4_000, 400
+ROWS, WORDS = 2_500, 300
 BUCKETS = 1 << 15
 #: Words that a worker keeps scores of.
 KEPT = 400_000
