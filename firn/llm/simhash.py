@@ -18,7 +18,7 @@ result row for each; a component's id is its smallest non-null id. Empty tables
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -38,7 +38,7 @@ SAMPLE = 65_536
 LEAF = 65_536
 BLOCK = 262_144
 #: Pairs that are compared at once, and rows of one part above which the links found so far spare comparisons.
-PAIRS = 2_000_000
+PAIRS = 400_000
 CROWD = 256
 #: Longest run of shingles whose bits are unpacked at once.
 _STEP = 8_192
@@ -176,17 +176,21 @@ def _cell_links(fp: np.ndarray, part: np.ndarray, bits: int, part_radius: int, r
     order = np.argsort(part, kind="stable")
     values, begin, count = np.unique(part[order], return_index=True, return_counts=True)
     crowd = count > CROWD
-    edges = [e for g in np.flatnonzero(crowd) for e in _dense(fp, order[begin[g] : begin[g] + count[g]], radius)]
-    known = _labels(len(fp), *map(np.concatenate, zip(*edges, strict=True))) if edges else np.arange(len(fp))
-    for flip in (0, *(1 << k for k in range(bits if part_radius else 0))):
-        target = values ^ values.dtype.type(flip)
-        at = np.minimum(np.searchsorted(values, target), len(values) - 1)
-        met = (values[at] == target) & (at >= np.arange(len(values)))
-        for g in np.flatnonzero(met & (crowd | crowd[at]) & (flip > 0)):
-            x, y = (order[begin[k] : begin[k] + count[k]] for k in (g, at[g]))
-            main = np.bincount(known[np.concatenate([x, y])]).argmax()  # rows that are joined already need no comparison
-            edges += [_product(fp, x[known[x] == main], y[known[y] != main], radius), _product(fp, x[known[x] != main], y, radius)]
-        few = np.flatnonzero(met & ~crowd & ~crowd[at])
+    known = np.arange(len(fp))
+
+    def join(edges: Iterable[tuple[np.ndarray, np.ndarray]], known: np.ndarray) -> np.ndarray:
+        """Labels after some more edges; of all edges so far only a forest is held."""
+        held, n = [(np.arange(len(fp)), known)], 0
+        for x, y in edges:
+            apart = known[x] != known[y]
+            held.append((x[apart], y[apart]))
+            n += apart.sum()
+            if n > PAIRS:
+                known = _labels(len(fp), *map(np.concatenate, zip(*held, strict=True)))
+                held, n = [(np.arange(len(fp)), known)], 0
+        return _labels(len(fp), *map(np.concatenate, zip(*held, strict=True)))
+
+    def crossed(few: np.ndarray, at: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         size = count[few] * count[at[few]]
         for lo, hi in _slices(size, PAIRS):
             g, n = few[lo:hi], size[lo:hi]
@@ -194,11 +198,23 @@ def _cell_links(fp: np.ndarray, part: np.ndarray, bits: int, part_radius: int, r
             k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             wide = count[at[g]][which]
             x, y = order[begin[g][which] + k // wide], order[begin[at[g]][which] + k % wide]
-            ok = x < y if flip == 0 else slice(None)
+            ok = x < y if same else slice(None)
             x, y = x[ok], y[ok]
             close = _near(fp, x, y, radius)
-            edges.append((x[close], y[close]))
-    return _labels(len(fp), *map(np.concatenate, zip(*edges, strict=True))) if edges else known
+            yield x[close], y[close]
+
+    for g in np.flatnonzero(crowd):
+        known = join(_dense(fp, order[begin[g] : begin[g] + count[g]], radius), known)
+    for flip in (0, *(1 << k for k in range(bits if part_radius else 0))):
+        target = values ^ values.dtype.type(flip)
+        at = np.minimum(np.searchsorted(values, target), len(values) - 1)
+        met = (values[at] == target) & (at >= np.arange(len(values)))
+        for g in np.flatnonzero(met & (crowd | crowd[at]) & (flip > 0)):
+            x, y = (order[begin[k] : begin[k] + count[k]] for k in (g, at[g]))
+            main = np.bincount(known[np.concatenate([x, y])]).argmax()  # rows that are joined already need no comparison
+            known = join([_product(fp, x[known[x] == main], y[known[y] != main], radius), _product(fp, x[known[x] != main], y, radius)], known)
+        known = join(crossed(np.flatnonzero(met & ~crowd & ~crowd[at]), at, flip == 0), known)
+    return known
 
 
 def _slices(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
