@@ -83,7 +83,10 @@ def op10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op2_fingerprints, op3_bpe, op4_repeats, op5_chat, op6_mixing, op7_language, op8_quality, op9_simhash, op10_exact)}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op10_exact": r"""WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY t) AS group_size, doc_id = first_value(doc_id) OVER w AS kept, sha256(t) AS text_sha256 FROM n WINDOW w AS (PARTITION BY t ORDER BY n DESC, doc_id)""",
+}
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
