@@ -10,7 +10,7 @@ at most r // parts bits in one of `parts` parts of the fingerprint, so each part
 which prunes far more. Shards too large for one task are compared block by block. Distances are checked on whole
 fingerprints, so with that part radius no false link and no lost link remain. near_distinct's radius is too wide for any
 tree to prune at its exact part radius; it searches 16 parts within one bit, which meets 99.5 of 100 pairs at the
-threshold and nearly all that are more alike.
+threshold and nearly all that are more alike, and checks what that links by exact similarities.
 
 Null and empty texts have no words: fingerprint zero, which links like any other. Repeated rows and null ids are kept, one
 result row for each; a component's id is its smallest non-null id. Empty tables give empty results.
@@ -40,6 +40,8 @@ BLOCK = 262_144
 #: Pairs that are compared at once, and rows of one part above which the links found so far spare comparisons.
 PAIRS = 400_000
 CROWD = 256
+#: Rows and shingles of a component that one side of an exact comparison holds.
+CHECK_ROWS, CHECK_GRAMS = 1_024, 1_000_000
 #: Longest run of shingles whose bits are unpacked at once.
 _STEP = 8_192
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -291,18 +293,98 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return done.select(F.col("_id").alias("id"), F.lower(F.hex("fp")).alias("fingerprint"), F.col("component.id").alias("component_id"))
 
 
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """The sorted hashes of the text's different shingles."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    k = min(shingle, len(words))
+    made = {xxhash.xxh64_intdigest(b" ".join(words[i : i + k]), SEED) for i in range(len(words) - k + 1)} if words else ()
+    return np.sort(np.fromiter(made, np.uint64, len(made)).view(np.int64))
+
+
+def _alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two sets reach the Jaccard similarity; two empty ones do."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= similarity * (len(a) + len(b) - both)
+
+
+def verified(members: DataFrame, similarity: float, radius: int, words64: int) -> DataFrame:
+    """Of components found by fingerprints, the rows that exact similarities leave linked to an earlier row: one column, me.
+
+    members: component, me (structs that order rows; a component's own is its least row), fp, grams (sorted hashes). Every
+    row is compared with its component's first, which costs as much as there are rows, however large the component. Those
+    unlike the first are compared with all rows of the component, in blocks, where fingerprints differ in at most radius bits.
+    """
+    name = lambda c: F.sha2(F.concat_ws("\0", F.col(f"{c}.id").cast("string"), F.col(f"{c}.sha")), 256)
+    sets = written(members.select(name("component").alias("first"), name("me").alias("node"), "me", "fp", "grams"), "sets")
+    rows = sets.groupBy("first").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("grams")).alias("held")).where("n > 1")
+    rows = rows.select("first", F.ceil(F.greatest(F.col("n") / CHECK_ROWS, F.col("held") / CHECK_GRAMS)).cast("int").alias("blocks"))
+    # Only components of more than one block repeat their first row.
+    leads = sets.where("node = first").dropDuplicates(["node"]).join(rows, "first").select("first", F.col("grams").alias("lead"), "blocks")
+    leads = leads.withColumn("place", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = salted_join(sets, rows, ["first"], F.col("node")).withColumn("place", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    both = F.size(F.array_intersect("grams", "lead"))
+    like = both >= F.lit(similarity) * (F.size("grams") + F.size("lead") - both)
+    judged = placed.join(leads.drop("blocks").hint("merge"), ["first", "place"]).select("first", "node", "me", "blocks", like.alias("like"), F.size("grams").alias("held"))
+    judged = written(judged.dropDuplicates(["node"]), "judged")
+
+    odd = judged.where("NOT like").groupBy("first").agg(F.ceil(F.greatest(F.count(F.lit(1)) / CHECK_ROWS, F.sum("held") / CHECK_GRAMS)).cast("int").alias("odd_blocks"))
+    every = salted_join(judged.select("first", "node", "blocks", "like"), odd, ["first"], F.col("node"))
+    every = written(every.join(sets.select("node", "fp", "grams"), "node"), "doubtful")
+    i, j = (F.pmod(F.xxhash64("node", F.lit(SEED)), F.col(n)).cast("int") for n in ("odd_blocks", "blocks"))
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    ask = every.where("NOT like").withColumn("i", i).withColumn("j", upto("blocks")).withColumn("asks", F.lit(True))
+    given = every.withColumn("j", j).withColumn("i", upto("odd_blocks")).withColumn("asks", F.lit(False))
+    # A row that is like the first answers in its name.
+    given = given.withColumn("node", F.when(F.col("like"), F.col("first")).otherwise(F.col("node")))
+    cells = ask.unionByName(given).select("first", "i", "j", "asks", "node", "fp", "grams")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b = pdf[pdf["asks"]].reset_index(drop=True), pdf[~pdf["asks"]].reset_index(drop=True)
+        fps = [np.frombuffer(b"".join(x["fp"]), ">u8").astype(np.uint64).reshape(-1, words64) for x in (a, b)]
+        names, code = np.unique(np.concatenate([a["node"].to_numpy(str), b["node"].to_numpy(str)]), return_inverse=True)
+        ca, cb, group, out = code[: len(a)], code[len(a) :], np.arange(len(names)), []
+        na, nb = a["grams"].map(len).to_numpy(), b["grams"].map(len).to_numpy()
+        for x in range(len(a)):
+            fit = (np.minimum(na[x], nb) >= similarity * np.maximum(na[x], nb)) & (np.bitwise_count(fps[0][x] ^ fps[1]).sum(1, dtype=np.int64) <= radius)
+            for y in np.flatnonzero(fit):
+                if group[ca[x]] != group[cb[y]] and _alike(a["grams"][x], b["grams"][y], similarity):
+                    group[group == group[cb[y]]] = group[ca[x]]
+                    out.append((names[ca[x]], names[cb[y]]))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    linked = components(cells.groupBy("first", "i", "j").applyInPandas(compare, "a string, b string"))
+    named = written(judged.select("node", "me").join(linked, "node"), "linked")
+    least = named.groupBy("label").agg(F.min("me").alias("least"))
+    later = salted_join(named, least, ["label"], F.col("node")).where("me <> least").select("me")
+    return judged.where("like AND node <> first").select("me").unionByName(later).distinct()
+
+
 def near_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of docs, with all columns, of which one stays in each component of texts at least so similar.
 
     A Jaccard similarity s of shingle sets is a cosine of 2s / (1 + s), which a SimHash of 256 bits measures to a few
-    percent: the radius is the expected distance at that cosine and a standard deviation. Equal rows all stay
-    or all go; run exact dedup first.
+    percent: the radius is the expected distance at that cosine and three standard deviations. What the fingerprints link is
+    then checked by exact similarities. Equal rows all stay or all go; run exact dedup first.
     """
     bits, share = 256, float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    radius = round(bits * share + (bits * share * (1 - share)) ** 0.5)
+    mean, deviation = bits * share, (bits * share * (1 - share)) ** 0.5
     flat = docs.select(F.col(id_col).alias("_id"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("sha"), F.col(text_col).alias("_body"))
     prints = written(fingerprints(flat, shingle, 4, "_body", ["_id", "sha"]), "simhash")
-    done = components_of(prints, "_id", radius, 4, 16, 1)
-    gone = done.where(~((F.col("_id").eqNullSafe(F.col("component.id"))) & (F.col("sha") == F.col("component.sha")))).select("_id", F.col("sha").alias("_sha"))
+    me = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("sha").alias("sha"))
+    done = written(components_of(prints, "_id", round(mean + 3 * deviation), 4, 16, 1).select("fp", "component", me.alias("me")).distinct(), "near")
+    shared = done.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component")
+    members = salted_join(done, shared, ["component"], F.xxhash64("me"))
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                made = pa.array([shingle_set(t.as_py(), shingle) for t in part.column("_body")], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("_id", "sha", "fp", "component")), made], names=["_id", "sha", "fp", "component", "grams"])
+
+    texts = flat.join(members.select(F.col("me.id").alias("_m"), F.col("me.sha").alias("_s"), "fp", "component"), F.col("_id").eqNullSafe(F.col("_m")) & (F.col("sha") == F.col("_s"))).drop("_m", "_s").select("_id", "sha", "fp", "component", "_body")
+    kinds = {f.name: f.dataType.simpleString() for f in texts.schema}
+    sets = texts.mapInArrow(grams, ", ".join(f"`{c}` {kinds[c]}" for c in ("_id", "sha", "fp", "component")) + ", grams array<bigint>")
+    gone = verified(sets.withColumn("me", me), similarity, round(mean + 4 * deviation), 4).select(F.col("me.id").alias("_id"), F.col("me.sha").alias("_sha"))
     key = F.sha2(F.coalesce(docs[text_col], F.lit("")), 256)
     return docs.join(gone, docs[id_col].eqNullSafe(gone["_id"]) & (key == gone["_sha"]), "left_anti")

@@ -129,6 +129,58 @@ def test_near_distinct(spark, docs, empty):
     assert simhash.near_distinct(empty).count() == 0
 
 
+def grams_of(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def plain_near(rows, similarity=0.8):
+    """The ids that stay when all pairs are compared."""
+    sets, least = {i: grams_of(t) for i, t in rows}, {i: i for i, _ in rows}
+
+    def find(x):
+        while least[x] != x:
+            x = least[x]
+        return x
+
+    for a, b in itertools.combinations(sorted(sets), 2):
+        both = len(sets[a] & sets[b])
+        if both >= similarity * (len(sets[a]) + len(sets[b]) - both):
+            x, y = sorted((find(a), find(b)))
+            least[y] = x
+    return {i for i in least if find(i) == i}
+
+
+@pytest.mark.parametrize("rows", [4, 1_024])
+def test_near_distinct_against_all_pairs(spark, monkeypatch, rows):
+    """Copies of every degree around a few texts, some like each other but not the first; small blocks and large."""
+    monkeypatch.setattr(simhash, "CHECK_ROWS", rows)
+    rng, made = np.random.default_rng(7), []
+    for b in range(4):
+        base = [f"b{b}t{i}" for i in range(300)]
+        for c in range(30):
+            words = list(base)
+            for at in rng.choice(300, rng.integers(0, 16), False):
+                words[at] = f"x{b}c{c // 3}"
+            made.append((len(made), " ".join(words)))
+    made = list({t: (i, t) for i, t in reversed(made)}.values())  # as after exact dedup
+    docs = spark.createDataFrame(made, "doc_id bigint, text string").repartition(5)
+    kept, want = {r.doc_id for r in simhash.near_distinct(docs).collect()}, plain_near(made)
+    assert 4 < len(want) < len(made)
+    assert want <= kept and len(kept - want) <= 1
+
+
+def test_verified_splits_false_links(spark, monkeypatch):
+    """One component of fingerprints that are all equal holds three kinds of texts, null and repeated rows among them."""
+    monkeypatch.setattr(simhash, "CHECK_ROWS", 3)
+    kinds = [list(range(100)), list(range(1000, 1100)), list(range(2000, 2100))]
+    rows = [(i, kinds[i % 3][: 100 - i]) for i in range(12)] + [(None, kinds[1]), (4, kinds[1][:96]), (None, [])]
+    me = "struct<none: boolean, id: bigint, sha: string>"
+    table = [((False, 0, "0"), (i is None, i, str(len(g)) if i is None else str(i)), bytearray(32), g) for i, g in rows]
+    gone = simhash.verified(spark.createDataFrame(table, f"component {me}, me {me}, fp binary, grams array<bigint>"), 0.8, 60, 4).collect()
+    assert sorted((r.me.id is None, r.me.id or 0, r.me.sha) for r in gone) == [(False, i, str(i)) for i in range(3, 12)] + [(True, 0, "100")]
+
+
 # --- repeats
 
 
