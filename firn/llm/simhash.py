@@ -10,7 +10,7 @@ at most r // parts bits in one of `parts` parts of the fingerprint, so each part
 which prunes far more. Shards too large for one task are compared block by block. Distances are checked on whole
 fingerprints, so with that part radius no false link and no lost link remain. near_distinct's radius is too wide for any
 tree to prune at its exact part radius; it searches 16 parts within one bit, which meets 99.5 of 100 pairs at the
-threshold and nearly all that are more alike, and checks what that links by exact similarities.
+threshold and nearly all that are more alike; exact similarities then check what that links if asked for.
 
 Null and empty texts have no words: fingerprint zero, which links like any other. Repeated rows and null ids are kept, one
 result row for each; a component's id is its smallest non-null id. Empty tables give empty results.
@@ -359,19 +359,26 @@ def verified(members: DataFrame, similarity: float, radius: int, words64: int) -
     return judged.where("like AND node <> first").select("me").unionByName(later).distinct()
 
 
-def near_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+def near_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, exact: bool = False) -> DataFrame:
     """The rows of docs, with all columns, of which one stays in each component of texts at least so similar.
 
     A Jaccard similarity s of shingle sets is a cosine of 2s / (1 + s), which a SimHash of 256 bits measures to a few
-    percent: the radius is the expected distance at that cosine and three standard deviations. What the fingerprints link is
-    then checked by exact similarities. Equal rows all stay or all go; run exact dedup first.
+    percent: the radius is the expected distance at that cosine and a standard deviation, so that some pairs below the
+    similarity link too. With `exact` the radius is three deviations, and exact similarities then check what it links; rows
+    unlike the first of their component are compared with all of it, which is quadratic where a very large component
+    holds many such rows. Equal rows all stay or all go; run exact dedup first.
     """
     bits, share = 256, float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     mean, deviation = bits * share, (bits * share * (1 - share)) ** 0.5
     flat = docs.select(F.col(id_col).alias("_id"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("sha"), F.col(text_col).alias("_body"))
     prints = written(fingerprints(flat, shingle, 4, "_body", ["_id", "sha"]), "simhash")
     me = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("sha").alias("sha"))
-    done = written(components_of(prints, "_id", round(mean + 3 * deviation), 4, 16, 1).select("fp", "component", me.alias("me")).distinct(), "near")
+    done = components_of(prints, "_id", round(mean + (3 if exact else 1) * deviation), 4, 16, 1)
+    key = F.sha2(F.coalesce(docs[text_col], F.lit("")), 256)
+    if not exact:
+        gone = done.where(~((F.col("_id").eqNullSafe(F.col("component.id"))) & (F.col("sha") == F.col("component.sha")))).select("_id", F.col("sha").alias("_sha"))
+        return docs.join(gone, docs[id_col].eqNullSafe(gone["_id"]) & (key == gone["_sha"]), "left_anti")
+    done = written(done.select("fp", "component", me.alias("me")).distinct(), "near")
     shared = done.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component")
     members = salted_join(done, shared, ["component"], F.xxhash64("me"))
 
@@ -386,5 +393,4 @@ def near_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     kinds = {f.name: f.dataType.simpleString() for f in texts.schema}
     sets = texts.mapInArrow(grams, ", ".join(f"`{c}` {kinds[c]}" for c in ("_id", "sha", "fp", "component")) + ", grams array<bigint>")
     gone = verified(sets.withColumn("me", me), similarity, round(mean + 4 * deviation), 4).select(F.col("me.id").alias("_id"), F.col("me.sha").alias("_sha"))
-    key = F.sha2(F.coalesce(docs[text_col], F.lit("")), 256)
     return docs.join(gone, docs[id_col].eqNullSafe(gone["_id"]) & (key == gone["_sha"]), "left_anti")
