@@ -10,7 +10,7 @@ at most r // parts bits in one of `parts` parts of the fingerprint, so each part
 which prunes far more. Shards too large for one task are compared block by block. Distances are checked on whole
 fingerprints, so with that part radius no false link and no lost link remain. near_distinct's radius is too wide for any
 tree to prune at its exact part radius; it searches 16 parts within one bit, which meets 99.5 of 100 pairs at the
-threshold and nearly all that are more alike; exact similarities then check what that links if asked for.
+threshold and nearly all that are more alike; exact similarities then check what that links.
 
 Null and empty texts have no words: fingerprint zero, which links like any other. Repeated rows and null ids are kept, one
 result row for each; a component's id is its smallest non-null id. Empty tables give empty results.
@@ -301,12 +301,6 @@ def shingle_set(text: str | None, shingle: int) -> np.ndarray:
     return np.sort(np.fromiter(made, np.uint64, len(made)).view(np.int64))
 
 
-def _alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
-    """Whether two sets reach the Jaccard similarity; two empty ones do."""
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both >= similarity * (len(a) + len(b) - both)
-
-
 def verified(members: DataFrame, similarity: float, radius: int, words64: int) -> DataFrame:
     """Of components found by fingerprints, the rows that exact similarities leave linked to an earlier row: one column, me.
 
@@ -343,13 +337,29 @@ def verified(members: DataFrame, similarity: float, radius: int, words64: int) -
         fps = [np.frombuffer(b"".join(x["fp"]), ">u8").astype(np.uint64).reshape(-1, words64) for x in (a, b)]
         names, code = np.unique(np.concatenate([a["node"].to_numpy(str), b["node"].to_numpy(str)]), return_inverse=True)
         ca, cb, group, out = code[: len(a)], code[len(a) :], np.arange(len(names)), []
-        na, nb = a["grams"].map(len).to_numpy(), b["grams"].map(len).to_numpy()
+        na, nb = a["grams"].map(len).to_numpy(np.int64), b["grams"].map(len).to_numpy(np.int64)
+        held = np.unique(np.concatenate([*a["grams"], np.empty(0, np.int64)]))  # only shingles of those that ask can be shared
+        flat = np.concatenate([*b["grams"], np.empty(0, np.int64)])
+        at = np.minimum(np.searchsorted(held, flat), max(len(held) - 1, 0))
+        known = held[at] == flat if len(held) else np.zeros(len(flat), bool)
+        at, owner = at[known], np.repeat(np.arange(len(b)), nb)[known]
+        begin, mark = np.searchsorted(owner, np.arange(len(b) + 1)), np.zeros(len(held), bool)
         for x in range(len(a)):
             fit = (np.minimum(na[x], nb) >= similarity * np.maximum(na[x], nb)) & (np.bitwise_count(fps[0][x] ^ fps[1]).sum(1, dtype=np.int64) <= radius)
-            for y in np.flatnonzero(fit):
-                if group[ca[x]] != group[cb[y]] and _alike(a["grams"][x], b["grams"][y], similarity):
-                    group[group == group[cb[y]]] = group[ca[x]]
-                    out.append((names[ca[x]], names[cb[y]]))
+            y = np.flatnonzero(fit & (group[ca[x]] != group[cb]))
+            if not len(y):
+                continue
+            mine = np.searchsorted(held, a["grams"][x])
+            mark[mine] = True
+            size = begin[y + 1] - begin[y]
+            upto = np.concatenate([[0], np.cumsum(size)])
+            shared = np.concatenate([[0], np.cumsum(mark[at[np.repeat(begin[y] - upto[:-1], size) + np.arange(upto[-1])]])])
+            both = shared[upto[1:]] - shared[upto[:-1]]
+            mark[mine] = False
+            y = y[both >= similarity * (na[x] + nb[y] - both)]
+            _, once = np.unique(group[cb[y]], return_index=True)
+            out += [(names[ca[x]], names[cb[k]]) for k in y[once]]
+            group[np.isin(group, group[cb[y]])] = group[ca[x]]
         return pd.DataFrame(out, columns=["a", "b"])
 
     linked = components(cells.groupBy("first", "i", "j").applyInPandas(compare, "a string, b string"))
@@ -359,14 +369,13 @@ def verified(members: DataFrame, similarity: float, radius: int, words64: int) -
     return judged.where("like AND node <> first").select("me").unionByName(later).distinct()
 
 
-def near_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, exact: bool = False) -> DataFrame:
+def near_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, exact: bool = True) -> DataFrame:
     """The rows of docs, with all columns, of which one stays in each component of texts at least so similar.
 
     A Jaccard similarity s of shingle sets is a cosine of 2s / (1 + s), which a SimHash of 256 bits measures to a few
-    percent: the radius is the expected distance at that cosine and a standard deviation, so that some pairs below the
-    similarity link too. With `exact` the radius is three deviations, and exact similarities then check what it links; rows
-    unlike the first of their component are compared with all of it, which is quadratic where a very large component
-    holds many such rows. Equal rows all stay or all go; run exact dedup first.
+    percent: the radius is three deviations over the expected distance at that cosine, and exact similarities decide what of
+    that is a link. Without `exact` the radius is one deviation and the fingerprints decide alone, which links pairs below
+    the similarity. Equal rows all stay or all go; run exact dedup first.
     """
     bits, share = 256, float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     mean, deviation = bits * share, (bits * share * (1 - share)) ** 0.5

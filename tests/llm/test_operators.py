@@ -170,6 +170,25 @@ def test_near_distinct_against_all_pairs(spark, monkeypatch, rows):
     assert want <= kept and len(kept - want) <= 1
 
 
+def test_pipeline_near_against_all_pairs(spark):
+    """The path that the pipeline runs: pairs somewhat above 0.8, of which one goes, and somewhat below, which stay."""
+    import corpus_pipeline
+
+    rng, made = np.random.default_rng(11), []
+    for b in range(40):
+        base = [f"b{b}t{i}" for i in range(300)]
+        made.append((len(made), " ".join(base)))
+        for edits in (5, 8, 9):
+            words = list(base)
+            for at in rng.choice(50, edits, False) * 6:
+                words[at] = f"x{b}e{edits}"
+            made.append((len(made), " ".join(words)))
+    docs = spark.createDataFrame(made, "doc_id bigint, text string").repartition(5)
+    want = plain_near(made)
+    assert 40 < len(want) < len(made)
+    assert {r.doc_id for r in corpus_pipeline.near(spark, docs, "").collect()} == want
+
+
 def test_verified_splits_false_links(spark, monkeypatch):
     """One component of fingerprints that are all equal holds three kinds of texts, null and repeated rows among them."""
     monkeypatch.setattr(simhash, "CHECK_ROWS", 3)
