@@ -7,10 +7,9 @@ Search: equal fingerprints are one class. A tree of vantage points, fitted on a
 their distance to a vantage; a class also visits the far side of a split wherever the triangle inequality lets a partner
 lie there, so every pair within the radius meets in the home shard of one of the two. A pair within radius r differs by
 at most r // parts bits in one of `parts` parts of the fingerprint, so each part has a tree of its own with that smaller radius,
-which prunes far more. Shards too large for one task are compared block by block. Distances are checked on whole
-fingerprints, so with that part radius no false link and no lost link remain. near_distinct's radius is too wide for any
-tree to prune at its exact part radius; it searches 16 parts within one bit, which meets 99.5 of 100 pairs at the
-threshold and nearly all that are more alike; exact similarities then check what that links.
+which prunes far more; part_radii gives some parts one bit less where that suffices. Shards too large for one task are
+compared block by block. Distances are checked on whole fingerprints, so no false link and no lost link remain. The radius of
+near_distinct is too wide for trees to prune much: its 16 parts are searched within two or three bits. Exact similarities then check what that links.
 
 Null and empty texts have no words: fingerprint zero, which links like any other. Repeated rows and null ids are kept, one
 result row for each; a component's id is its smallest non-null id. Empty tables give empty results.
@@ -19,7 +18,7 @@ result row for each; a component's id is its smallest non-null id. Empty tables
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from itertools import accumulate
+from itertools import accumulate, combinations
 
 import numpy as np
 import pandas as pd
@@ -40,6 +39,8 @@ BLOCK = 262_144
 #: Pairs that are compared at once, and rows of one part above which the links found so far spare comparisons.
 PAIRS = 400_000
 CROWD = 256
+#: Rows that share a cell of a part's leading bits, about.
+BUCKET = 16
 #: Rows and shingles of a component that one side of an exact comparison holds.
 CHECK_ROWS, CHECK_GRAMS = 1_024, 1_000_000
 #: Longest run of shingles whose bits are unpacked at once.
@@ -136,9 +137,15 @@ def _near(fp: np.ndarray, a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarr
     return np.bitwise_count(fp[a] ^ fp[b]).sum(-1, dtype=np.int64) <= radius
 
 
-def _labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The least row of each row's component under the edges (a, b)."""
-    labels = np.arange(n)
+def part_radii(radius: int, parts: int) -> list[int]:
+    """A radius for each part such that a pair within the whole radius is within it in some part: were it beyond in all, it would differ in more than `radius` bits."""
+    spare = radius + 1 - parts
+    return [max(spare // parts + (i < spare % parts), 0) for i in range(parts)]
+
+
+def _labels(n: int, a: np.ndarray, b: np.ndarray, known: np.ndarray | None = None) -> np.ndarray:
+    """The least row of each row's component under the edges (a, b) and the labels known so far."""
+    labels = np.arange(n) if known is None else known.copy()
     while len(a):
         low = np.minimum(labels[a], labels[b])
         np.minimum.at(labels, labels[a], low)
@@ -170,28 +177,87 @@ def _dense(fp: np.ndarray, rows: np.ndarray, radius: int) -> Iterator[tuple[np.n
         rows = others[~close]
 
 
+def _joined(fp: np.ndarray, edges: Iterable[tuple[np.ndarray, np.ndarray]], known: np.ndarray) -> np.ndarray:
+    """Labels after some more edges; of all edges so far only a forest is held."""
+    held, n = [], 0
+    for x, y in edges:
+        apart = known[x] != known[y]
+        if not apart.any():
+            continue
+        held.append((x[apart], y[apart]))
+        n += apart.sum()
+        if n > PAIRS:
+            known, held, n = _labels(len(fp), *map(np.concatenate, zip(*held, strict=True)), known), [], 0
+    return _labels(len(fp), *map(np.concatenate, zip(*held, strict=True)), known) if held else known
+
+
+def _wide_links(fp: np.ndarray, part: np.ndarray, bits: int, part_radius: int, radius: int) -> np.ndarray:
+    """As _cell_links, for parts of few bits and a part radius above 1: rows of a cell are compared with all rows of the cells near it.
+
+    A cell holds the rows whose parts have the same leading bits, as many as leave some BUCKET rows a cell; those of parts
+    within part_radius differ in no more of them.
+    """
+    lead = min(bits, max(1, (len(fp) // BUCKET).bit_length()))
+    cell = part.astype(np.int64) >> (bits - lead)
+    order = np.argsort(cell, kind="stable")
+    fp, begin = fp[order], np.searchsorted(cell[order], np.arange(2**lead + 1))
+    flips = np.arange(2**lead)
+    flips = flips[np.bitwise_count(flips) <= part_radius]
+    known, filled = np.arange(len(fp)), np.flatnonzero(np.diff(begin))
+    for g in filled[np.diff(begin)[filled] > CROWD]:
+        known = _joined(fp, _dense(fp, np.arange(begin[g], begin[g + 1]), radius), known)
+
+    held, n = [], 0
+    for g in filled:
+        near = g ^ flips
+        near = near[near >= g]
+        size = begin[near + 1] - begin[near]
+        y = np.repeat(begin[near] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        x = np.arange(begin[g], begin[g + 1])
+        todo = [(x, y)]
+        if len(x) > 4 * BUCKET:  # rows that are joined already need no comparison
+            labels, times = np.unique(known[y], return_counts=True)
+            main = labels[times.argmax()]
+            todo = [(x[known[x] == main], y[known[y] != main]), (x[known[x] != main], y)]
+        for a, b in todo:
+            for c, d in _table(fp, a, b, radius):
+                apart = known[c] != known[d]
+                held.append((c[apart], d[apart]))
+                n += apart.sum()
+        if n > PAIRS:
+            known, held, n = _joined(fp, held, known), [], 0
+    known = _joined(fp, held, known)
+    least = np.full(len(fp), len(fp))
+    np.minimum.at(least, known, order)
+    out = np.empty_like(known)
+    out[order] = least[known]
+    return out
+
+
+def _table(fp: np.ndarray, a: np.ndarray, b: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """As _product, word by word and a slice at a time."""
+    step, other = max(1, PAIRS // max(len(b), 1)), fp[b].T.copy()
+    for lo in range(0, len(a) if len(b) else 0, step):
+        rows = fp[a[lo : lo + step]]
+        far = np.bitwise_count(rows[:, 0, None] ^ other[0])
+        for w in range(1, len(other)):  # three words fit a byte
+            far = np.add(far, np.bitwise_count(rows[:, w, None] ^ other[w]), dtype=np.uint8 if w < 3 else np.uint16)
+        x, y = np.nonzero(far <= radius)
+        yield a[lo + x], b[y]
+
+
 def _cell_links(fp: np.ndarray, part: np.ndarray, bits: int, part_radius: int, radius: int) -> np.ndarray:
-    """Labels that join the rows within radius of each other whose parts differ in part_radius bits (0 or 1) at most.
+    """Labels that join the rows within radius of each other whose parts differ in part_radius bits at most.
 
-    Rows are sorted by part; those with equal parts, or parts a flipped bit apart, are found by search and compared whole.
+    Rows are sorted by part; those with equal parts, or parts so many flipped bits apart, are found by search and compared whole.
     """
+    if part_radius > 1:
+        return _wide_links(fp, part, bits, part_radius, radius)
     order = np.argsort(part, kind="stable")
     values, begin, count = np.unique(part[order], return_index=True, return_counts=True)
     crowd = count > CROWD
     known = np.arange(len(fp))
 
-    def join(edges: Iterable[tuple[np.ndarray, np.ndarray]], known: np.ndarray) -> np.ndarray:
-        """Labels after some more edges; of all edges so far only a forest is held."""
-        held, n = [(np.arange(len(fp)), known)], 0
-        for x, y in edges:
-            apart = known[x] != known[y]
-            held.append((x[apart], y[apart]))
-            n += apart.sum()
-            if n > PAIRS:
-                known = _labels(len(fp), *map(np.concatenate, zip(*held, strict=True)))
-                held, n = [(np.arange(len(fp)), known)], 0
-        return _labels(len(fp), *map(np.concatenate, zip(*held, strict=True)))
-
     def crossed(few: np.ndarray, at: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         size = count[few] * count[at[few]]
         for lo, hi in _slices(size, PAIRS):
@@ -206,16 +272,16 @@ def _cell_links(fp: np.ndarray, part: np.ndarray, bits: int, part_radius: int, r
             yield x[close], y[close]
 
     for g in np.flatnonzero(crowd):
-        known = join(_dense(fp, order[begin[g] : begin[g] + count[g]], radius), known)
-    for flip in (0, *(1 << k for k in range(bits if part_radius else 0))):
+        known = _joined(fp, _dense(fp, order[begin[g] : begin[g] + count[g]], radius), known)
+    for flip in (sum(1 << k for k in at) for n in range(part_radius + 1) for at in combinations(range(bits), n)):
         target = values ^ values.dtype.type(flip)
         at = np.minimum(np.searchsorted(values, target), len(values) - 1)
         met = (values[at] == target) & (at >= np.arange(len(values)))
         for g in np.flatnonzero(met & (crowd | crowd[at]) & (flip > 0)):
             x, y = (order[begin[k] : begin[k] + count[k]] for k in (g, at[g]))
             main = np.bincount(known[np.concatenate([x, y])]).argmax()  # rows that are joined already need no comparison
-            known = join([_product(fp, x[known[x] == main], y[known[y] != main], radius), _product(fp, x[known[x] != main], y, radius)], known)
-        known = join(crossed(np.flatnonzero(met & ~crowd & ~crowd[at]), at, flip == 0), known)
+            known = _joined(fp, [_product(fp, x[known[x] == main], y[known[y] != main], radius), _product(fp, x[known[x] != main], y, radius)], known)
+        known = _joined(fp, crossed(np.flatnonzero(met & ~crowd & ~crowd[at]), at, flip == 0), known)
     return known
 
 
@@ -233,17 +299,18 @@ def _squeezed(word: np.ndarray, mask: int) -> np.ndarray:
     return ((word & np.uint64(mask)) >> np.uint64(low)).astype(kind)
 
 
-def links(classes: DataFrame, radius: int, words64: int, parts: int, part_radius: int) -> DataFrame:
+def links(classes: DataFrame, radius: int, words64: int, parts: int, part_radius: int | list[int]) -> DataFrame:
     """Edges (a, b) of fingerprints that connect just what all pairs within radius, and within part_radius in some part, connect.
 
-    classes: fp binary, unique; a part lies within one word of the fingerprint; part_radius is 0 or 1. Each task returns a spanning forest of its links, so a dense group does not give all its pairs.
+    classes: fp binary, unique; a part lies within one word of the fingerprint; part_radius is one for all parts or one for each. Each task returns a spanning forest of its links, so a dense group does not give all its pairs.
     """
     spark, n = classes.sparkSession, classes.count()
     share = min(1.0, 1.2 * SAMPLE / max(n, 1))
     got = classes.select("fp").sample(fraction=share, seed=SEED).limit(SAMPLE).toPandas() if share < 1 else classes.select("fp").limit(SAMPLE).toPandas()
     words = lambda col: np.frombuffer(b"".join(col), ">u8").astype(np.uint64).reshape(-1, words64)
     masks = _masks(words64, parts)
-    trees = spark.sparkContext.broadcast([Tree(words(sorted(got["fp"])), m, part_radius, n, i) for i, m in enumerate(masks)])
+    radii = [part_radius] * parts if isinstance(part_radius, int) else part_radius
+    trees = spark.sparkContext.broadcast([Tree(words(sorted(got["fp"])), m, r, n, i) for i, (m, r) in enumerate(zip(masks, radii, strict=True))])
 
     def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
@@ -263,7 +330,8 @@ def links(classes: DataFrame, radius: int, words64: int, parts: int, part_radius
     cells = cells.select(*shard, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "fp")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        fp, mask = words(pdf["fp"]), masks[int(pdf["tree"].iloc[0])]
+        fp, tree = words(pdf["fp"]), int(pdf["tree"].iloc[0])
+        mask, part_radius = masks[tree], radii[tree]
         (at,) = np.flatnonzero(mask)
         labels = _cell_links(fp, _squeezed(fp[:, at], int(mask[at])), int(mask[at]).bit_count(), part_radius, radius)
         at = np.flatnonzero(labels != np.arange(len(labels)))
@@ -273,11 +341,11 @@ def links(classes: DataFrame, radius: int, words64: int, parts: int, part_radius
     return cells.groupBy(*shard, "i", "j").applyInPandas(compare, "a binary, b binary")
 
 
-def components_of(prints: DataFrame, id_col: str, radius: int, words64: int = 1, parts: int = 2, part_radius: int | None = None) -> DataFrame:
+def components_of(prints: DataFrame, id_col: str, radius: int, words64: int = 1, parts: int = 2) -> DataFrame:
     """prints with a column component: the least struct(id, sha) of all connected rows, nulls last. prints: fp, the id and sha."""
     least = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("sha").alias("sha"))).alias("least")
     classes = written(prints.groupBy("fp").agg(least), "classes")
-    labels = components(links(classes, radius, words64, parts, radius // parts if part_radius is None else part_radius))
+    labels = components(links(classes, radius, words64, parts, part_radii(radius, parts)))
     found = written(classes.join(labels.withColumnRenamed("node", "fp"), "fp"), "members")
     whole = found.groupBy("label").agg(F.min("least").alias("all"))
     member = salted_join(found, whole, ["label"], F.col("fp")).select("fp", "all")
@@ -373,16 +441,18 @@ def near_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """The rows of docs, with all columns, of which one stays in each component of texts at least so similar.
 
     A Jaccard similarity s of shingle sets is a cosine of 2s / (1 + s), which a SimHash of 256 bits measures to a few
-    percent: the radius is three deviations over the expected distance at that cosine, and exact similarities decide what of
-    that is a link. Without `exact` the radius is one deviation and the fingerprints decide alone, which links pairs below
-    the similarity. Equal rows all stay or all go; run exact dedup first.
+    percent: all pairs are met that lie within the expected distance at that cosine and four standard deviations, which by
+    a binomial model are 99.995 % of those just at the similarity and more of those that are more alike. Exact similarities
+    decide which of them are links. Without `exact` the radius is one deviation and the fingerprints decide alone, which
+    links pairs below the similarity and misses some above. Equal rows all stay or all go; run exact dedup first.
     """
     bits, share = 256, float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     mean, deviation = bits * share, (bits * share * (1 - share)) ** 0.5
     flat = docs.select(F.col(id_col).alias("_id"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("sha"), F.col(text_col).alias("_body"))
     prints = written(fingerprints(flat, shingle, 4, "_body", ["_id", "sha"]), "simhash")
     me = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("sha").alias("sha"))
-    done = components_of(prints, "_id", round(mean + (3 if exact else 1) * deviation), 4, 16, 1)
+    radius = round(mean + (4 if exact else 1) * deviation)
+    done = components_of(prints, "_id", radius, 4, 16)
     key = F.sha2(F.coalesce(docs[text_col], F.lit("")), 256)
     if not exact:
         gone = done.where(~((F.col("_id").eqNullSafe(F.col("component.id"))) & (F.col("sha") == F.col("component.sha")))).select("_id", F.col("sha").alias("_sha"))
@@ -401,5 +471,5 @@ def near_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = flat.join(members.select(F.col("me.id").alias("_m"), F.col("me.sha").alias("_s"), "fp", "component"), F.col("_id").eqNullSafe(F.col("_m")) & (F.col("sha") == F.col("_s"))).drop("_m", "_s").select("_id", "sha", "fp", "component", "_body")
     kinds = {f.name: f.dataType.simpleString() for f in texts.schema}
     sets = texts.mapInArrow(grams, ", ".join(f"`{c}` {kinds[c]}" for c in ("_id", "sha", "fp", "component")) + ", grams array<bigint>")
-    gone = verified(sets.withColumn("me", me), similarity, round(mean + 4 * deviation), 4).select(F.col("me.id").alias("_id"), F.col("me.sha").alias("_sha"))
+    gone = verified(sets.withColumn("me", me), similarity, radius, 4).select(F.col("me.id").alias("_id"), F.col("me.sha").alias("_sha"))
     return docs.join(gone, docs[id_col].eqNullSafe(gone["_id"]) & (key == gone["_sha"]), "left_anti")

@@ -189,6 +189,26 @@ def test_pipeline_near_against_all_pairs(spark):
     assert {r.doc_id for r in corpus_pipeline.near(spark, docs, "").collect()} == want
 
 
+def test_wide_search_finds_all_links(spark, monkeypatch):
+    """Pairs that differ in three bits of each of 16 parts at the radius, one bit beyond, and anything between."""
+    monkeypatch.setattr(simhash, "CROWD", 3)
+    monkeypatch.setattr(simhash, "PAIRS", 50)
+    rng, values = np.random.default_rng(2), []
+    for b in range(60):
+        base = int.from_bytes(rng.bytes(32), "big")
+        spread = sum(1 << int(16 * p + k) for p in range(16) for k in rng.choice(16, 3, False))
+        values += [base, base ^ spread, base ^ sum(1 << int(k) for k in rng.choice(256, rng.integers(40, 60), False))]
+    values += [values[0] ^ 1 << k for k in range(20)]
+    prints = spark.createDataFrame([(bytearray(v.to_bytes(32, "big")), i, "") for i, v in enumerate(values)], "fp binary, _id bigint, sha string")
+    label = {r._id: r.component.id for r in simhash.components_of(prints, "_id", 48, 4, 16).collect()}
+    least = list(range(len(values)))
+    for a, b in itertools.combinations(range(len(values)), 2):
+        if (values[a] ^ values[b]).bit_count() <= 48 and least[a] != least[b]:
+            low, high = sorted((least[a], least[b]))
+            least = [low if x == high else x for x in least]
+    assert label == dict(enumerate(least))
+
+
 def test_verified_splits_false_links(spark, monkeypatch):
     """One component of fingerprints that are all equal holds three kinds of texts, null and repeated rows among them."""
     monkeypatch.setattr(simhash, "CHECK_ROWS", 3)
