@@ -1,146 +1,265 @@
 """SimHash near-dedup with vantage-point trees.
 
 A text is lower-cased (A-Z), cut into words and shingles; a bit of the fingerprint is 1 if it is set in over half the
-shingles' hashes. Fingerprints within a Hamming radius link, and documents that links connect form a component.
+shingles' hashes. Fingerprints within a Hamming radius link.
 
-Search: equal fingerprints are one class. A tree of vantage points, fitted on a bounded sample, splits the classes by
-their distance to a vantage; a class also visits the far side of a split wherever the triangle inequality lets a partner
-lie there, so every pair within the radius meets in the home shard of one of the two. A pair within radius r differs by
-at most r // parts bits in one of `parts` parts of the fingerprint, so each part has a tree of its own with that smaller radius,
-which prunes far more; part_radii gives some parts one bit less where that suffices. Shards too large for one task are
-compared block by block. Distances are checked on whole fingerprints, so no false link and no lost link remain. The radius of
-near_distinct is too wide for trees to prune much: its 16 parts are searched within two or three bits. Exact similarities then check what that links.
+Search: equal fingerprints are one class. A pair within radius r differs by at most r // parts bits in one of `parts` parts
+of the fingerprint, so each part has trees of its own with that smaller radius. A node of a tree splits its points at the
+median distance to a vantage; by the triangle inequality only points within the radius of that boundary can have partners
+on the far side, and those visit it too. So every such pair meets in the leaf where one of the two is at home. Two tiers
+follow one rule: a tree fitted on a bounded sample deals the classes over shards, one task each, and in its shard a task
+grows a tree over all points down to leaves of LEAF. Distances are checked on whole fingerprints. A shard that cannot be
+split (a dense group) is compared block by block, and rows that a group has settled are not compared again.
+
+`simhash_components` returns the components of the links. `near_distinct` takes the links as candidates alone: exact
+Jaccard similarities decide (see there).
 
 Null and empty texts have no words: fingerprint zero, which links like any other. Repeated rows and null ids are kept, one
-result row for each; a component's id is its smallest non-null id. Empty tables give empty results.
+result row for each; a component's id is its smallest non-null id. Ids are integers. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from itertools import accumulate, combinations
+from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firn.llm.common import salted_join, written
+from firn.llm.common import written
 from firn.llm.components import components
 
 SEED = 42
-#: The tree is fitted on so many fingerprints at most.
-SAMPLE = 65_536
-#: A shard is split while it holds more classes than this, and compared in blocks of BLOCK classes.
-LEAF = 65_536
+#: Points of a leaf inside a task, and classes of a shard (one task), about.
+LEAF, SHARD = 64, 4_096
+#: The trees that deal the shards are fitted on so many fingerprints of each shard, and at most SAMPLE in all.
+FIT, SAMPLE = 64, 1_048_576
+#: A shard that cannot be split is compared in blocks of so many classes.
 BLOCK = 262_144
-#: Pairs that are compared at once, and rows of one part above which the links found so far spare comparisons.
-PAIRS = 400_000
-CROWD = 256
-#: Rows that share a cell of a part's leading bits, about.
-BUCKET = 16
-#: Rows and shingles of a component that one side of an exact comparison holds.
-CHECK_ROWS, CHECK_GRAMS = 1_024, 1_000_000
+#: Pairs that are compared at once; leaves of more pairs than CROWD are compared row by row, settled rows left out.
+PAIRS, CROWD = 400_000, 1_000_000
+#: Shingles of the texts that one side of an exact comparison holds.
+GRAMS = 4_000_000
 #: Longest run of shingles whose bits are unpacked at once.
 _STEP = 8_192
-_ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+_ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)
 
 
-def simhash(text: str | None, shingle: int, words64: int = 1) -> tuple[bytes, int]:
-    """Fingerprint of 64 * words64 bits, big-endian, and the number of shingles. The first 64 bits are those of the plain XXH64."""
+def _hashes(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 of each shingle, repeats included."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return bytes(8 * words64), 0
+        return np.zeros(0, np.uint64)
     joined, ends = b" ".join(words), [n + i for i, n in enumerate(accumulate(map(len, words)))]
     k = min(shingle, len(words))
     starts, hash64 = [0, *(e + 1 for e in ends)], xxhash.xxh64_intdigest
-    n, total = len(words) - k + 1, np.zeros(64 * words64, np.int64)
+    return np.array([hash64(joined[s:e], SEED) for s, e in zip(starts, ends[k - 1 :], strict=False)], np.uint64)
+
+
+def simhash(text: str | None, shingle: int, words64: int = 1, distinct: bool = False) -> tuple[bytes, int]:
+    """Fingerprint of 64 * words64 bits, big-endian, and the number of shingles. The first 64 bits are those of the plain XXH64."""
+    hashes = _hashes(text, shingle)
+    if distinct:
+        hashes = np.unique(hashes)
+    n, total = len(hashes), np.zeros(64 * words64, np.int64)
     for lo in range(0, n, _STEP):
-        hi = min(n, lo + _STEP)
-        first = np.array([hash64(joined[s:e], SEED) for s, e in zip(starts[lo:hi], ends[lo + k - 1 : hi + k - 1], strict=True)], np.uint64)
+        first = hashes[lo : lo + _STEP]
         for w in range(words64):
             h = first
             if w:
                 h = first * np.uint64(_ODD[w - 1])
                 h ^= h >> np.uint64(29)
-                h *= np.uint64(_ODD[w % 3])
+                h *= np.uint64(_ODD[w % len(_ODD)])
                 h ^= h >> np.uint64(32)
             total[64 * w : 64 * w + 64] += np.unpackbits(h.astype(">u8").view(np.uint8)).reshape(-1, 64).sum(0, dtype=np.uint32)
     return np.packbits(total * 2 > n).tobytes(), n
 
 
-def fingerprints(docs: DataFrame, shingle: int, words64: int = 1, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """fp (binary) and n_shingles (long) beside the columns named in keep."""
+def fingerprints(docs: DataFrame, shingle: int, words64: int = 1, text_col: str = "text", keep: list[str] | None = None, distinct: bool = False) -> DataFrame:
+    """fp (binary) and n_shingles (long) beside the columns named in keep; with `distinct` repeated shingles count once."""
     keep = keep or []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [simhash(t.as_py(), shingle, words64) for t in batch.column("_text")]
+            made = [simhash(t.as_py(), shingle, words64, distinct) for t in batch.column("_text")]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array([f for f, _ in made], pa.binary()), pa.array([n for _, n in made], pa.int64())], names=[*keep, "fp", "n_shingles"])
 
     flat = docs.select(*keep, F.col(text_col).alias("_text"))
-    return flat.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in flat.schema if f.name in keep) + ", " * bool(keep) + "fp binary, n_shingles bigint")
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in flat.schema if f.name in keep]
+    return flat.mapInArrow(run, ", ".join([*kinds, "fp binary", "n_shingles bigint"]))
 
 
-class Tree:
-    """A vantage-point tree over the bits under a mask: arrays of nodes; a leaf has no vantage."""
+# --- the search
 
-    def __init__(self, sample: np.ndarray, mask: np.ndarray, radius: int, total: int, seed: int):
-        self.mask, self.radius = mask, radius
-        self.vantage, self.mu, self.left, self.right = [], [], [], []
-        self._grow(sample & mask, total / max(len(sample), 1), np.random.default_rng(seed))
 
-    def _grow(self, points: np.ndarray, scale: float, rng: np.random.Generator, depth: int = 0) -> int:
-        """points: (n, words) that are home here or visit. Splits while that saves comparisons."""
-        me = len(self.mu)
-        for a in (self.vantage, self.mu, self.left, self.right):
+class Tree:
+    """A vantage-point tree over part values: arrays of nodes; a leaf has no vantage."""
+
+    def __init__(self, values: np.ndarray, home: np.ndarray, radius: int, most: float, scale: float = 1.0, seed: int = SEED):
+        """Splits nodes of more than `most` points, of which each stands for `scale`."""
+        self.radius, self.vantage, self.mu, self.near, self.far, self.size = radius, [], [], [], [], []
+        self._grow(values, home, most, scale, np.random.default_rng(seed))
+
+    def _sides(self, d: np.ndarray, home: np.ndarray, mu: int) -> tuple[np.ndarray, ...]:
+        """Points of the near side and of the far side, each with those at home there. Near points within the radius of the
+        boundary visit the far side; visitors go wherever a partner may lie."""
+        beyond = home & (d > mu)
+        near = np.where(home, d <= mu, d <= mu + self.radius)
+        return near, home & near, d >= np.where(beyond, 0, mu + 1 - self.radius), beyond
+
+    def _grow(self, values: np.ndarray, home: np.ndarray, most: float, scale: float, rng: np.random.Generator) -> int:
+        me, own = len(self.mu), np.flatnonzero(home)
+        for a in (self.vantage, self.mu, self.near, self.far):
             a.append(None)
-        if len(points) * scale <= LEAF or len(points) < 32 or depth >= 24:
+        self.size.append(len(values) * scale)
+        if len(own) * scale <= most or len(own) < 2:
             return me
-        vantage = points[rng.integers(len(points))]
-        d = np.bitwise_count(points ^ vantage).sum(1, dtype=np.int64)
-        mu = int(np.median(d))
-        left, right = d <= mu, d > mu
-        visit = left & (d >= mu + 1 - self.radius)
-        if not right.any() or (left.mean() ** 2 + (right | visit).mean() ** 2) > 0.9:
+        vantage = values[own[rng.integers(len(own))]]
+        d = np.bitwise_count(values ^ vantage).astype(np.int16)
+        mu = int(np.median(d[own]))
+        mu -= not (d[own] > mu).any()
+        cost = lambda rows, at_home: at_home.sum() * (rows.sum() - at_home.sum() / 2)
+        near, near_home, far, far_home = self._sides(d, home, mu)
+        if mu < 0 or cost(near, near_home) + cost(far, far_home) > 0.95 * len(own) * (len(values) - len(own) / 2):
             return me
         self.vantage[me], self.mu[me] = vantage, mu
-        self.left[me] = self._grow(points[left], scale, rng, depth + 1)
-        self.right[me] = self._grow(points[right | visit], scale, rng, depth + 1)
+        self.near[me] = self._grow(values[near], near_home[near], most, scale, rng)
+        self.far[me] = self._grow(values[far], far_home[far], most, scale, rng)
         return me
 
-    def shards(self, points: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(leaf, rows, home): the rows of points that meet in each leaf, and whether they are at home there."""
-        masked = points & self.mask
-        todo = [(0, np.arange(len(points)), np.ones(len(points), bool))]
+    def leaves(self, values: np.ndarray, home: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(leaf, points, home): the points that meet in each leaf, and whether they are at home there."""
+        todo = [(0, np.arange(len(values)), home)]
         while todo:
-            node, rows, home = todo.pop()
+            node, rows, own = todo.pop()
             if not len(rows):
                 continue
             if self.mu[node] is None:
-                yield node, rows, home
+                yield node, rows, own
                 continue
-            d, mu, r = np.bitwise_count(masked[rows] ^ self.vantage[node]).sum(1, dtype=np.int64), self.mu[node], self.radius
-            a = np.where(home, d <= mu, d <= mu + r)
-            b = d >= np.where(home & (d > mu), 0, mu + 1 - r)
-            todo += [(self.left[node], rows[a], home[a]), (self.right[node], rows[b], (home & (d > mu))[b])]
+            d = np.bitwise_count(values[rows] ^ self.vantage[node]).astype(np.int16)
+            near, near_home, far, far_home = self._sides(d, own, self.mu[node])
+            todo += [(self.near[node], rows[near], near_home[near]), (self.far[node], rows[far], far_home[far])]
 
 
-def _masks(words64: int, parts: int) -> list[np.ndarray]:
-    bits = np.arange(64 * words64) * parts // (64 * words64)
-    return [np.packbits(bits == p).view(">u8").astype(np.uint64) for p in range(parts)]
+def part_radii(radius: int, parts: int) -> list[int]:
+    """A radius for each part such that a pair within the whole radius is within it in some part: were it beyond in all, it would differ in more than `radius` bits."""
+    spare = radius + 1 - parts
+    return [max(spare // parts + (i < spare % parts), 0) for i in range(parts)]
+
+
+def _part(fp: np.ndarray, part: int, parts: int) -> np.ndarray:
+    """The values of one part of fingerprints (n, words) in the smallest type that holds them; parts divide the words evenly."""
+    each = parts // fp.shape[1]
+    bits = 64 // each
+    kind = np.uint16 if bits <= 16 else np.uint32 if bits <= 32 else np.uint64
+    return (fp[:, part // each] >> np.uint64(64 - bits * (part % each + 1)) & np.uint64(2**bits - 1)).astype(kind)
 
 
 def _near(fp: np.ndarray, a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
     return np.bitwise_count(fp[a] ^ fp[b]).sum(-1, dtype=np.int64) <= radius
 
 
-def part_radii(radius: int, parts: int) -> list[int]:
-    """A radius for each part such that a pair within the whole radius is within it in some part: were it beyond in all, it would differ in more than `radius` bits."""
-    spare = radius + 1 - parts
-    return [max(spare // parts + (i < spare % parts), 0) for i in range(parts)]
+def _crowded(fp: np.ndarray, rows: np.ndarray, radius: int, is_open: Callable[[np.ndarray], np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links of a dense leaf: rows that are open are compared with all. What is yielded may close rows that were not compared yet."""
+    done, step = np.zeros(len(rows), bool), max(1, PAIRS // len(rows))
+    other = fp[rows].T.copy()
+    while len(at := np.flatnonzero(~done & is_open(rows))[:step]):
+        done[at] = True
+        far = np.zeros((len(at), len(rows)), np.uint16)
+        for w in range(len(other)):
+            far += np.bitwise_count(other[w][at][:, None] ^ other[w])
+        x, y = np.nonzero(far <= radius)
+        ok = at[x] != y
+        yield rows[at[x[ok]]], rows[y[ok]]
+
+
+def _links(fp: np.ndarray, values: np.ndarray, home: np.ndarray, part_radius: int, radius: int, is_open: Callable[[np.ndarray], np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs within radius of one shard's points that are within part_radius in this part; of dense leaves also others."""
+    held, n = [], 0
+
+    def checked() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if held:
+            x, y = map(np.concatenate, zip(*held, strict=True))
+            close = _near(fp, x, y, radius)
+            yield x[close], y[close]
+
+    for _, rows, own in Tree(values, home, part_radius, LEAF).leaves(values, home):
+        if not own.any() or len(rows) < 2:
+            continue
+        if own.sum() * len(rows) > CROWD:
+            yield from _crowded(fp, rows, radius, is_open)
+            continue
+        at_home = rows[own]
+        every = np.concatenate([at_home, rows[~own]])
+        x, y = np.nonzero(np.bitwise_count(values[at_home][:, None] ^ values[every]) <= part_radius)
+        ok = x < y
+        held.append((at_home[x[ok]], every[y[ok]]))
+        n += ok.sum()
+        if n > PAIRS:
+            yield from checked()
+            held, n = [], 0
+    yield from checked()
+
+
+Found = Callable[[pd.DataFrame, np.ndarray, int, Callable[[Callable], Iterator[tuple[np.ndarray, np.ndarray]]]], pd.DataFrame]
+
+
+def _words(col: pd.Series, words64: int) -> np.ndarray:
+    return np.frombuffer(b"".join(col), ">u8").astype(np.uint64).reshape(-1, words64)
+
+
+def _searched(points: DataFrame, radius: int, words64: int, radii: list[int], shard: int, found: Found, schema: str) -> DataFrame:
+    """What `found` makes of the links of each shard. points: fp (binary, unique) and what else `found` needs.
+
+    found(rows, fp, part, links) gets a shard's rows and links(is_open), the pairs of row numbers within the radius.
+    """
+    spark, n, parts = points.sparkSession, points.count(), len(radii)
+    fit = min(SAMPLE, FIT * -(-n // shard))
+    share = min(1.0, 1.2 * fit / max(n, 1))
+    got = points.select("fp")
+    got = (got.sample(fraction=share, seed=SEED) if share < 1 else got).limit(fit).toPandas()
+    sample = _words(pd.Series(sorted(got["fp"])), words64)
+    all_home = np.ones(len(sample), bool)
+    trees = spark.sparkContext.broadcast([Tree(_part(sample, p, parts), all_home, r, shard, n / max(len(sample), 1), p) for p, r in enumerate(radii)])
+    kinds = {f.name: f.dataType.simpleString() for f in points.schema}
+
+    def dealt(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            fp, out = _words(pdf["fp"], words64), []
+            for p, tree in enumerate(trees.value):
+                for leaf, rows, home in tree.leaves(_part(fp, p, parts), np.ones(len(fp), bool)):
+                    blocks = max(1, int(-(-tree.size[leaf] // BLOCK)))
+                    mine = (fp[rows, 0] * np.uint64(_ODD[0]) >> np.uint64(33)).astype(np.int64) % blocks
+                    out += [(rows, home, np.full(len(rows), (p << 32) + leaf), np.minimum(mine, other), np.maximum(mine, other)) for other in range(blocks)]
+            if out:
+                rows, home, cell, i, j = map(np.concatenate, zip(*out, strict=True))
+                yield pdf.iloc[rows].assign(home=home, cell=cell, i=i, j=j)
+
+    cells = points.mapInPandas(dealt, ", ".join(f"{c} {k}" for c, k in kinds.items()) + ", home boolean, cell bigint, i int, j int")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        fp, part = _words(pdf["fp"], words64), int(pdf["cell"].iloc[0] >> 32)
+        home = pdf["home"].to_numpy(bool)
+        return found(pdf, fp, part, lambda is_open: _links(fp, _part(fp, part, parts), home, radii[part], radius, is_open))
+
+    return cells.groupBy("cell", "i", "j").applyInPandas(compare, schema)
+
+
+def _first_meeting(fp: np.ndarray, x: np.ndarray, y: np.ndarray, part: int, radii: list[int]) -> np.ndarray:
+    """Whether no earlier part lets a pair meet."""
+    ok = np.ones(len(x), bool)
+    for p in range(part):
+        values = _part(fp, p, len(radii))
+        ok &= np.bitwise_count(values[x] ^ values[y]) > radii[p]
+    return ok
+
+
+# --- components
 
 
 def _labels(n: int, a: np.ndarray, b: np.ndarray, known: np.ndarray | None = None) -> np.ndarray:
@@ -157,319 +276,180 @@ def _labels(n: int, a: np.ndarray, b: np.ndarray, known: np.ndarray | None = Non
     return labels
 
 
-def _product(fp: np.ndarray, a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs within radius of all of a with all of b, a slice at a time."""
-    step, out = max(1, PAIRS // max(len(b), 1)), [(a[:0], b[:0])]
-    for lo in range(0, len(a) if len(b) else 0, step):
-        x, y = np.repeat(a[lo : lo + step], len(b)), np.tile(b, len(a[lo : lo + step]))
-        close = _near(fp, x, y, radius)
-        out.append((x[close], y[close]))
-    return tuple(map(np.concatenate, zip(*out, strict=True)))
+def links(classes: DataFrame, radius: int, words64: int, radii: list[int], shard: int = SHARD) -> DataFrame:
+    """Edges (a, b) of fingerprints that connect just what all pairs within radius, and within its part's radius in some part, connect.
 
+    classes: fp binary, unique. Each task returns a spanning forest of its links, so a dense group does not give all its pairs.
+    """
 
-def _dense(fp: np.ndarray, rows: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Links of rows that agree in the part: what a pivot is linked to is not compared with itself again."""
-    while len(rows) > 1:
-        pivot, others = np.full(len(rows) - 1, rows[0]), rows[1:]
-        close = _near(fp, pivot, others, radius)
-        yield pivot[close], others[close]
-        yield _product(fp, others[~close], others[close], radius)
-        rows = others[~close]
+    def forest(pdf: pd.DataFrame, fp: np.ndarray, part: int, pairs: Callable) -> pd.DataFrame:
+        known = np.arange(len(fp))
 
+        def outside(rows: np.ndarray) -> np.ndarray:
+            """Rows of a dense leaf that are not of its largest component, whose own links need no search."""
+            which, times = np.unique(known[rows], return_counts=True)
+            return known[rows] != which[times.argmax()]
 
-def _joined(fp: np.ndarray, edges: Iterable[tuple[np.ndarray, np.ndarray]], known: np.ndarray) -> np.ndarray:
-    """Labels after some more edges; of all edges so far only a forest is held."""
-    held, n = [], 0
-    for x, y in edges:
-        apart = known[x] != known[y]
-        if not apart.any():
-            continue
-        held.append((x[apart], y[apart]))
-        n += apart.sum()
-        if n > PAIRS:
-            known, held, n = _labels(len(fp), *map(np.concatenate, zip(*held, strict=True)), known), [], 0
-    return _labels(len(fp), *map(np.concatenate, zip(*held, strict=True)), known) if held else known
+        for x, y in pairs(outside):
+            apart = known[x] != known[y]
+            known = _labels(len(fp), x[apart], y[apart], known)
+        at = np.flatnonzero(known != np.arange(len(known)))
+        names = pdf["fp"].to_numpy()
+        return pd.DataFrame({"a": names[at], "b": names[known[at]]})
 
+    return _searched(classes.select("fp"), radius, words64, radii, shard, forest, "a binary, b binary")
 
-def _wide_links(fp: np.ndarray, part: np.ndarray, bits: int, part_radius: int, radius: int) -> np.ndarray:
-    """As _cell_links, for parts of few bits and a part radius above 1: rows of a cell are compared with all rows of the cells near it.
 
-    A cell holds the rows whose parts have the same leading bits, as many as leave some BUCKET rows a cell; those of parts
-    within part_radius differ in no more of them.
-    """
-    lead = min(bits, max(1, (len(fp) // BUCKET).bit_length()))
-    cell = part.astype(np.int64) >> (bits - lead)
-    order = np.argsort(cell, kind="stable")
-    fp, begin = fp[order], np.searchsorted(cell[order], np.arange(2**lead + 1))
-    flips = np.arange(2**lead)
-    flips = flips[np.bitwise_count(flips) <= part_radius]
-    known, filled = np.arange(len(fp)), np.flatnonzero(np.diff(begin))
-    for g in filled[np.diff(begin)[filled] > CROWD]:
-        known = _joined(fp, _dense(fp, np.arange(begin[g], begin[g + 1]), radius), known)
+def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3, shard: int = SHARD) -> DataFrame:
+    """One row per row of docs: id, fingerprint (16 hex digits), component_id (smallest id reachable through links)."""
+    flat = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("_id"), F.col(f"`{text_col}`").alias("_body"))
+    prints = written(fingerprints(flat, shingle, 1, "_body", ["_id"]), "simhash")
+    classes = written(prints.groupBy("fp").agg(F.min("_id").alias("least")), "classes")
+    labels = components(links(classes, radius, 1, part_radii(radius, 2), shard))
+    found = written(classes.join(labels.withColumnRenamed("node", "fp"), "fp"), "members")
+    # Tables are written before joins on a key that may be hot, so that Spark can split it.
+    whole = written(found.groupBy("label").agg(F.min("least").alias("all")), "components")
+    member = found.join(whole, "label").select("fp", "all", F.lit(True).alias("linked"))
+    final = written(classes.join(member, "fp", "left").select("fp", F.when(F.col("linked"), F.col("all")).otherwise(F.col("least")).alias("component_id")), "labelled")
+    return prints.join(final, "fp").select(F.col("_id").alias("id"), F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
-    held, n = [], 0
-    for g in filled:
-        near = g ^ flips
-        near = near[near >= g]
-        size = begin[near + 1] - begin[near]
-        y = np.repeat(begin[near] - np.cumsum(size) + size, size) + np.arange(size.sum())
-        x = np.arange(begin[g], begin[g + 1])
-        todo = [(x, y)]
-        if len(x) > 4 * BUCKET:  # rows that are joined already need no comparison
-            labels, times = np.unique(known[y], return_counts=True)
-            main = labels[times.argmax()]
-            todo = [(x[known[x] == main], y[known[y] != main]), (x[known[x] != main], y)]
-        for a, b in todo:
-            for c, d in _table(fp, a, b, radius):
-                apart = known[c] != known[d]
-                held.append((c[apart], d[apart]))
-                n += apart.sum()
-        if n > PAIRS:
-            known, held, n = _joined(fp, held, known), [], 0
-    known = _joined(fp, held, known)
-    least = np.full(len(fp), len(fp))
-    np.minimum.at(least, known, order)
-    out = np.empty_like(known)
-    out[order] = least[known]
-    return out
-
-
-def _table(fp: np.ndarray, a: np.ndarray, b: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """As _product, word by word and a slice at a time."""
-    step, other = max(1, PAIRS // max(len(b), 1)), fp[b].T.copy()
-    for lo in range(0, len(a) if len(b) else 0, step):
-        rows = fp[a[lo : lo + step]]
-        far = np.bitwise_count(rows[:, 0, None] ^ other[0])
-        for w in range(1, len(other)):  # three words fit a byte
-            far = np.add(far, np.bitwise_count(rows[:, w, None] ^ other[w]), dtype=np.uint8 if w < 3 else np.uint16)
-        x, y = np.nonzero(far <= radius)
-        yield a[lo + x], b[y]
 
+# --- near duplicates
 
-def _cell_links(fp: np.ndarray, part: np.ndarray, bits: int, part_radius: int, radius: int) -> np.ndarray:
-    """Labels that join the rows within radius of each other whose parts differ in part_radius bits at most.
 
-    Rows are sorted by part; those with equal parts, or parts so many flipped bits apart, are found by search and compared whole.
-    """
-    if part_radius > 1:
-        return _wide_links(fp, part, bits, part_radius, radius)
-    order = np.argsort(part, kind="stable")
-    values, begin, count = np.unique(part[order], return_index=True, return_counts=True)
-    crowd = count > CROWD
-    known = np.arange(len(fp))
-
-    def crossed(few: np.ndarray, at: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        size = count[few] * count[at[few]]
-        for lo, hi in _slices(size, PAIRS):
-            g, n = few[lo:hi], size[lo:hi]
-            which = np.repeat(np.arange(len(g)), n)
-            k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            wide = count[at[g]][which]
-            x, y = order[begin[g][which] + k // wide], order[begin[at[g]][which] + k % wide]
-            ok = x < y if same else slice(None)
-            x, y = x[ok], y[ok]
-            close = _near(fp, x, y, radius)
-            yield x[close], y[close]
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """The sorted hashes of the text's different shingles."""
+    return np.unique(_hashes(text, shingle).view(np.int64))
 
-    for g in np.flatnonzero(crowd):
-        known = _joined(fp, _dense(fp, order[begin[g] : begin[g] + count[g]], radius), known)
-    for flip in (sum(1 << k for k in at) for n in range(part_radius + 1) for at in combinations(range(bits), n)):
-        target = values ^ values.dtype.type(flip)
-        at = np.minimum(np.searchsorted(values, target), len(values) - 1)
-        met = (values[at] == target) & (at >= np.arange(len(values)))
-        for g in np.flatnonzero(met & (crowd | crowd[at]) & (flip > 0)):
-            x, y = (order[begin[k] : begin[k] + count[k]] for k in (g, at[g]))
-            main = np.bincount(known[np.concatenate([x, y])]).argmax()  # rows that are joined already need no comparison
-            known = _joined(fp, [_product(fp, x[known[x] == main], y[known[y] != main], radius), _product(fp, x[known[x] != main], y, radius)], known)
-        known = _joined(fp, crossed(np.flatnonzero(met & ~crowd & ~crowd[at]), at, flip == 0), known)
-    return known
-
-
-def _slices(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
-    """Runs of sizes whose sums stay near `most`."""
-    if len(sizes):
-        cut = np.flatnonzero(np.diff(np.cumsum(sizes) // most)) + 1
-        yield from zip([0, *cut.tolist()], [*cut.tolist(), len(sizes)], strict=True)
-
-
-def _squeezed(word: np.ndarray, mask: int) -> np.ndarray:
-    """The bits under a contiguous mask in the smallest type that holds them."""
-    low, bits = (mask & -mask).bit_length() - 1, mask.bit_count()
-    kind = np.uint16 if bits <= 16 else np.uint32 if bits <= 32 else np.uint64
-    return ((word & np.uint64(mask)) >> np.uint64(low)).astype(kind)
+
+def _node(id_col: str, text_col: str) -> Column:
+    """Rows of equal id and text share a node: they stay or go together."""
+    return F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("-")), F.coalesce(F.col(f"`{text_col}`"), F.lit("")))))
 
 
-def links(classes: DataFrame, radius: int, words64: int, parts: int, part_radius: int | list[int]) -> DataFrame:
-    """Edges (a, b) of fingerprints that connect just what all pairs within radius, and within part_radius in some part, connect.
+def alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets (node, grams: sorted) have at least this Jaccard similarity; two empty sets are alike.
 
-    classes: fp binary, unique; a part lies within one word of the fingerprint; part_radius is one for all parts or one for each. Each task returns a spanning forest of its links, so a dense group does not give all its pairs.
+    Nodes are dealt over blocks of some GRAMS shingles; a set goes once to each cell of two blocks in which it has a pair.
     """
-    spark, n = classes.sparkSession, classes.count()
-    share = min(1.0, 1.2 * SAMPLE / max(n, 1))
-    got = classes.select("fp").sample(fraction=share, seed=SEED).limit(SAMPLE).toPandas() if share < 1 else classes.select("fp").limit(SAMPLE).toPandas()
-    words = lambda col: np.frombuffer(b"".join(col), ">u8").astype(np.uint64).reshape(-1, words64)
-    masks = _masks(words64, parts)
-    radii = [part_radius] * parts if isinstance(part_radius, int) else part_radius
-    trees = spark.sparkContext.broadcast([Tree(words(sorted(got["fp"])), m, r, n, i) for i, (m, r) in enumerate(zip(masks, radii, strict=True))])
-
-    def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            if not len(pdf):
-                continue
-            fp = words(pdf["fp"])
-            for t, tree in enumerate(trees.value):
-                for leaf, rows, home in tree.shards(fp):
-                    yield pd.DataFrame({"tree": t, "leaf": leaf, "home": home, "fp": pdf["fp"].iloc[rows]})
-
-    met = written(classes.select("fp").mapInPandas(route, "tree int, leaf int, home boolean, fp binary"), "shards")
-    shard = ["tree", "leaf"]
-    # One row a shard, and there are as many as the bounded trees have leaves.
-    blocks = met.groupBy(*shard).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.max("home").alias("any_home")).where("any_home").drop("any_home")
-    cells = met.join(F.broadcast(blocks), shard).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = cells.select(*shard, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "fp")
+    blocks = max(1, -(-(sets.agg(F.sum(F.size("grams"))).first()[0] or 0) // GRAMS))
+    block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
+    placed = pairs.select("a", "b", block("a").alias("i"), block("b").alias("j"))
+    held = placed.select(F.col("i").alias("k"), F.col("j").alias("l"), F.explode(F.array("a", "b")).alias("node")).distinct().join(sets, "node")
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        fp, tree = words(pdf["fp"]), int(pdf["tree"].iloc[0])
-        mask, part_radius = masks[tree], radii[tree]
-        (at,) = np.flatnonzero(mask)
-        labels = _cell_links(fp, _squeezed(fp[:, at], int(mask[at])), int(mask[at]).bit_count(), part_radius, radius)
-        at = np.flatnonzero(labels != np.arange(len(labels)))
-        fp = pdf["fp"].to_numpy()
-        return pd.DataFrame({"a": fp[at], "b": fp[labels[at]]})
-
-    return cells.groupBy(*shard, "i", "j").applyInPandas(compare, "a binary, b binary")
-
-
-def components_of(prints: DataFrame, id_col: str, radius: int, words64: int = 1, parts: int = 2) -> DataFrame:
-    """prints with a column component: the least struct(id, sha) of all connected rows, nulls last. prints: fp, the id and sha."""
-    least = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("sha").alias("sha"))).alias("least")
-    classes = written(prints.groupBy("fp").agg(least), "classes")
-    labels = components(links(classes, radius, words64, parts, part_radii(radius, parts)))
-    found = written(classes.join(labels.withColumnRenamed("node", "fp"), "fp"), "members")
-    whole = found.groupBy("label").agg(F.min("least").alias("all"))
-    member = salted_join(found, whole, ["label"], F.col("fp")).select("fp", "all")
-    final = classes.join(member, "fp", "left").select("fp", F.coalesce("all", "least").alias("component"))
-    return salted_join(prints, final, ["fp"], F.xxhash64(id_col, "sha"))
+    def compare(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        grams = dict(zip(known["node"], known["grams"], strict=True))
 
+        def same(a: np.ndarray, b: np.ndarray) -> bool:
+            if min(len(a), len(b)) < similarity * max(len(a), len(b)):
+                return False
+            if not len(a):
+                return True
+            both = (a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum()
+            return both >= similarity * (len(a) + len(b) - both)
 
-def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
-    """One row per row of docs: id, fingerprint (16 hex digits), component_id (smallest id reachable through links)."""
-    flat = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_body"))
-    prints = written(fingerprints(flat, shingle, 1, "_body", ["_id"]).withColumn("sha", F.lit("")), "simhash")
-    done = components_of(prints, "_id", radius)
-    return done.select(F.col("_id").alias("id"), F.lower(F.hex("fp")).alias("fingerprint"), F.col("component.id").alias("component_id"))
+        ok = [same(grams[a], grams[b]) for a, b in zip(asked["a"], asked["b"], strict=True)]
+        return asked.loc[ok, ["a", "b"]]
 
-
-def shingle_set(text: str | None, shingle: int) -> np.ndarray:
-    """The sorted hashes of the text's different shingles."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    k = min(shingle, len(words))
-    made = {xxhash.xxh64_intdigest(b" ".join(words[i : i + k]), SEED) for i in range(len(words) - k + 1)} if words else ()
-    return np.sort(np.fromiter(made, np.uint64, len(made)).view(np.int64))
+    return placed.groupBy("i", "j").cogroup(held.groupBy("k", "l")).applyInPandas(compare, "a binary, b binary")
 
 
-def verified(members: DataFrame, similarity: float, radius: int, words64: int) -> DataFrame:
-    """Of components found by fingerprints, the rows that exact similarities leave linked to an earlier row: one column, me.
+def first_of_neighbours(edges: DataFrame) -> DataFrame:
+    """Of the edges (low, high), structs in order, the nodes that go when each node stays unless it has a neighbour that stays before it: one column, node.
 
-    members: component, me (structs that order rows; a component's own is its least row), fp, grams (sorted hashes). Every
-    row is compared with its component's first, which costs as much as there are rows, however large the component. Those
-    unlike the first are compared with all rows of the component, in blocks, where fingerprints differ in at most radius bits.
+    Each round settles all nodes that have no unsettled neighbour before them.
     """
-    name = lambda c: F.sha2(F.concat_ws("\0", F.col(f"{c}.id").cast("string"), F.col(f"{c}.sha")), 256)
-    sets = written(members.select(name("component").alias("first"), name("me").alias("node"), "me", "fp", "grams"), "sets")
-    rows = sets.groupBy("first").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("grams")).alias("held")).where("n > 1")
-    rows = rows.select("first", F.ceil(F.greatest(F.col("n") / CHECK_ROWS, F.col("held") / CHECK_GRAMS)).cast("int").alias("blocks"))
-    # Only components of more than one block repeat their first row.
-    leads = sets.where("node = first").dropDuplicates(["node"]).join(rows, "first").select("first", F.col("grams").alias("lead"), "blocks")
-    leads = leads.withColumn("place", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = salted_join(sets, rows, ["first"], F.col("node")).withColumn("place", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    both = F.size(F.array_intersect("grams", "lead"))
-    like = both >= F.lit(similarity) * (F.size("grams") + F.size("lead") - both)
-    judged = placed.join(leads.drop("blocks").hint("merge"), ["first", "place"]).select("first", "node", "me", "blocks", like.alias("like"), F.size("grams").alias("held"))
-    judged = written(judged.dropDuplicates(["node"]), "judged")
-
-    odd = judged.where("NOT like").groupBy("first").agg(F.ceil(F.greatest(F.count(F.lit(1)) / CHECK_ROWS, F.sum("held") / CHECK_GRAMS)).cast("int").alias("odd_blocks"))
-    every = salted_join(judged.select("first", "node", "blocks", "like"), odd, ["first"], F.col("node"))
-    every = written(every.join(sets.select("node", "fp", "grams"), "node"), "doubtful")
-    i, j = (F.pmod(F.xxhash64("node", F.lit(SEED)), F.col(n)).cast("int") for n in ("odd_blocks", "blocks"))
-    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    ask = every.where("NOT like").withColumn("i", i).withColumn("j", upto("blocks")).withColumn("asks", F.lit(True))
-    given = every.withColumn("j", j).withColumn("i", upto("odd_blocks")).withColumn("asks", F.lit(False))
-    # A row that is like the first answers in its name.
-    given = given.withColumn("node", F.when(F.col("like"), F.col("first")).otherwise(F.col("node")))
-    cells = ask.unionByName(given).select("first", "i", "j", "asks", "node", "fp", "grams")
-
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = pdf[pdf["asks"]].reset_index(drop=True), pdf[~pdf["asks"]].reset_index(drop=True)
-        fps = [np.frombuffer(b"".join(x["fp"]), ">u8").astype(np.uint64).reshape(-1, words64) for x in (a, b)]
-        names, code = np.unique(np.concatenate([a["node"].to_numpy(str), b["node"].to_numpy(str)]), return_inverse=True)
-        ca, cb, group, out = code[: len(a)], code[len(a) :], np.arange(len(names)), []
-        na, nb = a["grams"].map(len).to_numpy(np.int64), b["grams"].map(len).to_numpy(np.int64)
-        held = np.unique(np.concatenate([*a["grams"], np.empty(0, np.int64)]))  # only shingles of those that ask can be shared
-        flat = np.concatenate([*b["grams"], np.empty(0, np.int64)])
-        at = np.minimum(np.searchsorted(held, flat), max(len(held) - 1, 0))
-        known = held[at] == flat if len(held) else np.zeros(len(flat), bool)
-        at, owner = at[known], np.repeat(np.arange(len(b)), nb)[known]
-        begin, mark = np.searchsorted(owner, np.arange(len(b) + 1)), np.zeros(len(held), bool)
-        for x in range(len(a)):
-            fit = (np.minimum(na[x], nb) >= similarity * np.maximum(na[x], nb)) & (np.bitwise_count(fps[0][x] ^ fps[1]).sum(1, dtype=np.int64) <= radius)
-            y = np.flatnonzero(fit & (group[ca[x]] != group[cb]))
-            if not len(y):
-                continue
-            mine = np.searchsorted(held, a["grams"][x])
-            mark[mine] = True
-            size = begin[y + 1] - begin[y]
-            upto = np.concatenate([[0], np.cumsum(size)])
-            shared = np.concatenate([[0], np.cumsum(mark[at[np.repeat(begin[y] - upto[:-1], size) + np.arange(upto[-1])]])])
-            both = shared[upto[1:]] - shared[upto[:-1]]
-            mark[mine] = False
-            y = y[both >= similarity * (na[x] + nb[y] - both)]
-            _, once = np.unique(group[cb[y]], return_index=True)
-            out += [(names[ca[x]], names[cb[k]]) for k in y[once]]
-            group[np.isin(group, group[cb[y]])] = group[ca[x]]
-        return pd.DataFrame(out, columns=["a", "b"])
-
-    linked = components(cells.groupBy("first", "i", "j").applyInPandas(compare, "a string, b string"))
-    named = written(judged.select("node", "me").join(linked, "node"), "linked")
-    least = named.groupBy("label").agg(F.min("me").alias("least"))
-    later = salted_join(named, least, ["label"], F.col("node")).where("me <> least").select("me")
-    return judged.where("like AND node <> first").select("me").unionByName(later).distinct()
-
-
-def near_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, exact: bool = True) -> DataFrame:
-    """The rows of docs, with all columns, of which one stays in each component of texts at least so similar.
-
-    A Jaccard similarity s of shingle sets is a cosine of 2s / (1 + s), which a SimHash of 256 bits measures to a few
-    percent: all pairs are met that lie within the expected distance at that cosine and four standard deviations, which by
-    a binomial model are 99.995 % of those just at the similarity and more of those that are more alike. Exact similarities
-    decide which of them are links. Without `exact` the radius is one deviation and the fingerprints decide alone, which
-    links pairs below the similarity and misses some above. Equal rows all stay or all go; run exact dedup first.
+    gone: DataFrame | None = None
+    while not edges.isEmpty():
+        stay = edges.select(F.col("low").alias("node")).distinct().join(edges.select(F.col("high").alias("node")), "node", "left_anti")
+        out = written(edges.join(stay.withColumnRenamed("node", "low"), "low", "left_semi").select(F.col("high").alias("node")).distinct(), "gone")
+        left = edges.join(stay.withColumnRenamed("node", "low"), "low", "left_anti")
+        for end in ("low", "high"):
+            left = left.join(out.withColumnRenamed("node", end), end, "left_anti")
+        gone = out if gone is None else gone.unionByName(out)
+        edges = written(left.select("low", "high"), "edges-left")
+    return edges.select(F.col("low").alias("node")) if gone is None else gone
+
+
+def near_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, words64: int = 5, shard: int = 131_072) -> DataFrame:
+    """The rows of docs, with all columns, that stay when rows are taken in order of their ids (nulls last) and a row goes if
+    its Jaccard similarity of shingle sets to one that stayed is at least so high. So no two that stay are alike, and each
+    that goes is like one that stayed. Equal rows stay or go together; texts without words are alike.
+
+    Candidates: a similarity s is a cosine of 2s / (1 + s) or more, so fingerprints of the distinct shingles within the
+    expected Hamming distance at that cosine and four standard deviations, of which one part of 16 bits differs by one bit
+    at most. Exact similarities decide on all of them:
+    1. A class of equal fingerprints without a candidate before it gives its first row as a centre, which stays.
+    2. Rows are compared with the centres near them, and go if they are alike. A group of copies of any size ends here, with
+       as many comparisons as it has rows.
+    3. The candidate pairs of the rows left are compared one by one, and what is alike is settled in order.
     """
-    bits, share = 256, float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    mean, deviation = bits * share, (bits * share * (1 - share)) ** 0.5
-    flat = docs.select(F.col(id_col).alias("_id"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("sha"), F.col(text_col).alias("_body"))
-    prints = written(fingerprints(flat, shingle, 4, "_body", ["_id", "sha"]), "simhash")
-    me = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("sha").alias("sha"))
-    radius = round(mean + (4 if exact else 1) * deviation)
-    done = components_of(prints, "_id", radius, 4, 16)
-    key = F.sha2(F.coalesce(docs[text_col], F.lit("")), 256)
-    if not exact:
-        gone = done.where(~((F.col("_id").eqNullSafe(F.col("component.id"))) & (F.col("sha") == F.col("component.sha")))).select("_id", F.col("sha").alias("_sha"))
-        return docs.join(gone, docs[id_col].eqNullSafe(gone["_id"]) & (key == gone["_sha"]), "left_anti")
-    done = written(done.select("fp", "component", me.alias("me")).distinct(), "near")
-    shared = done.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component")
-    members = salted_join(done, shared, ["component"], F.xxhash64("me"))
+    bits, share = 64 * words64, float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    radius, radii = round(bits * share + 4 * (bits * share * (1 - share)) ** 0.5), [1] * (4 * words64)
+    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), _node(id_col, text_col).alias("_node"), F.col(f"`{id_col}`").cast("bigint").alias("_id"), F.col(f"`{text_col}`").alias("_body"))
+    flat = named.select("_node", "_id", "_body")
+    prints = fingerprints(flat, shingle, words64, "_body", ["_node", "_id"], distinct=True)
+    me = F.struct(F.col("_id").isNull().alias("none"), F.coalesce("_id", F.lit(0)).alias("id"), F.col("_node").alias("node"))
+    prints = written(prints.select("fp", me.alias("me")), "simhash")
+
+    def order(pdf: pd.DataFrame, fp: np.ndarray) -> np.ndarray:
+        rank = np.empty(len(pdf), np.int64)
+        rank[np.lexsort((*fp.T, pdf["id"].to_numpy(), pdf["none"].to_numpy(bool)))] = np.arange(len(pdf))
+        return rank
+
+    def preceded(pdf: pd.DataFrame, fp: np.ndarray, part: int, pairs: Callable) -> pd.DataFrame:
+        rank, after, met = order(pdf, fp), np.zeros(len(fp), bool), np.zeros(len(fp), bool)
+        for x, y in pairs(lambda rows: ~after[rows]):
+            met[x] = met[y] = True
+            after[np.where(rank[x] < rank[y], y, x)] = True
+        return pd.DataFrame({"fp": pdf["fp"].to_numpy()[met], "after": after[met]})
+
+    def of_centres(pdf: pd.DataFrame, fp: np.ndarray, part: int, pairs: Callable) -> pd.DataFrame:
+        centre, names, out = pdf["centre"].to_numpy(bool), pdf["fp"].to_numpy(), [(np.zeros(0, np.int64),) * 2]
+        for x, y in pairs(lambda rows: centre[rows]):
+            ok = (centre[x] != centre[y]) & _first_meeting(fp, x, y, part, radii)
+            out.append((np.where(centre[x], y, x)[ok], np.where(centre[x], x, y)[ok]))
+        x, y = map(np.concatenate, zip(*out, strict=True))
+        return pd.DataFrame({"fp": names[x], "other": names[y]})
+
+    def every(pdf: pd.DataFrame, fp: np.ndarray, part: int, pairs: Callable) -> pd.DataFrame:
+        names, out = pdf["fp"].to_numpy(), [(np.zeros(0, np.int64),) * 2]
+        for x, y in pairs(lambda rows: np.ones(len(rows), bool)):
+            ok = _first_meeting(fp, x, y, part, radii)
+            out.append((x[ok], y[ok]))
+        x, y = map(np.concatenate, zip(*out, strict=True))
+        return pd.DataFrame({"fp": names[x], "other": names[y]})
+
+    search = lambda points, found, schema: _searched(points, radius, words64, radii, shard, found, schema)
+    classes = written(prints.groupBy("fp").agg(F.min("me").alias("least"), F.count(F.lit(1)).alias("n")), "classes")
+    met = search(classes.select("fp", "least.none", "least.id"), preceded, "fp binary, after boolean").groupBy("fp").agg(F.bool_or("after").alias("after"))
+    play = classes.join(met, "fp", "left").where("after IS NOT NULL OR n > 1").select("fp", "least", "n", (~F.coalesce("after", F.lit(False))).alias("centre"))
+    play = written(play, "candidates")
+    rows = written(prints.join(play.select("fp", "centre", "least"), "fp").select("fp", "me", (F.col("centre") & (F.col("me") == F.col("least"))).alias("centre")).distinct(), "candidate-rows")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 made = pa.array([shingle_set(t.as_py(), shingle) for t in part.column("_body")], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("_id", "sha", "fp", "component")), made], names=["_id", "sha", "fp", "component", "grams"])
-
-    texts = flat.join(members.select(F.col("me.id").alias("_m"), F.col("me.sha").alias("_s"), "fp", "component"), F.col("_id").eqNullSafe(F.col("_m")) & (F.col("sha") == F.col("_s"))).drop("_m", "_s").select("_id", "sha", "fp", "component", "_body")
-    kinds = {f.name: f.dataType.simpleString() for f in texts.schema}
-    sets = texts.mapInArrow(grams, ", ".join(f"`{c}` {kinds[c]}" for c in ("_id", "sha", "fp", "component")) + ", grams array<bigint>")
-    gone = verified(sets.withColumn("me", me), similarity, radius, 4).select(F.col("me.id").alias("_id"), F.col("me.sha").alias("_sha"))
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_id"]) & (key == gone["_sha"]), "left_anti")
+                yield pa.RecordBatch.from_arrays([part.column("node"), made], names=["node", "grams"])
+
+    texts = flat.join(rows.select(F.col("me.node").alias("_node")), "_node", "left_semi").dropDuplicates(["_node"]).select(F.col("_node").alias("node"), "_body")
+    sets = written(texts.mapInArrow(grams, "node binary, grams array<bigint>"), "sets")
+
+    near = search(play.select("fp", "centre"), of_centres, "fp binary, other binary").distinct()
+    near = near.unionByName(play.where("centre AND n > 1").select("fp", F.col("fp").alias("other")))
+    centres = play.where("centre").select(F.col("fp").alias("other"), F.col("least.node").alias("b"))
+    asked = rows.where("NOT centre").select("fp", F.col("me.node").alias("a")).join(written(near.join(centres, "other").select("fp", "b"), "centres"), "fp").select("a", "b")
+    gone = written(alike(written(asked, "asked"), sets, similarity).select(F.col("a").alias("node")).distinct(), "like-centres")
+
+    left = written(rows.where("NOT centre").join(gone.select(F.col("node").alias("_gone")), F.col("me.node") == F.col("_gone"), "left_anti").select("fp", "me"), "rows-left")
+    again = search(left.select("fp").distinct(), every, "fp binary, other binary").distinct()
+    again = again.unionByName(left.groupBy("fp").count().where("count > 1").select("fp", F.col("fp").alias("other")))
+    pairs = again.join(left.select("fp", F.col("me").alias("x")), "fp").join(left.select(F.col("fp").alias("other"), F.col("me").alias("y")), "other").where("x <> y")
+    pairs = written(pairs.select(F.least("x", "y").alias("low"), F.greatest("x", "y").alias("high")).distinct(), "pairs-left")
+    true = alike(pairs.select(F.col("low.node").alias("a"), F.col("high.node").alias("b")), sets, similarity)
+    edges = pairs.join(true, (F.col("low.node") == F.col("a")) & (F.col("high.node") == F.col("b")), "left_semi")
+    late = first_of_neighbours(written(edges, "edges"))
+    gone = gone.unionByName(late.select("node.node"))
+    return named.select("_row", "_node").join(gone.withColumnRenamed("node", "_node"), "_node", "left_anti").select("_row.*")
