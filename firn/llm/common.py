@@ -15,20 +15,41 @@ SALTS = 16
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or where it is unset and Spark runs on one machine, one of our own."""
     if not (path := spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = "file://" + tempfile.mkdtemp(prefix="firn-")
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
 
 
+#: Paths that were made and not yet cleared.
+_MADE: list[str] = []
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    _MADE.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts the lineage, and lost executors cost no recomputation."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    """df as a Parquet table in the shared folder: cuts the lineage, and lost executors cost no recomputation. `clear` deletes it."""
+    path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear(spark: SparkSession, keep: DataFrame | None = None) -> None:
+    """Delete the written tables, but those that `keep` reads. Results that were not used by then cannot be read any more."""
+    used = set() if keep is None else {f.rsplit("/", 1)[0] for f in keep.inputFiles()}
+    for path in [p for p in _MADE if not any(u.endswith(p.split(":", 1)[-1].lstrip("/")) for u in used)]:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        _MADE.remove(path)
+
+
 def salted_join(many: DataFrame, one: DataFrame, keys: list[str], spread: Column, how: str = "inner", salts: int = SALTS) -> DataFrame:
     """Join rows of which any share may have the same key to a table with one row a key.
 
