@@ -3,7 +3,9 @@
 Spark's text writer puts out the frames, with an empty skippable frame as line separator, so each file is a plain
 sequence of frames, lies in any store that Spark can write to, and is committed task by task. The reader takes whole
 files of bounded size, walks the frames by their block headers, and checks each record's version line, required headers,
-lengths and digests. What fails a check comes back as a row with `error` set and does not stop the others.
+lengths and digests. What fails a check comes back as a row with `error` set and does not stop the others. Archives of other
+writers are read as well: all record types, header names in any case, with or without a dictionary; a block that is no HTTP
+message is the payload itself, and digests other than SHA-1 are handed through unchecked.
 
 A null payload counts as empty and a null url as an empty one. Of pages with equal payloads of at least `least` bytes the
 one with the largest id is the response and the others revisit it; null ids count as smallest; repeated rows of that id
@@ -15,7 +17,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,13 +24,14 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firn.llm.common import shared_dir
+from firn.llm.common import shared_path, written
 
 #: Fixed values of the formats: the magic of a skippable frame that holds a dictionary, of any skippable frame, of a frame.
 DICT_MAGIC, SKIP_MAGIC, FRAME_MAGIC = 0x184D2A5D, 0x184D2A50, 0xFD2FB528
 #: An empty skippable frame; all its bytes are ASCII.
 SEPARATOR = struct.pack("<II", SKIP_MAGIC, 0)
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+TYPES = ("warcinfo", "response", "resource", "request", "metadata", "revisit", "conversion", "continuation")
 REQUIRED = ("WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length")
 #: The dictionary is trained on the beginnings of so many pages.
 DICT_PAGES, DICT_CHARS, DICT_BYTES = 256, 4_096, 32_768
@@ -96,35 +98,69 @@ def frames(data: bytes) -> Iterator[tuple[int, int, int]]:
         at = end
 
 
+def _fields(lines: list[str]) -> dict[str, str]:
+    """Header fields by their names in lower case; continued lines belong to the field before them."""
+    out: dict[str, str] = {}
+    name = ""
+    for line in lines:
+        if line[:1] in (" ", "\t") and name:
+            out[name] += " " + line.strip()
+        elif ":" in line:
+            name, value = line.split(":", 1)
+            name = name.strip().lower()
+            out[name] = value.strip()
+    return out
+
+
+def _page(uri: str | None) -> int | None:
+    """The page's id in a record's id of ours, else null."""
+    own = (uri or "").strip("<>").removeprefix("urn:page:")
+    return int(own) if own.lstrip("-").isdigit() else None
+
+
 def parse(raw: bytes) -> dict:
     """The fields of a record; ValueError for what is wrong with it."""
     head, gap, rest = raw.partition(b"\r\n\r\n")
     lines = head.decode("utf-8", "surrogatepass").split("\r\n")
     if not gap or not lines[0].startswith("WARC/1."):
         raise ValueError("no WARC header")
-    named = dict(x.split(": ", 1) for x in lines[1:] if ": " in x)
-    if missing := [x for x in REQUIRED if x not in named]:
+    named = _fields(lines[1:])
+    if missing := [x for x in REQUIRED if x.lower() not in named]:
         raise ValueError(f"without {', '.join(missing)}")
-    if not named["Content-Length"].isdigit() or int(named["Content-Length"]) + 4 != len(rest) or rest[-4:] != b"\r\n\r\n":
+    if not named["content-length"].isdigit() or int(named["content-length"]) + 4 != len(rest) or rest[-4:] != b"\r\n\r\n":
         raise ValueError("Content-Length does not hold")
-    http, gap, payload = rest[:-4].partition(b"\r\n\r\n")
-    fields = dict(x.split(": ", 1) for x in http.decode("latin-1").split("\r\n")[1:] if ": " in x)
-    if not gap or not fields.get("Content-Length", "").isdigit():
-        raise ValueError("no HTTP header")
-    digest = named.get("WARC-Payload-Digest", "").removeprefix("sha1:")
-    if named["WARC-Type"] == "response":
-        if len(payload) != int(fields["Content-Length"]):
-            raise ValueError("the payload's length does not hold")
-        if base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
-            raise ValueError("the payload's digest does not hold")
-    elif named["WARC-Type"] != "revisit" or payload or "WARC-Refers-To" not in named:
-        raise ValueError("neither a response nor a revisit")
-    ids = [named.get(x, "").removeprefix("<urn:page:").removesuffix(">") for x in ("WARC-Record-ID", "WARC-Refers-To")]
-    page, refers = (int(x) if x.lstrip("-").isdigit() else None for x in ids)
-    return {"page_id": page, "url": named.get("WARC-Target-URI"), "record_type": named["WARC-Type"], "payload_bytes": int(fields["Content-Length"]), "payload_digest": digest, "refers_to": refers, "payload": payload if named["WARC-Type"] == "response" else None, "error": None}
-
-
-_FIELDS = {"page_id": pa.int64(), "url": pa.string(), "record_type": pa.string(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "refers_to": pa.int64(), "payload": pa.binary(), "error": pa.string()}
+    block, kind = rest[:-4], named["warc-type"].lower()
+    if kind not in TYPES:
+        raise ValueError(f"no record type {kind}")
+    payload, stated, encoded = block, None, False
+    if named.get("content-type", "").lower().startswith("application/http"):
+        http, gap, payload = block.partition(b"\r\n\r\n")
+        fields = _fields(http.decode("latin-1").split("\r\n")[1:])
+        encoded = "transfer-encoding" in fields
+        if not gap:
+            raise ValueError("no HTTP header")
+        if "content-length" in fields:
+            if not fields["content-length"].isdigit():
+                raise ValueError("the HTTP header's length is no number")
+            stated = int(fields["content-length"])
+    whole = kind != "revisit" and "warc-truncated" not in named
+    if kind == "response" and whole and stated is not None and stated != len(payload):
+        raise ValueError("the payload's length does not hold")
+    if kind == "revisit" and payload and stated is not None:
+        raise ValueError("a revisit with a payload")
+    if kind == "revisit" and not {"warc-refers-to", "warc-refers-to-target-uri", "warc-payload-digest"} & set(named):
+        raise ValueError("a revisit of nothing")
+    name, _, digest = named.get("warc-payload-digest", "").rpartition(":")
+    if name.lower() == "sha1" and whole and not encoded and base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest.upper():
+        raise ValueError("the payload's digest does not hold")
+    size = stated if kind == "revisit" else len(payload)
+    return {
+        "page_id": _page(named["warc-record-id"]), "url": named.get("warc-target-uri"), "record_type": kind, "payload_bytes": size, "payload_digest": digest, "refers_to": _page(named.get("warc-refers-to")),
+        "payload": None if kind == "revisit" else payload, "record_id": named["warc-record-id"].strip("<>"), "refers_to_id": named["warc-refers-to"].strip("<>") if "warc-refers-to" in named else None, "date": named["warc-date"], "error": None,
+    }
+
+
+_FIELDS = {"page_id": pa.int64(), "url": pa.string(), "record_type": pa.string(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "refers_to": pa.int64(), "payload": pa.binary(), "record_id": pa.string(), "refers_to_id": pa.string(), "date": pa.string(), "error": pa.string()}
 
 
 def unpack(data: bytes) -> Iterator[dict]:
@@ -150,13 +186,14 @@ def unpack(data: bytes) -> Iterator[dict]:
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = 0) -> None:
     """Write one record a page into archives below path, a file for each partition.
 
-    Only ids and digests meet by digest; counts are taken before the shuffle, and the join back may split a hot digest.
+    Digests that repeat are counted and written before their pages meet them, so that Spark can split a hot digest's pages.
     """
     words = dictionary(pages, payload_col)
     lead = struct.pack("<II", DICT_MAGIC, len(words)) + words
     body = F.coalesce(F.col(payload_col), F.lit(""))
     flat = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"), body.alias("html"), F.sha1(body).alias("sha"))
     keepers = flat.where(F.octet_length("html") >= least).groupBy("sha").agg(F.max("page_id").alias("keeper"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    keepers = written(keepers, "keepers")
     marked = flat.join(keepers, "sha", "left").withColumn("keeper", F.when(~F.col("page_id").eqNullSafe(F.col("keeper")), F.col("keeper")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +213,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """One row a record of the archives below path: page_id, url, record_type, payload_bytes, payload_digest, refers_to, payload (of responses), error."""
+    """One row a record of the archives below path: page_id, url, record_type, payload_bytes, payload_digest, refers_to, payload (null for revisits), record_id, refers_to_id, date, error."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,11 +228,11 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                     yield pa.RecordBatch.from_pylist(rows, pa.schema(list(_FIELDS.items())))
 
     files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInArrow(run, "page_id bigint, url string, record_type string, payload_bytes bigint, payload_digest string, refers_to bigint, payload binary, error string")
+    return files.mapInArrow(run, "page_id bigint, url string, record_type string, payload_bytes bigint, payload_digest string, refers_to bigint, payload binary, record_id string, refers_to_id string, date string, error string")
 
 
 def round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
     """Write pages to archives in the shared folder and read them back."""
-    path = f"{shared_dir(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
+    path = shared_path(pages.sparkSession, "warc")
     write_archives(pages, path, least=least)
     return read_archives(pages.sparkSession, path)
