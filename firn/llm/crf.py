@@ -4,15 +4,14 @@ A word's features are its character n-grams with word-boundary marks (those at a
 languages that a lexicon from the training texts gives it. Transitions between the languages of neighbouring words are
 learned. Forward-backward gives each word's language probabilities; a document's language is that with the highest mean.
 
-Texts are lower-cased and words are runs of letters, so a null text or one without letters has no language (`und`, score
-0). Training takes a bounded, seeded sample of rows with a language; prediction never sees language, source or id.
-Repeated rows and null ids give one result row each; an empty table gives an empty result; without any training row all
-is `und`. Other columns are ignored.
+Texts are lower-cased and words are runs of letters (Unicode's L), so a null text or one without letters has no language
+(`und`, score 0). Training takes a bounded, seeded sample of the distinct texts of each language, each of them whole;
+prediction never sees language, source or id. Repeated rows and null ids give one result row each; an empty table gives an
+empty result; without any training row all is `und`. Other columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -20,18 +19,21 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import regex
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: The fit sees at most so many rows of a language, of each so many words in a row from a seeded place.
-ROWS, WORDS = 300, 200
+from firn.llm.common import written
+
+#: The fit sees at most so many texts of a language, of so many characters together; texts longer than LONG come last.
+ROWS, CHARS, LONG = 300, 400_000, 20_000
 BUCKETS = 1 << 16
 GRAMS = (2, 3, 4)
 #: Words that a worker keeps scores of, and words that pass through one chain.
 KEPT, CHAIN = 400_000, 200_000
-#: Languages at most; the rarest beyond them are not learned.
+#: More languages than this are an error.
 LANGUAGES = 256
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = regex.compile(r"\p{L}+")
 _WORKER: dict = {}
 
 
@@ -175,23 +177,30 @@ def fit(sequences: list[tuple[list[str], int]], languages: list[str], epochs: in
     return model
 
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", rows: int = ROWS, words: int = WORDS, seed: int = 42) -> Crf | None:
-    """Fit on at most `rows` rows of each language, chosen by the hash of their text."""
-    flat = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.lower(text_col).alias("body"))
-    counts = flat.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", rows: int = ROWS, chars: int = CHARS, seed: int = 42) -> Crf | None:
+    """Fit on at most `rows` distinct texts of each language, of `chars` characters together, in the order of their hashes.
+
+    Hashes of all texts are counted once; texts are read for those chosen. A language of long texts alone gives one at least.
+    """
+    body = F.col(f"`{text_col}`")
+    flat = docs.where(F.col(f"`{lang_col}`").isNotNull() & body.isNotNull()).select(F.col(f"`{lang_col}`").alias("lang"), body.alias("body"), F.xxhash64(body, F.lit(seed)).alias("order"))
+    keys = written(flat.select("lang", "order", F.length("body").alias("n")).distinct(), "languages")
+    counts = keys.groupBy("lang").count().limit(LANGUAGES + 1).collect()
+    if len(counts) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages to learn")
     if not counts:
         return None
-    sample = []
-    for r in sorted(counts, key=lambda r: r.lang):
-        chance = min(1.0, 3 * rows / r["count"])
-        own = flat.where(F.col("lang") == r.lang).withColumn("order", F.xxhash64("body", F.lit(seed))).where(F.pmod("order", F.lit(1_000_003)) < chance * 1_000_003)
-        letters = F.filter(F.split("body", r"[^\p{L}]+"), lambda w: w != "")
-        lot = own.orderBy("order").limit(rows).withColumn("w", letters)
-        begin = F.greatest(F.lit(1), F.pmod("order", F.greatest(F.size("w") - words, F.lit(1))).cast("int") + 1)
-        sample.append(lot.select("lang", F.slice("w", begin, F.lit(words)).alias("w")))
-    got = [r for part in sample for r in part.collect()]
+    chance = F.create_map(*[F.lit(x) for r in counts for x in (r.lang, min(1.0, 3 * rows / r["count"]))])
+    late = F.col("n") > LONG
+    along = Window.partitionBy("lang").orderBy(late, "order")
+    some = keys.where(F.pmod("order", F.lit(1_000_003)) < chance[F.col("lang")] * 1_000_003)
+    some = some.withColumn("place", F.row_number().over(along)).withColumn("upto", F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    some = written(some.where((F.col("place") <= rows) & ((F.col("upto") <= chars) | (F.col("place") == 1))).select("lang", "order"), "chosen-texts")
+    # At most `rows` a language, of at most LANGUAGES languages.
+    got = flat.join(F.broadcast(some), ["lang", "order"]).dropDuplicates(["lang", "order"]).orderBy("lang", "order").select("lang", "body").collect()
     languages = sorted({r.lang for r in got})
-    return fit([(list(r.w), languages.index(r.lang)) for r in got if r.w], languages, seed=seed) if any(r.w for r in got) else None
+    sequences = [(words_of(r.body), languages.index(r.lang)) for r in got]
+    return fit([x for x in sequences if x[0]], languages, seed=seed) if any(w for w, _ in sequences) else None
 
 
 def label_words(words: list[str], model: Crf, key: str, first: np.ndarray) -> np.ndarray:
@@ -208,8 +217,10 @@ def label_words(words: list[str], model: Crf, key: str, first: np.ndarray) -> np
 
 def identify(docs: DataFrame, model: Crf | None, id_col: str = "doc_id", text_col: str = "text", keep: list[Column] | None = None) -> DataFrame:
     """id, kept columns, lang_pred, score, and spans: runs of words of one language as (lang, words)."""
-    flat = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_body"), *(keep or []))
+    flat = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("_body"), *(keep or []))
     names = [c for c in flat.columns if c != "_body"]
+    if clash := {"lang_pred", "score", "spans"} & set(names) or len(set(names)) < len(names):
+        raise ValueError(f"kept columns need other names: {clash}")
     shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def predict(texts: list[str | None]) -> tuple[list, list, list]:
