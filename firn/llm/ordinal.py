@@ -5,9 +5,10 @@ repeats, and ordered thresholds t. x is a mean over the words, so a score is a m
 any length is read in whole. Out come the expected grade and the tail probability on which documents are selected.
 
 Grades: 0 for quality 0, 1 for quality 1 with toxic 1, else 2; a null toxic counts as 0, rows with null quality are not
-used. The fit sees a bounded, seeded sample of rated documents. Without ratings of two grades nothing is rejected. Null
-and empty texts have no words and get the sample's prior odds. Repeated rows and null ids are kept as they are, an empty
-table gives an empty result, and other columns are ignored or handed through.
+used. The fit sees a bounded, seeded sample of rated documents, each of them whole: what comes to the driver of a document is
+its features, at most BUCKETS numbers. Without ratings of two grades nothing is rejected. Null and empty texts have no words
+and get the sample's prior odds. Repeated rows and null ids are kept as they are, an empty table gives an empty result, and
+other columns are ignored or handed through; those of the names that `scored` adds are replaced.
 """
 
 from __future__ import annotations
@@ -15,15 +16,17 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
+from collections import Counter
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: The fit sees at most so many rated documents, of each so many words in a row from a seeded place.
-ROWS, WORDS = 2_500, 300
+#: The fit sees at most so many rated documents.
+ROWS = 2_500
 BUCKETS = 1 << 15
 #: Words that a worker keeps scores of.
 KEPT = 400_000
@@ -32,22 +35,37 @@ ACCEPT, TAIL = 1, 0.5
 _WORKER: dict = {}
 
 
-def word_features(word: str) -> tuple[int, int, int]:
+def words_of(text: str | None) -> list[bytes]:
+    """Words in UTF-8, as blanks and control spaces part them, in the fit and in scoring."""
+    return (text or "").encode("utf-8", "surrogatepass").split()
+
+
+_SHAPE = bytes(ord("X") if chr(c).isupper() else ord("x") if chr(c).isalpha() else ord("9") if chr(c).isdigit() else c for c in range(128)) + bytes(range(128, 256))
+_RUN = re.compile(rb"(.)\1+", re.S)
+
+
+def word_features(word: bytes) -> tuple[int, int, int]:
     """Buckets of the word itself without case, its shape, and its last two characters."""
-    shape = "".join("X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in word[:64])
-    shape = re.sub(r"(.)\1+", r"\1", shape)
-    return tuple(zlib.crc32(f"{k}{v}".encode("utf-8", "surrogatepass")) % BUCKETS for k, v in (("w", word.lower()), ("s", shape), ("e", word[-2:])))
+    if word.isascii():
+        lower, shape, end = word.lower(), word[:64].translate(_SHAPE), word[-2:]
+    else:
+        text = word.decode("utf-8", "surrogatepass")
+        made = "".join("X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in text[:64])
+        lower, shape, end = (x.encode("utf-8", "surrogatepass") for x in (text.lower(), made, text[-2:]))
+    return tuple(zlib.crc32(k + v) % BUCKETS for k, v in ((b"w", lower), (b"s", _RUN.sub(rb"\1", shape)), (b"e", end)))
 
 
 _REPEAT, _PRIOR = BUCKETS, BUCKETS + 1
 
 
-def doc_features(words: list[str]) -> dict[int, float]:
+def doc_features(words: list[bytes]) -> dict[int, float]:
     """Mean features of a text; the weights' last places are that of immediate repeats and of the prior."""
     out: dict[int, float] = {_PRIOR: 1.0}
-    for i, w in enumerate(words):
-        for f in (*word_features(w), *([_REPEAT] if i and words[i - 1] == w else [])):
-            out[f] = out.get(f, 0.0) + 1 / len(words)
+    for w, n in Counter(words).items():
+        for f in word_features(w):
+            out[f] = out.get(f, 0.0) + n / len(words)
+    if repeats := sum(a == b for a, b in zip(words, words[1:], strict=False)):
+        out[_REPEAT] = repeats / len(words)
     return out
 
 
@@ -61,17 +79,14 @@ class Ordinal:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -40, 40)))
 
 
-def fit(rows: list[tuple[list[str], int]], grades: int = 3, steps: int = 300, rate: float = 0.5, decay: float = 1e-4, seed: int = 42) -> Ordinal:
-    """Maximum likelihood by Adagrad on minibatches; thresholds stay ordered as sums of exponentials."""
+def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int = 3, steps: int = 300, rate: float = 0.5, decay: float = 1e-4, seed: int = 42) -> Ordinal:
+    """Maximum likelihood by Adagrad on minibatches of (features, values, grade); thresholds stay ordered as sums of exponentials."""
     rng = np.random.default_rng(seed)
-    docs = [doc_features(w) for w, _ in rows]
-    at = [np.fromiter(d, np.int64, len(d)) for d in docs]
-    value = [np.fromiter(d.values(), float, len(d)) for d in docs]
-    y = np.array([g for _, g in rows])
+    at, value, y = [a for a, _, _ in rows], [v for _, v, _ in rows], np.array([g for _, _, g in rows])
     w, gw = np.zeros(BUCKETS + 2), np.full(BUCKETS + 2, 1e-3)
     raw, graw = np.array([-1.0] + [0.0] * (grades - 2)), np.full(grades - 1, 1e-3)
     for _ in range(steps):
-        some = rng.integers(len(docs), size=min(256, len(docs)))
+        some = rng.integers(len(rows), size=min(256, len(rows)))
         ids = np.repeat(np.arange(len(some)), [len(at[i]) for i in some])
         feats, vals = np.concatenate([at[i] for i in some]), np.concatenate([value[i] for i in some])
         score = np.bincount(ids, w[feats] * vals, len(some))
@@ -98,56 +113,66 @@ def fit(rows: list[tuple[list[str], int]], grades: int = 3, steps: int = 300, ra
 def rated(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Texts with their grade."""
     grade = F.when(F.col("quality") == 0, 0).when(F.coalesce("toxic", F.lit(0)) == 1, 1).otherwise(2)
-    marks = labels.where("quality IS NOT NULL").select(F.col(id_col).alias("_id"), grade.alias("grade"))
-    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("body")).join(marks, "_id")
+    marks = labels.where("quality IS NOT NULL").select(F.col(f"`{id_col}`").alias("_id"), grade.alias("grade"))
+    return docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("body")).join(marks, "_id")
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = ROWS, words: int = WORDS, seed: int = 42) -> Ordinal | None:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = ROWS, seed: int = 42) -> Ordinal | None:
     """Fit on at most `rows` rated documents, chosen by the hash of their id before texts are read."""
     n = labels.count()
-    chosen = labels.withColumn("_order", F.xxhash64(F.col(id_col), F.lit(seed))).where(F.pmod("_order", F.lit(1_000_003)) < min(1.0, 2 * rows / max(n, 1)) * 1_000_003).orderBy("_order", id_col).limit(rows)
-    split = F.filter(F.split(F.coalesce("body", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    lot = rated(docs, chosen, id_col, text_col).withColumn("w", split)
-    begin = F.pmod(F.xxhash64("_id"), F.greatest(F.size("w") - words, F.lit(1))).cast("int") + 1
-    got = lot.select("_id", F.slice("w", begin, F.lit(words)).alias("w"), "grade").orderBy("_id", "grade").limit(rows).collect()
-    if len({r.grade for r in got}) < 2:
+    chosen = labels.withColumn("_order", F.xxhash64(F.col(f"`{id_col}`"), F.lit(seed))).where(F.pmod("_order", F.lit(1_000_003)) < min(1.0, 2 * rows / max(n, 1)) * 1_000_003).orderBy("_order", id_col).limit(rows)
+
+    def features(frames):
+        for pdf in frames:
+            made = [doc_features(words_of(t)) for t in pdf["body"]]
+            yield pd.DataFrame({"_id": pdf["_id"], "grade": pdf["grade"], "at": [np.fromiter(d, np.int32, len(d)) for d in made], "value": [np.fromiter(d.values(), np.float32, len(d)) for d in made]})
+
+    lot = rated(docs, chosen, id_col, text_col)
+    kind = lot.schema["_id"].dataType.simpleString()
+    got = lot.mapInPandas(features, f"_id {kind}, grade int, at array<int>, value array<float>").orderBy("_id", "grade").limit(rows).toPandas()
+    if got["grade"].nunique() < 2:
         return None
-    return fit([(list(r.w), r.grade) for r in got], seed=seed)
+    return fit([(np.asarray(a, np.int64), np.asarray(v, float), int(g)) for a, v, g in zip(got["at"], got["value"], got["grade"], strict=True)], seed=seed)
 
 
 def scored(docs: DataFrame, model: Ordinal | None, text_col: str = "text", accept: int = ACCEPT, tail: float = TAIL) -> DataFrame:
-    """docs with expected_grade, tail_probability of a grade of at least `accept`, and accepted."""
-    shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+    """docs with expected_grade, tail_probability of a grade of at least `accept`, top_probability (of the highest grade), and accepted.
 
-    def score(text: str | None, model: Ordinal) -> float:
-        known = _WORKER["scores"]
-        words = (text or "").split()
-        if len(known) > KEPT:
-            known.clear()
-        total, before, repeats = 0.0, None, 0
-        for w in words:
-            if (s := known.get(w)) is None:
-                s = known[w] = float(model.weights[list(word_features(w))].sum())
-            total += s
-            repeats += w == before
-            before = w
-        return model.weights[_PRIOR] + ((total + repeats * model.weights[_REPEAT]) / len(words) if words else 0.0)
-
-    @F.pandas_udf("expected_grade double, tail_probability double")
+    Without a model the grade is null, the probabilities are 1 and all rows are accepted.
+    """
+    shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+    added = ["expected_grade", "tail_probability", "top_probability", "accepted"]
+
+    def scores(texts: list[str | None], model: Ordinal) -> np.ndarray:
+        """The mean of the scores of a text's words, which a worker keeps, and the share of immediate repeats."""
+        if _WORKER.get("key") != key or len(_WORKER["at"]) > KEPT:
+            _WORKER.update(key=key, at={}, score=np.zeros(0))
+        at, parts = _WORKER["at"], [words_of(t) for t in texts]
+        known, sizes = len(at), np.array([len(p) for p in parts])
+        ids = np.array([at.setdefault(w, len(at)) for p in parts for w in p], np.int64)
+        if len(at) > known:
+            fresh = np.array([word_features(w) for w in islice(at, known, None)], np.int64)
+            _WORKER["score"] = np.concatenate([_WORKER["score"], model.weights[fresh].sum(1)])
+        owner = np.repeat(np.arange(len(parts)), sizes)
+        again = np.flatnonzero((ids[1:] == ids[:-1]) & (owner[1:] == owner[:-1]))
+        total = np.bincount(owner, _WORKER["score"][ids], len(parts)) + model.weights[_REPEAT] * np.bincount(owner[again], minlength=len(parts))
+        return model.weights[_PRIOR] + total / np.maximum(sizes, 1)
+
+    @F.pandas_udf("expected_grade double, tail_probability double, top_probability double")
     def grade(text: pd.Series) -> pd.DataFrame:
         model = shared.value
         if model is None:
-            return pd.DataFrame({"expected_grade": np.full(len(text), np.nan), "tail_probability": np.ones(len(text))})
-        if _WORKER.get("key") != key:
-            _WORKER.update(key=key, scores={})
-        p = model.tails(np.array([score(t, model) for t in text]))
-        return pd.DataFrame({"expected_grade": p.sum(1), "tail_probability": p[:, accept - 1]})
+            return pd.DataFrame({"expected_grade": np.full(len(text), np.nan), "tail_probability": np.ones(len(text)), "top_probability": np.ones(len(text))})
+        texts = text.tolist()
+        p = model.tails(np.concatenate([np.zeros(0), *(scores(texts[lo : lo + 256], model) for lo in range(0, len(texts), 256))]))
+        return pd.DataFrame({"expected_grade": p.sum(1), "tail_probability": p[:, accept - 1], "top_probability": p[:, -1]})
 
-    made = docs.withColumn("_graded", grade(F.col(text_col)))
-    return made.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("_graded.expected_grade").alias("expected_grade"), F.col("_graded.tail_probability").alias("tail_probability"), (F.col("_graded.tail_probability") >= tail).alias("accepted"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in added]).alias("row")
+    made = docs.select(row, grade(F.col(f"`{text_col}`")).alias("grade"))
+    return made.select("row.*", F.nanvl("grade.expected_grade", F.lit(None)).alias("expected_grade"), "grade.tail_probability", "grade.top_probability", (F.col("grade.tail_probability") >= tail).alias("accepted"))
 
 
 def accepted(docs: DataFrame, model: Ordinal | None, text_col: str = "text", accept: int = ACCEPT, tail: float = TAIL) -> DataFrame:
     """The rows of docs that are good enough, with their columns."""
-    made = scored(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(text_col).alias("_text")), model, "_text", accept, tail)
+    made = scored(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text_col}`").alias("_text")), model, "_text", accept, tail)
     return made.where("accepted").select("_row.*")
