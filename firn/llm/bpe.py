@@ -2,13 +2,14 @@
 
 A rolling hash of the last 32 code points cuts a text into chunks, so a passage that documents share is cut alike wherever
 it stands. One pass counts chunks over all documents; those that repeat and save most work form a bounded list of shared
-chunks, and each Python worker encodes a shared chunk once. Cuts fall anywhere, so joins are repaired: each chunk gives up
-what lies outside its first and last safe place, and the text between two such places is encoded again as one piece. A
-place is safe where a blank or line feed follows a character that is not white space: the vocabulary's pre-tokens never
-cross it, so the pieces' ids in a row are the whole text's ids. A chunk without a safe place joins its neighbours'
-piece, at worst the whole text. Within a piece, runs of text between safe places of plain ASCII white space go through a
-dictionary that the worker keeps, so the tokenizer sees each run once. Every run's ids are decoded; a text that does not
-come back is encoded and decoded whole.
+chunks, which one job encodes once for all documents. Cuts fall anywhere, so joins are repaired: each chunk gives up what lies
+outside its first and last safe place, and the text between two such places is encoded again as one piece. A place is
+likely safe where a blank or line feed follows a character that is not white space. Each join is checked by its ids: the words
+on its two sides are encoded together, and must give the ids that they have apart; where they don't, the join is widened to
+the whole text, which is encoded as one piece. So are all texts if the vocabulary's pre-tokenizer is not one of bytes that
+splits at blanks. Within a piece, runs of text between safe places of plain ASCII white space go through a dictionary that
+the worker keeps, so the tokenizer sees each run once. Every run's ids are decoded; a text that does not come back is encoded
+and decoded whole.
 
 A null text counts as empty and has no tokens. Repeated rows and null ids give one result row each; an empty table gives
 an empty result; other columns are ignored.
@@ -17,6 +18,7 @@ an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Iterable, Iterator
 
@@ -26,11 +28,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from firn.llm.common import written
+
 #: Mean distance of cuts as a power of two, and the least length of a chunk, in code points.
 CHUNK_BITS = 9
 CHUNK_LEAST = 128
-#: Shared chunks that workers keep, and the longest of them.
-SHARED = 16_384
+#: Shared chunks, about, and the longest of them.
+SHARED = 8_192
 SHARED_CHARS = 8_192
 #: Runs that a worker keeps.
 RUNS = 600_000
@@ -88,8 +92,16 @@ def pieces(text: str) -> list[tuple[str, bool]]:
     return out
 
 
+def _splits_at_blanks(path: str) -> bool:
+    """Whether texts may be encoded in pieces: a byte-level pre-tokenizer with its own pattern, nothing that rewrites texts."""
+    with open(path, encoding="utf-8") as f:
+        made = json.load(f)
+    pre = made.get("pre_tokenizer") or {}
+    return made.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space", True)
+
+
 def _tokenizer(path: str) -> tuple:
-    """(tokenizer, kept chunks, kept runs, bytes of each token) of this worker; chunks and runs map a text to (decimal ids joined by commas, their number, decoded text)."""
+    """(tokenizer, kept runs, checked joins, bytes of each token, whether it splits at blanks) of this worker; runs map a text to (decimal ids joined by commas, their number, decoded text)."""
     if path not in _WORKER:
         import os
 
@@ -102,7 +114,7 @@ def _tokenizer(path: str) -> tuple:
         # A token of the byte-level vocabulary is written with a character for each byte; an added one stands for itself.
         added = {i: t.content.encode() for i, t in tokenizer.get_added_tokens_decoder().items()}
         sizes = np.array([len(added.get(i) or tokenizer.id_to_token(i) or "") for i in range(tokenizer.get_vocab_size())])
-        _WORKER[path] = (tokenizer, {}, {}, sizes)
+        _WORKER[path] = (tokenizer, {}, {}, sizes, _splits_at_blanks(path))
     return _WORKER[path]
 
 
@@ -135,54 +147,111 @@ def _encoded_runs(tokenizer, sizes: np.ndarray, runs: Iterable[str]) -> dict[str
     return made
 
 
-def encode_texts(texts: list[str], path: str, shared: frozenset[int] = frozenset()) -> list[tuple[str, int, str]]:
-    """(decimal ids joined by commas, their number, decoded text) of each text; chunks whose hash is in `shared` are encoded once in a worker."""
-    tokenizer, kept, runs, sizes = _tokenizer(path)
-    if len(runs) > RUNS:
-        runs.clear()
-    parts, cut = [], {}
+def _name(piece: str) -> bytes:
+    return xxhash.xxh3_128_digest(piece.encode("utf-8", "surrogatepass"))
+
+
+def _tail(piece: str) -> str:
+    """The last run of a piece."""
+    end = len(piece.rstrip(" \t\n\r"))
+    at = max(piece.rfind(c, 0, end) for c in " \t\n\r") + 1
+    return piece[len(piece[:at].rstrip(" \t\n\r")) :]
+
+
+def _broken_joins(tokenizer, runs: dict, joins: dict, parts: list[list[str]]) -> set[int]:
+    """Numbers of the texts in which the words beside a join have other ids together than apart."""
+    beside = [[(_tail(a), _RUN.match(b)[0]) for a, b in zip(own, own[1:], strict=False)] for own in parts]
+    new = list({pair for own in beside for pair in own}.difference(joins))
+    ids = lambda texts: [",".join(map(str, e.ids)) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    alone = list({x for pair in new for x in pair}.difference(runs))
+    apart = dict(zip(alone, ids(alone), strict=True))
+    known = lambda x: runs[x][0] if x in runs else apart[x]
+    for (a, b), together in zip(new, ids([a + b for a, b in new]), strict=True):
+        joins[a, b] = together == f"{known(a)},{known(b)}"
+    return {k for k, own in enumerate(beside) if not all(joins[pair] for pair in own)}
+
+
+def encode_texts(texts: list[str], path: str, shared: dict[bytes, tuple[str, int]] | None = None) -> list[tuple[str, int, str]]:
+    """(decimal ids joined by commas, their number, decoded text) of each text; shared: ids and their number of chunks that are encoded already."""
+    tokenizer, runs, joins, sizes, splits = _tokenizer(path)
+    if not splits:
+        return _encoded(tokenizer, texts)
+    for kept in (runs, joins):
+        if len(kept) > RUNS:
+            kept.clear()
+    parts, known, cut = [], {}, {}
     for t in texts:
         part = pieces(t)
         parts.append([p for p, _ in part])
         for piece, inner in part:
-            if piece not in kept and piece not in cut:
-                cut[piece] = (_RUN.findall(piece) if _ODD.search(piece) is None else [piece]), inner
-    new = set().union(*(own for own, _ in cut.values())).difference(runs)
+            if piece in known or piece in cut:
+                continue
+            if shared and inner and CHUNK_LEAST <= len(piece) <= SHARED_CHARS and (made := shared.get(_name(piece))) is not None:
+                known[piece] = (*made, piece)
+            else:
+                cut[piece] = _RUN.findall(piece) if _ODD.search(piece) is None else [piece]
+    new = set().union(*cut.values()).difference(runs)
     odd = [r for r in new.intersection(cut) if _ODD.search(r)]
     runs.update(_encoded_runs(tokenizer, sizes, new.difference(odd)))
     runs.update(zip(odd, _encoded(tokenizer, odd), strict=True))
-    known = {}
-    for piece, (own, inner) in cut.items():
+    for piece, own in cut.items():
         got = [runs[r] for r in own]
-        known[piece] = made = (",".join([g[0] for g in got]), sum([g[1] for g in got]), "".join([g[2] for g in got]))
-        if inner and len(piece) <= SHARED_CHARS and len(kept) < SHARED and xxhash.xxh64_intdigest(piece) in shared:
-            kept[piece] = made
+        known[piece] = (",".join([g[0] for g in got]), sum([g[1] for g in got]), "".join([g[2] for g in got]))
+    broken = _broken_joins(tokenizer, runs, joins, parts)
     out = []
-    for text, part in zip(texts, parts, strict=True):
-        got = [known.get(p) or kept[p] for p in part]
+    for k, (text, part) in enumerate(zip(texts, parts, strict=True)):
+        got = [known[p] for p in part]
         made = (",".join([g[0] for g in got]), sum([g[1] for g in got]), "".join([g[2] for g in got]))
-        out.append(made if made[2] == text else _encoded(tokenizer, [text])[0])
+        out.append(made if made[2] == text and k not in broken else _encoded(tokenizer, [text])[0])
     return out
 
 
-def shared_chunks(texts: DataFrame, most: int = SHARED) -> list[int]:
-    """Hashes of at most `most` chunks that repeat over all documents, those that save most first."""
+def shared_chunks(texts: DataFrame, path: str, most: int = SHARED) -> dict[bytes, tuple[str, int]]:
+    """Ids, and their number, of about `most` chunks that repeat over all documents, those that save most first, by name.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Chunks are chosen by a histogram of what they save, so the driver gets them alone. Each is encoded once, from one text
+    that holds it.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: dict[int, list[int]] = {}
-            for text in batch.column(0):
+            seen: dict[bytes, list[int]] = {}
+            for text, at in zip(batch.column("body"), batch.column("at").to_pylist(), strict=True):
                 for piece, inner in pieces(text.as_py() or ""):
                     if inner and CHUNK_LEAST <= len(piece) <= SHARED_CHARS:
-                        entry = seen.setdefault(xxhash.xxh64_intdigest(piece), [0, len(piece)])
+                        entry = seen.setdefault(_name(piece), [0, len(piece), at])
                         entry[0] += 1
-            keys = np.fromiter(seen, np.uint64, len(seen)).view(np.int64)
-            both = np.array(list(seen.values()), np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(both[:, 0]), pa.array(both[:, 1])], names=["chunk", "n", "chars"])
+            both = np.array(list(seen.values()), np.int64).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), *(pa.array(both[:, c]) for c in range(3))], names=["chunk", "n", "chars", "at"])
+
+    flat = texts.select("body", F.xxhash64("body").alias("at"))
+    counts = flat.mapInArrow(count, "chunk binary, n bigint, chars bigint, at bigint").groupBy("chunk").agg(F.sum("n").alias("n"), F.max("chars").alias("chars"), F.min("at").alias("at"))
+    counts = written(counts.where("n > 1").withColumn("step", F.floor(F.log2(F.expr("(n - 1) * chars")) * 8).cast("int")), "chunks")
+    least, share, held = 0, 1.0, 0
+    for r in counts.groupBy("step").count().orderBy(F.desc("step")).collect():  # some hundreds of steps at most
+        least, share = r.step, min(1.0, (most - held) / r["count"])
+        held += r["count"]
+        if held >= most:
+            break
+    chance = F.pmod(F.xxhash64("chunk"), F.lit(1_000_003)) < share * 1_000_003
+    chosen = written(counts.where((F.col("step") > least) | (F.col("step") == least) & chance).select("chunk", "at"), "shared-chunks")
+    wanted = chosen.groupBy("at").agg(F.collect_list("chunk").alias("chunks"))
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = _tokenizer(path)[0]
+        for batch in batches:
+            out = {}
+            for text, chunks in zip(*(batch.column(c).to_pylist() for c in ("body", "chunks")), strict=True):
+                named = {_name(p): p for p, inner in pieces(text) if inner}
+                own = [c for c in chunks if c in named]
+                for c, (ids, n, back) in zip(own, _encoded(tokenizer, [named[c] for c in own]), strict=True):
+                    if back == named[c]:
+                        out[c] = ids, n
+            yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.binary()), pa.array([i for i, _ in out.values()], pa.string()), pa.array([n for _, n in out.values()], pa.int64())], names=["chunk", "ids", "n"])
 
-    counts = texts.mapInArrow(run, "chunk bigint, n bigint, chars bigint").groupBy("chunk").agg(F.sum("n").alias("n"), F.max("chars").alias("chars"))
-    top = counts.where("n > 1").orderBy(F.desc(F.expr("(n - 1) * chars")), "chunk").limit(most)
-    return [r.chunk & 0xFFFFFFFFFFFFFFFF for r in top.select("chunk").collect()]
+    # About `most` rows.
+    made = flat.join(F.broadcast(wanted), "at").dropDuplicates(["at"]).select("body", "chunks").mapInArrow(encode, "chunk binary, ids string, n bigint")
+    return {bytes(r.chunk): (r.ids, r.n) for r in made.collect()}
 
 
 def bpe(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
@@ -190,8 +259,8 @@ def bpe(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "tex
 
     path: a tokenizer file that every executor can read, as installed with the vocabulary's package.
     """
-    flat = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
-    shared = docs.sparkSession.sparkContext.broadcast(frozenset(shared_chunks(flat.select("body"))))
+    flat = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("body"))
+    shared = docs.sparkSession.sparkContext.broadcast(shared_chunks(flat.select("body"), path))
     names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
