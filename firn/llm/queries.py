@@ -57,7 +57,7 @@ def domain_of(source: str = "source") -> Column:
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = mixing.copies(table(spark, sf_dir, "documents"), domain_of(), WEIGHTS, BUDGET, EPOCHS, seed=MIX_SEED)
-    return made.select(F.col("id").alias("doc_id"), "domain", "lang", "source", "n_tokens", "share", "copies")
+    return made.select(F.col("id").alias("doc_id"), "domain", "lang", "source", "n_tokens", "share", "copies", "part_tokens")
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +70,7 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = ordinal.train(docs, table(spark, sf_dir, "labels"))
-    return ordinal.scored(docs.select("doc_id", "text"), model).select("doc_id", "expected_grade", "tail_probability", "accepted")
+    return ordinal.scored(docs.select("doc_id", "text"), model).select("doc_id", "expected_grade", "tail_probability", "top_probability", "accepted")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

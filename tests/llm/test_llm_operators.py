@@ -279,6 +279,41 @@ def test_edited_fingerprints(table, request):
     assert all(len(x) == 1 for x in by_text.values())
 
 
+def plain_sketch(text):
+    """Retained hashes by the plain definition: XXH64 of words, chained over five of them, below a quarter of the range."""
+    words = [xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 42) for w in WORDS.findall(text)]
+    signed = lambda h: h - 2**64 if h >= 2**63 else h
+
+    def chained(some):
+        h = 42
+        for w in some:
+            h = xxhash.xxh64_intdigest(struct.pack("<Q", w), h)
+        return h
+
+    if not words:
+        return []
+    if len(words) < sketch.SHINGLE:
+        every = [xxhash.xxh64_intdigest(" ".join(str(signed(w)) for w in words).encode(), 42)]
+    else:
+        every = [chained(words[i : i + 5]) for i in range(len(words) - 4)]
+    ranks = sorted({h ^ 2**63 for h in every})  # the order of signed hashes
+    kept = [r for r in ranks if r < 2**62] or ranks[:1]
+    return sorted({r >> 32 for r in kept})
+
+
+@pytest.mark.parametrize("table", ["docs", "some"])
+def test_sketches_and_likeness_against_sets(table, request):
+    df = request.getfixturevalue(table).where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    rows = sorted(texts_of(df))
+    got = {r.doc_id: r for r in sketch.edited_fingerprints(df).collect()}
+    like = lambda a, b: len(set(a) & set(b)) / len(set(a) | set(b)) if a or b else 1.0
+    for k, (i, t) in enumerate(rows):
+        nxt = rows[(k + 1) % len(rows)][1]
+        own, edited = plain_sketch(t), plain_sketch(t[: len(t) - len(t) // 4] + nxt[: len(t) // 4])
+        assert got[i].fingerprint == "".join(f"{h:08x}" for h in own) and got[i].edited_fingerprint == "".join(f"{h:08x}" for h in edited)
+        assert np.isclose(got[i].near_edited, like(own, edited)) and np.isclose(got[i].near_next, like(own, plain_sketch(nxt)))
+
+
 def test_edited_fingerprints_over_many_ranges(spark, some, monkeypatch):
     monkeypatch.setattr(sketch, "BUCKET_BYTES", 20_000)
     want = {r.doc_id: tuple(r) for r in sketch.edited_fingerprints(some).collect()}
@@ -330,6 +365,37 @@ def test_bpe_joins():
         assert bpe.encode_texts([text], queries.tokenizer_path())[0][0] == ",".join(map(str, tokenizer.encode(text, add_special_tokens=False).ids))
 
 
+def test_bpe_widens_joins_that_disagree(monkeypatch, tmp_path):
+    """With places that are not safe, joins break tokens; the ids are still those of the whole text. So are they for other pre-tokenizers."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(bpe, "_safe", lambda cps: np.arange(3, len(cps), 7))
+    rng = np.random.default_rng(5)
+    text = "".join(rng.choice(["word", " of ", "letters", "  ", "\n"], 2000))
+    tokenizer = Tokenizer.from_file(queries.tokenizer_path())
+    ids = lambda t, k: ",".join(map(str, k.encode(t, add_special_tokens=False).ids))
+    assert bpe.encode_texts([text], queries.tokenizer_path())[0][0] == ids(text, tokenizer)
+    with open(queries.tokenizer_path(), encoding="utf-8") as f:
+        made = json.load(f)
+    made["pre_tokenizer"] = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+    (tmp_path / "t.json").write_text(json.dumps(made), encoding="utf-8")
+    other = str(tmp_path / "t.json")
+    assert not bpe._splits_at_blanks(other) and bpe.encode_texts([text], other)[0][0] == ids(text, Tokenizer.from_file(other))
+
+
+def test_shared_chunks_are_encoded_once(spark):
+    rng = np.random.default_rng(9)
+    word = lambda n: " ".join("".join(rng.choice(list("abcdefgh"), 6)) for _ in range(n))
+    passage = word(3000)
+    df = spark.createDataFrame([(i, word(50) + " " + passage) for i in range(5)], "doc_id bigint, body string")
+    made = bpe.shared_chunks(df, queries.tokenizer_path())
+    every = {bpe._name(p): p for r in df.collect() for p, inner in bpe.pieces(r.body) if inner}
+    assert len(made) > 10 and all((ids, n) == bpe.encode_texts([every[c]], queries.tokenizer_path())[0][:2] for c, (ids, n) in made.items())
+    assert len(bpe.shared_chunks(df, queries.tokenizer_path(), most=4)) < 10 and bpe.shared_chunks(df.limit(0), queries.tokenizer_path()) == {}
+
+
 def test_shared_passages_are_cut_alike():
     rng = np.random.default_rng(4)
     word = lambda n: " ".join("".join(rng.choice(list("abcdefgh"), 6)) for _ in range(n))
@@ -386,6 +452,24 @@ def test_warc_finds_faults(spark, tmp_path):
     assert list(warc.unpack(b"")) == [] and list(warc.unpack(b"garbage!!"))[0]["error"]
 
 
+def test_warc_of_other_writers():
+    def made(kind, block, more=b"", http=b"application/http; msgtype=response"):
+        return b"WARC/1.0\r\nwarc-type: " + kind + b"\r\nWARC-Record-Id: <urn:uuid:12>\r\nwarc-date: 2020-01-01T00:00:00Z\r\ncontent-type: " + http + b"\r\n" + more + b"content-length:" + str(len(block)).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+    info = warc.parse(made(b"warcinfo", b"software: x\r\n", http=b"application/warc-fields"))
+    assert info["record_type"] == "warcinfo" and info["page_id"] is None and info["record_id"] == "urn:uuid:12" and info["payload"] == b"software: x\r\n"
+    got = warc.parse(made(b"response", b"HTTP/1.1 200 OK\r\nSERVER: a\r\n b\r\n\r\nbody", b"WARC-Target-URI: http://x\r\nWARC-Payload-Digest: sha256:zz\r\n"))
+    assert (got["payload"], got["payload_bytes"], got["url"], got["payload_digest"]) == (b"body", 4, "http://x", "zz")
+    assert warc.parse(made(b"request", b"GET / HTTP/1.1\r\nhost: x\r\n\r\n"))["record_type"] == "request"
+    back = warc.parse(made(b"revisit", b"HTTP/1.1 200 OK\r\ncontent-length: 9\r\n\r\n", b"WARC-Refers-To: <urn:uuid:11>\r\n"))
+    assert (back["payload_bytes"], back["refers_to"], back["refers_to_id"]) == (9, None, "urn:uuid:11")
+    for wrong in (made(b"response", b"HTTP/1.1 200 OK\r\ncontent-length: 9\r\n\r\nbody"), made(b"other", b"x", http=b"text/plain"), made(b"revisit", b"HTTP/1.1 200 OK\r\n\r\n"), made(b"resource", b"x", b"WARC-Payload-Digest: sha1:AAAA\r\n", b"text/plain")):
+        with pytest.raises(ValueError):
+            warc.parse(wrong)
+    plain = zstandard.ZstdCompressor().compress(made(b"metadata", b"k: v", http=b"application/warc-fields"))
+    assert [r["record_type"] for r in warc.unpack(plain)] == ["metadata"]
+
+
 # --- chat
 
 
@@ -418,7 +502,7 @@ def test_chat(spark):
 
 
 def plain_mix(rows, weights, budget, epochs, seed):
-    """rows: (id, domain, lang, source, n)."""
+    """rows: (id, domain, lang, source, n, hash of the text)."""
 
     def fill(pool, children):
         out, live = {}, {k: v for k, v in children.items() if v[0] > 0}
@@ -433,7 +517,7 @@ def plain_mix(rows, weights, budget, epochs, seed):
         return {k: 0 for k in children} | out
 
     held = Counter()
-    for _, d, la, s, n in rows:
+    for _, d, la, s, n, _ in rows:
         held[d, la, s] += n
     share = {(): int(np.floor(round(sum(held.values()) * budget, 6)))}
     for depth, level in ((1, "domain"), (2, "lang"), (3, "source")):
@@ -447,12 +531,18 @@ def plain_mix(rows, weights, budget, epochs, seed):
         for r in rows:
             if r[1:4] == leaf:
                 mine[hashlib.md5(f"{seed}:{whole}:{'' if r[0] is None else r[0]}".encode()).hexdigest()].append(r)
-        used, fits = 0, rest > 0
+        used, open_ = 0, rest > 0
         for h in sorted(mine):
-            used += sum(r[4] for r in mine[h])
-            fits &= used <= rest
+            texts = defaultdict(list)
             for r in mine[h]:
-                out[r[0], leaf, r[4], share[leaf], whole + fits] += 1
+                texts[r[5]].append(r)
+            for _, same in sorted(texts.items()):
+                size = sum(r[4] for r in same)
+                fits = open_ and used + size <= rest
+                cut = (rest - used) // len(same) if open_ and not fits else 0
+                open_, used = fits, used + size
+                for r in same:
+                    out[r[0], leaf, r[4], share[leaf], whole + fits, cut] += 1
     return out
 
 
@@ -460,22 +550,43 @@ def plain_mix(rows, weights, budget, epochs, seed):
 @pytest.mark.parametrize("table", ["docs", "some"])
 def test_mixing(table, budget, request):
     df = request.getfixturevalue(table)
-    df = df.where("doc_id <> 9 OR doc_id IS NULL").where("doc_id IS NOT NULL OR text IS NOT NULL") if table == "docs" else df
     number = lambda s: int(re.search(r"\d*$", s or "")[0] or 0)
-    rows = [(r.doc_id, queries.DOMAINS[number(r.source) % 4], r.lang or "", r.source or "", len(WORDS.findall(r.text or ""))) for r in df.collect()]
+    tied = df.withColumn("tie", F.xxhash64(F.coalesce("text", F.lit("")))).collect()
+    rows = [(r.doc_id, queries.DOMAINS[number(r.source) % 4], r.lang or "", r.source or "", len(WORDS.findall(r.text or "")), r.tie) for r in tied]
     want = plain_mix(rows, queries.WEIGHTS, budget, 2, 42)
     got = mixing.copies(df, queries.domain_of(), queries.WEIGHTS, budget, 2).collect()
-    strict = lambda c: Counter({k: v for k, v in c.items() if k[2]})  # noqa: E731  rows without tokens come with any prefix that reaches them
-    assert strict(Counter((r.id, (r.domain, r.lang, r.source), r.n_tokens, r.share, r.copies) for r in got)) == strict(want)
-    for leaf in {k[1] for k in want}:
-        assert sum(r.copies * r.n_tokens for r in got if (r.domain, r.lang, r.source) == leaf) <= next(k[3] for k in want if k[1] == leaf)
+    assert Counter((r.id, (r.domain, r.lang, r.source), r.n_tokens, r.share, r.copies, r.part_tokens) for r in got) == want
+    given, held, rows_at_cut = Counter(), Counter(), Counter()
+    for r in got:
+        leaf = r.domain, r.lang, r.source
+        given[leaf] += r.copies * r.n_tokens + r.part_tokens
+        held[leaf] = r.share
+        rows_at_cut[leaf] += r.part_tokens > 0
+    assert all(0 <= held[k] - given[k] <= max(0, rows_at_cut[k] - 1) or rows_at_cut[k] == 0 and held[k] - given[k] < 3 for k in held)
     out = mixing.mixed(df, queries.domain_of(), queries.WEIGHTS, budget)
-    assert out.columns == df.columns and out.count() == sum(r.copies for r in got)
+    assert out.columns == df.columns and out.count() == sum(r.copies + (2 * r.part_tokens >= max(r.n_tokens, 1)) for r in got)
+    placed = mixing.mixed(df, queries.domain_of(), queries.WEIGHTS, budget, place=True).collect()
+    assert all(r.mix_order == hashlib.md5(f"42:{r.mix_epoch}:{'' if r.doc_id is None else r.doc_id}".encode()).hexdigest() for r in placed)
 
 
-def test_mixing_empty_and_repeated(docs, empty):
+def test_mixing_meets_its_weights(spark):
+    """Domains get their parts of the budget to a few tokens, as none is short of text."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = mixing.copies(df, queries.domain_of(), queries.WEIGHTS, 0.3, 2).groupBy("domain").agg(F.sum(F.col("copies") * F.col("n_tokens") + F.col("part_tokens")).alias("n")).collect()
+    total = sum(r.n for r in got)
+    assert all(abs(r.n / total - queries.WEIGHTS["domain"][r.domain] / 10) < 0.001 for r in got)
+
+
+def test_mixing_odd_input(spark, docs, empty):
     assert mixing.copies(empty, queries.domain_of(), queries.WEIGHTS, 0.5).count() == 0
-    assert mixing.copies(docs, queries.domain_of(), queries.WEIGHTS, 0.5).count() == docs.count()
+    assert mixing.mixed(empty, queries.domain_of(), queries.WEIGHTS, 0.5).count() == 0
+    odd = docs.selectExpr("*", "1 AS `a.b`", "2 AS domain", "3 AS tie", "4 AS `row`", "5 AS copies")
+    out = mixing.mixed(odd, queries.domain_of(), queries.WEIGHTS, 0.5)
+    assert out.columns == odd.columns and out.count() > 0
+    assert mixing.copies(docs, queries.domain_of(), queries.WEIGHTS, budget=50).agg(F.sum(F.col("copies") * F.col("n_tokens") + F.col("part_tokens"))).first()[0] <= 50
+    for wrong in ({}, {"fraction": 0.5, "budget": 7}):
+        with pytest.raises(ValueError):
+            mixing.copies(docs, queries.domain_of(), queries.WEIGHTS, **wrong)
 
 
 # --- language
@@ -508,6 +619,12 @@ def test_language(spark, docs, empty):
     mixed_text = spark.createDataFrame([(1, f"{en} {de}")], "doc_id bigint, text string")
     spans = crf.identify(mixed_text, model).first().spans
     assert {s.lang for s in spans} >= {"en", "de"} and sum(s.words for s in spans) == len(crf.words_of(f"{en} {de}"))
+    marks = spark.createDataFrame([(1, "½ ²"), (2, "Ⅷ 12 _"), (3, "½ the ²")], "doc_id bigint, text string")
+    assert [(r.lang_pred == "und", r.score == 0) for r in crf.identify(marks, model).orderBy("id").collect()] == [(True, True), (True, True), (False, False)]
+    copies = df.where("lang = 'en'").limit(1).crossJoin(spark.range(3000)).select("doc_id", "text", "lang").unionByName(df.where("lang <> 'en' OR doc_id % 3 = 0").select("doc_id", "text", "lang"))
+    assert set(crf.train(copies).languages) == set(model.languages)
+    with pytest.raises(ValueError):
+        crf.identify(df, model, keep=[F.lit(1).alias("lang_pred")])
     odd = crf.identify(docs, model).collect()
     assert len(odd) == docs.count() and any(r.lang_pred == "und" and r.score == 0 for r in odd)
     assert crf.identify(empty, model).count() == 0
@@ -541,12 +658,53 @@ def test_fit_on_a_known_scale():
     for _ in range(600):
         good = rng.random()
         rows.append(([str(rng.choice(["good", "bad!!"], p=[good, 1 - good])) for _ in range(40)], int(good > 0.33) + int(good > 0.66)))
-    model = ordinal.fit(rows)
-    score = np.array([sum(model.weights[f] * v for f, v in ordinal.doc_features(w).items()) for w, _ in rows])
+    made = [ordinal.doc_features(" ".join(w).encode().split()) for w, _ in rows]
+    model = ordinal.fit([(np.array(list(d)), np.array(list(d.values())), g) for d, (_, g) in zip(made, rows, strict=True)])
+    score = np.array([sum(model.weights[f] * v for f, v in d.items()) for d in made])
     p = model.tails(score)
     assert np.mean((p > 0.5).sum(1) == [g for _, g in rows]) > 0.8 and (p[:, 0] >= p[:, 1]).all()
 
 
+def test_scores_against_features(spark, docs, some):
+    """Scores of whole batches are those of each text's features one by one, and clashing columns do not matter."""
+    rng = np.random.default_rng(6)
+    model = ordinal.Ordinal(rng.normal(size=ordinal.BUCKETS + 2), np.array([-0.5, 0.7]))
+    for df in (docs, some):
+        odd = df.withColumn("expected_grade", F.lit("x")).withColumn("_graded", F.lit(1)).withColumn("a.b", F.lit(2)).withColumn("row", F.lit(3))
+        got = ordinal.scored(odd, model)
+        assert sorted(got.columns) == sorted({*odd.columns, "tail_probability", "top_probability", "accepted"})
+        for r in got.collect():
+            words = re.findall(rb"[^\x20\x09-\x0D]+", (r.text or "").encode())
+            parts = [f for w in words for f in ordinal.word_features(w)] + [ordinal._REPEAT] * sum(a == b for a, b in itertools.pairwise(words))
+            score = model.weights[ordinal._PRIOR] + model.weights[parts].sum() / max(len(words), 1)
+            tails = 1 / (1 + np.exp(model.thresholds - score))
+            assert np.allclose([r.expected_grade, r.tail_probability, r.top_probability], [tails.sum(), tails[0], tails[1]]) and r.accepted == (r.tail_probability >= 0.5)
+
+
+def test_empty_tables(empty):
+    assert sketch.edited_fingerprints(empty).count() == 0
+    assert bpe.bpe(empty, queries.tokenizer_path()).count() == 0
+    assert repeats.without_repeats(empty).count() == 0
+    assert exact_dedup.exact_dedup(empty).count() == 0 and exact_dedup.exact_distinct(empty).count() == 0
+
+
+def test_names_with_dots(docs):
+    odd = docs.selectExpr("*", "1 AS `a.b`", "2 AS `head`", "3 AS edge", "4 AS pid")
+    left = exact_dedup.exact_distinct(odd)
+    assert left.columns == odd.columns and left.count() == exact_dedup.exact_distinct(docs).count()
+
+
+def test_cleared_tables(spark):
+    from firn.llm import common
+
+    df = common.written(spark.range(5).toDF("n"), "some")
+    kept = common.written(df, "kept")
+    common.clear(spark, keep=kept)
+    assert kept.count() == 5
+    with pytest.raises(Exception, match="(?i)exist|not found"):
+        df.count()
+
+
 def test_all_registered():
     assert [int(re.match(r"op(\d+)_", k)[1]) for k in queries.QUERIES if k != "pipeline"] == list(range(1, 11))
     assert os.path.exists(queries.tokenizer_path())
