@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firn.llm.common import written
+from firn.llm.common import worker_cache, written
 
 #: Mean distance of cuts as a power of two, and the least length of a chunk, in code points.
 CHUNK_BITS = 9
@@ -36,9 +36,8 @@ CHUNK_LEAST = 128
 #: Shared chunks, about, and the longest of them.
 SHARED = 8_192
 SHARED_CHARS = 8_192
-#: Runs that a worker keeps.
-RUNS = 600_000
-_WORKER: dict = {}
+#: Runs, and checked joins, that a worker keeps.
+RUNS, JOINS = 300_000, 60_000
 _RUN = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 #: White space, or what some tables take for it, beside the four characters above: a piece with any of it is one run.
 _ODD = re.compile("[\x0b\x0c\x1c-\x1f\x7f-\xa0\u1680\u180e\u2000-\u206f\u3000\ufeff]")
@@ -102,7 +101,8 @@ def _splits_at_blanks(path: str) -> bool:
 
 def _tokenizer(path: str) -> tuple:
     """(tokenizer, kept runs, checked joins, bytes of each token, whether it splits at blanks) of this worker; runs map a text to (decimal ids joined by commas, their number, decoded text)."""
-    if path not in _WORKER:
+    cache = worker_cache("bpe")
+    if path not in cache:
         import os
 
         from tokenizers import Tokenizer
@@ -114,8 +114,8 @@ def _tokenizer(path: str) -> tuple:
         # A token of the byte-level vocabulary is written with a character for each byte; an added one stands for itself.
         added = {i: t.content.encode() for i, t in tokenizer.get_added_tokens_decoder().items()}
         sizes = np.array([len(added.get(i) or tokenizer.id_to_token(i) or "") for i in range(tokenizer.get_vocab_size())])
-        _WORKER[path] = (tokenizer, {}, {}, sizes, _splits_at_blanks(path))
-    return _WORKER[path]
+        cache[path] = (tokenizer, {}, {}, sizes, _splits_at_blanks(path))
+    return cache[path]
 
 
 def _encoded(tokenizer, texts: list[str]) -> list[tuple[str, int, str]]:
@@ -176,8 +176,8 @@ def encode_texts(texts: list[str], path: str, shared: dict[bytes, tuple[str, int
     tokenizer, runs, joins, sizes, splits = _tokenizer(path)
     if not splits:
         return _encoded(tokenizer, texts)
-    for kept in (runs, joins):
-        if len(kept) > RUNS:
+    for kept, most in ((runs, RUNS), (joins, JOINS)):
+        if len(kept) > most:
             kept.clear()
     parts, known, cut = [], {}, {}
     for t in texts:

@@ -41,10 +41,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def clear(spark: SparkSession, keep: DataFrame | None = None) -> None:
-    """Delete the written tables, but those that `keep` reads. Results that were not used by then cannot be read any more."""
+def made() -> int:
+    """How many tables there are that are not cleared."""
+    return len(_MADE)
+
+
+def clear(spark: SparkSession, keep: DataFrame | None = None, since: int = 0) -> None:
+    """Delete the tables written since `made` gave that number, but those that `keep` reads. Results of them that were not used
+    by then cannot be read any more."""
     used = set() if keep is None else {f.rsplit("/", 1)[0] for f in keep.inputFiles()}
-    for path in [p for p in _MADE if not any(u.endswith(p.split(":", 1)[-1].lstrip("/")) for u in used)]:
+    for path in [p for p in _MADE[since:] if not any(u.endswith(p.split(":", 1)[-1].lstrip("/")) for u in used)]:
         at = spark._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
         _MADE.remove(path)
@@ -60,6 +66,16 @@ def salted_join(many: DataFrame, one: DataFrame, keys: list[str], spread: Column
     return many.join(one.hint("merge"), [*keys, "_salt"], how).drop("_salt")
 
 
+_CACHES: dict[str, dict] = {}
+
+
+def worker_cache(name: str) -> dict:
+    """What a Python worker keeps for one operator. What it kept for others goes, since workers outlive stages."""
+    for other in [k for k in _CACHES if k != name]:
+        del _CACHES[other]
+    return _CACHES.setdefault(name, {})
+
+
 def stripped(text: Column) -> Column:
     """The text without any of SPACES; null counts as empty."""
     return F.translate(F.coalesce(text, F.lit("")), SPACES, "")

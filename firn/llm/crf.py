@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from firn.llm.common import written
+from firn.llm.common import worker_cache, written
 
 #: The fit sees at most so many texts of a language, of so many characters together; texts longer than LONG come last.
 ROWS, CHARS, LONG = 300, 400_000, 20_000
@@ -34,7 +34,6 @@ KEPT, CHAIN = 400_000, 200_000
 #: More languages than this are an error.
 LANGUAGES = 256
 _WORD = regex.compile(r"\p{L}+")
-_WORKER: dict = {}
 
 
 def words_of(text: str | None) -> list[str]:
@@ -205,14 +204,15 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", rows:
 
 def label_words(words: list[str], model: Crf, key: str, first: np.ndarray) -> np.ndarray:
     """Language probabilities of words; scores of distinct words are kept by the worker."""
-    if _WORKER.get("key") != key or len(_WORKER["at"]) > KEPT:
-        _WORKER.update(key=key, at={}, emit=np.zeros((0, len(model.languages))))
-    at = _WORKER["at"]
+    cache = worker_cache("crf")
+    if cache.get("key") != key or len(cache["at"]) > KEPT:
+        cache.update(key=key, at={}, emit=np.zeros((0, len(model.languages))))
+    at = cache["at"]
     known = len(at)
     ids = np.fromiter((at.setdefault(w, len(at)) for w in words), np.int64, len(words))
     if len(at) > known:
-        _WORKER["emit"] = np.concatenate([_WORKER["emit"], model.emissions(list(islice(at, known, None)))])
-    return forward_backward(_WORKER["emit"][ids], model.trans, model.start, first)[0]
+        cache["emit"] = np.concatenate([cache["emit"], model.emissions(list(islice(at, known, None)))])
+    return forward_backward(cache["emit"][ids], model.trans, model.start, first)[0]
 
 
 def identify(docs: DataFrame, model: Crf | None, id_col: str = "doc_id", text_col: str = "text", keep: list[Column] | None = None) -> DataFrame:

@@ -25,14 +25,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from firn.llm.common import worker_cache
+
 #: The fit sees at most so many rated documents.
 ROWS = 2_500
 BUCKETS = 1 << 15
 #: Words that a worker keeps scores of.
-KEPT = 400_000
+KEPT = 250_000
 #: A document stays if the probability of a grade of at least ACCEPT is at least this.
 ACCEPT, TAIL = 1, 0.5
-_WORKER: dict = {}
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -145,17 +146,18 @@ def scored(docs: DataFrame, model: Ordinal | None, text_col: str = "text", accep
 
     def scores(texts: list[str | None], model: Ordinal) -> np.ndarray:
         """The mean of the scores of a text's words, which a worker keeps, and the share of immediate repeats."""
-        if _WORKER.get("key") != key or len(_WORKER["at"]) > KEPT:
-            _WORKER.update(key=key, at={}, score=np.zeros(0))
-        at, parts = _WORKER["at"], [words_of(t) for t in texts]
+        cache = worker_cache("ordinal")
+        if cache.get("key") != key or len(cache["at"]) > KEPT:
+            cache.update(key=key, at={}, score=np.zeros(0))
+        at, parts = cache["at"], [words_of(t) for t in texts]
         known, sizes = len(at), np.array([len(p) for p in parts])
         ids = np.array([at.setdefault(w, len(at)) for p in parts for w in p], np.int64)
         if len(at) > known:
             fresh = np.array([word_features(w) for w in islice(at, known, None)], np.int64)
-            _WORKER["score"] = np.concatenate([_WORKER["score"], model.weights[fresh].sum(1)])
+            cache["score"] = np.concatenate([cache["score"], model.weights[fresh].sum(1)])
         owner = np.repeat(np.arange(len(parts)), sizes)
         again = np.flatnonzero((ids[1:] == ids[:-1]) & (owner[1:] == owner[:-1]))
-        total = np.bincount(owner, _WORKER["score"][ids], len(parts)) + model.weights[_REPEAT] * np.bincount(owner[again], minlength=len(parts))
+        total = np.bincount(owner, cache["score"][ids], len(parts)) + model.weights[_REPEAT] * np.bincount(owner[again], minlength=len(parts))
         return model.weights[_PRIOR] + total / np.maximum(sizes, 1)
 
     @F.pandas_udf("expected_grade double, tail_probability double, top_probability double")

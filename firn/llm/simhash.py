@@ -43,7 +43,7 @@ BLOCK = 262_144
 #: Pairs that are compared at once; leaves of more pairs than CROWD are compared row by row, settled rows left out.
 PAIRS, CROWD = 400_000, 1_000_000
 #: Shingles of the texts that one side of an exact comparison holds.
-GRAMS = 4_000_000
+GRAMS = 2_000_000
 #: Longest run of shingles whose bits are unpacked at once.
 _STEP = 8_192
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)
