@@ -236,14 +236,22 @@ def plain_repeats(rows, window):
         if len(places) > 1:
             for d, i in places:
                 gone[d].update(range(i, i + window))
-    return Counter((i, len(w), len(g), sha(" ".join(x for k, x in enumerate(w) if k not in g))) for (i, _), w, g in zip(rows, words, gone, strict=True))
+
+    def ranges(g):
+        edges = sorted(k for k in g if k - 1 not in g), sorted(k + 1 for k in g if k + 1 not in g)
+        return tuple(zip(*edges, strict=True))
+
+    return Counter((i, len(w), len(g), sha(" ".join(x for k, x in enumerate(w) if k not in g)), ranges(g)) for (i, _), w, g in zip(rows, words, gone, strict=True))
+
+
+def found_repeats(made):
+    return Counter((r.id, r.n_words, r.n_removed, r.kept_sha256, tuple(map(tuple, r.repeats))) for r in made.collect())
 
 
 @pytest.mark.parametrize("table", ["docs", "some"])
 def test_repeats(table, request):
     df = request.getfixturevalue(table)
-    got = Counter((r.id, r.n_words, r.n_removed, r.kept_sha256) for r in repeats.without_repeats(df).collect())
-    assert got == plain_repeats(texts_of(df), repeats.WINDOW)
+    assert found_repeats(repeats.without_repeats(df)) == plain_repeats(texts_of(df), repeats.WINDOW)
 
 
 def test_repeats_among_few_words(spark):
@@ -251,8 +259,8 @@ def test_repeats_among_few_words(spark):
     rng = np.random.default_rng(3)
     rows = [(d, " ".join(rng.choice(list("abc"), rng.integers(0, 90), p=[0.6, 0.3, 0.1]))) for d in range(150)]
     for window, seed in ((9, 4), (12, 3), (6, 6)):
-        got = Counter((r.id, r.n_words, r.n_removed, r.kept_sha256) for r in repeats.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), window=window, seed=seed).collect())
-        assert got == plain_repeats(rows, window)
+        made = repeats.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), window=window, seed=seed)
+        assert found_repeats(made) == plain_repeats(rows, window)
 
 
 # --- sketches

@@ -24,6 +24,23 @@ def test_stages(spark):
     assert docs.where(F.col("n_tokens") != F.size("ids")).count() == 0
 
 
+def test_stages_on_odd_rows(spark, docs, empty):
+    """Nulls, ties, repeated rows, long texts, extra columns whose names clash, and an empty table through every stage."""
+    sf_dir = "/root/testdata/sf0.01"
+    odd = docs.selectExpr("*", "1 AS `a.b`", "2 AS fp", "3 AS head", "4 AS expected_grade", "5 AS copies")
+    for table in (odd, odd.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            after = corpus_pipeline.written(stage(spark, table, sf_dir), f"odd-{name}")
+            n = after.count()
+            assert (n > 0) == (table.count() > 0) or name == "mix"
+            if name == "tokens":
+                assert n == table.count()
+            else:
+                assert after.columns == table.columns
+            if name in ("quality", "exact", "near"):
+                assert n <= table.count()
+
+
 def test_clean_documents_stay(spark):
     sf_dir = "/root/testdata/sf0.01"
     docs = queries.table(spark, sf_dir, "documents")
