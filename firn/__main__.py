@@ -1,4 +1,4 @@
-"""python -m firn CONFIG STORE OUT: run the assessment on a table of observations."""
+"""python -m firn CONFIG [OBSERVATIONS]: run the assessment on a catalogue, or on a table of observations."""
 
 from __future__ import annotations
 
@@ -6,44 +6,87 @@ import argparse
 import logging
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firn.functions import dims
+from firn.operators.stored import written
 from firn.plans import assessment
-from firn.sources import sinks
-from firn.sources.config import RunConfig, set_up_logging
+from firn.sources import catalogue, sinks
+from firn.sources.config import RunConfig, YearType, set_up_logging
+
+_META = ["dataset_id", "dataset_ord", "region", "data_group", "user_group", "unit"]
+#: Lists of a region's settings: role, and whether it takes datasets out or adds combined ones.
+_LISTS = {
+    "exclude_annual_datasets": ("annual", "exclude"), "exclude_trend_datasets": ("trend", "exclude"),
+    "include_combined_annual_datasets": ("annual", "include"), "include_combined_trend_datasets": ("trend", "include"),
+}
+
+
+def assess(spark: SparkSession, config: RunConfig, obs: DataFrame) -> dict[str, DataFrame]:
+    """The results of a run by name, from rows of all datasets with their metadata (see _META)."""
+    names = [r.region_name for r in config.region_configs]
+    calendar = [r.region_name for r in config.region_configs if r.year_type is YearType.CALENDAR]
+    regions = assessment.with_years(dims.regions(spark, config.rgi_area_version), calendar)
+    obs = obs.where(F.col("region").isin(names))
+    pairs = [(r, g) for r in names for g in config.datagroups_to_calculate]
+    lists = [(r.region_name, g, *_LISTS[k], x) for r in config.region_configs for g in config.datagroups_to_calculate for k, v in r.settings(g).items() if k in _LISTS for x in v]
+    chosen = assessment.selected(obs.select(*_META).distinct(), pairs, lists).select("dataset_id", "role", F.col("group").alias("data_group"))
+    rows = obs.drop("data_group").join(F.broadcast(chosen), "dataset_id")
+    wanted = [(r.region_name, r.seasonal_correction_dataset["user_group"], r.seasonal_correction_dataset["data_group"]) for r in config.region_configs]
+    wanted = spark.createDataFrame(wanted, "region string, user_group string, data_group string")
+    seasonal = written(assessment.seasonal_series(obs, regions, wanted), "seasonal")
+    settings = assessment.Settings(config.start_year, config.end_year, config.method_to_extract_trends.value, config.seasonal_correction_method.value)
+    stages = assessment.group_stages(rows, regions, settings, seasonal)
+    regional = written(assessment.regional_results(stages["final"]), "regional")
+    years = written(assessment.to_calendar_years(regional, seasonal), "calendar")
+    return stages | {
+        "final_gt": assessment.in_gt(stages["final"], regions), "consensus_mwe": regional, "consensus_gt": assessment.in_gt(regional, regions), "calendar_mwe": years, "calendar_gt": assessment.in_gt(years, regions),
+        "global_mwe": assessment.global_result(years, regions, config.start_year, config.end_year), "global_gt": assessment.global_result(years, regions, config.start_year, config.end_year, "gt"),
+    }
+
+
+def save(results: dict[str, DataFrame], config: RunConfig, layout: sinks.Layout) -> None:
+    """All stages in one partitioned table, and the named CSV files of groups, regions and the world."""
+    stages = [*sinks.STAGES, "final"]
+    sinks.save_stages({k: results[k] for k in stages}, f"{layout.base}/stages")
+    for unit in ("mwe", "gt"):
+        sinks.save_csv(results[f"global_{unit}"], layout.csv(0, "global", "consensus", sinks.global_name(unit)))
+        for own in config.region_configs:
+            name, rgi_id = own.region_name, next(r[0] for r in dims.REGIONS if r[1] == own.region_name)
+            for years, stage in (("hydrological", "consensus"), ("calendar", "calendar")):
+                sinks.save_csv(results[f"{stage}_{unit}"].where(F.col("region") == name), layout.csv(rgi_id, name, "consensus", sinks.consensus_name(years, unit, name)))
+    for own in config.region_configs:
+        name, rgi_id = own.region_name, next(r[0] for r in dims.REGIONS if r[1] == own.region_name)
+        for group in config.datagroups_to_calculate:
+            one = results["final"].where((F.col("region") == name) & (F.col("data_group") == group))
+            sinks.save_csv(one, layout.csv(rgi_id, name, group, sinks.final_name(group)))
+    config.save(layout.configs())
 
 
 def main(args: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="firn")
     parser.add_argument("config")
-    parser.add_argument("observations", nargs="?", help="a Parquet table of observations with their metadata")
+    parser.add_argument("observations", nargs="?", help="a Parquet table of rows of all datasets with their metadata, instead of the catalogue")
+    parser.add_argument("--store", help="where the submission system's files lie, if the catalogue's path names that system")
     parser.add_argument("-q", "--no-outputs", action="store_true")
     parser.add_argument("-d", "--debug", action="store_true")
     parsed = parser.parse_args(args)
     set_up_logging(level=logging.DEBUG if parsed.debug else logging.INFO)
     config = RunConfig.load(parsed.config)
-    names = [r.region_name for r in config.region_configs]
-    if not names:
+    if not config.region_configs:
         logging.info("no region is enabled")
         return
     spark = SparkSession.builder.appName("firn").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    regions = dims.regions(spark, config.rgi_area_version)
-    obs = spark.read.parquet(parsed.observations).where(F.col("region").isin(names) & F.col("data_group").isin(config.datagroups_to_calculate))
-    groups = assessment.group_results(obs, regions, (config.start_year, config.end_year), config.method_to_extract_trends.value).cache()
-    regional = assessment.regional_results(groups).cache()
-    world = assessment.global_result(assessment.to_calendar_years(regional), regions, config.start_year, config.end_year)
+    if parsed.observations:
+        obs = spark.read.parquet(parsed.observations)
+    else:
+        obs = catalogue.with_rows(spark, catalogue.load(spark, config.catalogue_path, parsed.store))
+    results = assess(spark, config, obs)
     if parsed.no_outputs:
-        logging.info("%d global years", world.count())
+        logging.info("%d global years", results["global_mwe"].count())
         return
-    layout = sinks.Layout.stamped(config.result_base_path, datetime.now())
-    sinks.save_stages({"final": groups}, f"{layout.base}/stages")
-    sinks.save_csv(world, layout.csv(0, "global", "consensus", sinks.global_name("mwe")))
-    for own in config.region_configs:
-        rgi_id = next(r[0] for r in dims.REGIONS if r[1] == own.region_name)
-        sinks.save_csv(regional.where(F.col("region") == own.region_name), layout.csv(rgi_id, own.region_name, "consensus", sinks.consensus_name("hydrological", "mwe", own.region_name)))
-    config.save(layout.configs())
+    save(results, config, sinks.Layout.stamped(config.result_base_path, datetime.now()))
 
 
 if __name__ == "__main__":

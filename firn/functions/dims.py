@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 # Fixed values, equal to the reference's for equal results.
 WATER, ICE, OCEAN_KM2, SEASONAL_ERROR = 997.0, 850.0, 3.625e8, 0.1
 GRACE_GAP = (2017.4, 2018.6)
+GRACE_ROW = "2017-07-01"
 NODATA_LIMIT = {"m": 100.0, "mwe": 100.0, "gt": 10_000.0}
 REGION_COLUMNS = "rgi_id int, name string, long_name string, short_name string, rgi5_area double, rgi6_area double, rgi7_area double, area_change double, area_change_reference_year int, glaciological_year_start double, area_uncertainty_percentage double"
 REGIONS = [

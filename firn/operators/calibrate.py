@@ -41,10 +41,25 @@ def combined(cal: DataFrame, group: list[str], p: float = 2.0, outside: bool = T
     return rows.groupBy(*dated).agg(F.sum(F.col("weight") * F.col("value")).alias("change"), F.first("error").alias("error"), F.count("weight").alias("n_")).where("n_ > 0").drop("n_")
 
 
+def _year(x: str | Column) -> Column:
+    return F.floor(m(x) / 12).cast("int")
+
+
+def covering(trends: DataFrame, steps: DataFrame, group: list[str]) -> DataFrame:
+    """The trends that the series covers with the steps inside them, met by year."""
+    span = steps.groupBy(*group).agg(F.min("start_date").alias("low"), F.max("end_date").alias("high"), F.min_by(F.col("end_date") - F.col("start_date"), "start_date").alias("resolution"))
+    t = trends.select(*group, "trend", F.col("seq").alias("trend_seq"), F.col("start_date").alias("ts"), F.col("end_date").alias("te"), F.col("change").alias("tc"), F.col("error").alias("t_error"))
+    t = t.join(span, group).where((m("ts") >= m("low")) & (m("te") <= m("high")) & (m("ts") < m("te"))).drop("low", "high")
+    t = t.withColumn("year_", F.explode(F.sequence(_year("ts"), F.floor((m("te") - 1) / 12).cast("int"))))
+    both = t.join(steps.select(*group, "step", "start_date", "end_date", "change", "error", _year("start_date").alias("year_")), [*group, "year_"])
+    return both.where((m("start_date") >= m("ts")) & (m("end_date") <= m("te"))).drop("year_")
+
+
 def onto_trends(trends: DataFrame, steps: DataFrame, group: list[str]) -> DataFrame:
     """For each trend dataset the series calibrated with it: the mean over the trends that cover a step. The error adds that of the
     first covering trend, scaled to a step, in quadrature."""
-    cal = calibrated(trends, steps, group).where("distance = 1").withColumn("length_", F.col("te") - F.col("ts"))
+    w = Window.partitionBy(*group, "trend", "trend_seq")
+    cal = covering(trends, steps, group).withColumn("value", F.col("change") + F.col("tc") / F.count(F.lit(1)).over(w) - F.avg("change").over(w))
     mean = trends.groupBy(*group, "trend").agg(F.avg(F.col("end_date") - F.col("start_date")).alias("mean_length"))
     out = cal.groupBy(*group, "trend", "step", "start_date", "end_date").agg(F.avg("value").alias("change"), F.first("error").alias("e_"), F.min_by("t_error", "trend_seq").alias("t_"), F.first("resolution").alias("r_"))
     out = out.join(mean, [*group, "trend"])
@@ -64,7 +79,8 @@ def homogenised(own: DataFrame, seasonal: DataFrame, group: list[str], year_star
     one = one.withColumn("level", F.sum("change").over(Window.partitionBy(*keys).orderBy("step").rowsBetween(Window.unboundedPreceding, 0)))
     rows = own.select(*keys, "seq", F.col("start_date").alias("s0"), F.col("end_date").alias("e0"), F.col("error").alias("e_"), ys.alias("ys_"))
     rows = rows.withColumn("s1", dates.nearest_year("s0", F.col("ys_"))).withColumn("e1", dates.nearest_year("e0", F.col("ys_"))).drop("ys_")
-    both = rows.join(one, keys)
+    years = F.sequence(_year(F.least("s0", "s1")), F.floor((m(F.greatest("e0", "e1")) - 1) / 12).cast("int"))
+    both = rows.withColumn("year_", F.explode(years)).join(one.withColumn("year_", _year("start_date")), [*keys, "year_"])
     old = (m("start_date") >= m("s0")) & (m("end_date") <= m("e0"))
     new = (m("start_date") >= m("s1")) & (m("end_date") <= m("e1"))
     at = lambda f, where: f(F.when(where, F.col("level")), F.when(where, F.col("step")))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from firn.functions import dates
 from firn.operators.filters import KEYS
 from firn.operators.series import cumulative, interpolated, month_points, slope
+from firn.operators.stored import written
 
 
 def common_period(obs: DataFrame, group: list[str], series: str = "dataset_id") -> tuple[DataFrame, DataFrame]:
@@ -76,17 +77,24 @@ def outer_extended(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return both.select(*on, F.coalesce("c_", "d_").alias("change"), F.coalesce("e_", "f_").alias("error"))
 
 
-def extended_if_shorter(a: DataFrame, b: DataFrame, keys: list[str], window: tuple[float, float]) -> DataFrame:
-    """Series a, extended by b where a has gaps or does not reach over the window; both then lose their means over the overlap."""
+def extended_if_shorter(a: DataFrame, b: DataFrame, keys: list[str], window: tuple[float, float] | DataFrame) -> DataFrame:
+    """Series a, extended by b where a has gaps or does not reach over the window: a pair of dates, or a table of keys, low and high.
+
+    Both then lose their means over the rows that lie in the period which both span; without such rows nothing is known of
+    their levels and changes are null. Series that b lacks, or without a window, stay as they are.
+    """
     w = Window.partitionBy(*keys).orderBy("start_date")
-    state = a.withColumn("p_", F.lag("end_date").over(w)).groupBy(*keys).agg((F.min("start_date") > window[0]).alias("late"), (F.max("end_date") < window[1]).alias("early"), F.bool_or(F.coalesce(F.col("p_") != F.col("start_date"), F.lit(False))).alias("torn"))
-    short = state.where("late OR early OR torn").select(*keys)
+    own = a.withColumn("p_", F.lag("end_date").over(w)).groupBy(*keys).agg(F.min("start_date").alias("a_low"), F.max("end_date").alias("a_high"), F.bool_or(F.coalesce(F.col("p_") != F.col("start_date"), F.lit(False))).alias("torn"))
+    own = own.withColumns({"low": F.lit(window[0]), "high": F.lit(window[1])}) if isinstance(window, tuple) else own.join(window.select(*keys, "low", "high"), keys)
+    spare = b.groupBy(*keys).agg(F.min("start_date").alias("b_low"), F.max("end_date").alias("b_high"))
+    short = own.where("a_low > low OR a_high < high OR torn").join(spare, keys)
+    short = short.select(*keys, F.greatest("a_low", "b_low").alias("from_"), F.least("a_high", "b_high").alias("to_"))
     dated = [*keys, "start_date", "end_date"]
-    overlap = a.select(*dated).join(b.select(*dated), dated)
 
     def centred(x: DataFrame) -> DataFrame:
-        mean = x.join(overlap, dated, "left_semi").groupBy(*keys).agg(F.avg("change").alias("m_"))
-        return x.join(short, keys, "left_semi").join(mean, keys, "left").withColumn("change", F.col("change") - F.coalesce("m_", F.lit(0.0))).select(*dated, "change", "error")
+        inside = (F.col("start_date") >= F.col("from_")) & (F.col("end_date") <= F.col("to_"))
+        mean = F.avg(F.when(inside, F.col("change"))).over(Window.partitionBy(*keys))
+        return x.join(short, keys).withColumn("change", F.col("change") - mean).select(*dated, "change", "error")
 
     return a.join(short, keys, "left_anti").select(*dated, "change", "error").unionByName(outer_extended(centred(a), centred(b), keys))
 
@@ -112,8 +120,9 @@ def year_sums(obs: DataFrame, keys: list[str], year_start: Column | float) -> Da
     return out.select(*keys, F.col("year").alias("start_date"), (F.col("year") + 1).alias("end_date"), F.coalesce("c_", F.lit(0.0)).alias("change"), "error", F.coalesce("covered", F.lit(False)).alias("covered"))
 
 
-def monthly_combination(points: DataFrame, group: list[str], series: str = "dataset_id", tolerance: float | None = None, errors: bool = False) -> DataFrame:
-    """Mean of several cumulative solutions on the monthly grid. tolerance: solutions farther from the mean of all values than so many of their standard deviations (one at least) do not count."""
+def monthly_combination(points: DataFrame, group: list[str], series: str = "dataset_id", tolerance: float | None = None, errors: bool = False, average_months: int = 1) -> DataFrame:
+    """Mean of several cumulative solutions on the monthly grid. tolerance: solutions farther from the mean of all values than
+    so many of their standard deviations (one at least) do not count. average_months: means over so many months in a row."""
     keys = [*group, series]
     spans = points.groupBy(*keys).agg(F.min("date").alias("low"), F.max("date").alias("high"))
     each = interpolated(points, month_points(spans, keys), keys, ("change",)).withColumn("month", dates.month_index("date"))
@@ -122,21 +131,42 @@ def monthly_combination(points: DataFrame, group: list[str], series: str = "data
         each = each.join(whole, group).where(F.abs(F.col("change") - F.col("m_")) < max(tolerance, 1.0) * F.col("s_")).drop("m_", "s_")
     y = F.col("change")
     value = F.sqrt(F.sum(y * y) / F.count(y)) / F.sqrt(F.count(y)) if errors else F.avg(y)
-    return each.groupBy(*group, "month").agg(value.alias("change"), F.count(y).alias("n_series"))
+    out = each.groupBy(*group, "month").agg(value.alias("change"), F.count(y).alias("n_series"))
+    if average_months > 1:
+        half = average_months // 2
+        near = Window.partitionBy(*group).orderBy("month").rangeBetween(-half, average_months - 1 - half)
+        out = out.withColumn("change", F.avg("change").over(near))
+    return out
 
 
-def matched(a: DataFrame, b: DataFrame, column: str, tolerance: float = 0.0) -> DataFrame:
-    """index_a, index_b of equal values, or of neighbours in sorted order nearer than tolerance. Indices are those of the sorted values; duplicates are an error."""
+def _in_order(df: DataFrame, column: str) -> DataFrame:
+    """df in ranges of a column, written, so that p_ (a range's place) stays."""
+    return written(df.repartitionByRange(column).withColumn("p_", F.spark_partition_id()), "ranges")
 
-    def numbered(df: DataFrame, name: str) -> DataFrame:
-        one = df.groupBy(column).agg(F.count(F.lit(1)).alias("n_")).select(F.when(F.col("n_") == 1, F.col(column)).otherwise(F.raise_error(F.lit("duplicate values")).cast("double")).alias(column))
-        return one.select(column, (F.row_number().over(Window.orderBy(column)) - 1).alias(name))
 
-    x, y = numbered(a, "index_a"), numbered(b, "index_b")
+def _numbered(df: DataFrame, column: str, name: str) -> DataFrame:
+    """The sorted values of a column with their indices; duplicates are an error. Only the sizes of the ranges meet in one task."""
+    one = df.groupBy(column).agg(F.count(F.lit(1)).alias("n_"))
+    one = one.select(F.when(F.col("n_") == 1, F.col(column)).otherwise(F.raise_error(F.lit("duplicate values")).cast("double")).alias(column))
+    ranged = _in_order(one, column)
+    sizes = ranged.groupBy("p_").agg(F.count(F.lit(1)).alias("n_"))
+    sizes = sizes.select("p_", (F.sum("n_").over(Window.orderBy("p_").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_")).alias("before_"))
+    place = F.col("before_") + F.row_number().over(Window.partitionBy("p_").orderBy(column)) - 1
+    return ranged.join(F.broadcast(sizes), "p_").select(column, place.cast("int").alias(name))
+
+
+def matched(a: DataFrame, b: DataFrame, column: str, tolerance: float = 0.0) -> DataFrame:
+    """index_a, index_b of equal values, or of neighbours in sorted order nearer than tolerance. Indices are those of the sorted
+    values; duplicates are an error."""
+    x, y = _numbered(a, column, "index_a"), _numbered(b, column, "index_b")
     if tolerance == 0:
         return x.join(y, column).select("index_a", "index_b")
-    both = x.withColumn("index_b", F.lit(None).cast("int")).unionByName(y.withColumn("index_a", F.lit(None).cast("int")))
-    w = Window.orderBy(column)
-    near = both.select("*", F.lead(column).over(w).alias("v_"), F.lead("index_a").over(w).alias("a_"), F.lead("index_b").over(w).alias("b_"))
-    near = near.where(F.abs(F.col("v_") - F.col(column)) < tolerance)
-    return near.select(F.coalesce("index_a", "a_").alias("index_a"), F.coalesce("index_b", "b_").alias("index_b")).where("index_a IS NOT NULL AND index_b IS NOT NULL")
+    none = F.lit(None).cast("int")
+    both = _in_order(x.withColumn("index_b", none).unionByName(y.withColumn("index_a", none)), column)
+    # The first row of each range is also the neighbour of the last one before it.
+    row = F.struct(F.col(column).alias("v"), F.col("index_a").alias("a"), F.col("index_b").alias("b"))
+    heads = both.groupBy("p_").agg(F.min(row).alias("head")).select("p_", F.lead("head").over(Window.orderBy("p_")).alias("head_"))
+    near = both.withColumn("next_", F.lead(row).over(Window.partitionBy("p_").orderBy(column))).join(F.broadcast(heads), "p_")
+    near = near.withColumn("next_", F.coalesce("next_", "head_")).where(F.abs(F.col("next_.v") - F.col(column)) < tolerance)
+    both_ends = near.select(F.coalesce("index_a", "next_.a").alias("index_a"), F.coalesce("index_b", "next_.b").alias("index_b"))
+    return both_ends.where("index_a IS NOT NULL AND index_b IS NOT NULL")

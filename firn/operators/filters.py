@@ -126,10 +126,6 @@ def submission_checks(submissions: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def non_null(obs: DataFrame) -> DataFrame:
-    return obs.where(F.col("change").isNotNull())
-
-
 def only_needed(obs: DataFrame) -> DataFrame:
     """Without the four optional columns."""
     return obs.drop("glacier_area_reference", "glacier_area_observed", "hydrological_correction_value", "remarks")

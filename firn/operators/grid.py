@@ -64,13 +64,14 @@ def spread_over_years(obs: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     return rows.select(*keys, "seq", (F.col("start_date") + F.col("k_")).alias("start_date"), (F.col("start_date") + F.col("k_") + 1).alias("end_date"), (F.col("change") / F.col("n_")).alias("change"), (F.col("error") / F.col("n_")).alias("error"))
 
 
-def to_annual(obs: DataFrame, year_start: Column | float, keys: list[str] = KEYS) -> DataFrame:
-    """Monthly-grid series to years: up to a year by sums, coarser ones spread, which must lie on the annual grid."""
+def to_annual(obs: DataFrame, year_start: Column | float, keys: list[str] = KEYS, covered: bool = False) -> DataFrame:
+    """Monthly-grid series to years: up to a year by sums, coarser ones spread, which must lie on the annual grid. covered: without years that no row lies in."""
     start = dates._col(year_start)
     state = extremes(obs, keys).join(on_annual_grid(obs.withColumn("ys_", start), F.col("ys_"), keys), keys).select(*keys, (F.col("finest") > 1).alias("coarse_"), "is_annual")
     rows = obs.join(state, keys)
     guard = F.when(F.col("is_annual"), F.col("change")).otherwise(F.raise_error(F.lit("a series coarser than a year is not on the annual grid")).cast("double"))
-    fine = year_sums(rows.where(~F.col("coarse_")), keys, year_start).drop("covered")
+    fine = year_sums(rows.where(~F.col("coarse_")), keys, year_start)
+    fine = (fine.where("covered") if covered else fine).drop("covered")
     coarse = spread_over_years(rows.where("coarse_").withColumn("change", guard), keys).drop("seq")
     return fine.unionByName(coarse).withColumn("seq", F.row_number().over(Window.partitionBy(*keys).orderBy("start_date")))
 

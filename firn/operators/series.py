@@ -64,19 +64,33 @@ def interpolated(knots: DataFrame, at: DataFrame, keys: list[str] = KEYS, values
     return rows.select(*keys, "date", *map(value, values))
 
 
-def natural_cubic(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Interpolating cubic spline, not-a-knot at the ends; fewer than four points: the polynomial through them."""
+def cubic_spline(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Interpolating cubic spline, not-a-knot at the ends; fewer than four points: the polynomial through them. Knots of one
+    date count as their mean. The system of second derivatives is solved along its three diagonals."""
+    x, where = np.unique(x, return_inverse=True)
+    y = np.bincount(where, y) / np.bincount(where)
     if len(x) < 4:
         return np.polyval(np.polyfit(x - x[0], y, len(x) - 1), at - x[0])
     h, s = np.diff(x), np.diff(y) / np.diff(x)
-    n = len(x)
-    a, r = np.zeros((n, n)), np.zeros(n)
-    a[0, :3], a[-1, -3:] = (h[1], -(h[0] + h[1]), h[0]), (h[-1], -(h[-2] + h[-1]), h[-2])
-    for i in range(1, n - 1):
-        a[i, i - 1 : i + 2] = h[i - 1], 2 * (h[i - 1] + h[i]), h[i]
-        r[i] = 6 * (s[i] - s[i - 1])
-    m = np.linalg.solve(a, r)
-    i = np.clip(np.searchsorted(x, at, "right") - 1, 0, n - 2)
+    n = len(x) - 2
+    low, mid, high, r = h[:-1].copy(), 2 * (h[:-1] + h[1:]), h[1:].copy(), 6 * np.diff(s)
+    # The ends' derivatives continue their neighbours' line, and leave the system.
+    mid[0] += h[0] * (h[0] + h[1]) / h[1]
+    high[0] -= h[0] ** 2 / h[1]
+    mid[-1] += h[-1] * (h[-1] + h[-2]) / h[-2]
+    low[-1] -= h[-1] ** 2 / h[-2]
+    for i in range(1, n):
+        f = low[i] / mid[i - 1]
+        mid[i] -= f * high[i - 1]
+        r[i] -= f * r[i - 1]
+    inner = np.empty(n)
+    inner[-1] = r[-1] / mid[-1]
+    for i in range(n - 2, -1, -1):
+        inner[i] = (r[i] - high[i] * inner[i + 1]) / mid[i]
+    first = ((h[0] + h[1]) * inner[0] - h[0] * inner[1]) / h[1]
+    last = ((h[-1] + h[-2]) * inner[-1] - h[-1] * inner[-2]) / h[-2]
+    m = np.concatenate([[first], inner, [last]])
+    i = np.clip(np.searchsorted(x, at, "right") - 1, 0, n)
     t = at - x[i]
     return y[i] + t * (s[i] - h[i] * (2 * m[i] + m[i + 1]) / 6) + t**2 * m[i] / 2 + t**3 * (m[i + 1] - m[i]) / (6 * h[i])
 
@@ -88,7 +102,7 @@ def _spline(knots: DataFrame, at: DataFrame, keys: list[str], values: tuple[str,
         k, p = pdf[pdf["knot"]].sort_values("date"), pdf[~pdf["knot"]].copy()
         for v in values:
             own = k[k[v].notna()]
-            p[v] = natural_cubic(own["date"].to_numpy(), own[v].to_numpy(), p["date"].to_numpy()) if len(own) else np.nan
+            p[v] = cubic_spline(own["date"].to_numpy(), own[v].to_numpy(), p["date"].to_numpy()) if len(own) else np.nan
         return p[[*keys, "date", *values]]
 
     kinds = dict(both.dtypes)
@@ -167,19 +181,24 @@ def small_gaps_closed(rows: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     return rows.withColumn("end_date", F.coalesce(F.lead("start_date").over(by(keys)), F.col("end_date")))
 
 
-def gaps_interpolated(rows: DataFrame, keys: list[str] = KEYS, values: tuple[str, ...] = ("change", "error"), least_days: int = 1) -> DataFrame:
-    """Rows of dates with a new row in each gap of over `least_days`: its rate per day is interpolated over the row index. Every row ends where the next starts."""
+def gaps_interpolated(
+    rows: DataFrame, keys: list[str] = KEYS, values: tuple[str, ...] = ("change", "error"), least_days: int = 1, plain: tuple[str, ...] = (), without_start: str | None = None
+) -> DataFrame:
+    """Rows of dates with a new row in each gap of over `least_days`: its rate per day, or for `plain` columns its value, is
+    interpolated over the row index. Every row ends where the next starts; then rows that start on `without_start` go."""
     w = by(keys)
     rows = rows.withColumn("next_", F.lead("start_date").over(w)).withColumn("days_", F.datediff(F.coalesce("next_", "end_date"), "end_date"))
     rates = [F.try_divide(F.col(v), F.datediff("end_date", "start_date")).alias(v) for v in values]
-    own = rows.select(*keys, F.col("seq").cast("double").alias("seq"), "start_date", "end_date", *rates, F.lit(False).alias("is_filled"))
-    new = rows.where(F.col("days_") > least_days).select(*keys, (F.col("seq") + 0.5).alias("seq"), F.col("end_date").alias("start_date"), F.col("next_").alias("end_date"), *[F.lit(None).cast("double").alias(v) for v in values], F.lit(True).alias("is_filled"))
+    own = rows.select(*keys, F.col("seq").cast("double").alias("seq"), "start_date", "end_date", *rates, *plain, F.lit(False).alias("is_filled"))
+    new = rows.where(F.col("days_") > least_days).select(*keys, (F.col("seq") + 0.5).alias("seq"), F.col("end_date").alias("start_date"), F.col("next_").alias("end_date"), *[F.lit(None).cast("double").alias(v) for v in (*values, *plain)], F.lit(True).alias("is_filled"))
     out = own.unionByName(new)
-    for v in values:
+    for v in (*values, *plain):
         out = filled_by_index(out, v, keys, ["seq"])
     out = out.withColumn("end_date", F.coalesce(F.lead("start_date").over(w), F.col("end_date")))
+    if without_start:
+        out = out.where(F.col("start_date") != F.lit(without_start).cast("date"))
     days = F.datediff("end_date", "start_date")
-    return out.select(*keys, F.row_number().over(w).alias("seq"), "start_date", "end_date", *[(F.col(v) * days).alias(v) for v in values], "is_filled")
+    return out.select(*keys, F.row_number().over(w).alias("seq"), "start_date", "end_date", *[(F.col(v) * days).alias(v) for v in values], *plain, "is_filled")
 
 
 def decumulated(rows: DataFrame, keys: list[str] = KEYS, value: str = "change") -> DataFrame:

@@ -1,79 +1,151 @@
 """The assessment: all regions and data groups through one plan, to regional and global consensus.
 
-`obs` holds the rows of all datasets with their metadata: region, data_group, dataset_id, role (annual or trend), unit,
-area_change_applied, seq, start_date, end_date, change, error. Loops over regions and groups are keys here.
+`obs` holds the rows of all datasets with their metadata: region, data_group (the group that is calculated), dataset_id,
+role (annual or trend), unit, seq, start_date, end_date, change, error. `regions` is the region dimension with a column
+year_start (see `with_years`), and `seasonal` the monthly series in mwe of each region (see `seasonal_series`). Loops over
+regions and groups are keys here.
 """
 
 from __future__ import annotations
 
-import tempfile
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from firn.functions import dates, units
 from firn.operators import calibrate, combine, filters, grid, series
+from firn.operators.stored import written
 
-KEYS = ["region", "data_group", "dataset_id", "slice_id"]
 GROUP = ["region", "data_group"]
+DATASET = [*GROUP, "dataset_id", "role"]
+#: A series without gaps, in one unit.
+SLICE = [*DATASET, "slice_id", "unit", "year_start"]
+_DATED = ["start_date", "end_date", "change", "error"]
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df as a checkpoint in the shared folder: several branches read it, and plans stay short."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="firn-"))
-    return df.checkpoint()
+@dataclass(frozen=True)
+class Settings:
+    """What a run asks: its years, how trends are taken from fine series, and how coarse ones come to the year grid."""
 
+    start_year: float
+    end_year: float
+    trend_method: str = "regression"
+    seasonal_method: str = "proportional"
 
-def with_year_start(df: DataFrame, regions: DataFrame) -> DataFrame:
-    return df.join(F.broadcast(regions.select(F.col("name").alias("region"), F.col("glaciological_year_start").alias("year_start"))), "region")
+    @property
+    def window(self) -> tuple[float, float]:
+        return float(self.start_year), float(self.end_year)
+
+
+def with_years(regions: DataFrame, calendar: list[str] = ()) -> DataFrame:
+    """The region dimension with year_start: 0 for the regions named, else that of the glaciological year."""
+    start = F.when(F.col("name").isin(list(calendar)), 0.0) if calendar else F.when(F.lit(False), 0.0)
+    return regions.withColumn("year_start", start.otherwise(F.col("glaciological_year_start")))
+
+
+def _year_start(df: DataFrame, regions: DataFrame) -> DataFrame:
+    return df.join(F.broadcast(regions.select(F.col("name").alias("region"), "year_start")), "region")
 
 
 def prepared(obs: DataFrame, regions: DataFrame) -> DataFrame:
-    """Needed columns, without the satellite gap, cut at gaps, in mwe and on months."""
-    rows = series.sliced_at_gaps(filters.without_satellite_gap(filters.only_needed(obs)), ["region", "data_group", "dataset_id", "role"])
-    keys = [*KEYS, "role"]
-    mwe = grid.to_mwe(rows, regions, keys)
-    return with_year_start(grid.to_monthly(mwe, keys), regions)
+    """Needed columns, without the satellite gap, cut at gaps and on months, in the units they came in."""
+    rows = series.sliced_at_gaps(filters.without_satellite_gap(filters.only_needed(obs)), DATASET)
+    return grid.to_monthly(_year_start(rows, regions), SLICE)
+
+
+def corrected(rows: DataFrame, seasonal: DataFrame | None, method: str) -> DataFrame:
+    """Series of years and more (SLICE, seq) on the year grid: in proportion, or by the region's seasonal series."""
+    if method == "proportional":
+        return grid.shifted_proportionally(rows, F.col("year_start"))
+    if method != "seasonal_homogenization":
+        raise NotImplementedError(method)
+    if seasonal is None:
+        raise ValueError("seasonal homogenization needs a seasonal series")
+    own = rows.withColumn("series", F.concat_ws("|", *[F.col(c).cast("string") for c in SLICE]))
+    out = calibrate.homogenised(own, seasonal, ["region"], F.col("year_start"), 0.0)
+    return out.join(own.select(*SLICE, "series").distinct(), ["region", "series"]).drop("series")
+
+
+def annual_series(monthly: DataFrame, regions: DataFrame, seasonal: DataFrame | None, method: str) -> DataFrame:
+    """Annual datasets on the year grid in mwe. Those of just a year a row are converted and shifted; others are summed over
+    full years, or spread over them, first, since the density's error is that of a year then."""
+    state = filters.extremes(monthly, SLICE).select(*SLICE, ((F.col("finest") == 1) & (F.col("coarsest") == 1)).alias("yearly"))
+    rows = monthly.join(state, SLICE)
+    yearly = corrected(grid.to_mwe(rows.where("yearly").drop("yearly"), regions, SLICE), seasonal, method)
+    other = grid.to_mwe(grid.to_annual(rows.where("NOT yearly"), F.col("year_start"), SLICE, covered=True), regions, SLICE)
+    own = [*GROUP, "dataset_id", "slice_id", *_DATED]
+    return yearly.select(*own).unionByName(other.select(*own))
 
 
-def variability(monthly: DataFrame) -> DataFrame:
-    """Annual series of the annual datasets, de-trended and averaged in each group."""
-    keys = [*KEYS, "year_start"]
-    annual = grid.to_annual(monthly.where("role = 'annual'"), F.col("year_start"), keys)
+def variability(annual: DataFrame) -> DataFrame:
+    """The annual series of each group, de-trended over the years that all have, and averaged. Slices of a dataset count as one."""
     return combine.consensus(annual, GROUP, remove_trend=True)
 
 
-def trends(monthly: DataFrame, method: str = "regression") -> DataFrame:
-    """Long-term trends of the trend datasets, on the annual grid."""
-    keys = [*KEYS, "year_start"]
-    rows = grid.longterm(monthly.where("role = 'trend'"), F.col("year_start"), method, keys)
-    return grid.shifted_proportionally(rows, F.col("year_start")).drop("year_start").withColumn("seq", F.row_number().over(Window.partitionBy(*GROUP, "dataset_id").orderBy("start_date")))
+def backup_series(own: DataFrame, seasonal: DataFrame | None, regions: DataFrame, window: tuple[float, float]) -> DataFrame:
+    """Of each region one annual series over all groups, extended by its seasonal series where it is short, without errors."""
+    both = combine.consensus(own.withColumnRenamed("data_group", "dataset_id"), ["region"], remove_trend=True, add_trend=True)
+    both = both.select("region", *_DATED)
+    if seasonal is not None:
+        both = combine.extended_if_shorter(both, _seasonal_years(seasonal, regions), ["region"], window)
+    return both.withColumn("error", F.lit(0.0))
+
+
+def _seasonal_years(seasonal: DataFrame, regions: DataFrame) -> DataFrame:
+    keys = ["region", "year_start"]
+    return grid.to_annual(_year_start(seasonal, regions), F.col("year_start"), keys, covered=True).select("region", *_DATED)
+
+
+def trends(monthly: DataFrame, regions: DataFrame, seasonal: DataFrame | None, settings: Settings) -> DataFrame:
+    """Long-term trends in mwe on the year grid, of what lies in the run's years. Conversion comes after extraction, as the
+    density's error depends on the length of the trend. Each slice of a dataset is a trend series of its own."""
+    rows = monthly.join(filters.extremes(monthly, SLICE).select(*SLICE, "finest"), SLICE)
+    rows = filters.in_window(rows, *settings.window)
+    fine = grid.longterm(rows.where("finest < 1").drop("finest"), F.col("year_start"), settings.trend_method, SLICE)
+    yearly = combine.total_trend(rows.where("finest = 1"), SLICE).select(*SLICE, *_DATED)
+    coarse = yearly.unionByName(rows.where("finest > 1").select(*SLICE, *_DATED))
+    coarse = coarse.withColumn("seq", F.row_number().over(Window.partitionBy(*SLICE).orderBy("start_date")))
+    coarse = corrected(grid.to_mwe(coarse, regions, SLICE), seasonal, settings.seasonal_method)
+    own = [*GROUP, F.concat_ws("|", "dataset_id", "slice_id").alias("trend"), *_DATED]
+    out = grid.to_mwe(fine, regions, SLICE).select(*own).unionByName(coarse.select(*own))
+    return out.withColumn("seq", F.row_number().over(Window.partitionBy(*GROUP, "trend").orderBy("start_date")))
 
 
 def recalibrated(annual: DataFrame, trend: DataFrame) -> DataFrame:
-    """Each group's variability moved onto its trends and averaged over the trend datasets."""
+    """Each group's variability moved onto its trends and averaged over the trend series."""
     steps = annual.withColumn("step", F.row_number().over(Window.partitionBy(*GROUP).orderBy("start_date")))
-    each = calibrate.onto_trends(trend.withColumnRenamed("dataset_id", "trend"), steps, GROUP)
+    each = calibrate.onto_trends(trend, steps, GROUP)
     return combine.consensus(each.withColumnRenamed("trend", "dataset_id"), GROUP)
 
 
-def backup_variability(annual: DataFrame) -> DataFrame:
-    """Per region one series over all groups, without errors, for groups whose own is too short."""
-    return combine.consensus(annual.withColumnRenamed("data_group", "dataset_id"), ["region"], remove_trend=True).withColumn("error", F.lit(0.0))
-
+def group_stages(obs: DataFrame, regions: DataFrame, settings: Settings, seasonal: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The stages of each region and data group, from raw rows on months to the result in mwe with the area change applied."""
+    monthly = written(prepared(obs, regions), "monthly")
+    annual = written(annual_series(monthly.where("role = 'annual'"), regions, seasonal, settings.seasonal_method), "annual")
+    own = written(variability(annual).select(*GROUP, *_DATED), "variability")
+    spare = written(backup_series(own, seasonal, regions, settings.window), "backup")
 
-def group_results(obs: DataFrame, regions: DataFrame, window: tuple[float, float], method: str = "regression") -> DataFrame:
-    """Result of each region and data group in mwe with the area change applied."""
-    monthly = cut(prepared(obs, regions))
-    annual = cut(variability(monthly))
-    spare = cut(backup_variability(annual))
+    trend = written(trends(monthly.where("role = 'trend'"), regions, seasonal, settings), "trends")
     groups = monthly.select(*GROUP).distinct()
-    extended = combine.extended_if_shorter(annual.select(*GROUP, "start_date", "end_date", "change", "error"), groups.join(spare, "region").select(*GROUP, "start_date", "end_date", "change", "error"), GROUP, window)
-    bare = groups.join(annual.select(*GROUP).distinct(), GROUP, "left_anti").join(spare, "region").select(*GROUP, "start_date", "end_date", "change", "error")
-    out = cut(recalibrated(cut(extended.unionByName(bare)), cut(trends(monthly, method)))).withColumn("unit", F.lit("mwe")).withColumn("area_change_applied", F.lit(False))
-    return grid.area_change(out, regions, True)
+    bare = groups.join(own.select(*GROUP).distinct(), GROUP, "left_anti").join(spare, "region")
+    bare = bare.withColumns({"dataset_id": F.lit("backup"), "role": F.lit("annual"), "slice_id": F.lit(1), "unit": F.lit("mwe")})
+    bare = bare.withColumn("seq", F.row_number().over(Window.partitionBy(*GROUP).orderBy("start_date")))
+    bare = variability(corrected(_year_start(bare, regions), seasonal, settings.seasonal_method)).select(*GROUP, *_DATED)
+    spans = trend.groupBy(*GROUP).agg(F.min("start_date").alias("low"), F.max("end_date").alias("high"))
+    every = groups.join(spare, "region").select(*GROUP, *_DATED)
+    extended = written(combine.extended_if_shorter(own.unionByName(bare), every, GROUP, spans), "extended")
+    out = recalibrated(extended, trend).withColumn("unit", F.lit("mwe")).withColumn("area_change_applied", F.lit(False))
+    raw = lambda role: monthly.where(F.col("role") == role)
+    return {
+        "annual_raw": raw("annual"), "trends_raw": raw("trend"), "annual_homogenized": annual, "annual_anomalies": own, "trends_homogenized": trend,
+        "calibrated_series": extended, "final": written(grid.area_change(out, regions, True), "groups"),
+    }
+
+
+def group_results(obs: DataFrame, regions: DataFrame, settings: Settings, seasonal: DataFrame | None = None) -> DataFrame:
+    """Result of each region and data group in mwe with the area change applied."""
+    return group_stages(obs, regions, settings, seasonal)["final"]
 
 
 def regional_results(groups: DataFrame) -> DataFrame:
@@ -82,12 +154,13 @@ def regional_results(groups: DataFrame) -> DataFrame:
     return out.withColumn("unit", F.lit("mwe")).withColumn("area_change_applied", F.lit(True))
 
 
-def in_gt(regional: DataFrame, regions: DataFrame) -> DataFrame:
-    return grid.to_gt(grid.area_change(regional, regions, False), regions)
+def in_gt(results: DataFrame, regions: DataFrame) -> DataFrame:
+    """Results of regions or groups in Gt: the area change is taken back, then the area is constant."""
+    return grid.to_gt(grid.area_change(results, regions, False), regions)
 
 
 def to_calendar_years(regional: DataFrame, seasonal: DataFrame | None = None) -> DataFrame:
-    """Regional results on calendar years: by the region's seasonal series, or without one in proportion."""
+    """Regional results on calendar years: by the region's seasonal series, or where there is none at all in proportion."""
     if seasonal is None:
         return grid.shifted_proportionally(regional, 0.0)
     own = regional.withColumn("series", F.lit("consensus")).withColumn("seq", F.row_number().over(Window.partitionBy("region").orderBy("start_date")))
@@ -97,18 +170,43 @@ def to_calendar_years(regional: DataFrame, seasonal: DataFrame | None = None) ->
 
 
 def global_result(regional: DataFrame, regions: DataFrame, start_year: int, end_year: int, unit: str = "mwe") -> DataFrame:
-    """All regions in one: mwe by adjusted areas, Gt by sums."""
+    """All regions on calendar years in one: mwe by adjusted areas, Gt by sums. `regional` is in mwe."""
     rows = filters.in_window(regional, start_year, end_year + 1)
     if unit == "gt":
-        return combine.summed(rows)
+        return combine.summed(in_gt(rows, regions))
     r = regions.select(F.col("name").alias("region"), F.col("area").alias("a_"), F.col("area_change").alias("d_"), F.col("area_change_reference_year").cast("double").alias("y_"))
     return combine.area_weighted(rows.join(F.broadcast(r), "region").withColumn("adjusted_area", units.adjusted_area("start_date", "end_date", "a_", "d_", "y_")))
 
 
+def selected(datasets: DataFrame, groups: list[tuple[str, str]], lists: list[tuple[str, str, str, str, str]]) -> DataFrame:
+    """Datasets of each (region, data group) with their role and `group`, the group they are calculated in.
+
+    lists: (region, group, role, exclude or include, user group). Included ones are the first `combined` dataset of that name
+    in the region. The merged group takes trends from demdiff and annual series from glaciological datasets. Names are
+    compared without case. This is filters.with_settings for all regions and groups at once.
+    """
+    spark = datasets.sparkSession
+    parts = []
+    for region, group in groups:
+        for role in ("annual", "trend"):
+            part = {"annual": "glaciological", "trend": "demdiff"}[role] if group == "demdiff_and_glaciological" else group
+            parts.append((region.lower(), group, role, part))
+    named = spark.createDataFrame(parts, "region_ string, group string, role string, part_ string")
+    marks = spark.createDataFrame([(r.lower(), g, role, kind, name.lower()) for r, g, role, kind, name in lists], "region_ string, group string, role string, kind_ string, name_ string")
+    keyed = datasets.withColumn("region_", F.lower("region")).withColumn("part_", F.lower("data_group")).withColumn("name_", F.lower("user_group"))
+    own = keyed.join(F.broadcast(named), ["region_", "part_"])
+    own = own.join(F.broadcast(marks.where("kind_ = 'exclude'").drop("kind_")), ["region_", "group", "role", "name_"], "left_anti")
+    first = F.row_number().over(Window.partitionBy("region_", "name_").orderBy("dataset_ord"))
+    combined = keyed.where("part_ = 'combined'").withColumn("first_", first).where("first_ = 1").drop("first_")
+    extra = combined.join(F.broadcast(marks.where("kind_ = 'include'").drop("kind_")), ["region_", "name_"]).withColumn("user_group", F.concat("user_group", F.lit("_#")))
+    return own.unionByName(extra).drop("region_", "part_", "name_")
+
+
 def seasonal_series(obs: DataFrame, regions: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Of each region the first dataset of the chosen (region, user_group, data_group), in mwe on months."""
+    """Of each region the first dataset of the chosen (region, user_group, data_group), on months and then in mwe."""
     first = obs.join(F.broadcast(chosen), ["region", "user_group", "data_group"], "left_semi").withColumn("n_", F.dense_rank().over(Window.partitionBy("region").orderBy("dataset_ord"))).where("n_ = 1").drop("n_")
-    return grid.to_monthly(grid.to_mwe(filters.only_needed(first), regions, ["region"]), ["region"])
+    keys = ["region", "unit"]
+    return grid.to_mwe(grid.to_monthly(filters.only_needed(first), keys), regions, keys).select("region", "seq", *_DATED)
 
 
 def plot_rates(obs: DataFrame) -> DataFrame:
@@ -136,10 +234,18 @@ def aligned(points: DataFrame, reference: DataFrame, keys: list[str]) -> DataFra
     return points.join(at_first, keys, "left").join(own, keys, "left").withColumn("change", F.col("change") + F.coalesce("up_", "down_", F.lit(0.0))).drop("up_", "down_")
 
 
-def figures(stages: dict[str, DataFrame]) -> DataFrame:
-    """All figures as one long table: figure, region, data_group, dataset_id, x, y, lo, hi."""
-    out = None
+def figures(stages: dict[str, DataFrame], levels: bool = True) -> DataFrame:
+    """All figures as one long table: figure, kind (rate, or level: summed up over the row's series), region, data_group,
+    dataset_id, x, y, lo, hi. Rows that lack a key have it null."""
+    keys, out = [*GROUP, "dataset_id"], None
     for name, df in stages.items():
-        part = plot_rates(df).select(F.lit(name).alias("figure"), "region", "data_group", "dataset_id", "x", "y", "lo", "hi")
-        out = part if out is None else out.unionByName(part)
+        df = df.withColumns({c: F.lit(None).cast("string") for c in keys if c not in df.columns})
+        parts = [plot_rates(df).withColumn("kind", F.lit("rate"))]
+        if levels:
+            named = df.select(*[F.coalesce(c, F.lit("")).alias(c) for c in keys], *_DATED)
+            named = named.withColumn("seq", F.row_number().over(Window.partitionBy(*keys).orderBy("start_date")))
+            parts.append(plot_levels(named, keys).withColumns({c: F.nullif(F.col(c), F.lit("")) for c in keys}).withColumn("kind", F.lit("level")))
+        for part in parts:
+            part = part.select(F.lit(name).alias("figure"), "kind", *keys, "x", "y", "lo", "hi")
+            out = part if out is None else out.unionByName(part)
     return out

@@ -13,9 +13,15 @@ EVENTS = """WITH d AS (SELECT event_type AS dataset_id, CAST(ts AS DATE) AS star
 obs AS (SELECT dataset_id, row_number() OVER (PARTITION BY dataset_id ORDER BY start_date) AS seq, start_date, CAST(start_date + INTERVAL 1 DAY AS DATE) AS end_date, change, error FROM d)"""
 PARTS = """WITH p AS (SELECT p_partkey AS dataset_ord, p_brand AS user_group, split_part(p_type, ' ', 1) AS data_group, p_size,
  CASE p_partkey % 5 WHEN 0 THEN 'alaska' WHEN 1 THEN 'western_canada_us' WHEN 2 THEN 'arctic_canada_north' WHEN 3 THEN 'arctic_canada_south' ELSE 'greenland_periphery' END AS region, CASE WHEN p_size % 3 = 0 THEN 'm' ELSE 'mwe' END AS unit FROM part)"""
-SUBS = EVENTS + """, sub AS (SELECT dataset_id || CASE WHEN dataset_id < 'p' THEN '_gravimetry.csv' ELSE '_altimetry.csv' END AS file_name, seq, start_date, end_date, change, error, CASE WHEN dataset_id < 'm' THEN 'm' ELSE 'Gt' END AS unit, CASE WHEN dataset_id < 'm' THEN 100 ELSE 10000 END AS lim FROM obs),
+SUBS = EVENTS + """, dn AS (SELECT *, coalesce(lead(start_date) OVER (PARTITION BY dataset_id ORDER BY seq), end_date) AS nx0 FROM obs),
+kd AS (SELECT dn.*, kind FROM dn, (VALUES ('a'), ('b'), ('c'), ('d'), ('e')) AS v(kind) WHERE NOT (kind IN ('b', 'e') AND dayofyear(start_date) BETWEEN 10 AND 16)),
+sub AS (SELECT dataset_id || '_' || kind || CASE WHEN kind = 'e' OR (kind = 'a' AND dataset_id >= 'p') THEN '_altimetry.csv' ELSE '_gravimetry.csv' END AS file_name, seq,
+ CAST(start_date + INTERVAL (CASE WHEN kind IN ('c', 'd') AND dayofyear(start_date) > 14 THEN 400 ELSE 0 END) DAY AS DATE) AS start_date,
+ CAST((CASE WHEN kind = 'd' AND dayofyear(start_date) <> 13 THEN nx0 ELSE end_date END) + INTERVAL (CASE WHEN kind IN ('c', 'd') AND dayofyear(start_date) > 14 THEN 400 ELSE 0 END) DAY AS DATE) AS end_date,
+ change, error, CASE WHEN dataset_id < 'm' THEN 'm' ELSE 'Gt' END AS unit, CASE WHEN dataset_id < 'm' THEN 100 ELSE 10000 END AS lim FROM kd),
 nx AS (SELECT *, lead(start_date) OVER (PARTITION BY file_name ORDER BY seq) AS nxt FROM sub),
-chk AS (SELECT file_name, bool_and(coalesce(nxt = end_date, true)) AS dc, bool_and(abs(change) < lim) AS nd, bool_and(coalesce(date_diff('day', end_date, nxt) <= 2, true)) AS small FROM nx GROUP BY file_name)"""
+chk AS (SELECT file_name, bool_and(coalesce(nxt = end_date, true)) AS dc, bool_and(abs(change) < lim) AS nd, max(coalesce(date_diff('day', end_date, nxt), 0)) AS most, bool_and(coalesce(date_diff('day', end_date, nxt) = 0 OR date_diff('day', end_date, nxt) >= 300, true)) AS neat FROM nx GROUP BY file_name),
+act AS (SELECT *, CASE WHEN dc THEN 'none' WHEN most <= 2 THEN 'close' WHEN file_name LIKE '%altimetry%' THEN 'inspect' WHEN most > 350 AND neat THEN 'none' WHEN most > 350 THEN 'inspect' ELSE 'interpolate' END AS action FROM chk)"""
 R = lambda *c: ", ".join(f"round({x}, 6) AS {x}" for x in c)
 
 #: Whole years from offset o of the rows of t by key k, with sums.
@@ -81,23 +87,30 @@ SQL: dict[str, str] = {
     "satellite_gap": ORDERS + " SELECT dataset_id, seq, CASE region WHEN 'alaska' THEN 'gravimetry' ELSE 'altimetry' END AS data_group FROM obs WHERE region <> 'alaska' OR start_date < 1997.4 OR end_date > 1998.6",
     "contiguous_check": ORDERS + ", l AS (SELECT dataset_id, start_date, lag(end_date) OVER (PARTITION BY dataset_id ORDER BY seq) AS b FROM obs) SELECT dataset_id, bool_and(coalesce(b = start_date, true)) AS is_contiguous FROM l GROUP BY dataset_id",
     "monthly_grid_check": ORDERS + ", x AS (SELECT dataset_id, start_date, end_date FROM obs UNION ALL SELECT 'x' || dataset_id, start_date + 0.01, end_date FROM obs WHERE user_group = '1-URGENT') SELECT dataset_id, bool_and(abs(floor((start_date + 1 / 24::DOUBLE) * 12) / 12 - start_date) < 1.5e-7 AND abs(floor((end_date + 1 / 24::DOUBLE) * 12) / 12 - end_date) < 1.5e-7) AS is_monthly FROM x GROUP BY dataset_id",
-    "annual_grid_check": ORDERS + " SELECT DISTINCT region, true AS is_annual FROM obs UNION ALL SELECT 'other', false",
+    "annual_grid_check": ORDERS + ", " + YEARS("obs", "region", "0.75::DOUBLE") + """, q AS (SELECT min(start_date) AS lo, max(end_date) AS hi FROM obs WHERE region = 'alaska'),
+ u AS (SELECT region, start_date, end_date FROM yrs UNION ALL SELECT 'other', g + 0.25, g + 1.25 FROM q, (SELECT unnest(generate_series(1985, 2030)) AS g) WHERE g + 0.25 >= lo AND g + 1.25 <= hi)
+ SELECT region, bool_and(start_date - floor(start_date) = 0.75 AND end_date - floor(end_date) = 0.75) AS is_annual FROM u GROUP BY region""",
     "same_unit": PARTS + " SELECT data_group, count(DISTINCT unit) <= 1 AS same_unit FROM p GROUP BY data_group",
     "duplicate_dates": ORDERS + " SELECT region, count(*) <> count(DISTINCT start_date) AS has_duplicates FROM obs GROUP BY region",
-    "series_extremes": ORDERS + f" SELECT dataset_id, {R('min_start', 'max_start', 'min_end', 'max_end', 'min_change', 'max_change')}, 0.0833::DOUBLE AS finest, 0.0833::DOUBLE AS coarsest, n FROM (SELECT dataset_id, min(start_date) AS min_start, max(start_date) AS max_start, min(end_date) AS min_end, max(end_date) AS max_end, min(change) AS min_change, max(change) AS max_change, count(*) AS n FROM obs GROUP BY dataset_id)",
+    "series_extremes": ORDERS + f" SELECT dataset_id, {R('min_start', 'max_start', 'min_end', 'max_end', 'min_change', 'max_change')}, round(finest, 6) AS finest, round(coarsest, 6) AS coarsest, n FROM (SELECT dataset_id, min(round_even((end_date - start_date) * power(10.0, 2 - floor(log10(end_date - start_date))), 0) / power(10.0, 2 - floor(log10(end_date - start_date)))) AS finest, max(round_even((end_date - start_date) * power(10.0, 2 - floor(log10(end_date - start_date))), 0) / power(10.0, 2 - floor(log10(end_date - start_date)))) AS coarsest, min(start_date) AS min_start, max(start_date) AS max_start, min(end_date) AS min_end, max(end_date) AS max_end, min(change) AS min_change, max(change) AS max_change, count(*) AS n FROM obs GROUP BY dataset_id)",
     "submission_checks": SUBS + " SELECT file_name, dc AS date_check_satisfied, nd AS nodata_check_satisfied FROM chk",
     "nodata_removal": SUBS + " SELECT file_name, seq, round(change, 6) AS change FROM sub WHERE abs(change) <= lim",
-    "submission_decisions": SUBS + """, act AS (SELECT *, CASE WHEN dc THEN 'none' WHEN small THEN 'close' WHEN file_name LIKE '%gravimetry%' THEN 'interpolate' ELSE 'inspect' END AS action FROM chk)
- SELECT file_name, action, concat_ws('; ', CASE action WHEN 'close' THEN 'end dates moved to the next start' WHEN 'interpolate' THEN 'gaps interpolated' WHEN 'inspect' THEN 'inspect manually' END, CASE WHEN NOT nd THEN 'no-data rows removed' END) AS reason_for_edit FROM act""",
-    "submission_cleaned": SUBS + """, k AS (SELECT sub.*, row_number() OVER w AS rn, lead(start_date) OVER w AS nx FROM sub WHERE abs(change) <= lim WINDOW w AS (PARTITION BY file_name ORDER BY seq))
- SELECT file_name, rn AS seq, CAST(start_date AS VARCHAR) AS start_date, CAST(coalesce(nx, end_date) AS VARCHAR) AS end_date, round(change, 6) AS change, unit FROM k""",
+    "submission_decisions": SUBS + """ SELECT file_name, action, concat_ws('; ', CASE action WHEN 'close' THEN 'end dates moved to the next start' WHEN 'interpolate' THEN 'gaps interpolated' WHEN 'inspect' THEN 'inspect manually' END, CASE WHEN NOT nd THEN 'no-data rows removed' END) AS reason_for_edit FROM act""",
+    "submission_cleaned": SUBS + """, k AS (SELECT sub.*, action, lead(start_date) OVER (PARTITION BY file_name ORDER BY seq) AS nx FROM sub JOIN act USING (file_name) WHERE abs(change) <= lim),
+ w AS (SELECT file_name, seq * 2 AS i, start_date, end_date, change / date_diff('day', start_date, end_date) AS c, error / date_diff('day', start_date, end_date) AS e, unit FROM k WHERE action = 'interpolate'
+  UNION ALL SELECT file_name, seq * 2 + 1, end_date, nx, NULL, NULL, unit FROM k WHERE action = 'interpolate' AND date_diff('day', end_date, nx) > 1),
+ v AS (SELECT file_name, i / 2.0 AS seq, start_date, coalesce(lead(start_date) OVER o, end_date) AS end_date, coalesce(c, (lag(c) OVER o + lead(c) OVER o) / 2) AS c, coalesce(e, (lag(e) OVER o + lead(e) OVER o) / 2) AS e, unit FROM w WINDOW o AS (PARTITION BY file_name ORDER BY i)),
+ z AS (SELECT file_name, seq, start_date, CASE action WHEN 'close' THEN coalesce(nx, end_date) ELSE end_date END AS end_date, change, error, unit FROM k WHERE action <> 'interpolate'
+  UNION ALL SELECT file_name, seq, start_date, end_date, c * date_diff('day', start_date, end_date), e * date_diff('day', start_date, end_date), unit FROM v)
+ SELECT file_name, row_number() OVER (PARTITION BY file_name ORDER BY seq) AS seq, CAST(start_date AS VARCHAR) AS start_date, CAST(end_date AS VARCHAR) AS end_date, round(change, 6) AS change, round(error, 6) AS error, unit FROM z""",
     "outer_align_mean": ORDERS + " SELECT region, round(start_date, 6) AS start_date, round(end_date, 6) AS end_date, round(avg(change), 6) AS change, count(change) AS n_series FROM obs GROUP BY region, obs.start_date, obs.end_date",
     "extend_coalesce": ORDERS + """, a AS (SELECT * FROM obs WHERE user_group = '1-URGENT' AND start_date < 1998), b AS (SELECT * FROM obs WHERE user_group = '2-HIGH' AND start_date >= 1996)
  SELECT coalesce(a.region, b.region) AS region, round(coalesce(a.start_date, b.start_date), 6) AS start_date, round(coalesce(a.end_date, b.end_date), 6) AS end_date, round(coalesce(a.change, b.change), 6) AS change, round(coalesce(a.error, b.error), 6) AS error FROM a FULL JOIN b ON a.region = b.region AND a.start_date = b.start_date AND a.end_date = b.end_date""",
     "common_period": ORDERS + """, x AS (SELECT * FROM obs WHERE NOT (user_group = '5-LOW' AND seq % 5 = 0))
  SELECT region, 'start' AS side, round(start_date, 6) AS date FROM x GROUP BY region, start_date HAVING count(DISTINCT dataset_id) = 5 UNION ALL SELECT region, 'end', round(end_date, 6) FROM x GROUP BY region, end_date HAVING count(DISTINCT dataset_id) = 5""",
     "years_containment": ORDERS + ", " + YEARS("obs", "dataset_id", "0.75::DOUBLE") + f" SELECT dataset_id, {R('start_date', 'end_date', 'change', 'error')}, covered FROM yrs",
-    "nearest_year": EVENTS + " SELECT dataset_id, seq, CASE WHEN (dayofyear(start_date) - 1) / 366::DOUBLE <= 0.75 THEN 2024.25::DOUBLE ELSE 2025.25::DOUBLE END AS g, 2009.75::DOUBLE AS tie FROM obs",
+    "nearest_year": EVENTS + """, f AS (SELECT dataset_id, seq, year(start_date) + date_diff('day', make_date(year(start_date), 1, 1), start_date) / date_diff('day', make_date(year(start_date), 1, 1), make_date(year(start_date) + 1, 1, 1))::DOUBLE AS x FROM obs),
+ c AS (SELECT unnest(generate_series(2000, 2030)) AS g) SELECT dataset_id, seq, (SELECT arg_min(g + 0.25::DOUBLE, abs(g + 0.25::DOUBLE - x) + g * 1e-9) FROM c) AS g, (SELECT arg_min(g + 0.75::DOUBLE, abs(g + 0.75::DOUBLE - 2010.25) + g * 1e-9) FROM c) AS tie FROM f""",
     "matched_indices": ORDERS + """, a AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS i FROM (SELECT DISTINCT start_date AS v FROM obs WHERE region = 'alaska')), b AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS i FROM (SELECT DISTINCT start_date AS v FROM obs WHERE region <> 'alaska' AND start_date >= 1996.5))
  SELECT a.i AS index_a, b.i AS index_b FROM a JOIN b USING (v)""",
     "matched_near": ORDERS + """, a AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS i FROM (SELECT DISTINCT start_date AS v FROM obs WHERE region = 'alaska')), b AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS i FROM (SELECT DISTINCT start_date + 0.001 AS v FROM obs WHERE region <> 'alaska' AND start_date >= 1996.5))
@@ -122,7 +135,7 @@ SQL: dict[str, str] = {
     "moving_average_samples": ORDERS + " SELECT dataset_id, seq, round(average, 6) AS average FROM (SELECT dataset_id, seq, avg(change) OVER (PARTITION BY dataset_id ORDER BY seq ROWS 4 PRECEDING) AS average FROM obs) WHERE seq >= 5",
     "monthly_grid_points": SHIPS + ", s AS (SELECT dataset_id, floor((min(start_date) + 0.01) * 12) / 12 AS t0, ceil((max(end_date) - 0.01) * 12) / 12 AS t1 FROM obs GROUP BY dataset_id) SELECT dataset_id, round(t0 + k / 12::DOUBLE, 6) AS date FROM s, (SELECT unnest(generate_series(0, 500)) AS k) WHERE k < ceil((t1 - t0 + 1e-5) * 12)",
     "monthly_resample": MONTHLY + f" SELECT dataset_id, {R('start_date', 'end_date', 'change', 'error')} FROM mo WHERE start_date IS NOT NULL",
-    "nearest_resample": SHIPS + " SELECT dataset_id, round(start_date + 0.1, 6) AS date, round(change, 6) AS change FROM obs",
+    "nearest_resample": SHIPS + " SELECT p.dataset_id, round(p.start_date + 0.1, 6) AS date, round(arg_min(k.change, abs(k.start_date - p.start_date - 0.1) + k.start_date * 1e-9), 6) AS change FROM obs AS p JOIN obs AS k ON k.dataset_id = p.dataset_id GROUP BY p.dataset_id, p.start_date",
     "gap_slices": EVENTS + ", l AS (SELECT *, CASE WHEN lag(end_date) OVER w <> start_date THEN 1 ELSE 0 END AS g FROM obs WINDOW w AS (PARTITION BY dataset_id ORDER BY seq)) SELECT dataset_id, seq, CAST(1 + sum(g) OVER (PARTITION BY dataset_id ORDER BY seq) AS BIGINT) AS slice_id FROM l",
     "recombine_slices": EVENTS + " SELECT dataset_id, seq, round(change, 6) AS change FROM obs",
     "close_small_gaps": EVENTS + " SELECT dataset_id, seq, CAST(coalesce(lead(start_date) OVER (PARTITION BY dataset_id ORDER BY seq), end_date) AS VARCHAR) AS end_date FROM obs",
@@ -169,3 +182,139 @@ SQL: dict[str, str] = {
  ft AS (SELECT dataset_id, split_part(dataset_id, '|', 1) AS region, round(min(date) * 12) AS m0 FROM cum GROUP BY dataset_id), up AS (SELECT dataset_id, arg_max(lv, m) AS u FROM ft JOIN rf ON rf.region = ft.region AND m <= m0 GROUP BY dataset_id)
  SELECT cum.dataset_id, round(date, 6) AS date, round(change + u, 6) AS change FROM cum JOIN up USING (dataset_id)""",
 }
+
+# --- the assessment
+
+
+def mean_of(p: str, src: str, keys: list[str], series: str, detrend: bool = False, addback: bool = False) -> str:
+    """CTEs that end in p: the mean of the series of src by keys and dates, with its error."""
+    k = ", ".join(keys)
+    x = ", ".join(f"x.{c}" for c in keys)
+    shared = lambda side: f"(SELECT {x}, x.{side} FROM {src} AS x JOIN {p}_n AS n USING ({k}) GROUP BY {x}, x.{side}, n.n HAVING count(DISTINCT x.{series}) = n.n)"
+    back = f" + (SELECT CASE WHEN count(mu) = count(*) THEN avg(mu) END FROM {p}_m AS m WHERE {' AND '.join(f'm.{c} = a.{c}' for c in keys)})" if addback else ""
+    return f"""{p}_n AS (SELECT {k}, count(DISTINCT {series}) AS n FROM {src} GROUP BY {k}),
+{p}_s AS {shared("start_date")}, {p}_e AS {shared("end_date")},
+{p}_i AS (SELECT {x}, x.{series}, avg(x.change) AS mu FROM {src} AS x JOIN {p}_s AS s USING ({k}, start_date) JOIN {p}_e AS e USING ({k}, end_date) GROUP BY {x}, x.{series}),
+{p}_m AS (SELECT DISTINCT {x}, x.{series}, i.mu FROM {src} AS x LEFT JOIN {p}_i AS i USING ({k}, {series})),
+{p}_d AS (SELECT {x}, x.{series}, x.start_date, x.end_date, x.change - {"m.mu" if detrend else "0"} AS change, x.error FROM {src} AS x JOIN {p}_m AS m USING ({k}, {series})),
+{p}_a AS (SELECT {k}, start_date, end_date, avg(change) AS c, count(change) AS n, sqrt(sum(error * error)) / count(error) AS e FROM {p}_d GROUP BY {k}, start_date, end_date),
+{p}_r AS (SELECT {", ".join(f"d.{c}" for c in keys)}, coalesce(stddev_pop(CASE WHEN abs(d.change - a.c) > 1e-12 THEN d.change - a.c END), 0) AS s FROM {p}_d AS d JOIN {p}_a AS a USING ({k}, start_date, end_date) GROUP BY {", ".join(f"d.{c}" for c in keys)}),
+{p} AS (SELECT {", ".join(f"a.{c}" for c in keys)}, a.start_date, a.end_date, c{back} AS change, sqrt(e * e + power(1.96 * s / sqrt(n), 2)) AS error FROM {p}_a AS a JOIN {p}_r USING ({k}))"""
+
+
+def homogenised(p: str, own: str, steps: str) -> str:
+    """CTEs that end in p: the rows of own (region, seq, s0, e0, change, error, ys) on years from ys by the monthly steps of their region."""
+    m = lambda c: f"round({c} * 12)"
+    near = lambda c: f"CASE WHEN {c} - (floor({c} - ys) + ys) <= 0.5 THEN floor({c} - ys) + ys ELSE floor({c} - ys) + ys + 1 END"
+    return f"""{p}_g AS (SELECT region, min(start_date) AS lo, max(end_date) AS hi FROM {steps} GROUP BY region),
+{p}_p AS (SELECT o.region, o.seq AS k, o.change AS tc, s.seq AS step, s.start_date, s.end_date, s.change, {m("s.start_date")} >= {m("s0")} AND {m("s.end_date")} <= {m("e0")} AS inside
+ FROM {own} AS o JOIN {p}_g AS g USING (region) JOIN {steps} AS s USING (region) WHERE {m("s0")} >= {m("lo")} AND {m("e0")} <= {m("hi")}),
+{p}_c AS (SELECT region, k, tc / count(*) FILTER (WHERE inside) - avg(change) FILTER (WHERE inside) AS cor FROM {p}_p GROUP BY region, k, tc),
+{p}_t AS (SELECT region, step, count(*) FILTER (WHERE inside) AS n FROM {p}_p GROUP BY region, step),
+{p}_w AS (SELECT p.region, p.k, p.step, p.start_date, p.end_date, p.change + cor AS value, row_number() OVER (PARTITION BY p.region ORDER BY p.k, p.step) AS i, CASE WHEN n > 0 THEN (CASE WHEN inside THEN 1 ELSE 0 END) / n::DOUBLE END AS w
+ FROM {p}_p AS p JOIN {p}_c USING (region, k) JOIN {p}_t AS t ON t.region = p.region AND t.step = p.step),
+{p}_b AS (SELECT *, max(CASE WHEN w IS NOT NULL THEN i END) OVER (PARTITION BY region ORDER BY i) AS ia, min(CASE WHEN w IS NOT NULL THEN i END) OVER (PARTITION BY region ORDER BY i DESC) AS ib FROM {p}_w),
+{p}_f AS (SELECT b.region, b.step, b.start_date, b.end_date, b.value, CASE WHEN ia IS NULL THEN y.w WHEN ib IS NULL OR ia = ib THEN x.w ELSE x.w + (b.i - ia) * (y.w - x.w) / (ib - ia) END AS w
+ FROM {p}_b AS b LEFT JOIN {p}_w AS x ON x.region = b.region AND x.i = ia LEFT JOIN {p}_w AS y ON y.region = b.region AND y.i = ib),
+{p}_o AS (SELECT region, step, start_date, end_date, sum(w * value) AS change FROM {p}_f GROUP BY ALL),
+{p}_l AS (SELECT *, sum(change) OVER (PARTITION BY region ORDER BY step) AS level FROM {p}_o),
+{p}_q AS (SELECT region, seq, s0, e0, error, {near("s0")} AS s1, {near("e0")} AS e1 FROM {own}),
+{p}_j AS (SELECT q.*, l.step, l.start_date, l.end_date, l.change, l.level, {m("l.start_date")} >= {m("s0")} AND {m("l.end_date")} <= {m("e0")} AS was, {m("l.start_date")} >= {m("s1")} AND {m("l.end_date")} <= {m("e1")} AS now FROM {p}_q AS q JOIN {p}_l AS l USING (region)),
+{p} AS (SELECT region, seq, s1 AS start_date, e1 AS end_date, sum(change) FILTER (WHERE now) AS change,
+ sqrt(error * error + power(0.1 * (abs(arg_min(level, step) FILTER (WHERE was) - arg_min(level, step) FILTER (WHERE now)) + abs(arg_max(level, step) FILTER (WHERE was) - arg_max(level, step) FILTER (WHERE now))), 2)) AS error
+ FROM {p}_j GROUP BY region, seq, s1, e1, error HAVING min({m("start_date")}) FILTER (WHERE now) = {m("s1")} AND max({m("end_date")}) FILTER (WHERE now) = {m("e1")})"""
+
+
+_METRES = "abs(change / 997 * 850) * sqrt(power(error / change, 2) + power(240.0 / 850, 2))"
+#: The assessment's input: `am` monthly annual rows by slice, `yl` rows of calendar years, `b0` monthly trend rows.
+INPUT = ORDERS + ", " + YEARS("obs", "region", "0.0::DOUBLE") + """,
+b0 AS (SELECT region, CASE WHEN user_group < '3' THEN 'altimetry' ELSE 'gravimetry' END AS grp, dataset_id, user_group, CASE WHEN user_group LIKE '4%' THEN 'm' ELSE 'mwe' END AS unit, seq, start_date, end_date, change, error FROM obs),
+yl AS (SELECT region, 'altimetry' AS grp, region || '|years' AS dataset_id, start_date, end_date, change / 5 AS change, error / 5 AS error FROM yrs),
+a0 AS (SELECT * FROM b0 WHERE NOT (user_group = '5-LOW' AND seq % 40 = 39) AND NOT (region = 'alaska' AND grp = 'altimetry' AND start_date >= 1998)),
+a1 AS (SELECT *, CASE WHEN lag(end_date) OVER (PARTITION BY dataset_id ORDER BY seq) <> start_date THEN 1 ELSE 0 END AS torn FROM a0),
+am AS (SELECT *, sum(torn) OVER (PARTITION BY dataset_id ORDER BY seq) AS slice FROM a1)"""
+GROUPS = INPUT + f""",
+sl AS (SELECT region, grp, dataset_id, unit, slice, min(start_date) AS lo, max(end_date) AS hi FROM am GROUP BY ALL),
+sy AS (SELECT sl.*, g + 0.75::DOUBLE AS s FROM sl, (SELECT unnest(generate_series(1985, 2030)) AS g) WHERE g + 0.75 >= lo AND g + 1.75 <= hi),
+sm AS (SELECT sy.region, sy.grp, sy.dataset_id, sy.unit, s AS start_date, s + 1 AS end_date, sum(am.change) AS change, sqrt(sum(am.error * am.error)) / count(*) AS error FROM sy JOIN am ON am.dataset_id = sy.dataset_id AND am.slice = sy.slice AND am.start_date >= s AND am.end_date <= s + 1 GROUP BY ALL),
+an AS (SELECT region, grp, dataset_id, start_date, end_date, CASE unit WHEN 'm' THEN change / 997 * 850 ELSE change END AS change, CASE unit WHEN 'm' THEN {_METRES} ELSE error END AS error FROM sm
+ UNION ALL SELECT region, grp, dataset_id, start_date - 0.25, end_date - 0.25, change, error FROM yl WHERE NOT (region = 'alaska' AND start_date >= 1998)),
+{mean_of("va", "an", ["region", "grp"], "dataset_id", True)},
+{mean_of("bk", "va", ["region"], "grp", True, True)},
+tw AS (SELECT * FROM b0 WHERE start_date >= 1996 AND end_date <= 2001),
+ty AS (SELECT dataset_id, min(g + 0.75) AS a, max(g + 1.75) AS b FROM (SELECT dataset_id, min(start_date) AS lo, max(end_date) AS hi FROM tw GROUP BY dataset_id), (SELECT unnest(generate_series(1985, 2030)) AS g) WHERE g + 0.75 >= lo AND g + 1.75 <= hi GROUP BY dataset_id),
+tf AS (SELECT tw.*, a, b FROM tw JOIN ty USING (dataset_id) WHERE start_date >= a AND end_date <= b),
+tp AS (SELECT dataset_id, end_date AS d, sum(change) OVER (PARTITION BY dataset_id ORDER BY seq) AS c FROM tf UNION ALL SELECT DISTINCT dataset_id, a, 0.0 FROM tf),
+tg AS (SELECT dataset_id, regr_slope(c, d) * (max(d) - min(d)) AS change FROM tp GROUP BY dataset_id),
+t1 AS (SELECT tf.region, grp, dataset_id, unit, min(start_date) AS start_date, max(end_date) AS end_date, any_value(tg.change) AS change, sqrt(sum(tf.error * tf.error)) / count(*) AS error FROM tf JOIN tg USING (dataset_id) GROUP BY tf.region, grp, dataset_id, unit),
+cs(seq, a, b, a1, b1) AS (VALUES (1, 1996.5::DOUBLE, 1999.0::DOUBLE, 1996.75::DOUBLE, 1998.75::DOUBLE), (2, 1999.0, 2000.5, 1998.75, 2000.75)),
+c0 AS (SELECT region, cs.seq, a, b, a1, b1, avg(change) * (b - a) * 10 AS change, 0.4::DOUBLE AS error FROM obs, cs GROUP BY region, cs.seq, a, b, a1, b1),
+tr AS (SELECT region, grp, dataset_id AS trend, 1 AS seq, start_date AS ts, end_date AS te, CASE unit WHEN 'm' THEN change / 997 * 850 ELSE change END AS tc, CASE unit WHEN 'm' THEN {_METRES} ELSE error END AS e FROM t1
+ UNION ALL SELECT region, grp, dataset_id, 1, min(start_date) - 0.25, max(end_date) - 0.25, sum(change), sqrt(sum(error * error)) / count(*) FROM yl WHERE start_date >= 1996 AND end_date <= 2001 GROUP BY region, grp, dataset_id
+ UNION ALL SELECT region, 'demdiff', region || '|dem', seq, a1, b1, change / 997 * 850 * (b1 - a1) / (b - a), {_METRES} * (b1 - a1) / (b - a) FROM c0),
+gs AS (SELECT DISTINCT region, grp FROM tr),
+ev AS (SELECT gs.region, grp, start_date, end_date, change, 0.0::DOUBLE AS error FROM gs JOIN bk USING (region)),
+ow AS (SELECT * FROM va UNION ALL SELECT region, grp, start_date, end_date, change - avg(change) OVER (PARTITION BY region), 0.0 FROM ev WHERE grp = 'demdiff'),
+ot AS (SELECT *, coalesce(lag(end_date) OVER (PARTITION BY region, grp ORDER BY start_date) <> start_date, false) AS torn FROM ow),
+oz AS (SELECT region, grp, min(start_date) AS al, max(end_date) AS ah, bool_or(torn) AS torn FROM ot GROUP BY region, grp),
+sh AS (SELECT oz.region, oz.grp, greatest(al, bl) AS f, least(ah, bh) AS t FROM oz JOIN (SELECT region, grp, min(ts) AS lo, max(te) AS hi FROM tr GROUP BY region, grp) USING (region, grp)
+ JOIN (SELECT region, grp, min(start_date) AS bl, max(end_date) AS bh FROM ev GROUP BY region, grp) USING (region, grp) WHERE al > lo OR ah < hi OR torn),
+xa AS (SELECT x.region, x.grp, start_date, end_date, change - avg(CASE WHEN start_date >= f AND end_date <= t THEN change END) OVER (PARTITION BY x.region, x.grp) AS change, error FROM ow AS x JOIN sh USING (region, grp)),
+xb AS (SELECT x.region, x.grp, start_date, end_date, change - avg(CASE WHEN start_date >= f AND end_date <= t THEN change END) OVER (PARTITION BY x.region, x.grp) AS change, error FROM ev AS x JOIN sh USING (region, grp)),
+ex AS (SELECT * FROM ow WHERE NOT EXISTS (SELECT 1 FROM sh WHERE sh.region = ow.region AND sh.grp = ow.grp)
+ UNION ALL SELECT coalesce(xa.region, xb.region), coalesce(xa.grp, xb.grp), coalesce(xa.start_date, xb.start_date), coalesce(xa.end_date, xb.end_date), coalesce(xa.change, xb.change), coalesce(xa.error, xb.error)
+ FROM xa FULL JOIN xb ON xa.region = xb.region AND xa.grp = xb.grp AND xa.start_date = xb.start_date AND xa.end_date = xb.end_date),
+er AS (SELECT region, grp, min(start_date) AS lo, max(end_date) AS hi FROM ex GROUP BY region, grp),
+ip AS (SELECT tr.*, start_date, end_date, change, error FROM tr JOIN er USING (region, grp) JOIN ex USING (region, grp) WHERE ts >= lo AND te <= hi AND start_date >= ts AND end_date <= te),
+iv AS (SELECT *, change + tc / count(*) OVER w - avg(change) OVER w AS value FROM ip WINDOW w AS (PARTITION BY region, grp, trend, seq)),
+tl AS (SELECT region, grp, trend, avg(te - ts) AS len FROM tr GROUP BY region, grp, trend),
+oo AS (SELECT region, grp, trend, start_date, end_date, avg(value) AS change, sqrt(power(arg_min(e, seq) / any_value(len), 2) + coalesce(power(any_value(error), 2), 0)) AS error FROM iv JOIN tl USING (region, grp, trend) GROUP BY region, grp, trend, start_date, end_date),
+{mean_of("fi", "oo", ["region", "grp"], "trend")},
+gr AS (SELECT region, grp, start_date, end_date, change * area / (area + ((start_date + end_date) / 2 - ry) * (ac / 100) * area) AS change, error FROM fi JOIN reg USING (region))"""
+REGIONS = GROUPS + ", " + mean_of("re", "gr", ["region"], "grp", True, True)
+#: Results in Gt: the area change goes, and the area's error comes.
+IN_GT = lambda t: f"""SELECT region, start_date, end_date, c AS change, abs(c) * sqrt(power(error * 997 * (area / 1e6) / c, 2) + unc * unc) AS error
+ FROM (SELECT t.*, change / (area / (area + ((start_date + end_date) / 2 - ry) * (ac / 100) * area)) * 997 * (area / 1e6) AS c, area, unc FROM {t} AS t JOIN reg USING (region))"""
+CALENDAR = REGIONS + """, so AS (SELECT region, seq, start_date, end_date, change, error FROM obs WHERE user_group = '1-URGENT'),
+ro AS (SELECT region, row_number() OVER (PARTITION BY region ORDER BY start_date) AS seq, start_date AS s0, end_date AS e0, change, error, 0.0::DOUBLE AS ys FROM re),
+""" + homogenised("ca", "ro", "so") + ", cw AS (SELECT * FROM ca WHERE start_date >= 1996 AND end_date <= 2001)"
+
+SQL |= {
+    "assessment_groups": GROUPS + f" SELECT region, grp AS data_group, {R('start_date', 'end_date', 'change', 'error')} FROM gr",
+    "assessment_regions": REGIONS + f" SELECT region, {R('start_date', 'end_date', 'change', 'error')} FROM re",
+    "assessment_regions_gt": REGIONS + f" SELECT region, {R('start_date', 'end_date', 'change', 'error')} FROM ({IN_GT('re')})",
+    "assessment_global": CALENDAR + f""", wt AS (SELECT cw.*, area + ((start_date + end_date) / 2 - ry) * (ac / 100) * area AS a FROM cw JOIN reg USING (region)),
+ wg AS (SELECT start_date, end_date, sum(change * a) / sum(a) AS change, sqrt(sum(power(error * a, 2))) / sum(a) AS error FROM wt GROUP BY start_date, end_date) SELECT {R('start_date', 'end_date', 'change', 'error')} FROM wg""",
+    "assessment_global_gt": CALENDAR + f", gg AS ({IN_GT('cw')}), wg AS (SELECT start_date, end_date, sum(change) AS change, sqrt(sum(error * error)) AS error FROM gg GROUP BY start_date, end_date) SELECT {R('start_date', 'end_date', 'change', 'error')} FROM wg",
+    "seasonal_correction": INPUT + """, so AS (SELECT region, seq, start_date, end_date, change, error FROM obs WHERE user_group = '1-URGENT'),
+yo AS (SELECT region, row_number() OVER (PARTITION BY region ORDER BY start_date) AS seq, start_date AS s0, end_date AS e0, change, error, 0.75::DOUBLE AS ys FROM yl), """ + homogenised("hy", "yo", "so") + f" SELECT region, {R('start_date', 'end_date', 'change', 'error')} FROM hy",
+    "seasonal_homogenise": ORDERS + ", o2 AS (SELECT * FROM obs WHERE user_group = '2-HIGH'), " + YEARS("o2", "region", "0.5::DOUBLE") + """, so AS (SELECT region, seq, start_date, end_date, change, error FROM obs WHERE user_group = '1-URGENT'),
+yo AS (SELECT region, row_number() OVER (PARTITION BY region ORDER BY start_date) AS seq, start_date AS s0, end_date AS e0, change, error, 0.75::DOUBLE AS ys FROM yrs), """ + homogenised("hy", "yo", "so") + f" SELECT region, '2-HIGH' AS series, seq, {R('start_date', 'end_date', 'change', 'error')} FROM hy",
+    "extend_if_shorter": ORDERS + f""", a AS (SELECT * FROM obs WHERE user_group = '1-URGENT' AND (start_date < 1998 OR region = 'alaska')), b AS (SELECT * FROM obs WHERE user_group = '2-HIGH' AND start_date >= 1996),
+ z AS (SELECT a.region, min(a.start_date) AS al, max(a.end_date) AS ah FROM a GROUP BY a.region), y AS (SELECT region, min(start_date) AS bl, max(end_date) AS bh FROM b GROUP BY region),
+ s AS (SELECT region, greatest(al, bl) AS f, least(ah, bh) AS t FROM z JOIN y USING (region) WHERE al > 1995 OR ah < 2001),
+ p AS (SELECT a.region, start_date, end_date, change - (SELECT avg(change) FROM a AS i WHERE i.region = s.region AND i.start_date >= f AND i.end_date <= t) AS change, error FROM a JOIN s ON a.region = s.region),
+ q AS (SELECT b.region, start_date, end_date, change - (SELECT avg(change) FROM b AS i WHERE i.region = s.region AND i.start_date >= f AND i.end_date <= t) AS change, error FROM b JOIN s ON b.region = s.region),
+ u AS (SELECT region, start_date, end_date, change, error FROM a WHERE region NOT IN (SELECT region FROM s) UNION ALL
+ SELECT coalesce(p.region, q.region) AS region, coalesce(p.start_date, q.start_date) AS start_date, coalesce(p.end_date, q.end_date) AS end_date, coalesce(p.change, q.change) AS change, coalesce(p.error, q.error) AS error FROM p FULL JOIN q ON p.region = q.region AND p.start_date = q.start_date AND p.end_date = q.end_date)
+ SELECT region, {R('start_date', 'end_date', 'change', 'error')} FROM u""",
+    "to_monthly_grid": MONTHLY.replace("obs AS (SELECT dataset_id, row_number() OVER (PARTITION BY dataset_id ORDER BY y, q) AS seq, y + (q - 1) / 4::DOUBLE AS start_date, y + q / 4::DOUBLE AS end_date", "obs AS (SELECT dataset_id, row_number() OVER (PARTITION BY dataset_id ORDER BY y, q) AS seq, y + (q - 1) / 4::DOUBLE + 0.01 AS start_date, y + q / 4::DOUBLE + 0.01 AS end_date")
+    .replace("pt AS (SELECT dataset_id, lo + k / 12::DOUBLE AS d FROM (SELECT dataset_id, min(d) AS lo, max(d) AS hi FROM kn GROUP BY dataset_id), (SELECT unnest(generate_series(0, 400)) AS k) WHERE k <= round((hi - lo) * 12))",
+             "pt AS (SELECT dataset_id, least(greatest(floor(lo * 12) / 12 + k / 12::DOUBLE, lo), hi) AS d, floor(lo * 12) / 12 + k / 12::DOUBLE AS at FROM (SELECT dataset_id, min(d) AS lo, max(d) AS hi FROM kn GROUP BY dataset_id), (SELECT unnest(generate_series(0, 400)) AS k) WHERE k <= round((ceil(hi * 12) - floor(lo * 12))))")
+    .replace("ip AS (SELECT pt.dataset_id, pt.d,", "ip AS (SELECT pt.dataset_id, pt.at AS d,").replace("UNION ALL SELECT pt.dataset_id, pt.d, kn.c", "UNION ALL SELECT pt.dataset_id, pt.at, kn.c")
+    + f" SELECT dataset_id, {R('start_date', 'end_date', 'change')} FROM mo WHERE start_date IS NOT NULL",
+    "imbie_style_average": MONTHLY + " SELECT 'all' AS g, CAST(round(d * 12) AS BIGINT) AS month, round(avg(c), 6) AS change, count(c) AS n_series FROM ip GROUP BY 2",
+    "imbie_style_errors": MONTHLY + """, al AS (SELECT avg(c) AS mu, stddev_pop(c) AS sd FROM kn)
+ SELECT 'all' AS g, CAST(round(d * 12) AS BIGINT) AS month, round(sqrt(sum(c * c) / count(c)) / sqrt(count(c)), 6) AS change, count(c) AS n_series FROM ip, al WHERE abs(c - mu) < 1.5 * sd GROUP BY 2""",
+    # Quarters are evenly spaced, so the spline's ends reduce to single equations; the rest is solved along its diagonals.
+    "spline_resample": "WITH RECURSIVE " + SHIPS.removeprefix("WITH ") + """, k AS (SELECT dataset_id, seq - 1 AS i, start_date AS x, change AS y, count(*) OVER (PARTITION BY dataset_id) - 1 AS n FROM obs),
+ e AS (SELECT b.dataset_id, b.i, b.n, 6 * (c.y - 2 * b.y + a.y) / (0.25 * 0.25) AS r FROM k AS b JOIN k AS a ON a.dataset_id = b.dataset_id AND a.i = b.i - 1 JOIN k AS c ON c.dataset_id = b.dataset_id AND c.i = b.i + 1),
+ fw AS (SELECT dataset_id, i, n, 6.0::DOUBLE AS mid, 0.0::DOUBLE AS high, r FROM e WHERE i = 1 UNION ALL
+  SELECT e.dataset_id, e.i, e.n, CASE WHEN e.i = e.n - 1 THEN 6 ELSE 4 - fw.high / fw.mid END, CASE WHEN e.i = e.n - 1 THEN 0 ELSE 1 END, CASE WHEN e.i = e.n - 1 THEN e.r ELSE e.r - fw.r / fw.mid END FROM fw JOIN e ON e.dataset_id = fw.dataset_id AND e.i = fw.i + 1),
+ bw AS (SELECT dataset_id, i, r / mid AS m FROM fw WHERE i = n - 1 UNION ALL SELECT fw.dataset_id, fw.i, (fw.r - fw.high * bw.m) / fw.mid FROM bw JOIN fw ON fw.dataset_id = bw.dataset_id AND fw.i = bw.i - 1),
+ ms AS (SELECT dataset_id, i, m FROM bw UNION ALL SELECT a.dataset_id, 0, 2 * a.m - b.m FROM bw AS a JOIN bw AS b ON b.dataset_id = a.dataset_id AND b.i = 2 WHERE a.i = 1
+  UNION ALL SELECT a.dataset_id, a.i + 1, 2 * a.m - b.m FROM bw AS a JOIN bw AS b ON b.dataset_id = a.dataset_id AND b.i = a.i - 1 WHERE a.i = (SELECT max(i) FROM bw AS z WHERE z.dataset_id = a.dataset_id)),
+ pp AS (SELECT dataset_id, x + 0.125 AS date, least(i, n - 1) AS i, CASE WHEN i = n THEN 0.375 ELSE 0.125 END AS t FROM k)
+ SELECT pp.dataset_id, round(date, 6) AS date, round(a.y + t * ((b.y - a.y) / 0.25 - 0.25 * (2 * p.m + q.m) / 6) + t * t * p.m / 2 + t * t * t * (q.m - p.m) / 1.5, 6) AS change
+ FROM pp JOIN k AS a ON a.dataset_id = pp.dataset_id AND a.i = pp.i JOIN k AS b ON b.dataset_id = pp.dataset_id AND b.i = pp.i + 1 JOIN ms AS p ON p.dataset_id = pp.dataset_id AND p.i = pp.i JOIN ms AS q ON q.dataset_id = pp.dataset_id AND q.i = pp.i + 1""",
+}

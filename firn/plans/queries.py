@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from firn.functions import dates, dims, units
 from firn.operators import calibrate, combine, filters, grid, series
+from firn.operators.stored import written
 from firn.plans import assessment, cleaning
 from firn.plans.tables import events, orders, parts, shipments, table
 from firn.sources import catalogue
@@ -125,8 +126,19 @@ def series_extremes(spark, sf):
 
 
 def _submissions(spark, sf):
-    rows = events(spark, sf).withColumnRenamed("dataset_id", "file_name").withColumn("unit", F.when(F.col("file_name") < "m", "m").otherwise("Gt"))
-    return rows.withColumn("file_name", F.concat(F.col("file_name"), F.when(F.col("file_name") < "p", F.lit("_gravimetry.csv")).otherwise(F.lit("_altimetry.csv"))))
+    """Five files of each event type: days with gaps of a day (a), a gap of a week in gravimetry (b), a gap of over a year
+    beside those of a day (c) or alone (d), and a gap of a week in altimetry (e)."""
+    rows = events(spark, sf)
+    nxt = F.coalesce(F.lead("start_date").over(Window.partitionBy("dataset_id").orderBy("seq")), F.col("end_date"))
+    rows = rows.withColumn("next_", nxt).withColumn("kind", F.explode(F.array(*map(F.lit, "abcde"))))
+    rows = rows.where("NOT (kind IN ('b', 'e') AND dayofyear(start_date) BETWEEN 10 AND 16)")
+    rows = rows.withColumn("end_date", F.when((F.col("kind") == "d") & (F.dayofyear("start_date") != 13), F.col("next_")).otherwise(F.col("end_date")))
+    late = F.col("kind").isin("c", "d") & (F.dayofyear("start_date") > 14)
+    rows = rows.withColumns({c: F.when(late, F.date_add(c, 400)).otherwise(F.col(c)) for c in ("start_date", "end_date")})
+    group = F.when((F.col("kind") == "e") | (F.col("kind") == "a") & (F.col("dataset_id") >= "p"), "altimetry").otherwise("gravimetry")
+    unit = F.when(F.col("dataset_id") < "m", "m").otherwise("Gt")
+    named = rows.withColumn("file_name", F.concat("dataset_id", F.lit("_"), "kind", F.lit("_"), group, F.lit(".csv"))).withColumn("unit", unit)
+    return named.withColumn("user_group", F.col("dataset_id")).drop("dataset_id", "next_", "kind")
 
 
 @query
@@ -146,7 +158,7 @@ def submission_decisions(spark, sf):
 
 @query
 def submission_cleaned(spark, sf):
-    return rounded(cleaning.cleaned(_submissions(spark, sf)).select("file_name", "seq", F.col("start_date").cast("string").alias("start_date"), F.col("end_date").cast("string").alias("end_date"), "change", "unit"))
+    return rounded(cleaning.cleaned(_submissions(spark, sf)).select("file_name", "seq", F.col("start_date").cast("string").alias("start_date"), F.col("end_date").cast("string").alias("end_date"), "change", "error", "unit"))
 
 
 # --- joins and aggregates
@@ -546,34 +558,83 @@ def vertical_adjustment(spark, sf):
 # --- the whole assessment
 
 
+SETTINGS = assessment.Settings(1996, 2001)
+
+
 def _assessed(spark, sf):
-    """Monthly orders as two data groups of annual datasets, and three-year trends of each."""
-    regions = dims.regions(spark)
-    group = F.when(F.col("user_group") < "3", "altimetry").otherwise("gravimetry")
-    base = orders(spark, sf).withColumn("data_group", group).withColumn("unit", F.lit("mwe"))
-    annual = base.withColumn("role", F.lit("annual")).where("NOT (user_group = '5-LOW' AND seq % 40 = 39)")
-    trend = base.withColumn("role", F.lit("trend"))
+    """Three data groups. Monthly orders of two (one priority in metres, one with gaps, one region's altimetry cut short), a
+    series of calendar years beside them, and two-row trends in metres in a group without annual series."""
+    regions = assessment.with_years(dims.regions(spark))
     cols = ["region", "data_group", "dataset_id", "role", "unit", "seq", "start_date", "end_date", "change", "error"]
-    return annual.select(*cols).unionByName(trend.select(*cols)), regions
+    monthly = orders(spark, sf).withColumn("data_group", F.when(F.col("user_group") < "3", "altimetry").otherwise("gravimetry"))
+    monthly = monthly.withColumn("unit", F.when(F.col("user_group") < "4", "mwe").when(F.col("user_group") < "5", "m").otherwise("mwe"))
+    whole = combine.year_sums(orders(spark, sf), RG, 0.0).withColumns({"change": F.col("change") / 5, "error": F.col("error") / 5, "data_group": F.lit("altimetry"), "unit": F.lit("mwe")})
+    whole = whole.withColumn("dataset_id", F.concat("region", F.lit("|years"))).withColumn("seq", F.row_number().over(Window.partitionBy("region").orderBy("start_date")))
+    short = (F.col("region") == "alaska") & (F.col("data_group") == "altimetry") & (F.col("start_date") >= 1998)
+    annual = monthly.where("NOT (user_group = '5-LOW' AND seq % 40 = 39)").withColumn("role", F.lit("annual")).select(*cols)
+    annual = annual.unionByName(whole.withColumn("role", F.lit("annual")).select(*cols)).where(~short)
+    trend = monthly.withColumn("role", F.lit("trend")).select(*cols).unionByName(whole.withColumn("role", F.lit("trend")).select(*cols))
+    spans = F.array(*[F.struct(F.lit(k).alias("seq"), F.lit(a).alias("a"), F.lit(b).alias("b")) for k, (a, b) in enumerate(((1996.5, 1999.0), (1999.0, 2000.5)), 1)])
+    coarse = orders(spark, sf).groupBy("region").agg(F.avg("change").alias("c")).withColumn("x", F.explode(spans))
+    coarse = coarse.select(
+        "region", F.lit("demdiff").alias("data_group"), F.concat("region", F.lit("|dem")).alias("dataset_id"), F.lit("trend").alias("role"), F.lit("m").alias("unit"), F.col("x.seq").alias("seq"),
+        F.col("x.a").alias("start_date"), F.col("x.b").alias("end_date"), (F.col("c") * (F.col("x.b") - F.col("x.a")) * 10).alias("change"), F.lit(0.4).alias("error"),
+    )
+    return annual.unionByName(trend).unionByName(coarse), regions
+
+
+def _assessed_groups(spark, sf):
+    obs, regions = _assessed(spark, sf)
+    return assessment.group_results(written(obs, "observations"), regions, SETTINGS), regions
+
+
+def _seasonal(spark, sf):
+    return orders(spark, sf).where("user_group = '1-URGENT'").select("region", "seq", "start_date", "end_date", "change", "error")
 
 
 @query
 def assessment_groups(spark, sf):
-    obs, regions = _assessed(spark, sf)
-    return rounded(assessment.group_results(obs, regions, (1996.0, 2000.0)).select("region", "data_group", "start_date", "end_date", "change", "error"))
+    groups, _ = _assessed_groups(spark, sf)
+    return rounded(groups.select("region", "data_group", "start_date", "end_date", "change", "error"))
 
 
 @query
 def assessment_regions(spark, sf):
-    obs, regions = _assessed(spark, sf)
-    return rounded(assessment.regional_results(assessment.group_results(obs, regions, (1996.0, 2000.0))).select("region", "start_date", "end_date", "change", "error"))
+    groups, _ = _assessed_groups(spark, sf)
+    return rounded(assessment.regional_results(groups).select("region", "start_date", "end_date", "change", "error"))
+
+
+@query
+def assessment_regions_gt(spark, sf):
+    groups, regions = _assessed_groups(spark, sf)
+    return rounded(assessment.in_gt(assessment.regional_results(groups), regions).select("region", "start_date", "end_date", "change", "error"))
+
+
+def _calendar(spark, sf):
+    groups, regions = _assessed_groups(spark, sf)
+    regional = written(assessment.regional_results(groups), "regional")
+    return assessment.to_calendar_years(regional, written(_seasonal(spark, sf), "seasonal")), regions
 
 
 @query
 def assessment_global(spark, sf):
+    years, regions = _calendar(spark, sf)
+    return rounded(assessment.global_result(years, regions, 1996, 2000).select("start_date", "end_date", "change", "error"))
+
+
+@query
+def assessment_global_gt(spark, sf):
+    years, regions = _calendar(spark, sf)
+    return rounded(assessment.global_result(years, regions, 1996, 2000, "gt").select("start_date", "end_date", "change", "error"))
+
+
+@query
+def seasonal_correction(spark, sf):
+    """Yearly datasets by the seasonal method inside the plan."""
     obs, regions = _assessed(spark, sf)
-    regional = assessment.regional_results(assessment.group_results(obs, regions, (1996.0, 2000.0)))
-    return rounded(assessment.global_result(assessment.to_calendar_years(regional), regions, 1990, 2005).select("start_date", "end_date", "change", "error"))
+    yearly = written(assessment.prepared(obs.where("dataset_id LIKE '%|years' AND role = 'trend'"), regions), "yearly")
+    seasonal = written(_seasonal(spark, sf), "seasonal")
+    return rounded(assessment.annual_series(yearly, regions, seasonal, "seasonal_homogenization").select("region", "start_date", "end_date", "change", "error"))
 
 
 @query

@@ -101,7 +101,13 @@ def submissions(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     raw = spark.read.option("header", True).csv(paths).select("*", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("dataset_id"), F.col("_metadata.file_block_start").alias("block_"))
     day = lambda c: F.try_to_timestamp(F.col(c), F.lit("dd/MM/yyyy")).cast("date").alias(c)
     raw = raw.withColumn("line_", F.monotonically_increasing_id())
-    return raw.select(F.col("dataset_id").alias("file_name"), F.row_number().over(_in_file()).alias("seq"), day("start_date"), day("end_date"), F.col("glacier_change_observed").cast("double").alias("change"), F.col("glacier_change_uncertainty").cast("double").alias("error"), "unit", "user_group")
+    number = lambda c, name: F.col(c).cast("double").alias(name)
+    more = [number(c, c) for c in ("glacier_area_reference", "glacier_area_observed", "hydrological_correction_value", "sea_level_correction_value") if c in raw.columns]
+    more += [F.col(c) for c in ("region_id", "remarks") if c in raw.columns]
+    seq = F.row_number().over(_in_file()).alias("seq")
+    return raw.select(
+        F.col("dataset_id").alias("file_name"), seq, day("start_date"), day("end_date"), number("glacier_change_observed", "change"), number("glacier_change_uncertainty", "error"), "unit", "user_group", *more
+    )
 
 
 def read(spark: SparkSession, uri: str) -> DataFrame:
@@ -119,15 +125,58 @@ def csv_files(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
     return files.where(F.element_at(F.split("path", "/"), -1).startswith(prefix))
 
 
+def expanded(datasets: DataFrame) -> DataFrame:
+    """Datasets with a column for each key of their additional metadata; keys that are columns already keep theirs."""
+    keys = sorted(r.k for r in datasets.select(F.explode(F.map_keys("additional_metadata")).alias("k")).distinct().collect())
+    new = [F.try_element_at("additional_metadata", F.lit(k)).alias(k) for k in keys if k not in datasets.columns]
+    return datasets.select(*[F.col(f"`{c}`") for c in datasets.columns if c != "additional_metadata"], *new)
+
+
+def from_store(spark: SparkSession, store: str) -> DataFrame:
+    """The datasets of a submission system's store: meta.json lists the submissions' own JSON files, beside them lie the CSV files."""
+    store = store.rstrip("/")
+    top = read(spark, f"{store}/meta.json").select(F.explode("datasets").alias("d")).select("d.*")
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    own = spark.read.option("multiLine", True).option("pathGlobFilter", "*.json").json(store).select("*", name.alias("file_name"))
+    own = own.where("file_name <> 'meta.json'").drop("datasets", "_corrupt_record")
+    metadata = submission_metadata(top, own).where("region IS NOT NULL")
+    raw = spark.read.option("header", True).option("pathGlobFilter", "*.csv").csv(store).select("unit", name.alias("dataset_id"), F.monotonically_increasing_id().alias("line_"))
+    units = raw.groupBy("dataset_id").agg(F.min_by("unit", "line_").alias("unit"))
+    out = from_submissions(metadata, units, dims.regions(spark))
+    path = F.concat(F.lit(f"{store}/"), F.col("dataset_id"))
+    return out.withColumn("data_filepath", path).withColumn("dataset_ord", F.row_number().over(_one_task().orderBy("dataset_id")) - 1)
+
+
+def _one_task():
+    from pyspark.sql import Window
+
+    return Window.partitionBy(F.lit(0))  # a catalogue is a row a dataset
+
+
 def load(spark: SparkSession, source: str, store: str | None = None) -> DataFrame:
-    """A JSON catalogue, or with the name of the submission system the metadata in `store`."""
+    """The datasets of a JSON catalogue, or with the name of the submission system those in `store`."""
     if source == PLACEHOLDER:
         if not store:
             raise ValueError("the submission system needs a store")
-        return read(spark, f"{store.rstrip('/')}/meta.json")
+        return from_store(spark, store)
     return from_json(spark, source)
 
 
+def with_rows(spark: SparkSession, datasets: DataFrame) -> DataFrame:
+    """Observation rows of all datasets with the datasets' columns, met by the files' paths."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def qualified(path: str) -> str:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(conf).makeQualified(at).toString()
+
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    named = [(r.data_filepath, qualified(r.data_filepath)) for r in datasets.select("data_filepath").distinct().collect()]  # a row a dataset
+    paths = spark.createDataFrame(named, "data_filepath string, path_ string").withColumn("path_", plain("path_"))
+    rows = observations(spark, [p for _, p in named]).withColumn("path_", plain("dataset_id")).drop("dataset_id")
+    return rows.join(F.broadcast(datasets.join(paths, "data_filepath")), "path_").drop("path_")
+
+
 def bucket_name(version: int, names: dict[int, str]) -> str:
     if version not in names:
         raise ValueError(f"no store for version {version}")

@@ -211,4 +211,51 @@ def test_empty_inputs(make, spark):
 
 def test_figures(make):
     df = make(GAP, region="r", data_group="g")
-    assert assessment.figures({"raw": df, "final": df}).count() == 6
+    assert assessment.figures({"raw": df, "final": df}, levels=False).count() == 6
+    made = assessment.figures({"raw": df, "final": df.drop("dataset_id")})
+    assert made.where("kind = 'rate'").count() == 6 and made.where("kind = 'level' AND figure = 'raw'").count() == 6  # a start, three ends, a gap
+    assert made.where("figure = 'final' AND dataset_id IS NOT NULL").count() == 0
+
+
+def test_spline_against_a_dense_solution():
+    rng = np.random.default_rng(4)
+    x = np.cumsum(rng.uniform(0.2, 1.5, 40))
+    y, at = rng.normal(size=40), np.linspace(x[0], x[-1], 300)
+    h, s, n = np.diff(x), np.diff(y) / np.diff(x), 40
+    a, r = np.zeros((n, n)), np.zeros(n)
+    a[0, :3], a[-1, -3:] = (h[1], -(h[0] + h[1]), h[0]), (h[-1], -(h[-2] + h[-1]), h[-2])
+    for i in range(1, n - 1):
+        a[i, i - 1 : i + 2], r[i] = (h[i - 1], 2 * (h[i - 1] + h[i]), h[i]), 6 * (s[i] - s[i - 1])
+    m, i = np.linalg.solve(a, r), np.clip(np.searchsorted(x, at, "right") - 1, 0, n - 2)
+    t = at - x[i]
+    want = y[i] + t * (s[i] - h[i] * (2 * m[i] + m[i + 1]) / 6) + t**2 * m[i] / 2 + t**3 * (m[i + 1] - m[i]) / (6 * h[i])
+    assert np.allclose(series.cubic_spline(x, y, at), want)
+    twice = np.concatenate([x, x[:5]])
+    assert np.allclose(series.cubic_spline(twice, np.concatenate([y, y[:5] + 2]), x[:5]), y[:5] + 1)
+    assert np.isfinite(series.cubic_spline(np.arange(20_000.0), rng.normal(size=20_000), np.array([0.5, 19_998.5]))).all()
+
+
+def test_annual_series_off_the_year_grid_are_shifted(spark, make):
+    """Years of changes 1 to 5 from January keep their changes when they come to years from October; metres take the error of a year."""
+    rows = [(f"{u}", u, k + 1, 2000.0 + k, 2001.0 + k, float(k + 1), 0.1) for u in ("mwe", "m") for k in range(5)]
+    df = spark.createDataFrame(rows, "dataset_id string, unit string, seq int, start_date double, end_date double, change double, error double")
+    df = df.withColumns({"region": F.lit("iceland"), "data_group": F.lit("altimetry"), "role": F.lit("annual")})
+    regions = assessment.with_years(dims.regions(spark))
+    got = assessment.annual_series(assessment.prepared(df, regions), regions, None, "proportional").orderBy("dataset_id", "start_date").collect()
+    assert [(r.start_date, r.change) for r in got if r.dataset_id == "mwe"] == [(1999.75 + k, k + 1.0) for k in range(5)]
+    m = next(r for r in got if r.dataset_id == "m")
+    assert m.change == pytest.approx(850 / 997) and m.error == pytest.approx(850 / 997 * np.hypot(0.1, 240 / 850))
+    with pytest.raises(ValueError):
+        assessment.corrected(df, None, "seasonal_homogenization")
+    with pytest.raises(NotImplementedError):
+        assessment.corrected(df, None, "other")
+
+
+def test_extension_without_common_years(make, spark):
+    a = spark.createDataFrame([("r", 2000.0, 2001.0, 5.0, 0.1)], "region string, start_date double, end_date double, change double, error double")
+    b = spark.createDataFrame([("r", 2003.0, 2004.0, 7.0, 0.2)], a.schema)
+    got = combine.extended_if_shorter(a, b, ["region"], (1999.0, 2005.0)).orderBy("start_date").collect()
+    assert [(r.start_date, r.change) for r in got] == [(2000.0, None), (2003.0, None)]
+    assert combine.extended_if_shorter(a, b, ["region"], (2000.0, 2001.0)).first().change == 5.0
+    window = spark.createDataFrame([("r", 2000.0, 2001.0)], "region string, low double, high double")
+    assert combine.extended_if_shorter(a, b, ["region"], window).first().change == 5.0

@@ -84,3 +84,99 @@ def test_settings(tmp_path):
 def test_command_line(tmp_path):
     path, _ = _config(tmp_path, enabled=False)
     main([str(path), "-q"])
+
+
+def _run(tmp_path, **more):
+    """A catalogue of two regions with monthly, yearly and coarse files, and the settings of a run over it."""
+    data = tmp_path / "data"
+    data.mkdir()
+    datasets = []
+
+    def add(region, user, group, rows, unit="mwe"):
+        name = f"{region}_{user}_{group}.csv"
+        lines = [f"{region},{user},{s!r},{e!r},{c!r},{x!r},1,1" for s, e, c, x in rows]
+        (data / name).write_text("\n".join([HEAD, *lines]) + "\n")
+        datasets.append({"filename": name, "region": region, "user_group": user, "data_group": group, "unit": unit})
+
+    months = lambda first, years: [(first + k / 12, first + (k + 1) / 12) for k in range(12 * years)]
+    for n, region in enumerate(("iceland", "alaska")):
+        add(region, "monthly", "altimetry", [(s, e, -0.1 - 0.01 * n + 0.05 * ((k % 12) < 6), 0.02) for k, (s, e) in enumerate(months(1999.0, 12))])
+        add(region, "yearly", "altimetry", [(1999.0 + k, 2000.0 + k, -1.0 + 0.1 * (k % 3), 0.2) for k in range(12)])
+        add(region, "left_out", "altimetry", [(1999.0 + k, 2000.0 + k, 99.0, 0.2) for k in range(12)])
+        add(region, "coarse", "demdiff", [(2000.5, 2005.0, -5.0, 0.5), (2005.0, 2009.5, -6.0, 0.5)], "m")
+        add(region, "both", "combined", [(2000.75, 2009.75, -8.0, 0.5)], "m")
+    (tmp_path / "catalogue.json").write_text(json.dumps({"base_path": [str(data)], "datasets": datasets}))
+    folder = tmp_path / "run2"
+    folder.mkdir()
+    for region, years in (("iceland", "glaciological"), ("alaska", "calendar")):
+        own = {
+            "altimetry": {"exclude_annual_datasets": ["LEFT_OUT", None], "exclude_trend_datasets": ["left_out", "yearly"]},
+            "demdiff": {"exclude_annual_datasets": ["coarse"], "include_combined_trend_datasets": ["Both"]},
+        }
+        settings = {"region_name": region, "year_type": years, "seasonal_correction_dataset": {"user_group": "monthly", "data_group": "altimetry"}, "region_run_settings": own}
+        (folder / f"{region}.yaml").write_text(yaml.safe_dump(settings))
+    top = {
+        "version": 2, "config_folder": "run", "result_base_path": str(tmp_path / "out"), "region_config_base_path": str(tmp_path), "catalogue_path": str(tmp_path / "catalogue.json"),
+        "start_year": 2000, "end_year": 2010, "rgi_area_version": 6, "datagroups_to_calculate": ["altimetry", "demdiff"], "method_to_extract_trends": "regression",
+        "seasonal_correction_method": "seasonal_homogenization", "regions": [{"region_name": r, "enable_this_region": True, "config_file_path": f"{r}.yaml"} for r in ("iceland", "alaska")],
+    }
+    (tmp_path / "c.yaml").write_text(yaml.safe_dump(top | more))
+    return tmp_path / "c.yaml"
+
+
+def test_run_over_a_catalogue(spark, tmp_path):
+    main([str(_run(tmp_path))])
+    (base,) = (tmp_path / "out").iterdir()
+    read = lambda path: spark.read.option("header", True).option("inferSchema", True).csv(f"file://{base}/{path}")
+    world = read("0_global/consensus/csvs/global_mwe.csv").orderBy("start_date").collect()
+    assert [r.start_date for r in world] == [float(y) for y in range(2001, 2009)] or len(world) >= 7
+    assert all(-1.6 < r.change < -0.5 and 0 < r.error < 3 for r in world)
+    gt = read("0_global/consensus/csvs/global_gt.csv").count()
+    assert gt == len(world)
+    stages = spark.read.parquet(f"file://{base}/stages")
+    assert {r.stage for r in stages.select("stage").distinct().collect()} == {*sinks.STAGES, "final"}
+    assert stages.where("abs(change) > 50").count() == 0  # the datasets that the lists exclude
+    starts = lambda region: {r.start_date % 1 for r in stages.where(f"stage = 'final' AND region = '{region}'").collect()}
+    assert starts("iceland") == {0.75} and starts("alaska") == {0.0}
+    assert stages.where("stage = 'trends_homogenized' AND data_group = 'demdiff'").select("trend").distinct().count() == 4  # with the combined ones
+    for name in ("consensus_hydrological_year_gt_iceland.csv", "consensus_calendar_year_mwe_iceland.csv"):
+        assert read(f"6_iceland/consensus/csvs/{name}").count() > 5
+    assert read("1_alaska/demdiff/csvs/demdiff_final_with_area_change.csv").count() > 5
+
+
+def test_cleaning_job(spark, tmp_path):
+    from firn.plans import cleaning
+
+    head = "region_id,start_date,end_date,glacier_change_observed,glacier_change_uncertainty,unit,user_group,remarks,hydrological_correction_value\n"
+    line = lambda s, e, c, h: f"6,{s},{e},{c},0.5,Gt,u,x,{h}\n"
+    folder = tmp_path / "in"
+    folder.mkdir()
+    rows = [("01/06/2017", "01/07/2017", 30.0, 1), ("01/06/2018", "01/07/2018", 60.0, 3), ("01/09/2018", "01/10/2018", 90.0, 5)]
+    (folder / "isl_gravimetry_u.csv").write_text(head + "".join(line(*r) for r in rows))
+    (folder / "isl_altimetry_u.csv").write_text(head + "".join(line(*r) for r in [("01/01/2010", "31/12/2010", 1.0, 1), ("01/01/2011", "31/12/2011", -99999.0, 1)]))
+    record = {r.file_name: r.action for r in cleaning.clean(spark, str(folder), str(tmp_path / "out")).collect()}
+    assert record == {"isl_gravimetry_u.csv": "interpolate", "isl_altimetry_u.csv": "close"}
+    got = spark.read.option("header", True).csv(str(tmp_path / "out" / "files"))
+    own = got.where("file_name = 'isl_gravimetry_u.csv'").orderBy(F.col("seq").cast("int")).collect()
+    # The row that bridges the missions goes; the gap of July and August 2018 is filled.
+    assert [r.start_date for r in own] == ["2017-06-01", "2018-06-01", "2018-07-01", "2018-09-01"]
+    assert abs(float(own[2].change) - 2.5 * 62) < 1e-6 and float(own[2].hydrological_correction_value) == 4.0 and {r.remarks for r in own} == {"x"}
+    assert got.where("file_name = 'isl_altimetry_u.csv'").count() == 1
+    mixed_units = spark.createDataFrame([("g_gravimetry.csv", k, f"2001-0{2 * k + 1}-01", f"2001-0{2 * k + 2}-01", 1.0, 0.1, u) for k, u in enumerate(("m", "Gt"))], "file_name string, seq int, start_date string, end_date string, change double, error double, unit string")
+    mixed_units = mixed_units.withColumns({c: F.to_date(c) for c in ("start_date", "end_date")})
+    with pytest.raises(Exception, match="not constant"):
+        cleaning.cleaned(mixed_units).collect()
+
+
+def test_store_of_a_submission_system(spark, tmp_path):
+    (tmp_path / "meta.json").write_text(json.dumps({"datasets": [{"submission_metadata_filename": "a.json", "user_group": "u1", "group_name": "grp"}]}))
+    (tmp_path / "a.json").write_text(json.dumps({"region": "isl", "observational_source": "altimetry", "lead_author_name": "who", "rgi_version_select": "6.0", "note": "n"}))
+    (tmp_path / "isl_altimetry_grp.csv").write_text(f"{HEAD},unit\nr,u,2000,2001,-0.3,0.45,1,1,m\nr,u,2001,2002,-0.4,0.45,1,1,m\n")
+    got = catalogue.load(spark, catalogue.PLACEHOLDER, str(tmp_path))
+    r = got.first()
+    assert (r.region, r.data_group, r.user_group, r.unit, r.dataset_id) == ("iceland", "altimetry", "grp", "m", "isl_altimetry_grp.csv")
+    assert catalogue.expanded(got).first().note == "n"
+    rows = catalogue.with_rows(spark, got).orderBy("seq").collect()
+    assert [(x.region, x.start_date, x.change) for x in rows] == [("iceland", 2000.0, -0.3), ("iceland", 2001.0, -0.4)]
+    with pytest.raises(ValueError):
+        catalogue.load(spark, catalogue.PLACEHOLDER)
