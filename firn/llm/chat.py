@@ -7,7 +7,8 @@ the output holds every turn. Turns stand between control strings; control string
 Rows of a conversation are ordered by turn, then role and text; repeated rows are turns like others. Null texts count as
 empty, null roles as empty ones; null turns come first; rows of a null conversation id form one conversation. An empty
 table gives an empty result; other columns are ignored. Conversations pass through tasks as sorted streams: a task holds
-one example at a time, however long the table.
+one conversation's turns and one of its examples at a time, however long the table; a conversation must fit a task some three
+times over (its turns, their joined text, an example).
 """
 
 from __future__ import annotations

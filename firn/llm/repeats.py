@@ -9,6 +9,9 @@ windows repeat. Where spans of one anchor differ, the repeat ends or an edit lie
 each kind is taken apart into its windows, which are counted by hash. So a passage in very many documents costs a row
 per document, never a pair of documents.
 
+What is left are maximal repeats: overlapping windows join, as far to both sides as the words repeat. Spans and windows are told
+apart by their anchor's hash and a second one, 128 bits together, so that no words are shipped.
+
 A word goes if a window that covers it has words that also start anywhere else, in the same document too; windows are
 judged on the input. Words are `[^\\x20\\x09-\\x0D]+`, unchanged. Null texts have no words. Repeated rows repeat each other.
 Null ids are kept; an empty table gives an empty result; other columns are ignored.
@@ -91,7 +94,7 @@ def _spans(words: list[bytes], window: int, seed: int) -> tuple[np.ndarray, ...]
 
 def _key(id_col: str, text_col: str) -> Column:
     """Rows of equal id and text share a key: their windows are judged alike."""
-    return F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.coalesce(F.col(text_col), F.lit("")))))
+    return F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("-")), F.coalesce(F.col(f"`{text_col}`"), F.lit("")))))
 
 
 def _i64(a: np.ndarray) -> pa.Array:
@@ -156,31 +159,40 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, seed: int = SEED) -> DataFrame:
-    """One row per row of docs: id, n_words, n_removed, kept_text (the words left, joined by a blank), kept_sha256."""
-    flat = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"), _key(id_col, text_col).alias("key"))
+    """One row per row of docs: id, n_words, n_removed, repeats (its maximal repeats, as first word and the word behind the
+    last), kept_text (the words left, joined by a blank), kept_sha256."""
+    flat = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("body"), _key(id_col, text_col).alias("key"))
     ranges = repeated_ranges(flat.select("key", "body"), window, seed)
     marks = ranges.groupBy("key").agg(F.collect_set(F.struct("first", "last")).alias("marks"))  # fewer than the text has words
 
+    ranges_type = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, len(whole), 512):
                 batch = whole.slice(lo, 512)
-                counts, removed, texts = [], [], []
+                counts, removed, texts, found = [], [], [], []
                 for text, marked in zip(batch.column("body").to_pylist(), batch.column("marks").to_pylist(), strict=True):
                     words = _words(text)
                     if marked:
                         edge = np.zeros(len(words) + 1, np.int64)
                         np.add.at(edge, [m["first"] for m in marked], 1)
                         np.add.at(edge, [m["last"] + window for m in marked], -1)
-                        left = [words[i] for i in np.flatnonzero(np.cumsum(edge[:-1]) == 0).tolist()]
+                        gone = np.cumsum(edge[:-1]) > 0
+                        turn = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]])))
+                        found.append([{"first": a, "end": b} for a, b in turn.reshape(-1, 2).tolist()])
+                        left = [words[i] for i in np.flatnonzero(~gone).tolist()]
                     else:
+                        found.append([])
                         left = words
                     counts.append(len(words))
                     removed.append(len(words) - len(left))
                     texts.append(b" ".join(left))
                 sha = [hashlib.sha256(t).hexdigest() for t in texts]
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array([t.decode("utf-8", "surrogatepass") for t in texts], pa.string()), pa.array(sha, pa.string())], names=["id", "n_words", "n_removed", "kept_text", "kept_sha256"])
+                kept = pa.array([t.decode("utf-8", "surrogatepass") for t in texts], pa.string())
+                cols = [batch.column("id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(found, ranges_type), kept, pa.array(sha, pa.string())]
+                yield pa.RecordBatch.from_arrays(cols, names=["id", "n_words", "n_removed", "repeats", "kept_text", "kept_sha256"])
 
     kind = flat.schema["id"].dataType.simpleString()
     joined = flat.join(marks, "key", "left").select("id", "body", "marks")
-    return joined.mapInArrow(cut, f"id {kind}, n_words bigint, n_removed bigint, kept_text string, kept_sha256 string")
+    return joined.mapInArrow(cut, f"id {kind}, n_words bigint, n_removed bigint, repeats array<struct<first:int,end:int>>, kept_text string, kept_sha256 string")
