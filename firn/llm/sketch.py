@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 SHINGLE = 5
 #: The fraction of the hash range that is retained.
 FRACTION = 0.25
-#: Documents are dealt in order over buckets of about so many bytes, at most MOST_BUCKETS.
+#: Documents are dealt in order over buckets of about so many bytes, one task each. There are FEWEST to MOST_BUCKETS; beyond
+#: some 500 GB buckets grow with the table, and Spark's sort and window spill.
 BUCKET_BYTES = 8_000_000
-MOST_BUCKETS = 65_536
+FEWEST, MOST_BUCKETS = 32, 65_536
 _LEAST = -(2**63)
 
 
@@ -87,9 +88,10 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     the first. Documents are dealt once, by ranges of ids; the first of each range also goes to the range before, so no
     range needs another's rows.
     """
-    flat = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    flat = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     size = flat.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
-    place = _bucket(flat, "doc_id", int(min(MOST_BUCKETS, max(1, (size.bytes or 0) // BUCKET_BYTES), max(1, size.n // 2))))
+    buckets = int(min(MOST_BUCKETS, max(FEWEST, (size.bytes or 0) // BUCKET_BYTES), max(1, size.n // 2)))
+    place = _bucket(flat, "doc_id", buckets)
     order = [F.asc_nulls_first("doc_id"), F.asc("tie")]
     keyed = flat.withColumn("bucket", place).withColumn("tie", F.xxhash64("text"))
     heads = keyed.groupBy("bucket").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id", "tie")).alias("head"))
@@ -106,6 +108,8 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     mine = F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("guard"))
     guest = F.struct(F.col("before").alias("bucket"), F.lit(True).alias("guard"))
     dealt = guarded.withColumn("to", F.explode(F.when(is_head, F.array(mine, guest)).otherwise(F.array(mine)))).select("doc_id", "text", "tie", "to.bucket", "to.guard")
+    # As many partitions as buckets, so that few fall together whatever the session's number of partitions.
+    dealt = dealt.repartition(buckets, "bucket")
     within = Window.partitionBy("bucket").orderBy(F.asc("guard"), *order)
     lined = dealt.withColumn("next_text", F.lead("text").over(within))
     n = F.length("text")
