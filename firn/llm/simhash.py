@@ -44,6 +44,8 @@ BLOCK = 262_144
 PAIRS, CROWD = 400_000, 1_000_000
 #: Shingles of the texts that one side of an exact comparison holds.
 GRAMS = 2_000_000
+#: Rows that the first batch of near duplicates holds at least, and the share of all rows left that it holds at least.
+BATCH, BATCHES = 20_000, 64
 #: Longest run of shingles whose bits are unpacked at once.
 _STEP = 8_192
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)
@@ -371,7 +373,7 @@ def first_of_neighbours(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("low").alias("node")) if gone is None else gone
 
 
-def near_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, words64: int = 5, shard: int = 131_072) -> DataFrame:
+def near_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, words64: int = 5, shard: int = 131_072, batch: int = BATCH) -> DataFrame:
     """The rows of docs, with all columns, that stay when rows are taken in order of their ids (nulls last) and a row goes if
     its Jaccard similarity of shingle sets to one that stayed is at least so high. So no two that stay are alike, and each
     that goes is like one that stayed. Equal rows stay or go together; texts without words are alike.
@@ -382,7 +384,9 @@ def near_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     1. A class of equal fingerprints without a candidate before it gives its first row as a centre, which stays.
     2. Rows are compared with the centres near them, and go if they are alike. A group of copies of any size ends here, with
        as many comparisons as it has rows.
-    3. The candidate pairs of the rows left are compared one by one, and what is alike is settled in order.
+    3. The rows left are taken in growing batches in the order of their ids. Inside a batch the candidate pairs are compared one
+       by one, and what is alike is settled in order; rows behind it go if they are alike to one of the batch that stayed. So
+       a large family of texts, some of which are alike, costs its rows times those that stay.
     """
     bits, share = 64 * words64, float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     radius, radii = round(bits * share + 4 * (bits * share * (1 - share)) ** 0.5), [1] * (4 * words64)
@@ -405,10 +409,14 @@ def near_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return pd.DataFrame({"fp": pdf["fp"].to_numpy()[met], "after": after[met]})
 
     def of_centres(pdf: pd.DataFrame, fp: np.ndarray, part: int, pairs: Callable) -> pd.DataFrame:
-        centre, names, out = pdf["centre"].to_numpy(bool), pdf["fp"].to_numpy(), [(np.zeros(0, np.int64),) * 2]
+        centre, asks = (pdf[c].to_numpy(bool) for c in ("centre", "asks"))
+        names, out = pdf["fp"].to_numpy(), [(np.zeros(0, np.int64),) * 2]
         for x, y in pairs(lambda rows: centre[rows]):
-            ok = (centre[x] != centre[y]) & _first_meeting(fp, x, y, part, radii)
-            out.append((np.where(centre[x], y, x)[ok], np.where(centre[x], x, y)[ok]))
+            for a, b in ((x, y), (y, x)):
+                ok = asks[a] & centre[b]
+                a, b = a[ok], b[ok]
+                ok = _first_meeting(fp, a, b, part, radii)
+                out.append((a[ok], b[ok]))
         x, y = map(np.concatenate, zip(*out, strict=True))
         return pd.DataFrame({"fp": names[x], "other": names[y]})
 
@@ -437,19 +445,45 @@ def near_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = flat.join(rows.select(F.col("me.node").alias("_node")), "_node", "left_semi").dropDuplicates(["_node"]).select(F.col("_node").alias("node"), "_body")
     sets = written(texts.mapInArrow(grams, "node binary, grams array<bigint>"), "sets")
 
-    near = search(play.select("fp", "centre"), of_centres, "fp binary, other binary").distinct()
-    near = near.unionByName(play.where("centre AND n > 1").select("fp", F.col("fp").alias("other")))
-    centres = play.where("centre").select(F.col("fp").alias("other"), F.col("least.node").alias("b"))
-    asked = rows.where("NOT centre").select("fp", F.col("me.node").alias("a")).join(written(near.join(centres, "other").select("fp", "b"), "centres"), "fp").select("a", "b")
-    gone = written(alike(written(asked, "asked"), sets, similarity).select(F.col("a").alias("node")).distinct(), "like-centres")
-
-    left = written(rows.where("NOT centre").join(gone.select(F.col("node").alias("_gone")), F.col("me.node") == F.col("_gone"), "left_anti").select("fp", "me"), "rows-left")
-    again = search(left.select("fp").distinct(), every, "fp binary, other binary").distinct()
-    again = again.unionByName(left.groupBy("fp").count().where("count > 1").select("fp", F.col("fp").alias("other")))
-    pairs = again.join(left.select("fp", F.col("me").alias("x")), "fp").join(left.select(F.col("fp").alias("other"), F.col("me").alias("y")), "other").where("x <> y")
-    pairs = written(pairs.select(F.least("x", "y").alias("low"), F.greatest("x", "y").alias("high")).distinct(), "pairs-left")
-    true = alike(pairs.select(F.col("low.node").alias("a"), F.col("high.node").alias("b")), sets, similarity)
-    edges = pairs.join(true, (F.col("low.node") == F.col("a")) & (F.col("high.node") == F.col("b")), "left_semi")
-    late = first_of_neighbours(written(edges, "edges"))
-    gone = gone.unionByName(late.select("node.node"))
+    def like(asking: DataFrame, stayed: DataFrame) -> DataFrame:
+        """The nodes of `asking` that are alike to one of `stayed`; both hold fp and me."""
+        asks = asking.select("fp").distinct().withColumn("asks", F.lit(True))
+        points = asks.join(stayed.select("fp").distinct().withColumn("centre", F.lit(True)), "fp", "full")
+        points = written(points.select("fp", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("asks", "centre")]), "points")
+        met = search(points, of_centres, "fp binary, other binary").distinct()
+        met = met.unionByName(points.where("asks AND centre").select("fp", F.col("fp").alias("other")))
+        met = written(met.join(stayed.select(F.col("fp").alias("other"), F.col("me.node").alias("b")), "other").select("fp", "b"), "near-stayed")
+        asked = written(asking.select("fp", F.col("me.node").alias("a")).join(met, "fp").select("a", "b"), "asked")
+        return written(alike(asked, sets, similarity).select(F.col("a").alias("node")).distinct(), "gone")
+
+    def among(these: DataFrame) -> DataFrame:
+        """The nodes of `these` that go when they are settled in order."""
+        met = search(these.select("fp").distinct(), every, "fp binary, other binary").distinct()
+        met = met.unionByName(these.groupBy("fp").count().where("count > 1").select("fp", F.col("fp").alias("other")))
+        pairs = met.join(these.select("fp", F.col("me").alias("x")), "fp").join(these.select(F.col("fp").alias("other"), F.col("me").alias("y")), "other").where("x <> y")
+        pairs = written(pairs.select(F.least("x", "y").alias("low"), F.greatest("x", "y").alias("high")).distinct(), "pairs")
+        true = alike(pairs.select(F.col("low.node").alias("a"), F.col("high.node").alias("b")), sets, similarity)
+        edges = pairs.join(true, (F.col("low.node") == F.col("a")) & (F.col("high.node") == F.col("b")), "left_semi")
+        return first_of_neighbours(written(edges, "edges")).select("node.node")
+
+    def without(these: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
+        return written(these.join(nodes.select(F.col("node").alias("_gone")), F.col("me.node") == F.col("_gone"), "left_anti").select("fp", "me"), name)
+
+    rest = rows.where("NOT centre").select("fp", "me")
+    gone = like(rest, rows.where("centre").select("fp", "me"))
+    left = without(rest, gone, "rows-left")
+    while n := left.count():
+        size = max(batch, n // BATCHES)
+        # A bound on ids, so that a batch is a beginning of the order; null ids are the last batch.
+        bound = left.where("NOT me.none").agg(F.percentile_approx("me.id", min(1.0, size / n), 1_000)).first()[0] if n > size else None
+        inside = F.lit(True) if bound is None else ~F.col("me.none") & (F.col("me.id") <= bound)
+        head = written(left.where(inside), "batch")
+        late = written(among(head), "gone")
+        gone = gone.unionByName(late)
+        if bound is None:
+            break
+        tail = left.where(~inside)
+        behind = like(tail, without(head, late, "stayed"))
+        gone = gone.unionByName(behind)
+        left = without(tail, behind, "rows-left")
     return named.select("_row", "_node").join(gone.withColumnRenamed("node", "_node"), "_node", "left_anti").select("_row.*")

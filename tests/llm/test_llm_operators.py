@@ -172,9 +172,9 @@ def plain_near(rows, similarity=0.8):
     return set(stay)
 
 
-@pytest.mark.parametrize("blocks", [4_000, 4_000_000])
-def test_near_distinct_against_all_pairs(spark, monkeypatch, blocks):
-    """Copies of every degree around a few texts, some like each other but not the first; small blocks and large."""
+@pytest.mark.parametrize(("blocks", "batch"), [(4_000, 7), (4_000_000, 20_000)])
+def test_near_distinct_against_all_pairs(spark, monkeypatch, blocks, batch):
+    """Copies of every degree around a few texts, some like each other but not the first; small blocks and batches and large ones."""
     monkeypatch.setattr(simhash, "GRAMS", blocks)
     rng, made = np.random.default_rng(7), []
     for b in range(4):
@@ -188,7 +188,7 @@ def test_near_distinct_against_all_pairs(spark, monkeypatch, blocks):
     docs = spark.createDataFrame(made, "doc_id bigint, text string").repartition(5)
     want = plain_near(made)
     assert 4 < len(want) < len(made)
-    assert {r.doc_id for r in simhash.near_distinct(docs, shard=50).collect()} == want
+    assert {r.doc_id for r in simhash.near_distinct(docs, shard=50, batch=batch).collect()} == want
 
 
 def test_pipeline_near_against_all_pairs(spark):
