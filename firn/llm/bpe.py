@@ -37,7 +37,7 @@ CHUNK_LEAST = 128
 SHARED = 8_192
 SHARED_CHARS = 8_192
 #: Runs, and checked joins, that a worker keeps.
-RUNS, JOINS = 300_000, 60_000
+RUNS, JOINS = 120_000, 30_000
 _RUN = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 #: White space, or what some tables take for it, beside the four characters above: a piece with any of it is one run.
 _ODD = re.compile("[\x0b\x0c\x1c-\x1f\x7f-\xa0\u1680\u180e\u2000-\u206f\u3000\ufeff]")

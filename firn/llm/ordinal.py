@@ -31,7 +31,7 @@ from firn.llm.common import worker_cache
 ROWS = 2_500
 BUCKETS = 1 << 15
 #: Words that a worker keeps scores of.
-KEPT = 250_000
+KEPT = 120_000
 #: A document stays if the probability of a grade of at least ACCEPT is at least this.
 ACCEPT, TAIL = 1, 0.5
 
