@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firn.llm.common import written
+from firn.llm.common import worker_cache, written
 from firn.llm.components import components
 
 SEED = 42
@@ -46,6 +46,8 @@ PAIRS, CROWD = 400_000, 1_000_000
 GRAMS = 2_000_000
 #: Rows that the first batch of near duplicates holds at least, and the share of all rows left that it holds at least.
 BATCH, BATCHES = 20_000, 64
+#: Rows whose 16-byte names are broadcast at most; more of them are joined by a shuffle of the texts.
+FEW = 1_000_000
 #: Longest run of shingles whose bits are unpacked at once.
 _STEP = 8_192
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)
@@ -86,6 +88,7 @@ def fingerprints(docs: DataFrame, shingle: int, words64: int = 1, text_col: str
     keep = keep or []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("simhash")  # nothing is kept here, and what other operators kept goes
         for batch in batches:
             made = [simhash(t.as_py(), shingle, words64, distinct) for t in batch.column("_text")]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array([f for f, _ in made], pa.binary()), pa.array([n for _, n in made], pa.int64())], names=[*keep, "fp", "n_shingles"])
@@ -442,7 +445,9 @@ def near_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 made = pa.array([shingle_set(t.as_py(), shingle) for t in part.column("_body")], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([part.column("node"), made], names=["node", "grams"])
 
-    texts = flat.join(rows.select(F.col("me.node").alias("_node")), "_node", "left_semi").dropDuplicates(["_node"]).select(F.col("_node").alias("node"), "_body")
+    few = rows.count() <= FEW  # what goes is among these rows, too
+    names = rows.select(F.col("me.node").alias("_node"))
+    texts = flat.join(F.broadcast(names) if few else names, "_node", "left_semi").dropDuplicates(["_node"]).select(F.col("_node").alias("node"), "_body")
     sets = written(texts.mapInArrow(grams, "node binary, grams array<bigint>"), "sets")
 
     def like(asking: DataFrame, stayed: DataFrame) -> DataFrame:
@@ -486,4 +491,5 @@ def near_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         behind = like(tail, without(head, late, "stayed"))
         gone = gone.unionByName(behind)
         left = without(tail, behind, "rows-left")
-    return named.select("_row", "_node").join(gone.withColumnRenamed("node", "_node"), "_node", "left_anti").select("_row.*")
+    gone = gone.withColumnRenamed("node", "_node")
+    return named.select("_row", "_node").join(F.broadcast(gone) if few else gone, "_node", "left_anti").select("_row.*")
