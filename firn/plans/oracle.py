@@ -318,3 +318,8 @@ yo AS (SELECT region, row_number() OVER (PARTITION BY region ORDER BY start_date
  SELECT pp.dataset_id, round(date, 6) AS date, round(a.y + t * ((b.y - a.y) / 0.25 - 0.25 * (2 * p.m + q.m) / 6) + t * t * p.m / 2 + t * t * t * (q.m - p.m) / 1.5, 6) AS change
  FROM pp JOIN k AS a ON a.dataset_id = pp.dataset_id AND a.i = pp.i JOIN k AS b ON b.dataset_id = pp.dataset_id AND b.i = pp.i + 1 JOIN ms AS p ON p.dataset_id = pp.dataset_id AND p.i = pp.i JOIN ms AS q ON q.dataset_id = pp.dataset_id AND q.i = pp.i + 1""",
 }
+
+#: Which priorities' files lack which area column.
+_AREA = lambda column, times, lacking: f"CASE WHEN substr(user_group, 1, 1) NOT IN {lacking} THEN seq * {times}::DOUBLE END AS {column}"
+SQL["csv_by_header"] = ORDERS + f""" SELECT dataset_id, {R('start_date', 'end_date', 'change', 'error')}, {_AREA('glacier_area_reference', 2, "('3')")},
+ {_AREA('glacier_area_observed', 3, "('2', '5')")} FROM obs"""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from firn.functions import dates, dims, units
 from firn.operators import calibrate, combine, filters, grid, series
-from firn.operators.stored import written
+from firn.operators.stored import shared_path, written
 from firn.plans import assessment, cleaning
 from firn.plans.tables import events, orders, parts, shipments, table
 from firn.sources import catalogue
@@ -531,6 +531,21 @@ def metadata_json(spark, sf):
     return e.select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
 
 
+@query
+def csv_by_header(spark, sf):
+    """Observations written as CSV files of three headers, which differ in order and in optional columns, and read back at once."""
+    ours = {v: k for k, v in catalogue.OBSERVATION_COLUMNS.items()}
+    start, end, change, error, *areas = list(ours)[:6]
+    rows = orders(spark, sf).withColumns({areas[0]: F.col("seq") * 2.0, areas[1]: F.col("seq") * 3.0, "remarks": F.col("dataset_id")})
+    rows = written(rows.withColumns({theirs: F.col(own) for theirs, own in ours.items() if own in rows.columns}), "observations")
+    headers = {"1": [start, end, change, error, *areas, "remarks"], "2": ["remarks", error, areas[0], end, change, start], "3": [change, areas[1], "remarks", start, error, end]}
+    path = shared_path(spark, "csv")
+    for n, names in headers.items():
+        rows.where(F.translate(F.substring("user_group", 1, 1), "45", "12") == n).select(*names).write.option("header", True).csv(f"{path}/{n}")
+    read = catalogue.observations(spark, [f"{path}/{n}" for n in headers])
+    return rounded(read.select(F.col("remarks").alias("dataset_id"), "start_date", "end_date", "change", "error", *areas))
+
+
 @query
 def slug_names(spark, sf):
     p = table(spark, sf, "part")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from firn.functions import dims
+from firn.sources import headers
 
 _ENTRY = "filename string, region string, user_group string, data_group string, unit string"
 CATALOGUE_SCHEMA = f"base_path array<string>, datasets array<struct<{_ENTRY.replace(' string', ': string')}>>"
@@ -80,34 +81,34 @@ def information_name(data_group: Column, user_group: Column) -> Column:
 
 
 def observations(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """CSV files to observation rows; dataset_id is the file's path. Files need not have the optional columns. NaN becomes null."""
-    raw = spark.read.option("header", True).option("mode", "FAILFAST").csv(paths).select("*", F.col("_metadata.file_path").alias("dataset_id"), F.col("_metadata.file_block_start").alias("block_"))
+    """CSV files to observation rows, each file by its own header; dataset_id is the file's path. Dates, change and error must be in
+    every file; other columns may be missing in any. NaN becomes null."""
+    raw = headers.by_header(spark, paths, mode="FAILFAST", needed=tuple(OBSERVATION_COLUMNS[c] for c in ("start_date", "end_date", "change", "error")))
     cols = []
     for ours, theirs in OBSERVATION_COLUMNS.items():
-        value = F.col(theirs).cast("double") if theirs in raw.columns else F.lit(None).cast("double")
+        value = headers.column(raw, theirs, "double")
         cols.append(F.when(~F.isnan(value), value).alias(ours))
-    order = F.row_number().over(_in_file())
-    return raw.withColumn("line_", F.monotonically_increasing_id()).select("dataset_id", order.alias("seq"), *cols, (F.col("remarks") if "remarks" in raw.columns else F.lit(None).cast("string")).alias("remarks"))
+    return raw.select(F.col("_file").alias("dataset_id"), _place(), *cols, headers.column(raw, "remarks").alias("remarks"))
 
 
-def _in_file():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("dataset_id").orderBy("block_", "line_")
+def _place() -> Column:
+    """The number of a row in its file."""
+    return F.row_number().over(Window.partitionBy("_file").orderBy("_block", "_line")).alias("seq")
 
 
 def submissions(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Submission CSV files with their dates dd/MM/yyyy as dates: file_name, seq, start_date, end_date, change, error, unit, user_group."""
-    raw = spark.read.option("header", True).csv(paths).select("*", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("dataset_id"), F.col("_metadata.file_block_start").alias("block_"))
-    day = lambda c: F.try_to_timestamp(F.col(c), F.lit("dd/MM/yyyy")).cast("date").alias(c)
-    raw = raw.withColumn("line_", F.monotonically_increasing_id())
-    number = lambda c, name: F.col(c).cast("double").alias(name)
+    """Submission CSV files, each by its own header, with their dates dd/MM/yyyy as dates: file_name, seq, start_date, end_date,
+    change, error, unit, user_group, and of the optional columns those that any file has."""
+    raw = headers.by_header(spark, paths)
+    day = lambda c: F.try_to_timestamp(headers.column(raw, c), F.lit("dd/MM/yyyy")).cast("date").alias(c)
+    number = lambda c, name: headers.column(raw, c, "double").alias(name)
     more = [number(c, c) for c in ("glacier_area_reference", "glacier_area_observed", "hydrological_correction_value", "sea_level_correction_value") if c in raw.columns]
     more += [F.col(c) for c in ("region_id", "remarks") if c in raw.columns]
-    seq = F.row_number().over(_in_file()).alias("seq")
+    own = [headers.column(raw, c).alias(c) for c in ("unit", "user_group")]
     return raw.select(
-        F.col("dataset_id").alias("file_name"), seq, day("start_date"), day("end_date"), number("glacier_change_observed", "change"), number("glacier_change_uncertainty", "error"), "unit", "user_group", *more
-    )
+        F.element_at(F.split("_file", "/"), -1).alias("file_name"), _place(), day("start_date"), day("end_date"),
+        number("glacier_change_observed", "change"), number("glacier_change_uncertainty", "error"), *own, *more,
+    )
 
 
 def read(spark: SparkSession, uri: str) -> DataFrame:
@@ -140,17 +141,12 @@ def from_store(spark: SparkSession, store: str) -> DataFrame:
     own = spark.read.option("multiLine", True).option("pathGlobFilter", "*.json").json(store).select("*", name.alias("file_name"))
     own = own.where("file_name <> 'meta.json'").drop("datasets", "_corrupt_record")
     metadata = submission_metadata(top, own).where("region IS NOT NULL")
-    raw = spark.read.option("header", True).option("pathGlobFilter", "*.csv").csv(store).select("unit", name.alias("dataset_id"), F.monotonically_increasing_id().alias("line_"))
-    units = raw.groupBy("dataset_id").agg(F.min_by("unit", "line_").alias("unit"))
+    raw = headers.by_header(spark, store, "*.csv")
+    units = raw.groupBy(F.element_at(F.split("_file", "/"), -1).alias("dataset_id")).agg(F.min_by(headers.column(raw, "unit"), F.struct("_block", "_line")).alias("unit"))
     out = from_submissions(metadata, units, dims.regions(spark))
     path = F.concat(F.lit(f"{store}/"), F.col("dataset_id"))
-    return out.withColumn("data_filepath", path).withColumn("dataset_ord", F.row_number().over(_one_task().orderBy("dataset_id")) - 1)
-
-
-def _one_task():
-    from pyspark.sql import Window
-
-    return Window.partitionBy(F.lit(0))  # a catalogue is a row a dataset
+    one_task = Window.partitionBy(F.lit(0)).orderBy("dataset_id")  # a catalogue is a row a dataset
+    return out.withColumn("data_filepath", path).withColumn("dataset_ord", F.row_number().over(one_task) - 1)
 
 
 def load(spark: SparkSession, source: str, store: str | None = None) -> DataFrame:

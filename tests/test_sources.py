@@ -40,6 +40,44 @@ def test_observations_and_csv(spark, tmp_path):
         catalogue.bucket_name(3, {1: "x", 2: "y"})
 
 
+def test_files_of_different_headers(spark, tmp_path):
+    """Columns meet by name: order and optional columns differ, one file is compressed, one is empty, one has a mark in front."""
+    import gzip
+
+    core = "start_date_fractional,end_date_fractional,glacier_change_observed,glacier_change_uncertainty"
+    (tmp_path / "a.csv").write_text(f"{core},glacier_area_reference\n2000,2001,-1.5,0.1,7\n2001,2002,-2.5,0.1,8\n")
+    (tmp_path / "b [1].csv").write_text("start_date_fractional,end_date_fractional,glacier_area_reference,glacier_change_observed,glacier_change_uncertainty,remarks\n2000,2001,77,-0.2,0.3,x\n")
+    (tmp_path / "c.csv.gz").write_bytes(gzip.compress(f"remarks,{core}\n\"y, z\",2000,2001,-0.4,0.5\n".encode()))
+    (tmp_path / "d.csv").write_text("")
+    (tmp_path / "e.csv").write_text(f"\ufeff{core},more\n2005,2006,1,2,3\n")
+    got = {(r.dataset_id.rsplit("/")[-1], r.seq): r for r in catalogue.observations(spark, str(tmp_path)).collect()}
+    values = {k: (r.change, r.error, r.glacier_area_reference, r.remarks) for k, r in got.items()}
+    assert values == {
+        ("a.csv", 1): (-1.5, 0.1, 7.0, None), ("a.csv", 2): (-2.5, 0.1, 8.0, None), ("b%20%5B1%5D.csv", 1): (-0.2, 0.3, 77.0, "x"), ("c.csv.gz", 1): (-0.4, 0.5, None, "y, z"), ("e.csv", 1): (1.0, 2.0, None, None),
+    }
+    (tmp_path / "f.csv").write_text("start_date_fractional,end_date_fractional\n2000,2001\n")
+    with pytest.raises(ValueError, match="f.csv lacks glacier_change_observed"):
+        catalogue.observations(spark, str(tmp_path))
+    (tmp_path / "f.csv").write_text(f"{core},Start_date_fractional\n1,2,3,4,5\n")
+    with pytest.raises(ValueError, match="several columns"):
+        catalogue.observations(spark, str(tmp_path))
+    empty = tmp_path / "none"
+    empty.mkdir()
+    (empty / "d.csv").write_text("")
+    assert catalogue.observations(spark, str(empty)).count() == 0
+
+
+def test_submissions_of_different_headers(spark, tmp_path):
+    head = ["start_date", "end_date", "glacier_change_observed", "glacier_change_uncertainty", "unit", "user_group"]
+    row = ["01/10/2000", "30/09/2001", "1.5", "0.1", "mwe", "u"]
+    for k, order in enumerate(([0, 1, 2, 3, 4, 5], [5, 4, 3, 2, 1, 0], [2, 0, 4, 1, 5, 3])):
+        extra = (["glacier_area_reference"], ["9.5"]) if k == 1 else ([], [])
+        (tmp_path / f"{k}.csv").write_text(",".join([head[i] for i in order] + extra[0]) + "\n" + ",".join([row[i] for i in order] + extra[1]) + "\n")
+    got = catalogue.submissions(spark, str(tmp_path)).orderBy("file_name").collect()
+    assert {(str(r.start_date), str(r.end_date), r.change, r.error, r.unit, r.user_group) for r in got} == {("2000-10-01", "2001-09-30", 1.5, 0.1, "mwe", "u")}
+    assert [r.glacier_area_reference for r in got] == [None, 9.5, None]
+
+
 def test_submissions(spark, tmp_path):
     (tmp_path / "s.csv").write_text("region_id,start_date,end_date,glacier_change_observed,glacier_change_uncertainty,unit,user_group\n1,01/10/2000,30/09/2001,1.5,0.1,mwe,u\n")
     r = catalogue.submissions(spark, str(tmp_path / "s.csv")).first()
