@@ -10,9 +10,10 @@ other, and a prefix with very many occurrences lies over several tasks, whose su
 to the right, depth first: the slice of a prefix falls into the slices of its extensions, and those of enough weight grow on.
 Sorted rows are taken in bounded parts; patterns at the edge of a part are handed on without regard to their weight.
 
-Words and pairs that are not frequent are found by exact counts before. Tasks know the frequent ones from a table of bits of a fixed
-size, which every hash of a frequent one sets: what has no bit is not frequent. Others may pass it, and more of them the fuller
-it is, but counts stay exact; only less is cut beforehand.
+What cannot be frequent is found beforehand: words by exact counts, then pairs of frequent words, then triples of such pairs, these
+by their hashes' counts. Tasks know the frequent ones of each length from a table of bits of a fixed size, which every hash of
+a frequent one sets: what has no bit is not frequent. Others may pass, and more of them the fuller the tables are, but phrases are
+counted exactly; only less is cut beforehand.
 
 A phrase's score is that of its weakest cut: of a = f(phrase), l = f(first part), r = f(rest) it is floor(2000000 a / (l + r)), in
 decimals of 38 digits. Ties go to the shorter first part. A candidate is dropped if its words lie inside a longer one that
@@ -23,7 +24,6 @@ an empty table gives no rows. Texts are valid UTF-8.
 from __future__ import annotations
 
 import itertools
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +39,8 @@ from firn.llm.common import written
 LONGEST, LEAST = 4, 30
 #: Best phrases of a language.
 TOP = 2000
-#: Bits of the tables of frequent words and of frequent pairs; bytes of text that are taken at once; words that a task remembers.
-WORD_BITS, PAIR_BITS, CHUNK, MEMORY = 1 << 26, 1 << 27, 1 << 24, 1 << 20
+#: Bits of a table of frequent runs of words; bytes of text that are taken at once.
+BITS, CHUNK = 1 << 26, 1 << 22
 #: Sorted rows in which patterns grow at once.
 PART = 1 << 18
 #: A byte that no UTF-8 text has stands for the end of a piece.
@@ -48,13 +48,8 @@ _END = b"\xff"
 _TABLE = bytes.maketrans(bytes(range(65, 91)) + b"\t" + b".,;:!?\n\x0b\x0c\r", bytes(range(97, 123)) + b" " + _END * 10)
 
 
-def _words(texts: list[bytes]) -> list[bytes]:
-    """The words of the texts, with _END between pieces."""
-    return _END.join(texts).translate(_TABLE).replace(_END, b" \xff ").split()
-
-
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
-    """(language, texts) of about CHUNK bytes at most, but for longer texts, which are whole."""
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Chunk]:
+    """Texts of a language, of CHUNK bytes together at most, but for longer texts, which are whole."""
     held: dict[str, list[bytes]] = {}
     size = 0
     for batch in batches:
@@ -62,81 +57,76 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes
             held.setdefault(lang, []).append(text)
             size += len(text)
             if size >= CHUNK:
-                yield from held.items()
+                yield from itertools.starmap(_Chunk, held.items())
                 held, size = {}, 0
-    yield from held.items()
-
+    yield from itertools.starmap(_Chunk, held.items())
 
-def _rows(lang: str, words: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
-    langs = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(words), np.int32)), pa.array([lang])).cast(pa.string())
-    return pa.RecordBatch.from_arrays([langs, words.cast(pa.string(), safe=False), pa.array(counts, pa.int64())], names=["lang", "words", "f"])
-
-
-_ROWS = "lang string, words string, f bigint"
 
+def _ahead(a: np.ndarray, n: int = 1) -> np.ndarray:
+    """What stands n places on."""
+    return np.concatenate([a[n:], np.zeros(min(n, len(a)), a.dtype)])
 
-def _place(hashed: np.ndarray, bits: int) -> np.ndarray:
-    """A bit for each hash."""
-    mixed = (hashed ^ (hashed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return ((mixed ^ (mixed >> np.uint64(32))) & np.uint64(bits - 1)).astype(np.int64)
 
-
-def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return left * np.uint64(0x9E3779B97F4A7C15) + (right ^ (right >> np.uint64(29)))
-
-
-def _hash(lang: str, words: list[bytes]) -> np.ndarray:
-    head = lang.encode("utf-8", "surrogatepass") + b"\t"
-    return np.fromiter((xxhash.xxh64_intdigest(head + w) for w in words), np.uint64, len(words))
+def _longer(run: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hashes of runs with one word more."""
+    mixed = run * np.uint64(0x9E3779B97F4A7C15) + (word ^ (word >> np.uint64(29)))
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return mixed ^ (mixed >> np.uint64(32))
 
 
 def _has(table: np.ndarray, hashed: np.ndarray) -> np.ndarray:
-    at = _place(hashed, 8 * len(table))
+    at = (hashed & np.uint64(8 * len(table) - 1)).astype(np.int64)
     return (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
-def _table(counted: DataFrame, bits: int) -> bytes:
-    """The bits that the rows' words set, for a word or a pair of words; `bits` / 8 bytes, however many rows there are."""
+class _Chunk:
+    """Texts of one language as numbers. at: the word of each place; words: what the numbers stand for, _END among them."""
+
+    def __init__(self, lang: str, texts: list[bytes]):
+        joined = _END.join(texts).translate(_TABLE).replace(_END, b" \xff ")
+        # Arrow splits and numbers the words without an object for each; it looks for ASCII blanks and does not decode the bytes.
+        whole = pa.Array.from_buffers(pa.large_string(), 1, [None, pa.py_buffer(np.array([0, len(joined)], np.int64)), pa.py_buffer(joined)])
+        coded = pc.ascii_split_whitespace(whole).flatten().dictionary_encode()
+        self.lang, self.at, self.words = lang, coded.indices.to_numpy(), coded.dictionary.cast(pa.large_binary())
+        named = self.words.to_pylist()
+        self.real = np.fromiter((w not in (b"", _END) for w in named), bool, len(named))
+        if b"" in named:  # beside a blank at either end
+            self.at = self.at[self.at != named.index(b"")]
+        head = lang.encode("utf-8", "surrogatepass") + b"\t"
+        self.hashes = np.fromiter((xxhash.xxh64_intdigest(head + w, seed=42) for w in named), np.uint64, len(named))
+
+    def runs(self, tables: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Hashes of the runs, one word longer than there are tables, whose shorter runs may all be frequent; and for each table, the
+        first of which is of single words, at which places a run of its length may be frequent."""
+        own = self.hashes[self.at]
+        run, flags = own, [(self.real & _has(tables[0], self.hashes))[self.at]]
+        for n, table in enumerate([*tables[1:], None], 1):
+            may = flags[-1] & _ahead(flags[-1])
+            run = _longer(run, _ahead(own, n))
+            if table is None:
+                return run[may], flags
+            may[may] = _has(table, run[may])
+            flags.append(may)
+        raise AssertionError
+
+    def rows(self, words: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+        langs = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(words), np.int32)), pa.array([self.lang])).cast(pa.string())
+        return pa.RecordBatch.from_arrays([langs, words.cast(pa.binary()).cast(pa.string(), safe=False), pa.array(counts, pa.int64())], names=["lang", "words", "f"])
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for lang, words in zip(batch.column("lang").to_pylist(), batch.column("words").cast(pa.binary()).to_pylist(), strict=True):
-                hashed = _hash(lang, words.split(b" "))
-                found.append(hashed if len(hashed) == 1 else _pair(hashed[:1], hashed[1:2]))
-            at = _place(np.concatenate(found), bits) if found else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(at >> 15, pa.int64()), pa.array(at & 32767, pa.int64())], names=["block", "bit"])
 
-    blocks = counted.mapInArrow(places, "block bigint, bit bigint").groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+_ROWS = "lang string, words string, f bigint"
+
+
+def _table(hashes: DataFrame, bits: int) -> bytes:
+    """The bits that the rows' `hash` sets; `bits` / 8 bytes, however many rows there are."""
+    place = F.col("hash").bitwiseAND(F.lit(bits - 1))
+    blocks = hashes.select(F.shiftright(place, 15).alias("block"), place.bitwiseAND(F.lit(32767)).alias("bit")).groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"))
     table = bytearray(bits // 8)
     for row in blocks.collect():  # of 4 kB, together no more than the table
         table[row["block"] * 4096 : row["block"] * 4096 + 4096] = row["bits"]
     return bytes(table)
 
 
-class _Lexicon:
-    """Numbers of a language's words in a task, with hash, and whether the word may be frequent. Number 0 ends a piece."""
-
-    def __init__(self, lang: str, frequent: np.ndarray):
-        self.lang, self.frequent = lang, frequent
-        self.number, self.words = _Numbers({_END: 0}), [_END]
-        self.hashes, self.may = np.zeros(1, np.uint64), np.zeros(1, bool)
-
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        got = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        if fresh := list(itertools.islice(self.number, len(self.words), None)):
-            hashed = _hash(self.lang, fresh)
-            self.words += fresh
-            self.hashes, self.may = np.concatenate([self.hashes, hashed]), np.concatenate([self.may, _has(self.frequent, hashed)])
-        return got
-
-
-class _Numbers(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        return n
-
-
 def _texts(docs: DataFrame, lang: str, text: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text}`").alias("text")).where("text is not null")
 
@@ -149,66 +139,50 @@ def word_counts(texts: DataFrame) -> DataFrame:
     """(lang, words, f) of every word, and of all words together where `words` is null."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, some in _chunks(batches):
-            found = Counter(_words(some))
-            found.pop(_END, None)
-            yield _rows(lang, pa.array([*found, None], pa.binary()), np.array([*found.values(), sum(found.values())]))
+        for chunk in _chunks(batches):
+            n = np.bincount(chunk.at, minlength=len(chunk.words)) * chunk.real
+            here = np.flatnonzero(n)
+            words = pa.concat_arrays([chunk.words.take(pa.array(here)), pa.nulls(1, pa.large_binary())])
+            yield chunk.rows(words, np.append(n[here], n.sum()))
 
     return _counted(texts.mapInArrow(count, _ROWS))
 
 
-def pair_counts(texts: DataFrame, frequent: bytes) -> DataFrame:
-    """(lang, words, f) of pairs of neighbouring words that may be frequent."""
-    shared = texts.sparkSession.sparkContext.broadcast(frequent)
+def run_counts(texts: DataFrame, tables: list[bytes]) -> DataFrame:
+    """(hash, f): runs one word longer than there are tables whose shorter runs may all be frequent, counted by hash."""
+    shared = [texts.sparkSession.sparkContext.broadcast(t) for t in tables]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, known = np.frombuffer(shared.value, np.uint8), {}
-        for lang, some in _chunks(batches):
-            lexicon = _lexicon(known, lang, table)
-            w = lexicon.numbers(_words(some))
-            both = lexicon.may[w[:-1]] & lexicon.may[w[1:]]
-            key, n = np.unique(w[:-1][both] << 32 | w[1:][both], return_counts=True)
-            words = pa.array(lexicon.words, pa.binary())
-            yield _rows(lang, pc.binary_join_element_wise(words.take(pa.array(key >> 32)), words.take(pa.array(key & 0xFFFFFFFF)), b" "), n)
-
-    return _counted(texts.mapInArrow(count, _ROWS))
-
+        own = [np.frombuffer(t.value, np.uint8) for t in shared]
+        for chunk in _chunks(batches):
+            hashed, n = np.unique(chunk.runs(own)[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(hashed.view(np.int64)), pa.array(n, pa.int64())], names=["hash", "f"])
 
-def _lexicon(known: dict[str, _Lexicon], lang: str, table: np.ndarray) -> _Lexicon:
-    """The language's numbers; all are forgotten when they are too many."""
-    if sum(len(k.words) for k in known.values()) > MEMORY:
-        known.clear()
-    if lang not in known:
-        known[lang] = _Lexicon(lang, table)
-    return known[lang]
+    return texts.mapInArrow(count, "hash bigint, f bigint").groupBy("hash").agg(F.sum("f").alias("f"))
 
 
-def occurrences(texts: DataFrame, frequent: bytes, pairs: bytes) -> DataFrame:
+def occurrences(texts: DataFrame, tables: list[bytes]) -> DataFrame:
     """(lang, words, f): from each place where a pair may be frequent, the words on, four at most, each followed by a blank, as far as
-    neighbours may be frequent pairs; f of them, summed over the texts that a task takes at once."""
-    shared = [texts.sparkSession.sparkContext.broadcast(t) for t in (frequent, pairs)]
+    pairs and triples may be frequent by their tables; f of them, summed over the texts that a task takes at once."""
+    shared = [texts.sparkSession.sparkContext.broadcast(t) for t in tables]
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, link_table = (np.frombuffer(t.value, np.uint8) for t in shared)
-        known: dict[str, _Lexicon] = {}
-        for lang, some in _chunks(batches):
-            lexicon = _lexicon(known, lang, table)
-            w = np.concatenate([lexicon.numbers(_words(some)), np.zeros(LONGEST, np.int64)])
-            both = np.flatnonzero(lexicon.may[w[:-1]] & lexicon.may[w[1:]])
-            link = np.zeros(len(w), bool)
-            link[both] = _has(link_table, _pair(lexicon.hashes[w[both]], lexicon.hashes[w[both + 1]]))
-            at = np.flatnonzero(link)
-            third = np.where(link[at + 1], w[at + 2], 0)
-            fourth = np.where(link[at + 1] & link[at + 2], w[at + 3], 0)
-            head, tail = w[at] << 32 | w[at + 1], third << 32 | fourth
+        own = [np.frombuffer(t.value, np.uint8) for t in shared]
+        for chunk in _chunks(batches):
+            _, (_, pair, triple) = chunk.runs(own)
+            w = chunk.at.astype(np.int64) + 1  # 0: no word
+            at = np.flatnonzero(pair)
+            third = np.where(triple[at], _ahead(w, 2)[at], 0)
+            fourth = np.where(triple[at] & _ahead(triple)[at], _ahead(w, 3)[at], 0)
+            head, tail = w[at] << 32 | _ahead(w)[at], third << 32 | fourth
             order = np.lexsort((tail, head))
             head, tail = head[order], tail[order]
-            new = np.flatnonzero(np.concatenate([[True], (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])])) if len(head) else np.zeros(0, np.int64)
+            new = np.flatnonzero(np.concatenate([np.ones(min(1, len(head)), bool), (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])]))
             n = np.diff(np.append(new, len(head)))
             head, tail = head[new], tail[new]
-            words = pa.array([b"", *(x + b" " for x in lexicon.words[1:])], pa.binary())
+            words = pa.array([b"", *(x + b" " for x in chunk.words.to_pylist())], pa.large_binary())
             cols = [words.take(pa.array(x)) for x in (head >> 32, head & 0xFFFFFFFF, tail >> 32, tail & 0xFFFFFFFF)]
-            yield _rows(lang, pc.binary_join_element_wise(*cols, b""), n)
+            yield chunk.rows(pc.binary_join_element_wise(*cols, pa.scalar(b"", pa.large_binary())), n)
 
     return texts.mapInArrow(project, _ROWS)
 
@@ -278,9 +252,10 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least:
     texts = _texts(docs, lang, text)
     counted = written(word_counts(texts).where((F.col("f") >= least) | F.col("words").isNull()), "words")
     words = counted.where("words is not null")
-    frequent = _table(words, WORD_BITS)
-    pairs = _table(pair_counts(texts, frequent).where(F.col("f") >= least), PAIR_BITS)
-    phrases = written(frequent_phrases(written(occurrences(texts, frequent, pairs), "occurrences"), least), "phrases")
+    tables = [_table(words.select(F.xxhash64(F.concat("lang", F.lit("\t"), "words")).alias("hash")), BITS)]
+    while len(tables) < LONGEST - 1:  # of pairs, then of triples
+        tables.append(_table(run_counts(texts, tables).where(F.col("f") >= least), BITS))
+    phrases = written(frequent_phrases(written(occurrences(texts, tables), "occurrences"), least), "phrases")
     size = F.size(F.split("words", " "))
     # A phrase within a longer one: of the longer ones' counts the largest decides.
     inner = F.flatten(F.transform(F.sequence(F.lit(2), size - 1), lambda n: F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.array_join(F.slice(F.split("words", " "), i, n), " "))))

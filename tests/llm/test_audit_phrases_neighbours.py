@@ -124,7 +124,7 @@ def test_phrases(table, least, top, request, monkeypatch):
 def test_phrases_with_full_tables_of_bits(some, monkeypatch):
     """If every bit is set nothing is cut beforehand, and results are the same."""
     want = as_found(phrases.collocations(some, least=10))
-    monkeypatch.setattr(phrases, "_table", lambda counted, bits: b"\xff" * (bits // 8))
+    monkeypatch.setattr(phrases, "_table", lambda hashes, bits: b"\xff" * (bits // 8))
     assert as_found(phrases.collocations(some, least=10)) == want
 
 
