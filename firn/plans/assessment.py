@@ -63,7 +63,7 @@ def corrected(rows: DataFrame, seasonal: DataFrame | None, method: str) -> DataF
     if seasonal is None:
         raise ValueError("seasonal homogenization needs a seasonal series")
     own = rows.withColumn("series", F.concat_ws("|", *[F.col(c).cast("string") for c in SLICE]))
-    out = calibrate.homogenised(own, seasonal, ["region"], F.col("year_start"), 0.0)
+    out = calibrate.homogenised(own, seasonal, ["region"], F.col("year_start"))
     return out.join(own.select(*SLICE, "series").distinct(), ["region", "series"]).drop("series")
 
 

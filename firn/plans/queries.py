@@ -490,13 +490,13 @@ def calibrate_combine_p2(spark, sf):
 @query
 def calibrate_combine_p0(spark, sf):
     trends, annual = half_open(spark, sf)
-    return rounded(calibrate.combined(calibrate.calibrated(trends, annual, RG), RG, 0.0, outside=False).select("region", "step", "change"))
+    return rounded(calibrate.combined(calibrate.calibrated(trends, annual, RG), RG, 0.0).select("region", "step", "change"))
 
 
 @query
 def calibrate_combine_outside(spark, sf):
     trends, annual = half_open(spark, sf)
-    return rounded(calibrate.combined(calibrate.calibrated(trends, annual, RG), RG, 0.0, outside=True).select("region", "step", "change"))
+    return rounded(calibrate.combined_outside(trends, annual, RG).select("region", "step", "change"))
 
 
 @query

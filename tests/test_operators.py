@@ -156,19 +156,61 @@ def test_calibration(make, spark):
     trends = spark.createDataFrame([("r", "t", 1, 2000.0, 2002.0, 3.0, 0.1), ("r", "t", 2, 2002.0, 2005.0, 8.0, 0.1)], "region string, trend string, seq int, start_date double, end_date double, change double, error double")
     steps = spark.createDataFrame([("r", k + 1, 2000.0 + k, 2001.0 + k, c, 0.1) for k, c in enumerate((1.0, 2.0, 3.0, 2.0, 1.0))], "region string, step int, start_date double, end_date double, change double, error double")
     cal = calibrate.calibrated(trends, steps, ["region"])
-    got = calibrate.combined(cal, ["region"], 0.0, False).orderBy("step").collect()
+    got = calibrate.combined(cal, ["region"], 0.0).orderBy("step").collect()
     assert np.allclose([r.change for r in got], [1, 2, 11 / 3, 8 / 3, 5 / 3])
     assert [r.distance for r in cal.where("trend_seq = 2").orderBy("step").collect()] == [3, 2, 1, 1, 1]
     mean = calibrate.onto_trends(trends, steps, ["region"]).orderBy("step").collect()
     assert np.allclose([r.change for r in mean], [r.change for r in got])
 
 
+def test_weights_outside_trends_equal_those_of_the_whole_matrix(spark):
+    """Random trends, overlapping, with gaps between, some without steps inside or beyond the series, against the filled matrix."""
+    rng = np.random.default_rng(11)
+    steps, trends, want, onto = [], [], {}, {}
+    for k in range(40):
+        size = int(rng.integers(6, 30))
+        change = [None if rng.random() < 0.05 else float(x) for x in rng.normal(size=size)]
+        steps += [(k, i + 1, 2000.0 + i, 2001.0 + i, c, 0.1) for i, c in enumerate(change)]
+        own = []
+        for seq in range(1, int(rng.integers(1, 6))):
+            lo = 1999.5 + rng.integers(0, 2 * size) / 2
+            own.append((k, "t", seq, float(lo), float(lo + rng.integers(1, 12) / 2), float(rng.normal()), 0.1))
+        trends += own
+        own = [t for t in own if t[3] >= 2000 and t[4] <= 2000 + size]
+        inside = np.array([[2000 + i >= t[3] and 2001 + i <= t[4] for i in range(size)] for t in own]).reshape(len(own), size)
+        if not any(t[3] <= 2000 + i < t[4] for t in own for i in range(size)):
+            continue
+        x = np.array([np.nan if c is None else c for c in change])
+        with np.errstate(all="ignore"):
+            starts = np.array([[t[3] <= 2000 + i < t[4] for i in range(size)] for t in own]).reshape(len(own), size)
+            weight = np.where(starts.sum(0) > 0, starts / starts.sum(0), np.nan).ravel()
+            seen = np.flatnonzero(~np.isnan(weight))
+            weight = np.interp(np.arange(len(weight)), seen, weight[seen]).reshape(inside.shape)
+            cor = np.array([t[5] / r.sum() - np.nanmean(x[r]) if r.any() and not np.isnan(x[r]).all() else np.nan for t, r in zip(own, inside, strict=True)])
+        value = weight * (x[None, :] + cor[:, None])
+        mean = np.where(inside, x[None, :] + cor[:, None], np.nan)
+        onto |= {(k, i + 1): (x[i], mean[inside[:, i], i].mean()) for i in range(size) if inside[:, i].any()}
+        want |= {(k, i + 1): np.nansum(value[:, i]) for i in range(size) if not np.isnan(value[:, i]).all()}
+    kinds = "start_date double, end_date double, change double, error double"
+    t, st = spark.createDataFrame(trends, "k int, trend string, seq int, " + kinds), spark.createDataFrame(steps, "k int, step int, " + kinds)
+    got = {(r.k, r.step): r.change for r in calibrate.combined_outside(t, st, ["k"]).collect() if r.change is not None}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-9 for i in want)
+    found = {(r.k, r.step): r.change for r in calibrate.onto_trends(t, st, ["k"]).collect()}
+    assert found.keys() == onto.keys() and all(abs(found[i] - v) < 1e-9 for i, (x, v) in onto.items() if not np.isnan([x, v]).any())
+    lost = calibrate.without_cover(t, st, ["k"])
+    used = calibrate.located(t, st, ["k"]).where("covered_ AND n_ > 0").count()
+    assert lost.count() + used == len(trends) and {r.reason[:10] for r in lost.collect()} == {"no step of", "the annual"}
+
+
 def test_homogenised_keeps_a_flat_series(spark):
     monthly = spark.createDataFrame([("r", k + 1, 2000 + k / 12, 2000 + (k + 1) / 12, 0.1, 0.01) for k in range(96)], "region string, seq int, start_date double, end_date double, change double, error double")
     own = spark.createDataFrame([("r", "a", k + 1, 2001.5 + k, 2002.5 + k, 1.2, 0.2) for k in range(4)], "region string, series string, seq int, start_date double, end_date double, change double, error double")
     got = calibrate.homogenised(own, monthly, ["region"], 0.75).orderBy("start_date").collect()
     assert [r.start_date for r in got] == [2001.75 + k - 0 for k in range(4)] and np.allclose([r.change for r in got], 1.2)
     assert all(r.error > 0.2 for r in got)
+    more = own.union(spark.createDataFrame([("r", "a", 5, 2006.5, 2009.5, 1.2, 0.2), ("s", "a", 1, 2001.5, 2002.5, 1.2, 0.2)], own.schema))
+    lost = {(r.region, r.seq): r.reason for r in calibrate.unfilled(more, monthly, ["region"], 0.75).collect()}
+    assert lost == {("r", 5): "the seasonal series does not fill the window", ("s", 1): "no seasonal series"}
 
 
 def test_windows(make):
