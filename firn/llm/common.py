@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,36 +27,59 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-#: Paths that were made and not yet cleared.
+#: Paths that were made outside of any `scratch` and not yet cleared.
 _MADE: list[str] = []
+#: Paths made in the scratches that are open, innermost last.
+_OPEN: ContextVar[tuple[list[str], ...]] = ContextVar("open scratches", default=())
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    _MADE.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
-    return _MADE[-1]
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    (_OPEN.get() or (_MADE,))[-1].append(path)
+    return path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts the lineage, and lost executors cost no recomputation. `clear` deletes it."""
+    """df as a Parquet table in the shared folder: cuts the lineage, and lost executors cost no recomputation. The table goes with
+    the innermost open `scratch`, or by `clear`."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def made() -> int:
-    """How many tables there are that are not cleared."""
-    return len(_MADE)
-
-
-def clear(spark: SparkSession, keep: DataFrame | None = None, since: int = 0) -> None:
-    """Delete the tables written since `made` gave that number, but those that `keep` reads. Results of them that were not used
-    by then cannot be read any more."""
-    used = set() if keep is None else {f.rsplit("/", 1)[0] for f in keep.inputFiles()}
-    for path in [p for p in _MADE[since:] if not any(u.endswith(p.split(":", 1)[-1].lstrip("/")) for u in used)]:
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
         at = spark._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-        _MADE.remove(path)
+    paths.clear()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables written inside are deleted at the end, and no others. What the block gives back must be written by the function
+    that it gets: keep(df, name) is `written` for the level outside."""
+    own: list[str] = []
+    outside = _OPEN.get()
+    token = _OPEN.set((*outside, own))
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        inner = _OPEN.set(outside)
+        try:
+            return written(df, name)
+        finally:
+            _OPEN.reset(inner)
+
+    try:
+        yield keep
+    finally:
+        _OPEN.reset(token)
+        _delete(spark, own)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all tables written outside of scratches so far. Results of them that were not used by then cannot be read any more."""
+    _delete(spark, _MADE)
 
 
 def salted_join(many: DataFrame, one: DataFrame, keys: list[str], spread: Column, how: str = "inner", salts: int = SALTS) -> DataFrame:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from firn.llm.common import written
+from firn.llm.common import scratch, written
 
 #: Words of the longest phrase, and the least count of a candidate.
 LONGEST, LEAST = 4, 30
@@ -149,13 +149,14 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def run_counts(texts: DataFrame, tables: list[bytes]) -> DataFrame:
-    """(hash, f): runs one word longer than there are tables whose shorter runs may all be frequent, counted by hash."""
+    """(hash, f): runs one word longer than there are tables whose shorter runs may all be frequent, counted by the lower half of their
+    hash, since equal halves of different runs only let more pass."""
     shared = [texts.sparkSession.sparkContext.broadcast(t) for t in tables]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = [np.frombuffer(t.value, np.uint8) for t in shared]
         for chunk in _chunks(batches):
-            hashed, n = np.unique(chunk.runs(own)[0], return_counts=True)
+            hashed, n = np.unique(chunk.runs(own)[0] & np.uint64(0xFFFFFFFF), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(hashed.view(np.int64)), pa.array(n, pa.int64())], names=["hash", "f"])
 
     return texts.mapInArrow(count, "hash bigint, f bigint").groupBy("hash").agg(F.sum("f").alias("f"))
@@ -255,7 +256,8 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least:
     tables = [_table(words.select(F.xxhash64(F.concat("lang", F.lit("\t"), "words")).alias("hash")), BITS)]
     while len(tables) < LONGEST - 1:  # of pairs, then of triples
         tables.append(_table(run_counts(texts, tables).where(F.col("f") >= least), BITS))
-    phrases = written(frequent_phrases(written(occurrences(texts, tables), "occurrences"), least), "phrases")
+    with scratch(docs.sparkSession) as keep:
+        phrases = keep(frequent_phrases(written(occurrences(texts, tables), "occurrences"), least), "phrases")
     size = F.size(F.split("words", " "))
     # A phrase within a longer one: of the longer ones' counts the largest decides.
     inner = F.flatten(F.transform(F.sequence(F.lit(2), size - 1), lambda n: F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.array_join(F.slice(F.split("words", " "), i, n), " "))))

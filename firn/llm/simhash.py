@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firn.llm.common import worker_cache, written
+from firn.llm.common import scratch, worker_cache, written
 from firn.llm.components import components
 
 SEED = 42
@@ -391,10 +391,18 @@ def near_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
        by one, and what is alike is settled in order; rows behind it go if they are alike to one of the batch that stayed. So
        a large family of texts, some of which are alike, costs its rows times those that stay.
     """
+    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), _node(id_col, text_col).alias("_node"))
+    with scratch(docs.sparkSession) as keep:
+        gone = keep(near_removed(docs, id_col, text_col, shingle, similarity, words64, shard, batch).select(F.col("node").alias("_node")), "removed")
+    few = gone.count() <= FEW
+    return named.join(F.broadcast(gone) if few else gone, "_node", "left_anti").select("_row.*")
+
+
+def near_removed(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float, words64: int, shard: int, batch: int) -> DataFrame:
+    """The nodes of the rows that `near_distinct` drops."""
     bits, share = 64 * words64, float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     radius, radii = round(bits * share + 4 * (bits * share * (1 - share)) ** 0.5), [1] * (4 * words64)
-    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), _node(id_col, text_col).alias("_node"), F.col(f"`{id_col}`").cast("bigint").alias("_id"), F.col(f"`{text_col}`").alias("_body"))
-    flat = named.select("_node", "_id", "_body")
+    flat = docs.select(_node(id_col, text_col).alias("_node"), F.col(f"`{id_col}`").cast("bigint").alias("_id"), F.col(f"`{text_col}`").alias("_body"))
     prints = fingerprints(flat, shingle, words64, "_body", ["_node", "_id"], distinct=True)
     me = F.struct(F.col("_id").isNull().alias("none"), F.coalesce("_id", F.lit(0)).alias("id"), F.col("_node").alias("node"))
     prints = written(prints.select("fp", me.alias("me")), "simhash")
@@ -445,7 +453,7 @@ def near_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 made = pa.array([shingle_set(t.as_py(), shingle) for t in part.column("_body")], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([part.column("node"), made], names=["node", "grams"])
 
-    few = rows.count() <= FEW  # what goes is among these rows, too
+    few = rows.count() <= FEW
     names = rows.select(F.col("me.node").alias("_node"))
     texts = flat.join(F.broadcast(names) if few else names, "_node", "left_semi").dropDuplicates(["_node"]).select(F.col("_node").alias("node"), "_body")
     sets = written(texts.mapInArrow(grams, "node binary, grams array<bigint>"), "sets")
@@ -491,5 +499,4 @@ def near_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         behind = like(tail, without(head, late, "stayed"))
         gone = gone.unionByName(behind)
         left = without(tail, behind, "rows-left")
-    gone = gone.withColumnRenamed("node", "_node")
-    return named.select("_row", "_node").join(F.broadcast(gone) if few else gone, "_node", "left_anti").select("_row.*")
+    return gone

@@ -702,17 +702,22 @@ def test_names_with_dots(docs):
     assert left.columns == odd.columns and left.count() == exact_dedup.exact_distinct(docs).count()
 
 
-def test_cleared_tables(spark):
+def test_scratch_tables(spark):
     from firn.llm import common
 
-    df = common.written(spark.range(5).toDF("n"), "some")
-    kept = common.written(df, "kept")
-    common.clear(spark, keep=kept)
-    assert kept.count() == 5
-    with pytest.raises(Exception, match="(?i)exist|not found"):
-        df.count()
+    with common.scratch(spark) as keep:
+        df = common.written(spark.range(5).toDF("n"), "some")
+        with common.scratch(spark) as keep_inside:
+            lost = common.written(df, "inside")
+            one = keep_inside(df, "one-out")
+            two = keep(lost, "two-out")
+        assert one.count() == 5
+    assert two.count() == 5
+    for gone in (df, lost, one):
+        with pytest.raises(Exception, match="(?i)exist|not found"):
+            gone.count()
 
 
 def test_all_registered():
-    assert [int(re.match(r"op(\d+)_", k)[1]) for k in queries.QUERIES if k != "pipeline"] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", k)[1]) for k in queries.QUERIES if k != "pipeline"] == list(range(1, 14))
     assert os.path.exists(queries.tokenizer_path())
