@@ -39,8 +39,9 @@ def assess(spark: SparkSession, config: RunConfig, obs: DataFrame) -> dict[str,
     settings = assessment.Settings(config.start_year, config.end_year, config.method_to_extract_trends.value, config.seasonal_correction_method.value)
     stages = assessment.group_stages(rows, regions, settings, seasonal)
     regional = written(assessment.regional_results(stages["final"]), "regional")
-    years = written(assessment.to_calendar_years(regional, seasonal), "calendar")
+    years = written(assessment.to_calendar_years(regional, seasonal, missing="report"), "calendar")
     return stages | {
+        "violations": written(assessment.violations(stages, regions, settings, seasonal, regional, pairs), "violations"),
         "final_gt": assessment.in_gt(stages["final"], regions), "consensus_mwe": regional, "consensus_gt": assessment.in_gt(regional, regions), "calendar_mwe": years, "calendar_gt": assessment.in_gt(years, regions),
         "global_mwe": assessment.global_result(years, regions, config.start_year, config.end_year), "global_gt": assessment.global_result(years, regions, config.start_year, config.end_year, "gt"),
     }
@@ -50,6 +51,7 @@ def save(results: dict[str, DataFrame], config: RunConfig, layout: sinks.Layout)
     """All stages in one partitioned table, and the named CSV files of groups, regions and the world."""
     stages = [*sinks.STAGES, "final"]
     sinks.save_stages({k: results[k] for k in stages}, f"{layout.base}/stages")
+    results["violations"].coalesce(1).write.mode("overwrite").option("header", True).csv(f"{layout.base}/violations")
     for unit in ("mwe", "gt"):
         sinks.save_csv(results[f"global_{unit}"], layout.csv(0, "global", "consensus", sinks.global_name(unit)))
         for own in config.region_configs:
@@ -83,6 +85,8 @@ def main(args: list[str] | None = None) -> None:
     else:
         obs = catalogue.with_rows(spark, catalogue.load(spark, config.catalogue_path, parsed.store))
     results = assess(spark, config, obs)
+    for r in results["violations"].groupBy("stage", "region", "reason").count().orderBy("stage", "region").collect():  # a few a region
+        logging.warning("%s: %s left out in %s: %s", r.stage, r["count"], r.region, r.reason)
     if parsed.no_outputs:
         logging.info("%d global years", results["global_mwe"].count())
         return

@@ -54,6 +54,10 @@ def prepared(obs: DataFrame, regions: DataFrame) -> DataFrame:
     return grid.to_monthly(_year_start(rows, regions), SLICE)
 
 
+def _series(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("series", F.concat_ws("|", *[F.col(c).cast("string") for c in SLICE]))
+
+
 def corrected(rows: DataFrame, seasonal: DataFrame | None, method: str) -> DataFrame:
     """Series of years and more (SLICE, seq) on the year grid: in proportion, or by the region's seasonal series."""
     if method == "proportional":
@@ -62,17 +66,25 @@ def corrected(rows: DataFrame, seasonal: DataFrame | None, method: str) -> DataF
         raise NotImplementedError(method)
     if seasonal is None:
         raise ValueError("seasonal homogenization needs a seasonal series")
-    own = rows.withColumn("series", F.concat_ws("|", *[F.col(c).cast("string") for c in SLICE]))
+    own = _series(rows)
     out = calibrate.homogenised(own, seasonal, ["region"], F.col("year_start"))
     return out.join(own.select(*SLICE, "series").distinct(), ["region", "series"]).drop("series")
 
 
+def _with_yearly(monthly: DataFrame) -> DataFrame:
+    state = filters.extremes(monthly, SLICE).select(*SLICE, ((F.col("finest") == 1) & (F.col("coarsest") == 1)).alias("yearly"))
+    return monthly.join(state, SLICE)
+
+
+def _yearly(rows: DataFrame, regions: DataFrame) -> DataFrame:
+    return grid.to_mwe(rows.where("yearly").drop("yearly"), regions, SLICE)
+
+
 def annual_series(monthly: DataFrame, regions: DataFrame, seasonal: DataFrame | None, method: str) -> DataFrame:
     """Annual datasets on the year grid in mwe. Those of just a year a row are converted and shifted; others are summed over
     full years, or spread over them, first, since the density's error is that of a year then."""
-    state = filters.extremes(monthly, SLICE).select(*SLICE, ((F.col("finest") == 1) & (F.col("coarsest") == 1)).alias("yearly"))
-    rows = monthly.join(state, SLICE)
-    yearly = corrected(grid.to_mwe(rows.where("yearly").drop("yearly"), regions, SLICE), seasonal, method)
+    rows = _with_yearly(monthly)
+    yearly = corrected(_yearly(rows, regions), seasonal, method)
     other = grid.to_mwe(grid.to_annual(rows.where("NOT yearly"), F.col("year_start"), SLICE, covered=True), regions, SLICE)
     own = [*GROUP, "dataset_id", "slice_id", *_DATED]
     return yearly.select(*own).unionByName(other.select(*own))
@@ -100,25 +112,37 @@ def _seasonal_years(seasonal: DataFrame, regions: DataFrame) -> DataFrame:
 def trends(monthly: DataFrame, regions: DataFrame, seasonal: DataFrame | None, settings: Settings) -> DataFrame:
     """Long-term trends in mwe on the year grid, of what lies in the run's years. Conversion comes after extraction, as the
     density's error depends on the length of the trend. Each slice of a dataset is a trend series of its own."""
-    rows = monthly.join(filters.extremes(monthly, SLICE).select(*SLICE, "finest"), SLICE)
-    rows = filters.in_window(rows, *settings.window)
+    rows = _in_run(monthly, settings)
     fine = grid.longterm(rows.where("finest < 1").drop("finest"), F.col("year_start"), settings.trend_method, SLICE)
-    yearly = combine.total_trend(rows.where("finest = 1"), SLICE).select(*SLICE, *_DATED)
-    coarse = yearly.unionByName(rows.where("finest > 1").select(*SLICE, *_DATED))
-    coarse = coarse.withColumn("seq", F.row_number().over(Window.partitionBy(*SLICE).orderBy("start_date")))
-    coarse = corrected(grid.to_mwe(coarse, regions, SLICE), seasonal, settings.seasonal_method)
+    coarse = corrected(_coarse(rows, regions), seasonal, settings.seasonal_method)
     own = [*GROUP, F.concat_ws("|", "dataset_id", "slice_id").alias("trend"), *_DATED]
     out = grid.to_mwe(fine, regions, SLICE).select(*own).unionByName(coarse.select(*own))
     return out.withColumn("seq", F.row_number().over(Window.partitionBy(*GROUP, "trend").orderBy("start_date")))
 
 
+def _in_run(monthly: DataFrame, settings: Settings) -> DataFrame:
+    rows = monthly.join(filters.extremes(monthly, SLICE).select(*SLICE, "finest"), SLICE)
+    return filters.in_window(rows, *settings.window)
+
+
+def _coarse(rows: DataFrame, regions: DataFrame) -> DataFrame:
+    """Trends of years and more in mwe: yearly series from start to end, coarser ones by row."""
+    yearly = combine.total_trend(rows.where("finest = 1"), SLICE).select(*SLICE, *_DATED)
+    coarse = yearly.unionByName(rows.where("finest > 1").select(*SLICE, *_DATED))
+    coarse = coarse.withColumn("seq", F.row_number().over(Window.partitionBy(*SLICE).orderBy("start_date")))
+    return grid.to_mwe(coarse, regions, SLICE)
+
+
 def recalibrated(annual: DataFrame, trend: DataFrame) -> DataFrame:
     """Each group's variability moved onto its trends and averaged over the trend series."""
-    steps = annual.withColumn("step", F.row_number().over(Window.partitionBy(*GROUP).orderBy("start_date")))
-    each = calibrate.onto_trends(trend, steps, GROUP)
+    each = calibrate.onto_trends(trend, _steps(annual), GROUP)
     return combine.consensus(each.withColumnRenamed("trend", "dataset_id"), GROUP)
 
 
+def _steps(annual: DataFrame) -> DataFrame:
+    return annual.withColumn("step", F.row_number().over(Window.partitionBy(*GROUP).orderBy("start_date")))
+
+
 def group_stages(obs: DataFrame, regions: DataFrame, settings: Settings, seasonal: DataFrame | None = None) -> dict[str, DataFrame]:
     """The stages of each region and data group, from raw rows on months to the result in mwe with the area change applied."""
     monthly = written(prepared(obs, regions), "monthly")
@@ -159,23 +183,73 @@ def in_gt(results: DataFrame, regions: DataFrame) -> DataFrame:
     return grid.to_gt(grid.area_change(results, regions, False), regions)
 
 
-def to_calendar_years(regional: DataFrame, seasonal: DataFrame | None = None) -> DataFrame:
-    """Regional results on calendar years: by the region's seasonal series, or where there is none at all in proportion."""
+def _consensus_series(regional: DataFrame) -> DataFrame:
+    return regional.withColumn("series", F.lit("consensus")).withColumn("seq", F.row_number().over(Window.partitionBy("region").orderBy("start_date")))
+
+
+def to_calendar_years(regional: DataFrame, seasonal: DataFrame | None = None, missing: str = "raise") -> DataFrame:
+    """Regional results on calendar years: by the region's seasonal series, or where there is none at all in proportion. A region
+    that lacks one where others have theirs is an error; with missing="report" it is left out, and `violations` lists it."""
     if seasonal is None:
         return grid.shifted_proportionally(regional, 0.0)
-    own = regional.withColumn("series", F.lit("consensus")).withColumn("seq", F.row_number().over(Window.partitionBy("region").orderBy("start_date")))
+    if missing not in ("raise", "report"):
+        raise ValueError(f"no way {missing} with regions without a seasonal series")
+    own = _consensus_series(regional)
+    if missing == "raise":
+        there = seasonal.select("region").distinct().withColumn("there_", F.lit(True))
+        lacks = F.raise_error(F.concat(F.lit("no seasonal series for "), F.col("region"))).cast("double")
+        own = own.join(there, "region", "left").withColumn("change", F.when(F.col("there_"), F.col("change")).otherwise(lacks)).drop("there_")
     out = calibrate.homogenised(own, seasonal, ["region"], 0.0)
     meta = regional.select("region", "unit", "area_change_applied").distinct()
     return out.drop("series", "seq").join(F.broadcast(meta), "region")
 
 
 def global_result(regional: DataFrame, regions: DataFrame, start_year: int, end_year: int, unit: str = "mwe") -> DataFrame:
-    """All regions on calendar years in one: mwe by adjusted areas, Gt by sums. `regional` is in mwe."""
+    """All regions on calendar years in one, with n_regions, the number of those that have the period: mwe by adjusted areas, Gt by
+    sums. `regional` is in mwe."""
     rows = filters.in_window(regional, start_year, end_year + 1)
+    dated = ["start_date", "end_date"]
+    n = rows.where("change IS NOT NULL").groupBy(*dated).agg(F.count_distinct("region").alias("n_regions"))
     if unit == "gt":
-        return combine.summed(in_gt(rows, regions))
-    r = regions.select(F.col("name").alias("region"), F.col("area").alias("a_"), F.col("area_change").alias("d_"), F.col("area_change_reference_year").cast("double").alias("y_"))
-    return combine.area_weighted(rows.join(F.broadcast(r), "region").withColumn("adjusted_area", units.adjusted_area("start_date", "end_date", "a_", "d_", "y_")))
+        out = combine.summed(in_gt(rows, regions))
+    else:
+        r = regions.select(F.col("name").alias("region"), F.col("area").alias("a_"), F.col("area_change").alias("d_"), F.col("area_change_reference_year").cast("double").alias("y_"))
+        out = combine.area_weighted(rows.join(F.broadcast(r), "region").withColumn("adjusted_area", units.adjusted_area("start_date", "end_date", "a_", "d_", "y_")))
+    return out.join(n, dated, "left").na.fill(0, ["n_regions"])
+
+
+def violations(stages: dict[str, DataFrame], regions: DataFrame, settings: Settings, seasonal: DataFrame | None = None, regional: DataFrame | None = None, wanted: list[tuple[str, str]] = ()) -> DataFrame:
+    """What a run left out: stage, region, data_group, series, start_date, end_date, reason.
+
+    Rows of years and more whose window the seasonal series does not fill, or whose region has none (annual_homogenized,
+    trends_homogenized, and of `regional` results calendar); trends that their group's annual series does not cover (final); and
+    groups with data or in `wanted` (region, data group) that have no result. What a row lacks is null.
+    """
+    cols = ["region", "data_group", "series", "start_date", "end_date", "reason"]
+    none = lambda c, kind: F.lit(None).cast(kind).alias(c)
+    found = []
+    if settings.seasonal_method != "proportional" and seasonal is not None:
+        yearly = _yearly(_with_yearly(stages["annual_raw"]), regions)
+        for stage, rows in (("annual_homogenized", yearly), ("trends_homogenized", _coarse(_in_run(stages["trends_raw"], settings), regions))):
+            own = _series(rows)
+            lost = calibrate.unfilled(own, seasonal, ["region"], F.col("year_start")).join(own.select(*GROUP, "series").distinct(), ["region", "series"])
+            found.append((stage, lost.select(*cols)))
+    lost = calibrate.without_cover(stages["trends_homogenized"], _steps(stages["calibrated_series"]), GROUP)
+    found.append(("final", lost.withColumnRenamed("trend", "series").select(*cols)))
+    groups = stages["annual_raw"].select(*GROUP).union(stages["trends_raw"].select(*GROUP)).distinct().withColumn("reason", F.lit("no result"))
+    if wanted:
+        asked = regions.sparkSession.createDataFrame(list(wanted), "region string, data_group string").join(groups, GROUP, "left_anti")
+        groups = groups.unionByName(asked.withColumn("reason", F.lit("no data")))
+    bare = groups.join(stages["final"].select(*GROUP).distinct(), GROUP, "left_anti")
+    found.append(("final", bare.select(*GROUP, none("series", "string"), none("start_date", "double"), none("end_date", "double"), "reason")))
+    if regional is not None and seasonal is not None:
+        lost = calibrate.unfilled(_consensus_series(regional), seasonal, ["region"], 0.0)
+        found.append(("calendar", lost.select("region", none("data_group", "string"), *cols[2:])))
+    out = None
+    for stage, rows in found:
+        part = rows.select(F.lit(stage).alias("stage"), *cols)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def selected(datasets: DataFrame, groups: list[tuple[str, str]], lists: list[tuple[str, str, str, str, str]]) -> DataFrame:

@@ -284,8 +284,9 @@ SQL |= {
     "assessment_regions": REGIONS + f" SELECT region, {R('start_date', 'end_date', 'change', 'error')} FROM re",
     "assessment_regions_gt": REGIONS + f" SELECT region, {R('start_date', 'end_date', 'change', 'error')} FROM ({IN_GT('re')})",
     "assessment_global": CALENDAR + f""", wt AS (SELECT cw.*, area + ((start_date + end_date) / 2 - ry) * (ac / 100) * area AS a FROM cw JOIN reg USING (region)),
- wg AS (SELECT start_date, end_date, sum(change * a) / sum(a) AS change, sqrt(sum(power(error * a, 2))) / sum(a) AS error FROM wt GROUP BY start_date, end_date) SELECT {R('start_date', 'end_date', 'change', 'error')} FROM wg""",
-    "assessment_global_gt": CALENDAR + f", gg AS ({IN_GT('cw')}), wg AS (SELECT start_date, end_date, sum(change) AS change, sqrt(sum(error * error)) AS error FROM gg GROUP BY start_date, end_date) SELECT {R('start_date', 'end_date', 'change', 'error')} FROM wg",
+ wg AS (SELECT start_date, end_date, sum(change * a) / sum(a) AS change, sqrt(sum(power(error * a, 2))) / sum(a) AS error, count(change) AS n_regions FROM wt GROUP BY start_date, end_date)
+ SELECT {R('start_date', 'end_date', 'change', 'error')}, n_regions FROM wg""",
+    "assessment_global_gt": CALENDAR + f", gg AS ({IN_GT('cw')}), wg AS (SELECT start_date, end_date, sum(change) AS change, sqrt(sum(error * error)) AS error, count(change) AS n_regions FROM gg GROUP BY start_date, end_date) SELECT {R('start_date', 'end_date', 'change', 'error')}, n_regions FROM wg",
     "seasonal_correction": INPUT + """, so AS (SELECT region, seq, start_date, end_date, change, error FROM obs WHERE user_group = '1-URGENT'),
 yo AS (SELECT region, row_number() OVER (PARTITION BY region ORDER BY start_date) AS seq, start_date AS s0, end_date AS e0, change, error, 0.75::DOUBLE AS ys FROM yl), """ + homogenised("hy", "yo", "so") + f" SELECT region, {R('start_date', 'end_date', 'change', 'error')} FROM hy",
     "seasonal_homogenise": ORDERS + ", o2 AS (SELECT * FROM obs WHERE user_group = '2-HIGH'), " + YEARS("o2", "region", "0.5::DOUBLE") + """, so AS (SELECT region, seq, start_date, end_date, change, error FROM obs WHERE user_group = '1-URGENT'),
@@ -323,3 +324,21 @@ yo AS (SELECT region, row_number() OVER (PARTITION BY region ORDER BY start_date
 _AREA = lambda column, times, lacking: f"CASE WHEN substr(user_group, 1, 1) NOT IN {lacking} THEN seq * {times}::DOUBLE END AS {column}"
 SQL["csv_by_header"] = ORDERS + f""" SELECT dataset_id, {R('start_date', 'end_date', 'change', 'error')}, {_AREA('glacier_area_reference', 2, "('3')")},
  {_AREA('glacier_area_observed', 3, "('2', '5')")} FROM obs"""
+
+#: A run in which one region has no seasonal series.
+_PARTIAL = lambda sql: sql.replace("FROM obs WHERE user_group = '1-URGENT'),", "FROM obs WHERE user_group = '1-URGENT' AND region <> 'alaska'),")
+SQL["assessment_global_partial"] = _PARTIAL(SQL["assessment_global"])
+SQL["assessment_violations"] = _PARTIAL(CALENDAR) + f""", no AS (SELECT ro.* FROM ro LEFT JOIN ca ON ca.region = ro.region AND ca.seq = ro.seq WHERE ca.seq IS NULL),
+tn AS (SELECT tr.*, ts >= lo AND te <= hi AS covered FROM tr LEFT JOIN er USING (region, grp)),
+ti AS (SELECT tn.region, tn.grp, tn.trend, tn.seq FROM tn JOIN ex ON ex.region = tn.region AND ex.grp = tn.grp WHERE start_date >= ts AND end_date <= te GROUP BY ALL)
+SELECT 'calendar' AS stage, region, NULL::VARCHAR AS data_group, round(s0, 6) AS start_date, round(e0, 6) AS end_date,
+ CASE WHEN region IN (SELECT region FROM so) THEN 'the seasonal series does not fill the window' ELSE 'no seasonal series' END AS reason FROM no
+UNION ALL SELECT 'final', region, grp, round(ts, 6), round(te, 6),
+ CASE WHEN covered THEN 'no step of the annual series lies inside the trend' ELSE 'the annual series does not reach over the trend' END FROM tn LEFT JOIN ti USING (region, grp, trend, seq) WHERE NOT coalesce(covered, false) OR ti.seq IS NULL
+UNION ALL SELECT 'final', region, grp, NULL, NULL, 'no result' FROM gs WHERE NOT EXISTS (SELECT 1 FROM gr WHERE gr.region = gs.region AND gr.grp = gs.grp)
+UNION ALL SELECT 'final', 'alaska', 'combined', NULL, NULL, 'no data'"""
+SQL["trends_without_cover"] = HALF + """, rng AS (SELECT region, min(start_date) AS lo, max(end_date) AS hi FROM ann GROUP BY region),
+m AS (SELECT region, trend_seq, ts, te FROM tr UNION ALL SELECT region, 4, 1998.25, 1998.75 FROM tr WHERE trend_seq = 2),
+j AS (SELECT m.*, ts >= lo AND te <= hi AS covered, (SELECT count(*) FROM ann WHERE ann.region = m.region AND start_date >= ts AND end_date <= te) AS n FROM m JOIN rng USING (region))
+SELECT region, trend_seq AS seq, round(ts, 6) AS start_date, round(te, 6) AS end_date,
+ CASE WHEN covered THEN 'no step of the annual series lies inside the trend' ELSE 'the annual series does not reach over the trend' END AS reason FROM j WHERE NOT covered OR n = 0"""

@@ -631,16 +631,46 @@ def _calendar(spark, sf):
     return assessment.to_calendar_years(regional, written(_seasonal(spark, sf), "seasonal")), regions
 
 
+def _seasonal_but_alaska(spark, sf):
+    return written(_seasonal(spark, sf).where("region <> 'alaska'"), "seasonal")
+
+
 @query
 def assessment_global(spark, sf):
     years, regions = _calendar(spark, sf)
-    return rounded(assessment.global_result(years, regions, 1996, 2000).select("start_date", "end_date", "change", "error"))
+    return rounded(assessment.global_result(years, regions, 1996, 2000).select("start_date", "end_date", "change", "error", "n_regions"))
 
 
 @query
 def assessment_global_gt(spark, sf):
     years, regions = _calendar(spark, sf)
-    return rounded(assessment.global_result(years, regions, 1996, 2000, "gt").select("start_date", "end_date", "change", "error"))
+    return rounded(assessment.global_result(years, regions, 1996, 2000, "gt").select("start_date", "end_date", "change", "error", "n_regions"))
+
+
+@query
+def assessment_global_partial(spark, sf):
+    """The world without a region that has no seasonal series: the result says of how many regions it is."""
+    groups, regions = _assessed_groups(spark, sf)
+    regional = written(assessment.regional_results(groups), "regional")
+    years = assessment.to_calendar_years(regional, _seasonal_but_alaska(spark, sf), missing="report")
+    return rounded(assessment.global_result(years, regions, 1996, 2000).select("start_date", "end_date", "change", "error", "n_regions"))
+
+
+@query
+def assessment_violations(spark, sf):
+    """What a run leaves out: a region without a seasonal series, windows that it does not fill, trends without cover, a group without data."""
+    obs, regions = _assessed(spark, sf)
+    stages = assessment.group_stages(written(obs, "observations"), regions, SETTINGS)
+    regional = written(assessment.regional_results(stages["final"]), "regional")
+    lost = assessment.violations(stages, regions, SETTINGS, _seasonal_but_alaska(spark, sf), regional, [("alaska", "combined"), ("alaska", "demdiff")])
+    return rounded(lost.select("stage", "region", "data_group", "start_date", "end_date", "reason"))
+
+
+@query
+def trends_without_cover(spark, sf):
+    trends, annual = half_open(spark, sf)
+    more = trends.where("seq = 2").withColumns({"seq": F.lit(4), "start_date": F.lit(1998.25), "end_date": F.lit(1998.75)})
+    return rounded(calibrate.without_cover(trends.unionByName(more), annual, RG).select("region", "seq", "start_date", "end_date", "reason"))
 
 
 @query

@@ -301,3 +301,25 @@ def test_extension_without_common_years(make, spark):
     assert combine.extended_if_shorter(a, b, ["region"], (2000.0, 2001.0)).first().change == 5.0
     window = spark.createDataFrame([("r", 2000.0, 2001.0)], "region string, low double, high double")
     assert combine.extended_if_shorter(a, b, ["region"], window).first().change == 5.0
+
+
+def test_regions_without_a_seasonal_series_are_never_lost_silently(spark):
+    kinds = "start_date double, end_date double, change double, error double"
+    monthly = spark.createDataFrame([("alaska", k + 1, 2000 + k / 12, 2000 + (k + 1) / 12, 0.1, 0.01) for k in range(96)], "region string, seq int, " + kinds)
+    rows = [(r, 2001.75 + k, 2002.75 + k, -1.0, 0.2) for r in ("alaska", "iceland") for k in range(4)]
+    regional = spark.createDataFrame(rows, "region string, " + kinds).withColumns({"unit": F.lit("mwe"), "area_change_applied": F.lit(True)})
+    with pytest.raises(Exception, match="no seasonal series for iceland"):
+        assessment.to_calendar_years(regional, monthly).collect()
+    with pytest.raises(ValueError):
+        assessment.to_calendar_years(regional, monthly, missing="hide")
+    years = assessment.to_calendar_years(regional, monthly, missing="report")
+    assert {r.region for r in years.collect()} == {"alaska"}
+    regions = assessment.with_years(dims.regions(spark))
+    for unit in ("mwe", "gt"):
+        assert {r.n_regions for r in assessment.global_result(years, regions, 2000, 2010, unit).collect()} == {1}
+    none = regional.limit(0).withColumns({"data_group": F.lit("x"), "trend": F.lit("t"), "seq": F.lit(1)})
+    stages = {k: none for k in ("annual_raw", "trends_raw", "trends_homogenized", "calibrated_series", "final")}
+    settings = assessment.Settings(2000, 2010)
+    lost = assessment.violations(stages, regions, settings, monthly, regional, [("iceland", "altimetry")]).collect()
+    assert {(r.stage, r.region, r.data_group, r.reason) for r in lost} == {("calendar", "iceland", None, "no seasonal series"), ("final", "iceland", "altimetry", "no data")}
+    assert len(lost) == 5

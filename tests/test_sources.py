@@ -169,6 +169,9 @@ def test_run_over_a_catalogue(spark, tmp_path):
     world = read("0_global/consensus/csvs/global_mwe.csv").orderBy("start_date").collect()
     assert [r.start_date for r in world] == [float(y) for y in range(2001, 2009)] or len(world) >= 7
     assert all(-1.6 < r.change < -0.5 and 0 < r.error < 3 for r in world)
+    assert [r.n_regions for r in world][1:-1] == [2] * (len(world) - 2)  # of the first and last years one region may lack a window
+    lost = read("violations").collect()
+    assert {(r.stage, r.reason) for r in lost} <= {(a, b) for a in ("annual_homogenized", "trends_homogenized", "calendar") for b in ("the seasonal series does not fill the window",)}
     gt = read("0_global/consensus/csvs/global_gt.csv").count()
     assert gt == len(world)
     stages = spark.read.parquet(f"file://{base}/stages")
