@@ -9,20 +9,25 @@ from pyspark.sql import functions as F
 
 from firn.functions import dates
 from firn.operators.filters import KEYS, by
+from firn.operators.scan import BLOCK, counted_changes, filled, scanned
 
 
 def cumulative(obs: DataFrame, keys: list[str] = KEYS, gaps: bool = False) -> DataFrame:
     """keys, step, sub, date, change, error: running sums from a leading 0; errors add in quadrature. With gaps, two rows for each gap: nothing, then the level before it."""
-    run = by(keys).rowsBetween(Window.unboundedPreceding, 0)
-    rows = obs.select(*keys, "seq", F.col("seq").alias("step"), F.lit(2).alias("sub"), F.col("end_date").alias("date"), F.coalesce(F.sum("change").over(run), F.lit(0.0)).alias("change"), F.sqrt(F.coalesce(F.sum(F.col("error") * F.col("error")).over(run), F.lit(0.0))).alias("error"), "start_date", F.lag("end_date").over(by(keys)).alias("before"))
-    first = rows.where("before IS NULL").select(*keys, "step", F.lit(-1).alias("sub"), F.col("start_date").alias("date"), F.lit(0.0).alias("change"), F.lit(0.0).alias("error"))
-    out = rows.select(*first.columns).unionByName(first)
+    change, square = F.coalesce("change", F.lit(0.0)), F.coalesce(F.col("error") * F.col("error"), F.lit(0.0))
+    rows = scanned(obs.select(*keys, "seq", "start_date", "end_date", "change", "error"), keys, sums={"sum_": change, "squares_": square}, before={"before": F.col("end_date")})
+    rows = rows.select(
+        *keys, F.col("seq").alias("step"), F.lit(2).alias("sub"), F.col("end_date").alias("date"), F.col("sum_").alias("change"), F.sqrt("squares_").alias("error"), "start_date", "before",
+        (F.col("sum_") - change).alias("c_"), F.sqrt(F.greatest(F.col("squares_") - square, F.lit(0.0))).alias("e_"),
+    )
+    # Rows of one kind or another come from one pass over the rows.
+    none = F.lit(None).cast("double")
+    row = lambda sub, date, change, error: F.struct(F.lit(sub).alias("sub"), F.col(date).alias("date"), change.alias("change"), error.alias("error"))
+    out = [row(2, "date", F.col("change"), F.col("error")), F.when(F.col("before").isNull(), row(-1, "start_date", F.lit(0.0), F.lit(0.0)))]
     if gaps:
-        level = rows.withColumn("c_", F.lag("change").over(by(keys))).withColumn("e_", F.lag("error").over(by(keys))).where("before <> start_date")
-        none = level.select(*keys, "step", F.lit(0).alias("sub"), F.col("start_date").alias("date"), F.lit(None).cast("double").alias("change"), F.lit(None).cast("double").alias("error"))
-        again = level.select(*keys, "step", F.lit(1).alias("sub"), F.col("start_date").alias("date"), F.col("c_").alias("change"), F.col("e_").alias("error"))
-        out = out.unionByName(none).unionByName(again)
-    return out
+        gap = F.col("before") != F.col("start_date")
+        out += [F.when(gap, row(0, "start_date", none, none)), F.when(gap, row(1, "start_date", F.col("c_"), F.col("e_")))]
+    return rows.select(*keys, "step", F.explode(F.array_compact(F.array(*out))).alias("x_")).select(*keys, "step", "x_.*")
 
 
 def derivative(points: DataFrame, keys: list[str] = KEYS, value: str = "change") -> DataFrame:
@@ -134,10 +139,15 @@ def moving_average(points: DataFrame, width: float, keys: list[str] = KEYS, clip
 
 
 def running_mean(obs: DataFrame, n: int, keys: list[str] = KEYS, value: str = "change") -> DataFrame:
-    """Means of n rows in a row, one for each full run."""
-    w = by(keys)
-    out = obs.withColumn("average", F.avg(value).over(w.rowsBetween(-(n - 1), 0))).withColumn("n_", F.row_number().over(w))
-    return out.where(F.col("n_") >= n).drop("n_")
+    """Means of n rows in a row, one for each full run. Rows are numbered along the series and dealt over blocks of that number;
+    the last n - 1 rows of a block also go to the next one."""
+    block = max(BLOCK, n)
+    rows = scanned(obs, keys, sums={"n_": F.lit(1)}).withColumn("block_", F.floor((F.col("n_") - 1) / block))
+    late = F.pmod(F.col("n_") - 1, F.lit(block)) >= block - (n - 1)
+    rows = rows.withColumn("to_", F.explode(F.when(late, F.array("block_", F.col("block_") + 1)).otherwise(F.array("block_"))))
+    w = Window.partitionBy(*keys, "to_").orderBy("n_").rowsBetween(-(n - 1), 0)
+    out = rows.withColumn("average", F.avg(value).over(w)).where((F.col("to_") == F.col("block_")) & (F.col("n_") >= n))
+    return out.drop("n_", "block_", "to_")
 
 
 def slope(points: DataFrame, keys: list[str] = KEYS) -> DataFrame:
@@ -149,24 +159,18 @@ def slope(points: DataFrame, keys: list[str] = KEYS) -> DataFrame:
 
 
 def filled_back(df: DataFrame, value: str, keys: list[str] = KEYS, order: str = "seq") -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(0, Window.unboundedFollowing)
-    return df.withColumn(value, F.first(value, True).over(w))
+    return scanned(df, keys, order, first={"next_": F.col(value)}).withColumn(value, F.col("next_")).drop("next_")
 
 
-def filled_by_index(df: DataFrame, value: str, keys: list[str], order: list[str]) -> DataFrame:
+def filled_by_index(df: DataFrame, value: str, keys: list[str], order: str = "seq") -> DataFrame:
     """Nulls filled linearly in the index of the order; the ends hold the nearest value."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    df = df.withColumn("i_", F.row_number().over(w)).withColumn("p_", F.when(F.col(value).isNotNull(), F.struct("i_", F.col(value).alias("v"))))
-    df = df.withColumn("a_", F.last("p_", True).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("b_", F.first("p_", True).over(w.rowsBetween(0, Window.unboundedFollowing)))
-    line = F.col("a_.v") + (F.col("i_") - F.col("a_.i_")) * F.try_divide(F.col("b_.v") - F.col("a_.v"), F.col("b_.i_") - F.col("a_.i_"))
-    return df.withColumn(value, F.coalesce(value, F.when(F.col("a_").isNull(), F.col("b_.v")).when(F.col("b_").isNull(), F.col("a_.v")).otherwise(line))).drop("i_", "p_", "a_", "b_")
+    return filled(df, keys, [value], order)
 
 
 def sliced_at_gaps(obs: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """With slice_id, which grows by one at each gap: (dataset, slice) is a series without gaps."""
-    w = by(keys)
-    gap = F.coalesce((F.lag("end_date").over(w) != F.col("start_date")).cast("int"), F.lit(0))
-    return obs.withColumn("gap_", gap).withColumn("slice_id", (F.sum("gap_").over(w.rowsBetween(Window.unboundedPreceding, 0)) + 1).cast("int")).drop("gap_")
+    rows = counted_changes(obs, keys, "start_date", "end_date", "gaps_")
+    return rows.withColumn("slice_id", (F.col("gaps_") + 1).cast("int")).drop("gaps_")
 
 
 def recombined(obs: DataFrame, keys: list[str] = KEYS) -> DataFrame:
@@ -178,7 +182,7 @@ def recombined(obs: DataFrame, keys: list[str] = KEYS) -> DataFrame:
 
 def small_gaps_closed(rows: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Each row ends where the next starts; the last is unchanged."""
-    return rows.withColumn("end_date", F.coalesce(F.lead("start_date").over(by(keys)), F.col("end_date")))
+    return scanned(rows, keys, behind={"next_": F.col("start_date")}).withColumn("end_date", F.coalesce("next_", "end_date")).drop("next_")
 
 
 def gaps_interpolated(
@@ -192,8 +196,7 @@ def gaps_interpolated(
     own = rows.select(*keys, F.col("seq").cast("double").alias("seq"), "start_date", "end_date", *rates, *plain, F.lit(False).alias("is_filled"))
     new = rows.where(F.col("days_") > least_days).select(*keys, (F.col("seq") + 0.5).alias("seq"), F.col("end_date").alias("start_date"), F.col("next_").alias("end_date"), *[F.lit(None).cast("double").alias(v) for v in (*values, *plain)], F.lit(True).alias("is_filled"))
     out = own.unionByName(new)
-    for v in (*values, *plain):
-        out = filled_by_index(out, v, keys, ["seq"])
+    out = filled(out, keys, [*values, *plain])
     out = out.withColumn("end_date", F.coalesce(F.lead("start_date").over(w), F.col("end_date")))
     if without_start:
         out = out.where(F.col("start_date") != F.lit(without_start).cast("date"))
@@ -203,7 +206,7 @@ def gaps_interpolated(
 
 def decumulated(rows: DataFrame, keys: list[str] = KEYS, value: str = "change") -> DataFrame:
     """Differences of a cumulative column; the first is 0."""
-    return rows.withColumn(value, F.coalesce(F.col(value) - F.lag(value).over(by(keys)), F.lit(0.0)))
+    return scanned(rows, keys, before={"before_": F.col(value)}).withColumn(value, F.coalesce(F.col(value) - F.col("before_"), F.lit(0.0))).drop("before_")
 
 
 def constant_columns(rows: DataFrame, columns: list[str], keys: list[str] = KEYS) -> DataFrame:

@@ -366,7 +366,7 @@ def fill_backward(spark, sf):
 @query
 def fill_by_index(spark, sf):
     rows = events(spark, sf).withColumn("change", F.when(F.col("seq") % 4 == 2, F.col("change")))
-    return rounded(series.filled_by_index(rows, "change", ["dataset_id"], ["seq"]).select("dataset_id", "seq", "change"))
+    return rounded(series.filled_by_index(rows, "change", ["dataset_id"]).select("dataset_id", "seq", "change"))
 
 
 @query

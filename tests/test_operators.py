@@ -323,3 +323,42 @@ def test_regions_without_a_seasonal_series_are_never_lost_silently(spark):
     lost = assessment.violations(stages, regions, settings, monthly, regional, [("iceland", "altimetry")]).collect()
     assert {(r.stage, r.region, r.data_group, r.reason) for r in lost} == {("calendar", "iceland", None, "no seasonal series"), ("final", "iceland", "altimetry", "no data")}
     assert len(lost) == 5
+
+
+def test_series_of_many_blocks(spark, monkeypatch):
+    """Whatever the size of a block, sums, neighbours and fillings are those of the whole series, numbers of rows may be missing."""
+    from firn.operators import scan
+
+    rng = np.random.default_rng(4)
+    rows, want = [], {}
+    for k in range(3):
+        seqs = sorted(rng.choice(np.arange(1, 60), 40, replace=False).tolist())
+        at = 2000.0
+        for n in seqs:
+            start = at + (0.5 if rng.random() < 0.2 else 0.0)
+            rows.append((k, int(n), start, start + 1, None if rng.random() < 0.2 else float(rng.normal()), float(rng.random())))
+            at = start + 1
+    df = spark.createDataFrame(rows, "k int, seq int, start_date double, end_date double, change double, error double")
+    found = {
+        "cumulative": lambda: series.cumulative(df, ["k"], gaps=True), "slices": lambda: series.sliced_at_gaps(df, ["k"]), "closed": lambda: series.small_gaps_closed(df, ["k"]),
+        "mean": lambda: series.running_mean(df, 5, ["k"]), "single": lambda: series.decumulated(df, ["k"]), "filled": lambda: series.filled_by_index(df, "change", ["k"]), "back": lambda: series.filled_back(df, "change", ["k"]),
+    }
+    rounded = lambda d: sorted(tuple(round(x, 9) + 0.0 if isinstance(x, float) else x for x in r) for r in d.na.fill(-99.0).collect())
+    for name, f in found.items():
+        want[name] = rounded(f())
+    monkeypatch.setattr(scan, "BLOCK", 7)
+    monkeypatch.setattr(series, "BLOCK", 7)
+    for name, f in found.items():
+        assert rounded(f()) == want[name], name
+    own = [r for r in rows if r[0] == 1]
+    sums = np.cumsum([r[4] or 0.0 for r in own])
+    got = [r.change for r in series.cumulative(df, ["k"]).where("k = 1 AND sub = 2").orderBy("step").collect()]
+    assert np.allclose(got, sums)
+    gaps = np.cumsum([0] + [a[3] != b[2] for a, b in zip(own, own[1:], strict=False)]) + 1
+    assert [r.slice_id for r in series.sliced_at_gaps(df, ["k"]).where("k = 1").orderBy("seq").collect()] == gaps.tolist()
+    values = np.array([np.nan if r[4] is None else r[4] for r in own])
+    known = np.flatnonzero(~np.isnan(values))
+    got = [r.change for r in series.filled_by_index(df, "change", ["k"]).where("k = 1").orderBy("seq").collect()]
+    assert np.allclose(got, np.interp(np.arange(len(values)), known, values[known]))
+    plan = series.sliced_at_gaps(df, ["k"])._jdf.queryExecution().toString()
+    assert "block_" in plan
