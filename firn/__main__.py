@@ -48,21 +48,26 @@ def assess(spark: SparkSession, config: RunConfig, obs: DataFrame) -> dict[str,
 
 
 def save(results: dict[str, DataFrame], config: RunConfig, layout: sinks.Layout) -> None:
-    """All stages in one partitioned table, and the named CSV files of groups, regions and the world."""
+    """All stages in one partitioned table, and in one job the named CSV files of groups, regions and the world."""
     stages = [*sinks.STAGES, "final"]
     sinks.save_stages({k: results[k] for k in stages}, f"{layout.base}/stages")
     results["violations"].coalesce(1).write.mode("overwrite").option("header", True).csv(f"{layout.base}/violations")
+    named = lambda *at: sinks.Layout("").csv(*at).lstrip("/")
+    rgi_id = {name: number for number, name, *_ in dims.REGIONS}
+    regions = [r.region_name for r in config.region_configs]
+    by_key = lambda names, *keys: F.element_at(F.create_map(*(F.lit(x) for pair in names.items() for x in pair)), F.concat_ws("|", *keys))
+    parts = []
     for unit in ("mwe", "gt"):
-        sinks.save_csv(results[f"global_{unit}"], layout.csv(0, "global", "consensus", sinks.global_name(unit)))
-        for own in config.region_configs:
-            name, rgi_id = own.region_name, next(r[0] for r in dims.REGIONS if r[1] == own.region_name)
-            for years, stage in (("hydrological", "consensus"), ("calendar", "calendar")):
-                sinks.save_csv(results[f"{stage}_{unit}"].where(F.col("region") == name), layout.csv(rgi_id, name, "consensus", sinks.consensus_name(years, unit, name)))
-    for own in config.region_configs:
-        name, rgi_id = own.region_name, next(r[0] for r in dims.REGIONS if r[1] == own.region_name)
-        for group in config.datagroups_to_calculate:
-            one = results["final"].where((F.col("region") == name) & (F.col("data_group") == group))
-            sinks.save_csv(one, layout.csv(rgi_id, name, group, sinks.final_name(group)))
+        parts.append(results[f"global_{unit}"].withColumn("file", F.lit(named(0, "global", "consensus", sinks.global_name(unit)))))
+        for years, stage in (("hydrological", "consensus"), ("calendar", "calendar")):
+            files = {r: named(rgi_id[r], r, "consensus", sinks.consensus_name(years, unit, r)) for r in regions}
+            parts.append(results[f"{stage}_{unit}"].withColumn("file", by_key(files, "region")))
+    files = {f"{r}|{g}": named(rgi_id[r], r, g, sinks.final_name(g)) for r in regions for g in config.datagroups_to_calculate}
+    parts.append(results["final"].withColumn("file", by_key(files, "region", "data_group")))
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    sinks.save_files(rows, layout.base, ["start_date"])
     config.save(layout.configs())
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -96,6 +97,54 @@ def _place() -> Column:
     return F.row_number().over(Window.partitionBy("_file").orderBy("_block", "_line")).alias("seq")
 
 
+def load_new(spark: SparkSession, paths: str | list[str], table: str) -> int:
+    """Load the observation files that `table` does not have yet, or not as they are now; gives their number.
+
+    `table` is a folder: `files` lists path, length, time of modification and batch of what was loaded, `rows` has the rows by
+    batch. Only new and changed files are read. A batch's rows are written before its list, to a folder of the batch's number, so a
+    run that breaks off between leaves rows that the next one replaces. One run at a time loads a table.
+    """
+    known = _loaded_files(spark, table)
+    fresh = headers.listing(spark, paths).join(known, ["path", "length", "modified"], "left_anti")
+    names = [r.path for r in fresh.select("path").collect()]  # a name a file
+    if names:
+        batch = (known.agg(F.max("batch")).first()[0] or 0) + 1
+        observations(spark, names).withColumn("dataset_id", headers.plain(F.col("dataset_id"))).write.mode("overwrite").parquet(f"{table}/rows/batch={batch}")
+        now = spark.createDataFrame([(n,) for n in names], "path string")
+        fresh.join(now, "path", "left_semi").withColumn("batch", F.lit(batch)).coalesce(1).write.mode("append").parquet(f"{table}/files")
+    return len(names)
+
+
+def _loaded_files(spark: SparkSession, table: str) -> DataFrame:
+    kind = "path string, length bigint, modified timestamp, batch int"
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/files")
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return spark.createDataFrame([], kind)
+    return spark.read.schema(kind).parquet(f"{table}/files")
+
+
+def loaded(spark: SparkSession, table: str) -> DataFrame:
+    """The rows that `load_new` loaded, of each file those of its last batch. Files that are gone meanwhile keep their rows."""
+    last = _loaded_files(spark, table).groupBy(F.col("path").alias("dataset_id")).agg(F.max("batch").alias("batch"))
+    return spark.read.option("basePath", f"{table}/rows").parquet(f"{table}/rows").join(last, ["dataset_id", "batch"]).drop("batch")
+
+
+def fetch_information(spark: SparkSession, datasets: DataFrame, store: str, folder: str) -> list[str]:
+    """Copy the information file of each dataset (data_group, user_group) from a store to a folder of any file system; gives the
+    paths. Files that the store lacks are an error. A few threads stream them from store to folder; none is held whole."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path, util = jvm.org.apache.hadoop.fs.Path, jvm.org.apache.hadoop.fs.FileUtil
+
+    def copy(name: str) -> str:
+        source, target = path(f"{store.rstrip('/')}/{name}"), path(f"{folder.rstrip('/')}/{name}")
+        util.copy(source.getFileSystem(conf), source, target.getFileSystem(conf), target, False, conf)
+        return target.toString()
+
+    names = sorted(r.name for r in datasets.select(information_name(F.col("data_group"), F.col("user_group")).alias("name")).distinct().collect())  # a name a dataset
+    with ThreadPoolExecutor(headers.THREADS) as pool:
+        return list(pool.map(copy, names))
+
+
 def submissions(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Submission CSV files, each by its own header, with their dates dd/MM/yyyy as dates: file_name, seq, start_date, end_date,
     change, error, unit, user_group, and of the optional columns those that any file has."""

@@ -27,6 +27,17 @@ def listed(spark: SparkSession, paths: str | list[str], pattern: str | None = No
     return sorted(r.path for r in reader.load(paths).select("path").collect())  # a name a file
 
 
+def listing(spark: SparkSession, paths: str | list[str], pattern: str = "*.csv") -> DataFrame:
+    """path, length and modified of the files below the paths; contents are not read."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(paths).select(plain(F.col("path")).alias("path"), "length", F.col("modificationTime").alias("modified"))
+
+
+def plain(path: Column) -> Column:
+    """A file's path in one form, whether Spark escapes it or not."""
+    decoded = F.when(path.rlike("%[0-9A-Fa-f]{2}"), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
+    return F.regexp_replace(decoded, "^file:/+", "file:/")
+
+
 def first_line(spark: SparkSession, path: str) -> str | None:
     """The first line of a file, compressed or not; none of an empty file."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 STAGES = ["annual_raw", "trends_raw", "annual_homogenized", "trends_homogenized", "annual_anomalies", "calibrated_series"]
@@ -22,6 +23,46 @@ def save_csv(df: DataFrame, path: str) -> None:
     non_empty(df).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
+def _cell(column: str) -> Column:
+    """A value as it stands in a CSV file."""
+    text = F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))
+    return F.when(text.rlike("[\",\r\n]"), F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(text)
+
+
+def save_files(rows: DataFrame, base: str, order: list[str], file: str = "file") -> list[str]:
+    """Many CSV files in one job: each row goes to the file below `base` that its column `file` names, in order, and a file has the
+    columns in which it has a value. Gives the files' names.
+
+    One task writes all of a file, so files are as many as names. They are written beside and then moved in place by their
+    names, which replaces older ones; a run that breaks off before leaves those as they were.
+    """
+    spark, columns = rows.sparkSession, [c for c in rows.columns if c != file]
+    filled = rows.groupBy(file).agg(*[F.count(F.col(f"`{c}`")).alias(f"n_{k}") for k, c in enumerate(columns)])
+    has = F.array(*[F.col(f"n_{k}") > 0 for k in range(len(columns))])
+    proper = F.col(file).rlike(r"^[^/\s]") & ~F.col(file).rlike(r"(^|/)\.{0,2}(/|$)")
+    name = F.when(F.coalesce(proper, F.lit(False)), F.col(file)).otherwise(F.raise_error(F.concat(F.lit("not a file's name below the base: "), F.coalesce(F.col(file), F.lit("null")))))
+    files = filled.select(name.alias(file), has.alias("has_"), (F.row_number().over(Window.orderBy(file)) - 1).alias("file_"))  # a row a file
+    used = lambda cells: F.array_join(F.transform(F.filter(F.arrays_zip(cells.alias("c"), F.col("has_").alias("h")), lambda x: x["h"]), lambda x: x["c"]), ",")
+    heads = files.select("file_", F.lit(0).alias("kind_"), used(F.array(*[F.lit(c) for c in columns])).alias("value"))
+    lines = rows.join(files, file).select("file_", F.lit(1).alias("kind_"), used(F.array(*map(_cell, columns))).alias("value"), *[F.col(c).alias(f"by_{c}") for c in order])
+    every = heads.unionByName(lines, allowMissingColumns=True)
+    aside = f"{base}/_writing-{uuid.uuid4().hex}"
+    every.repartition("file_").sortWithinPartitions("file_", "kind_", *[f"by_{c}" for c in order]).select("file_", "value").write.partitionBy("file_").text(aside)
+
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(aside).getFileSystem(spark._jsc.hadoopConfiguration())
+    names = {r["file_"]: r[file] for r in files.collect()}
+    for number, name in names.items():
+        (part,) = [x.getPath() for x in fs.listStatus(path(f"{aside}/file_={number}")) if not x.getPath().getName().startswith(("_", "."))]
+        target = path(f"{base}/{name}")
+        fs.mkdirs(target.getParent())
+        fs.delete(target, True)
+        if not fs.rename(part, target):
+            raise OSError(f"{part} can't be moved to {target}")
+    fs.delete(path(aside), True)
+    return sorted(names.values())
+
+
 def save_stages(stages: dict[str, DataFrame], path: str) -> None:
     """Rows of all stages, regions and groups in one partitioned table."""
     out = None

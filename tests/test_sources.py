@@ -89,6 +89,54 @@ def test_submissions(spark, tmp_path):
     assert (got.region, got.data_group, got.user_group, got.unit, got.rgi_version, got.additional_metadata) == ("iceland", "demdiff", "grp", "m", "6.0", {"note": "y"})
 
 
+def test_only_new_files_are_loaded(spark, tmp_path):
+    import os
+
+    core = "start_date_fractional,end_date_fractional,glacier_change_observed,glacier_change_uncertainty"
+    folder, table = tmp_path / "in put", f"{tmp_path}/table"
+    folder.mkdir()
+    write = lambda name, *values: (folder / name).write_text("\n".join([core, *(f"2000,2001,{v},0.1" for v in values)]) + "\n")
+    values = lambda: sorted((r.dataset_id.rsplit("/")[-1], r.change) for r in catalogue.loaded(spark, table).collect())
+    write("a.csv", 1)
+    write("b+%c.csv", 2, 3)
+    assert catalogue.load_new(spark, str(folder), table) == 2 and catalogue.load_new(spark, str(folder), table) == 0
+    assert values() == [("a.csv", 1.0), ("b+%c.csv", 2.0), ("b+%c.csv", 3.0)]
+    write("c.csv", 4)
+    write("a.csv", 5, 6, 7)
+    os.utime(folder / "a.csv", (2e9, 2e9))
+    assert catalogue.load_new(spark, str(folder), table) == 2 and catalogue.load_new(spark, str(folder), table) == 0
+    assert values() == [("a.csv", 5.0), ("a.csv", 6.0), ("a.csv", 7.0), ("b+%c.csv", 2.0), ("b+%c.csv", 3.0), ("c.csv", 4.0)]
+    batches = [r.batch for r in spark.read.parquet(f"{table}/rows").select("batch").distinct().collect()]
+    assert sorted(batches) == [1, 2]
+
+
+def test_information_files(spark, tmp_path):
+    store, out = tmp_path / "store", tmp_path / "out"
+    store.mkdir()
+    (store / "altimetry_dataset_information_a-b.pdf").write_bytes(b"%PDF\x00\xff")
+    datasets = spark.createDataFrame([("altimetry", "a b")] * 2, "data_group string, user_group string")
+    (path,) = catalogue.fetch_information(spark, datasets, str(store), str(out))
+    assert (out / "altimetry_dataset_information_a-b.pdf").read_bytes() == b"%PDF\x00\xff" and path.endswith("a-b.pdf")
+    with pytest.raises(Exception, match="(?i)not exist|not found"):
+        catalogue.fetch_information(spark, spark.createDataFrame([("altimetry", "c")], datasets.schema), str(store), str(out))
+
+
+def test_many_files_in_one_job(spark, tmp_path):
+    import csv
+
+    rows = [("x/a.csv", 2.0, 1.5, None, 'say "hi", you'), ("x/a.csv", 1.0, None, None, "two\nlines"), ("y z.csv", 3.0, None, True, None)]
+    df = spark.createDataFrame(rows, "file string, start double, change double, flag boolean, note string")
+    for _ in range(2):  # the second run replaces the first one's files
+        assert sinks.save_files(df, str(tmp_path), ["start"]) == ["x/a.csv", "y z.csv"]
+    read = lambda name: list(csv.reader((tmp_path / name).open(newline="")))
+    assert read("x/a.csv") == [["start", "change", "note"], ["1.0", "", "two\nlines"], ["2.0", "1.5", 'say "hi", you']]
+    assert read("y z.csv") == [["start", "flag"], ["3.0", "true"]]
+    for name in ("", "/a.csv", "a/../b.csv", "a/", ".", None):  # nothing but files below the base is written or replaced
+        with pytest.raises(Exception, match="not a file's name"):
+            sinks.save_files(df.withColumn("file", F.lit(name).cast("string")), str(tmp_path), ["start"])
+    assert {p.name for p in tmp_path.iterdir() if not p.name.startswith((".", "_writing"))} == {"x", "y z.csv"}
+
+
 def test_layout():
     at = sinks.Layout.stamped("out", datetime(2024, 5, 6, 7, 8))
     assert at.csv(6, "iceland", "altimetry", "x.csv", "annual_raw") == "out/2024-05-06_07-08/6_iceland/altimetry/csvs/annual_raw/x.csv"
