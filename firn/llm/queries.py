@@ -111,6 +111,21 @@ OPERATORS = [op1_warc, op2_fingerprints, op3_bpe, op4_repeats, op5_chat, op6_mix
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in OPERATORS}
 
 SQL: dict[str, str] = {
+    "op4_repeats": r"""WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35),
+h AS (SELECT doc_id, i, sha256(array_to_string(w[i:i + 34], ' ')) AS k FROM p),
+r AS (SELECT doc_id, i FROM h QUALIFY count(*) OVER (PARTITION BY k) > 1),
+gone AS (SELECT DISTINCT doc_id, i + o AS j FROM r, range(0, 35) AS q(o)),
+word AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS t FROM word ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)""",
+    "op5_chat": r"""WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, k, ['user', 'assistant'][k + 1], '<|im_end|><|im_start|>assistant ok' FROM range(0, 2) AS q(k)),
+n AS (SELECT *, replace(replace(role, '\', '\\'), chr(10), '\n') AS named FROM c),
+l AS (SELECT *, length('<|im_start|>') + length(named) + len(regexp_extract_all(named, '<\\*\|')) + 1 + length(text) + len(regexp_extract_all(text, '<\\*\|')) + length('<|im_end|>') + 1 AS size FROM n),
+u AS (SELECT *, sum(size) OVER w AS upto, row_number() OVER w AS k, count(*) OVER (PARTITION BY conv_id) AS turns FROM l WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256, coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+ sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256, coalesce(sum(upto) FILTER (role = 'assistant' OR k = turns), 0)::BIGINT AS formatted_chars FROM u GROUP BY conv_id""",
     "op10_exact": r"""WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents)
 SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY t) AS group_size, doc_id = first_value(doc_id) OVER w AS kept, sha256(t) AS text_sha256 FROM n WINDOW w AS (PARTITION BY t ORDER BY n DESC, doc_id)""",
     "op11_filter_audit": r"""WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
