@@ -1,13 +1,15 @@
 """Quality by ordinal regression with cumulative links on graded ratings.
 
 P(grade > k) = sigmoid(x w - t_k) with one weight vector over hashed features of the words, their shapes and immediate
-repeats, and ordered thresholds t. x is a mean over the words, so a score is a mean of words' scores and a text of
-any length is read in whole. Out come the expected grade and the tail probability on which documents are selected.
+repeats, and ordered thresholds t. Of these x is a mean over the words, so that a text of any length is read in whole. A few
+words that spoil a good text would vanish in a mean: words that are far more frequent in texts of the middle grade than in those
+of the highest one, by a test on the fit's sample, are cues, and x says of each whether the text has it. Out come the expected
+grade and the tail probability on which documents are selected: that of the highest grade, so toxic ones go as those of low quality.
 
 Grades: 0 for quality 0, 1 for quality 1 with toxic 1, else 2; a null toxic counts as 0, rows with null quality are not
 used. The fit sees a bounded, seeded sample of rated documents, each of them whole: what comes to the driver of a document is
 its features, at most BUCKETS numbers. Without ratings of two grades nothing is rejected. Null and empty texts have no words
-and get the sample's prior odds. Repeated rows and null ids are kept as they are, an empty table gives an empty result, and
+to speak against them: they get the model's prior odds, and are accepted. Repeated rows and null ids are kept as they are, an empty table gives an empty result, and
 other columns are ignored or handed through; those of the names that `scored` adds are replaced.
 """
 
@@ -17,7 +19,7 @@ import re
 import uuid
 import zlib
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from itertools import islice
 
 import numpy as np
@@ -25,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firn.llm.common import worker_cache
+from firn.llm.common import scratch, stripped, worker_cache, written
 
 #: The fit sees at most so many rated documents.
 ROWS = 2_500
@@ -33,7 +35,10 @@ BUCKETS = 1 << 15
 #: Words that a worker keeps scores of.
 KEPT = 120_000
 #: A document stays if the probability of a grade of at least ACCEPT is at least this.
-ACCEPT, TAIL = 1, 0.5
+ACCEPT, TAIL = 2, 0.5
+#: Cues: places of their hashes, least documents with one, least standard deviations above what is expected, and most of them.
+CUE_BUCKETS, CUE_ROWS, CUE_DEVIATIONS, CUES = 1 << 22, 5, 6.0, 1024
+_MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -56,7 +61,13 @@ def word_features(word: bytes) -> tuple[int, int, int]:
     return tuple(zlib.crc32(k + v) % BUCKETS for k, v in ((b"w", lower), (b"s", _RUN.sub(rb"\1", shape)), (b"e", end)))
 
 
-_REPEAT, _PRIOR = BUCKETS, BUCKETS + 1
+def cue_of(word: bytes) -> int:
+    """Place of a word without case and marks around it."""
+    return zlib.crc32(word.lower().strip(_MARKS)) % CUE_BUCKETS
+
+
+#: Places of the weights behind the buckets; those of cues follow.
+_REPEAT, _PRIOR, _CUES = BUCKETS, BUCKETS + 1, BUCKETS + 2
 
 
 def doc_features(words: list[bytes]) -> dict[int, float]:
@@ -74,17 +85,20 @@ def doc_features(words: list[bytes]) -> dict[int, float]:
 class Ordinal:
     weights: np.ndarray
     thresholds: np.ndarray
+    #: Places of the cues in ascending order, whose weights are the last ones.
+    cues: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
     def tails(self, score: np.ndarray) -> np.ndarray:
         """(n, grades - 1): P(grade > k)."""
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -40, 40)))
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int = 3, steps: int = 300, rate: float = 0.5, decay: float = 1e-4, seed: int = 42) -> Ordinal:
+def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int = 3, steps: int = 900, rate: float = 0.5, decay: float = 1e-5, seed: int = 42, cues: np.ndarray | None = None) -> Ordinal:
     """Maximum likelihood by Adagrad on minibatches of (features, values, grade); thresholds stay ordered as sums of exponentials."""
     rng = np.random.default_rng(seed)
     at, value, y = [a for a, _, _ in rows], [v for _, v, _ in rows], np.array([g for _, _, g in rows])
-    w, gw = np.zeros(BUCKETS + 2), np.full(BUCKETS + 2, 1e-3)
+    cues = np.zeros(0, np.int64) if cues is None else cues
+    w, gw = np.zeros(_CUES + len(cues)), np.full(_CUES + len(cues), 1e-3)
     raw, graw = np.array([-1.0] + [0.0] * (grades - 2)), np.full(grades - 1, 1e-3)
     for _ in range(steps):
         some = rng.integers(len(rows), size=min(256, len(rows)))
@@ -108,7 +122,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int = 3, steps:
         graded = np.array([gt.sum()] + [gt[j:].sum() * np.exp(raw[j]) for j in range(1, grades - 1)])
         graw += graded**2
         raw -= rate * graded / np.sqrt(graw)
-    return Ordinal(w, raw[0] + np.concatenate([[0], np.cumsum(np.exp(raw[1:]))]))
+    return Ordinal(w, raw[0] + np.concatenate([[0], np.cumsum(np.exp(raw[1:]))]), cues)
 
 
 def rated(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -125,15 +139,36 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def features(frames):
         for pdf in frames:
-            made = [doc_features(words_of(t)) for t in pdf["body"]]
-            yield pd.DataFrame({"_id": pdf["_id"], "grade": pdf["grade"], "at": [np.fromiter(d, np.int32, len(d)) for d in made], "value": [np.fromiter(d.values(), np.float32, len(d)) for d in made]})
+            words = [words_of(t) for t in pdf["body"]]
+            made = [doc_features(w) for w in words]
+            seen = [np.unique(np.fromiter(map(cue_of, set(w)), np.int32)) for w in words]
+            yield pd.DataFrame({"_id": pdf["_id"], "grade": pdf["grade"], "at": [np.fromiter(d, np.int32, len(d)) for d in made], "value": [np.fromiter(d.values(), np.float32, len(d)) for d in made], "seen": seen})
 
     lot = rated(docs, chosen, id_col, text_col)
     kind = lot.schema["_id"].dataType.simpleString()
-    got = lot.mapInPandas(features, f"_id {kind}, grade int, at array<int>, value array<float>").orderBy("_id", "grade").limit(rows).toPandas()
+    with scratch(docs.sparkSession):
+        lot = written(lot.mapInPandas(features, f"_id {kind}, grade int, at array<int>, value array<float>, seen array<int>"), "rated")
+        cues = _cues(lot)
+        hits = F.array_intersect("seen", F.array(*map(F.lit, cues)).cast("array<int>"))
+        got = lot.select("_id", "grade", "at", "value", hits.alias("hits")).orderBy("_id", "grade").limit(rows).toPandas()
     if got["grade"].nunique() < 2:
         return None
-    return fit([(np.asarray(a, np.int64), np.asarray(v, float), int(g)) for a, v, g in zip(got["at"], got["value"], got["grade"], strict=True)], seed=seed)
+    place = lambda hits: np.searchsorted(cues, np.sort(np.asarray(hits, np.int64))) + _CUES
+    made = [(np.concatenate([np.asarray(a, np.int64), place(h)]), np.concatenate([np.asarray(v, float), np.ones(len(h))]), int(g)) for a, v, h, g in zip(got["at"], got["value"], got["hits"], got["grade"], strict=True)]
+    return fit(made, seed=seed, cues=np.array(cues, np.int64))
+
+
+def _cues(lot: DataFrame) -> list[int]:
+    """Places of words that documents of the middle grade have far more often than those of the highest, ascending, CUES at most."""
+    lot = lot.where("grade >= 1")
+    n, low = lot.agg(F.count(F.lit(1)), F.count(F.when(F.col("grade") == 1, 1))).first()
+    if not low or low == n:
+        return []
+    p = low / n
+    held = lot.select("grade", F.explode("seen").alias("cue")).groupBy("cue").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("grade") == 1, 1)).alias("low"))
+    deviations = (F.col("low") - F.col("n") * p) / F.sqrt(F.col("n") * p * (1 - p))
+    best = held.where((F.col("n") >= CUE_ROWS) & (deviations > CUE_DEVIATIONS)).orderBy(deviations.desc(), "cue").limit(CUES)
+    return sorted(r["cue"] for r in best.collect())
 
 
 def scored(docs: DataFrame, model: Ordinal | None, text_col: str = "text", accept: int = ACCEPT, tail: float = TAIL) -> DataFrame:
@@ -148,17 +183,24 @@ def scored(docs: DataFrame, model: Ordinal | None, text_col: str = "text", accep
         """The mean of the scores of a text's words, which a worker keeps, and the share of immediate repeats."""
         cache = worker_cache("ordinal")
         if cache.get("key") != key or len(cache["at"]) > KEPT:
-            cache.update(key=key, at={}, score=np.zeros(0))
+            cache.update(key=key, at={}, score=np.zeros(0), cue=np.zeros(0, np.int64))
         at, parts = cache["at"], [words_of(t) for t in texts]
         known, sizes = len(at), np.array([len(p) for p in parts])
         ids = np.array([at.setdefault(w, len(at)) for p in parts for w in p], np.int64)
         if len(at) > known:
             fresh = np.array([word_features(w) for w in islice(at, known, None)], np.int64)
             cache["score"] = np.concatenate([cache["score"], model.weights[fresh].sum(1)])
+            places = np.fromiter(map(cue_of, islice(at, known, None)), np.int64, len(at) - known)
+            spot = np.searchsorted(model.cues, places)
+            found = np.append(model.cues, -1)[spot] == places
+            cache["cue"] = np.concatenate([cache["cue"], np.where(found, spot, -1)])
         owner = np.repeat(np.arange(len(parts)), sizes)
         again = np.flatnonzero((ids[1:] == ids[:-1]) & (owner[1:] == owner[:-1]))
         total = np.bincount(owner, cache["score"][ids], len(parts)) + model.weights[_REPEAT] * np.bincount(owner[again], minlength=len(parts))
-        return model.weights[_PRIOR] + total / np.maximum(sizes, 1)
+        score = model.weights[_PRIOR] + total / np.maximum(sizes, 1)
+        cue = cache["cue"][ids]
+        held = np.unique(np.stack([owner[cue >= 0], cue[cue >= 0]]), axis=1)  # each cue of a text once
+        return score + np.bincount(held[0], model.weights[_CUES + held[1]], len(parts))
 
     @F.pandas_udf("expected_grade double, tail_probability double, top_probability double")
     def grade(text: pd.Series) -> pd.DataFrame:
@@ -170,8 +212,8 @@ def scored(docs: DataFrame, model: Ordinal | None, text_col: str = "text", accep
         return pd.DataFrame({"expected_grade": p.sum(1), "tail_probability": p[:, accept - 1], "top_probability": p[:, -1]})
 
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in added]).alias("row")
-    made = docs.select(row, grade(F.col(f"`{text_col}`")).alias("grade"))
-    return made.select("row.*", F.nanvl("grade.expected_grade", F.lit(None)).alias("expected_grade"), "grade.tail_probability", "grade.top_probability", (F.col("grade.tail_probability") >= tail).alias("accepted"))
+    made = docs.select(row, grade(F.col(f"`{text_col}`")).alias("grade"), (stripped(F.col(f"`{text_col}`")) == "").alias("bare"))
+    return made.select("row.*", F.nanvl("grade.expected_grade", F.lit(None)).alias("expected_grade"), "grade.tail_probability", "grade.top_probability", ((F.col("grade.tail_probability") >= tail) | F.col("bare")).alias("accepted"))
 
 
 def accepted(docs: DataFrame, model: Ordinal | None, text_col: str = "text", accept: int = ACCEPT, tail: float = TAIL) -> DataFrame:

