@@ -297,15 +297,20 @@ def plot_levels(obs: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def aligned(points: DataFrame, reference: DataFrame, keys: list[str]) -> DataFrame:
-    """Cumulative points moved to the reference's level at their first month; where the reference begins later, to 0 at its first month."""
-    m = dates.month_index
-    first = points.groupBy(*keys).agg(F.min(m("date")).alias("first_"))
-    ref = reference.groupBy(*[k for k in keys if k in reference.columns], m("date").alias("m_")).agg(F.max("change").alias("level_"))
-    on = [k for k in keys if k in reference.columns]
-    at_first = first.join(ref, on).where("m_ <= first_").groupBy(*keys).agg(F.max_by("level_", "m_").alias("up_"))
-    start = ref.groupBy(*on).agg(F.min("m_").alias("begin_"))
-    own = points.join(start, on).where(m("date") <= F.col("begin_")).groupBy(*keys).agg((-F.max_by("change", "date")).alias("down_"))
-    return points.join(at_first, keys, "left").join(own, keys, "left").withColumn("change", F.col("change") + F.coalesce("up_", "down_", F.lit(0.0))).drop("up_", "down_")
+    """Cumulative points moved to the reference's level at their first month; where the reference does not reach over that month, to 0
+    at the reference's first one. Levels between points are linear, over gaps as well; series without a reference stay."""
+    m, on = dates.month_index, [k for k in keys if k in reference.columns]
+    known = reference.where("change IS NOT NULL").select(*on, "date", "change")
+    reach = known.groupBy(*on).agg(F.min("date").alias("low_"), F.max("date").alias("high_"))
+    first = points.groupBy(*keys).agg(dates.snap_to_month(F.min("date")).alias("date")).join(reach, on)
+    inside = (m("date") >= m("low_")) & (m("date") <= m("high_"))
+    above = first.where(inside)
+    level = series.interpolated(known, above.select(*on, "date").distinct(), on).withColumnRenamed("change", "by_")
+    up = above.join(level, [*on, "date"]).select(*keys, "by_")
+    begin = first.where(~inside).select(*keys, dates.snap_to_month("low_").alias("date"))
+    own = points.where("change IS NOT NULL").select(*keys, "date", "change")
+    down = series.interpolated(own, begin, keys).select(*keys, (-F.col("change")).alias("by_"))
+    return points.join(up.unionByName(down), keys, "left").withColumn("change", F.col("change") + F.coalesce("by_", F.lit(0.0))).drop("by_")
 
 
 def figures(stages: dict[str, DataFrame], levels: bool = True) -> DataFrame:

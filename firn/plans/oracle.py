@@ -342,3 +342,6 @@ m AS (SELECT region, trend_seq, ts, te FROM tr UNION ALL SELECT region, 4, 1998.
 j AS (SELECT m.*, ts >= lo AND te <= hi AS covered, (SELECT count(*) FROM ann WHERE ann.region = m.region AND start_date >= ts AND end_date <= te) AS n FROM m JOIN rng USING (region))
 SELECT region, trend_seq AS seq, round(ts, 6) AS start_date, round(te, 6) AS end_date,
  CASE WHEN covered THEN 'no step of the annual series lies inside the trend' ELSE 'the annual series does not reach over the trend' END AS reason FROM j WHERE NOT covered OR n = 0"""
+SQL["vertical_adjustment_between"] = ORDERS.replace("obs AS (", "ob0 AS (") + ", obs AS (SELECT * FROM ob0 WHERE user_group <> '1-URGENT' AND start_date >= 1997.2), " + CUM + """,
+ lv AS (SELECT region, sum(change) FILTER (start_date < 1997) + 0.25 * sum(change) FILTER (start_date >= 1997 AND start_date < 1998) AS u FROM ob0 WHERE user_group = '1-URGENT' GROUP BY region)
+ SELECT cum.dataset_id, round(date, 6) AS date, round(change + u, 6) AS change FROM cum JOIN lv ON lv.region = split_part(cum.dataset_id, '|', 1)"""

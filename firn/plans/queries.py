@@ -570,6 +570,15 @@ def vertical_adjustment(spark, sf):
     return rounded(assessment.aligned(points, reference, ["region", "dataset_id"]).select("dataset_id", "date", "change"))
 
 
+@query
+def vertical_adjustment_between(spark, sf):
+    """Series that begin between two levels of a yearly reference."""
+    rows = orders(spark, sf)
+    points = series.cumulative(rows.where("user_group <> '1-URGENT' AND start_date >= 1997.2"), ["region", "dataset_id"])
+    years = combine.year_sums(rows.where("user_group = '1-URGENT'"), RG, 0.0).withColumn("seq", F.row_number().over(Window.partitionBy("region").orderBy("start_date")))
+    return rounded(assessment.aligned(points, series.cumulative(years, RG), ["region", "dataset_id"]).select("dataset_id", "date", "change"))
+
+
 # --- the whole assessment
 
 

@@ -362,3 +362,13 @@ def test_series_of_many_blocks(spark, monkeypatch):
     assert np.allclose(got, np.interp(np.arange(len(values)), known, values[known]))
     plan = series.sliced_at_gaps(df, ["k"])._jdf.queryExecution().toString()
     assert "block_" in plan
+
+
+def test_cumulative_series_meet_a_reference_between_its_points(spark):
+    kinds = "k string, date double, change double"
+    reference = spark.createDataFrame([("a", 2000.0, 0.0), ("a", 2001.0, 10.0), ("a", 2001.5, None), ("a", 2002.0, 20.0)], kinds)
+    rows = [("a", "inside", 2001.5, 0.0), ("a", "inside", 2002.5, 5.0), ("a", "off", 2001.51, 0.0), ("a", "on", 2001.0, 1.0), ("a", "before", 1999.5, 0.0), ("a", "before", 2000.5, 4.0), ("b", "alone", 2001.0, 7.0)]
+    points = spark.createDataFrame(rows, "k string, dataset_id string, date double, change double")
+    got = {(r.dataset_id, r.date): r.change for r in assessment.aligned(points, reference, ["k", "dataset_id"]).collect()}
+    want = {("inside", 2001.5): 15, ("inside", 2002.5): 20, ("off", 2001.51): 15, ("on", 2001.0): 11, ("before", 1999.5): -2, ("before", 2000.5): 2, ("alone", 2001.0): 7}
+    assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i]) for i in want)
