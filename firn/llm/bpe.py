@@ -3,13 +3,14 @@
 A rolling hash of the last 32 code points cuts a text into chunks, so a passage that documents share is cut alike wherever
 it stands. One pass counts chunks over all documents; those that repeat and save most work form a bounded list of shared
 chunks, which one job encodes once for all documents. Cuts fall anywhere, so joins are repaired: each chunk gives up what lies
-outside its first and last safe place, and the text between two such places is encoded again as one piece. A place is
+outside its first and last safe place, and the text between the shared ones is encoded as one piece. A place is
 likely safe where a blank or line feed follows a character that is not white space. Each join is checked by its ids: the words
 on its two sides are encoded together, and must give the ids that they have apart; where they don't, the join is widened to
 the whole text, which is encoded as one piece. So are all texts if the vocabulary's pre-tokenizer is not one of bytes that
 splits at blanks. Within a piece, runs of text between safe places of plain ASCII white space go through a dictionary that
-the worker keeps, so the tokenizer sees each run once. Every run's ids are decoded; a text that does not come back is encoded
-and decoded whole.
+the worker keeps, so the tokenizer sees frequent runs once: of two halves the older goes when the newer is full, and runs that
+are met again move to the newer. Every run's ids are decoded; a text with one that does not come back is encoded and decoded
+whole.
 
 A null text counts as empty and has no tokens. Repeated rows and null ids give one result row each; an empty table gives
 an empty result; other columns are ignored.
@@ -18,6 +19,7 @@ an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import re
 from collections.abc import Iterable, Iterator
@@ -33,11 +35,15 @@ from firn.llm.common import worker_cache, written
 #: Mean distance of cuts as a power of two, and the least length of a chunk, in code points.
 CHUNK_BITS = 9
 CHUNK_LEAST = 128
+#: Code points that are hashed at once.
+BLOCK = 1 << 13
 #: Shared chunks, about, and the longest of them.
 SHARED = 8_192
 SHARED_CHARS = 8_192
 #: Runs, and checked joins, that a worker keeps.
-RUNS, JOINS = 120_000, 30_000
+RUNS, JOINS = 200_000, 30_000
+#: Runs that are encoded as one line, and lines that are encoded at once.
+LINE, LINES = 128, 8
 _RUN = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 #: White space, or what some tables take for it, beside the four characters above: a piece with any of it is one run.
 _ODD = re.compile("[\x0b\x0c\x1c-\x1f\x7f-\xa0\u1680\u180e\u2000-\u206f\u3000\ufeff]")
@@ -45,25 +51,31 @@ _ODD = re.compile("[\x0b\x0c\x1c-\x1f\x7f-\xa0\u1680\u180e\u2000-\u206f\u3000\uf
 
 def cuts(cps: np.ndarray) -> list[int]:
     """Places of content-defined cuts, without both ends."""
-    h = cps.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    for step in (1, 2, 4, 8, 16):
-        if len(h) > step:
-            h[step:] = h[step:] + (h[:-step] << np.uint64(step))
     found, last = [], 0
-    for at in (np.flatnonzero(h >> np.uint64(64 - CHUNK_BITS) == 0) + 1).tolist():
-        if at - last >= CHUNK_LEAST and at < len(cps):
-            found.append(at)
-            last = at
+    for lo in range(0, len(cps), BLOCK):
+        # The hash at a place takes 32 code points; those before the block are computed again.
+        from_ = max(0, lo - 31)
+        h = cps[from_ : lo + BLOCK] * np.uint32(0x9E3779B1)
+        h ^= h >> np.uint32(15)
+        h *= np.uint32(0x85EBCA77)
+        for step in (1, 2, 4, 8, 16):
+            if len(h) > step:
+                h[step:] += h[:-step] << np.uint32(step)
+        for at in (np.flatnonzero(h[lo - from_ :] < np.uint32(1 << (32 - CHUNK_BITS))) + lo + 1).tolist():
+            if at - last >= CHUNK_LEAST and at < len(cps):
+                found.append(at)
+                last = at
     return found
 
 
 def _safe(cps: np.ndarray) -> np.ndarray:
-    solid = ((cps > 32) & (cps < 0x7F)) | (cps > 0xA0)
-    if len(cps) and cps.max() >= 0x1680:
-        solid &= ~(((cps >= 0x2000) & (cps <= 0x206F)) | np.isin(cps, (0x1680, 0x180E, 0x3000, 0xFEFF)))
-    return np.flatnonzero(((cps[1:] == 32) | (cps[1:] == 10)) & solid[:-1]) + 1
+    at = np.flatnonzero((cps == 32) | (cps == 10))
+    at = at[at > 0]
+    before = cps[at - 1]
+    solid = ((before > 32) & (before < 0x7F)) | (before > 0xA0)
+    if len(before) and before.max() >= 0x1680:
+        solid &= ~(((before >= 0x2000) & (before <= 0x206F)) | np.isin(before, (0x1680, 0x180E, 0x3000, 0xFEFF)))
+    return at[solid]
 
 
 def pieces(text: str) -> list[tuple[str, bool]]:
@@ -100,7 +112,7 @@ def _splits_at_blanks(path: str) -> bool:
 
 
 def _tokenizer(path: str) -> tuple:
-    """(tokenizer, kept runs, checked joins, bytes of each token, whether it splits at blanks) of this worker; runs map a text to (decimal ids joined by commas, their number, decoded text)."""
+    """(tokenizer, newer and older half of kept runs, checked joins, bytes of each token, digits of each id, whether it splits at blanks) of this worker; runs map a text to its decimal ids joined by commas."""
     cache = worker_cache("bpe")
     if path not in cache:
         import os
@@ -114,7 +126,7 @@ def _tokenizer(path: str) -> tuple:
         # A token of the byte-level vocabulary is written with a character for each byte; an added one stands for itself.
         added = {i: t.content.encode() for i, t in tokenizer.get_added_tokens_decoder().items()}
         sizes = np.array([len(added.get(i) or tokenizer.id_to_token(i) or "") for i in range(tokenizer.get_vocab_size())])
-        cache[path] = (tokenizer, {}, {}, sizes, _splits_at_blanks(path))
+        cache[path] = (tokenizer, [{}, {}], {}, sizes, np.array([len(str(i)) for i in range(len(sizes))]), _splits_at_blanks(path))
     return cache[path]
 
 
@@ -124,26 +136,27 @@ def _encoded(tokenizer, texts: list[str]) -> list[tuple[str, int, str]]:
     return [(",".join(map(str, i)), len(i), t if b == t else b) for t, i, b in zip(texts, ids, back, strict=True)]
 
 
-def _encoded_runs(tokenizer, sizes: np.ndarray, runs: Iterable[str]) -> dict[str, tuple[str, int, str]]:
-    """Runs that begin with white space and end without are encoded many at a time, as safe places part them, and told apart by their tokens' bytes."""
-    many, alone, made = [], set(), {}
+def _encoded_runs(tokenizer, sizes: np.ndarray, digits: np.ndarray, runs: Iterable[str]) -> dict[str, str]:
+    """Decimal ids of the runs that come back when decoded. Those that begin with white space and end without are encoded many at a
+    time, as safe places part them, and told apart by their tokens' bytes."""
+    many, alone, made = [], [], {}
     for r in runs:
-        (many.append if r[0] <= " " < r[-1] else alone.add)(r)
-    groups = [many[lo : lo + 512] for lo in range(0, len(many), 512)]
-    lines = ["".join(g) for g in groups]
-    ids = [e.ids for e in tokenizer.encode_batch_fast(lines, add_special_tokens=False)]
-    for group, line, own, back in zip(groups, lines, ids, tokenizer.decode_batch(ids, skip_special_tokens=False), strict=True):
-        ends = np.cumsum(sizes[own]) if own else np.zeros(0, np.int64)
-        want = np.cumsum([len(r.encode("utf-8", "surrogatepass")) for r in group])
-        at = np.searchsorted(ends, want)
-        if back != line or at[-1] >= len(ends) or (ends[at] != want).any():
-            alone.update(group)
-            continue
-        text, cut = list(map(str, own)), [0, *(at + 1).tolist()]
-        for r, lo, hi in zip(group, cut, cut[1:], strict=False):
-            made[r] = (",".join(text[lo:hi]), hi - lo, r)
-    some = list(alone)
-    made.update(zip(some, _encoded(tokenizer, some), strict=True))
+        (many.append if r[0] <= " " < r[-1] else alone.append)(r)
+    groups = [many[lo : lo + LINE] for lo in range(0, len(many), LINE)]
+    for lo in range(0, len(groups), LINES):
+        lines = ["".join(g) for g in groups[lo : lo + LINES]]
+        ids = [e.ids for e in tokenizer.encode_batch_fast(lines, add_special_tokens=False)]
+        for group, line, own, back in zip(groups[lo : lo + LINES], lines, ids, tokenizer.decode_batch(ids, skip_special_tokens=False), strict=True):
+            numbers = np.array(own, np.int64)
+            ends = np.cumsum(sizes[numbers])
+            want = np.cumsum([*map(len, group)] if line.isascii() else [len(r.encode("utf-8", "surrogatepass")) for r in group])
+            at = np.searchsorted(ends, want)
+            if back != line or at[-1] >= len(ends) or (ends[at] != want).any():
+                alone += group
+                continue
+            text, stop = ",".join(map(str, own)), np.cumsum(digits[numbers] + 1)[at].tolist()
+            made.update(zip(group, [text[x : y - 1] for x, y in zip([0, *stop], stop, strict=False)], strict=True))
+    made.update((r, ids) for r, (ids, _, back) in zip(alone, _encoded(tokenizer, alone), strict=True) if back == r)
     return made
 
 
@@ -165,7 +178,7 @@ def _broken_joins(tokenizer, runs: dict, joins: dict, parts: list[list[str]]) ->
     ids = lambda texts: [",".join(map(str, e.ids)) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
     alone = list({x for pair in new for x in pair}.difference(runs))
     apart = dict(zip(alone, ids(alone), strict=True))
-    known = lambda x: runs[x][0] if x in runs else apart[x]
+    known = lambda x: runs[x] if x in runs else apart[x]
     for (a, b), together in zip(new, ids([a + b for a, b in new]), strict=True):
         joins[a, b] = together == f"{known(a)},{known(b)}"
     return {k for k, own in enumerate(beside) if not all(joins[pair] for pair in own)}
@@ -173,36 +186,50 @@ def _broken_joins(tokenizer, runs: dict, joins: dict, parts: list[list[str]]) ->
 
 def encode_texts(texts: list[str], path: str, shared: dict[bytes, tuple[str, int]] | None = None) -> list[tuple[str, int, str]]:
     """(decimal ids joined by commas, their number, decoded text) of each text; shared: ids and their number of chunks that are encoded already."""
-    tokenizer, runs, joins, sizes, splits = _tokenizer(path)
+    tokenizer, kept, joins, sizes, digits, splits = _tokenizer(path)
     if not splits:
         return _encoded(tokenizer, texts)
-    for kept, most in ((runs, RUNS), (joins, JOINS)):
-        if len(kept) > most:
-            kept.clear()
-    parts, known, cut = [], {}, {}
+    if len(kept[0]) > RUNS // 2:
+        kept[:] = {}, kept[0]
+    if len(joins) > JOINS:
+        joins.clear()
+    runs, older = kept
+    parts, known, cut, whole, new = [], {}, {}, set(), set()
     for t in texts:
-        part = pieces(t)
-        parts.append([p for p, _ in part])
-        for piece, inner in part:
-            if piece in known or piece in cut:
-                continue
-            if shared and inner and CHUNK_LEAST <= len(piece) <= SHARED_CHARS and (made := shared.get(_name(piece))) is not None:
-                known[piece] = (*made, piece)
-            else:
-                cut[piece] = _RUN.findall(piece) if _ODD.search(piece) is None else [piece]
-    new = set().union(*cut.values()).difference(runs)
-    odd = [r for r in new.intersection(cut) if _ODD.search(r)]
-    runs.update(_encoded_runs(tokenizer, sizes, new.difference(odd)))
-    runs.update(zip(odd, _encoded(tokenizer, odd), strict=True))
-    for piece, own in cut.items():
-        got = [runs[r] for r in own]
-        known[piece] = (",".join([g[0] for g in got]), sum([g[1] for g in got]), "".join([g[2] for g in got]))
+        odd = _ODD.search(t) is not None
+        part, at, end = [], 0, 0
+        # Pieces that are not shared are not parted from each other, unless an odd one would have all of them encoded as one run.
+        for piece, inner in pieces(t):
+            start, end = end, end + len(piece)
+            made = shared.get(_name(piece)) if shared and inner and CHUNK_LEAST <= len(piece) <= SHARED_CHARS else None
+            if made is not None or odd:
+                part += [t[at:start], piece] if at < start else [piece]
+                at = end
+            if made is not None:
+                known[piece] = made[0]
+        if at < end:
+            part.append(t[at:])
+        parts.append(part)
+    for piece in {p for part in parts for p in part}.difference(known):
+        if _ODD.search(piece) is None:
+            cut[piece] = _RUN.findall(piece)
+            new.update(itertools.filterfalse(runs.__contains__, cut[piece]))
+        else:
+            whole.add(piece)
+    runs.update((r, older[r]) for r in new if r in older)
+    runs.update(_encoded_runs(tokenizer, sizes, digits, new.difference(runs)))
+    strange = new.difference(runs)
+    known.update((p, ids) for p, (ids, _, back) in zip(whole, _encoded(tokenizer, list(whole)), strict=True) if back == p)
+    known.update((piece, ",".join(map(runs.__getitem__, own))) for piece, own in cut.items() if strange.isdisjoint(own))
     broken = _broken_joins(tokenizer, runs, joins, parts)
     out = []
     for k, (text, part) in enumerate(zip(texts, parts, strict=True)):
-        got = [known[p] for p in part]
-        made = (",".join([g[0] for g in got]), sum([g[1] for g in got]), "".join([g[2] for g in got]))
-        out.append(made if made[2] == text and k not in broken else _encoded(tokenizer, [text])[0])
+        got = [known.get(p) for p in part]
+        if k in broken or None in got:
+            out.append(_encoded(tokenizer, [text])[0])
+        else:
+            ids = ",".join(got)
+            out.append((ids, ids.count(",") + 1 if ids else 0, text))
     return out
 
 

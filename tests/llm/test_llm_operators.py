@@ -393,6 +393,33 @@ def test_bpe_widens_joins_that_disagree(monkeypatch, tmp_path):
     assert not bpe._splits_at_blanks(other) and bpe.encode_texts([text], other)[0][0] == ids(text, Tokenizer.from_file(other))
 
 
+def test_frequent_runs_are_encoded_once(monkeypatch):
+    """Runs that every text has stay known when the dictionary is full; what lies between shared chunks is not parted."""
+    seen, parted, encoded, broken, rng = Counter(), [], bpe._encoded_runs, bpe._broken_joins, np.random.default_rng(8)
+    monkeypatch.setattr(bpe, "RUNS", 40)
+    monkeypatch.setattr(bpe, "_encoded_runs", lambda *a: seen.update(a[-1] if isinstance(a[-1], set) else list(a[-1])) or encoded(*a))
+    monkeypatch.setattr(bpe, "_broken_joins", lambda *a: parted.extend(map(len, a[-1])) or broken(*a))
+    bpe.worker_cache("bpe").clear()
+    for k in range(8):
+        text = "".join(x for _ in range(60) for x in rng.permutation([f" {word}{i}" for word in ("often", f"seen{k}x") for i in range(30)]))
+        assert len(bpe.pieces(text)) > 1 and bpe.encode_texts([text], queries.tokenizer_path())[0][2] == text
+    bpe.worker_cache("bpe").clear()
+    assert {seen[f" often{i}"] for i in range(30)} == {1} and set(parted) == {1}
+
+
+def test_bpe_shared_chunks_beside_unsafe_joins(monkeypatch):
+    """Shared chunks that are cut within words still give the ids of the whole text."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(bpe, "_safe", lambda cps: np.arange(3, len(cps), 7))
+    tokenizer, rng = Tokenizer.from_file(queries.tokenizer_path()), np.random.default_rng(6)
+    for atoms in (["word", " of ", "letters", "  ", "\n"], ["word ", "\x1c", "é ", "\n"]):
+        text = "".join(rng.choice(atoms, 4000))
+        shared = {bpe._name(p): bpe._encoded(tokenizer, [p])[0][:2] for p, inner in bpe.pieces(text)[::3] if inner}
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert shared and bpe.encode_texts([text, ""], queries.tokenizer_path(), shared) == [(",".join(map(str, ids)), len(ids), text), ("", 0, "")]
+
+
 def test_shared_chunks_are_encoded_once(spark):
     rng = np.random.default_rng(9)
     word = lambda n: " ".join("".join(rng.choice(list("abcdefgh"), 6)) for _ in range(n))
