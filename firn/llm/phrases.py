@@ -24,7 +24,9 @@ an empty table gives no rows. Texts are valid UTF-8.
 from __future__ import annotations
 
 import itertools
+from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +41,10 @@ from firn.llm.common import scratch, written
 LONGEST, LEAST = 4, 30
 #: Best phrases of a language.
 TOP = 2000
-#: Bits of a table of frequent runs of words; bytes of text that are taken at once.
-BITS, CHUNK = 1 << 26, 1 << 22
+#: Bits of a table of frequent runs of words; bytes of a language's text that are taken at once, and of texts that wait for it.
+BITS, CHUNK, WAITING = 1 << 26, 1 << 22, 1 << 23
+#: Hashes of runs that are counted at once, and rows that are handed on at once.
+COUNTED, ROWS = 1 << 21, 1 << 17
 #: Sorted rows in which patterns grow at once.
 PART = 1 << 18
 #: A byte that no UTF-8 text has stands for the end of a piece.
@@ -48,17 +52,22 @@ _END = b"\xff"
 _TABLE = bytes.maketrans(bytes(range(65, 91)) + b"\t" + b".,;:!?\n\x0b\x0c\r", bytes(range(97, 123)) + b" " + _END * 10)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Chunk]:
-    """Texts of a language, of CHUNK bytes together at most, but for longer texts, which are whole."""
+def _chunks(batches: Iterator[pa.RecordBatch], wait: bool = True) -> Iterator[_Chunk]:
+    """Texts of a language, of CHUNK bytes together at most, but for longer texts, which are whole. WAITING bytes of all languages
+    are held at most; then those with an average share or more go, so that texts of rarer ones are not taken in small parts. Without
+    `wait`, all go at CHUNK bytes of all languages."""
     held: dict[str, list[bytes]] = {}
-    size = 0
+    sizes: Counter[str] = Counter()
+    waiting = 0
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
             held.setdefault(lang, []).append(text)
-            size += len(text)
-            if size >= CHUNK:
-                yield from itertools.starmap(_Chunk, held.items())
-                held, size = {}, 0
+            sizes[lang] += len(text)
+            waiting += len(text)
+            if sizes[lang] >= CHUNK or waiting >= (WAITING if wait else CHUNK):
+                for full in list(sizes) if not wait else [lang] if sizes[lang] >= CHUNK else [x for x, n in sizes.items() if n * len(sizes) >= waiting]:
+                    waiting -= sizes.pop(full)
+                    yield _Chunk(full, held.pop(full))
     yield from itertools.starmap(_Chunk, held.items())
 
 
@@ -74,6 +83,20 @@ def _longer(run: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(32))
 
 
+def _distinct(cols: list[np.ndarray], bits: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows of columns of numbers of so many bits, and how many rows are equal to each."""
+    if len(cols) * bits <= 64:
+        key = np.zeros(len(cols[0]), np.uint64)
+        for c in cols:
+            key = key << np.uint64(bits) | c
+        key, n = np.unique(key, return_counts=True)
+        return [key >> np.uint64(k * bits) & np.uint64((1 << bits) - 1) for k in reversed(range(len(cols)))], n
+    order = np.lexsort(cols[::-1])
+    cols = [c[order] for c in cols]
+    new = np.flatnonzero(np.any([np.concatenate([np.ones(min(1, len(c)), bool), c[1:] != c[:-1]]) for c in cols], axis=0))
+    return [c[new] for c in cols], np.diff(np.append(new, len(order)))
+
+
 def _has(table: np.ndarray, hashed: np.ndarray) -> np.ndarray:
     at = (hashed & np.uint64(8 * len(table) - 1)).astype(np.int64)
     return (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
@@ -88,18 +111,28 @@ class _Chunk:
         whole = pa.Array.from_buffers(pa.large_string(), 1, [None, pa.py_buffer(np.array([0, len(joined)], np.int64)), pa.py_buffer(joined)])
         coded = pc.ascii_split_whitespace(whole).flatten().dictionary_encode()
         self.lang, self.at, self.words = lang, coded.indices.to_numpy(), coded.dictionary.cast(pa.large_binary())
-        named = self.words.to_pylist()
-        self.real = np.fromiter((w not in (b"", _END) for w in named), bool, len(named))
-        if b"" in named:  # beside a blank at either end
-            self.at = self.at[self.at != named.index(b"")]
-        head = lang.encode("utf-8", "surrogatepass") + b"\t"
-        self.hashes = np.fromiter((xxhash.xxh64_intdigest(head + w, seed=42) for w in named), np.uint64, len(named))
+        self.named = self.words.to_pylist()
+        self.real = np.ones(len(self.named), bool)
+        if b"" in self.named:  # beside a blank at either end
+            self.real[empty := self.named.index(b"")] = False
+            self.at = self.at[self.at != empty]
+        if _END in self.named:
+            self.real[self.named.index(_END)] = False
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        head = self.lang.encode("utf-8", "surrogatepass") + b"\t"
+        return np.fromiter((xxhash.xxh64_intdigest(head + w, seed=42) for w in self.named), np.uint64, len(self.named))
+
+    def frequent(self, table: np.ndarray) -> np.ndarray:
+        """Which of the words may be frequent."""
+        return self.real & _has(table, self.hashes)
 
     def runs(self, tables: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
         """Hashes of the runs, one word longer than there are tables, whose shorter runs may all be frequent; and for each table, the
         first of which is of single words, at which places a run of its length may be frequent."""
         own = self.hashes[self.at]
-        run, flags = own, [(self.real & _has(tables[0], self.hashes))[self.at]]
+        run, flags = own, [self.frequent(tables[0])[self.at]]
         for n, table in enumerate([*tables[1:], None], 1):
             may = flags[-1] & _ahead(flags[-1])
             run = _longer(run, _ahead(own, n))
@@ -155,9 +188,15 @@ def run_counts(texts: DataFrame, tables: list[bytes]) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = [np.frombuffer(t.value, np.uint8) for t in shared]
-        for chunk in _chunks(batches):
-            hashed, n = np.unique(chunk.runs(own)[0] & np.uint64(0xFFFFFFFF), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(hashed.view(np.int64)), pa.array(n, pa.int64())], names=["hash", "f"])
+        held: list[np.ndarray] = []
+        for chunk in itertools.chain(_chunks(batches), [None]):
+            if chunk:
+                held.append(chunk.runs(own)[0].astype(np.uint32))
+            if sum(map(len, held)) >= COUNTED or not chunk:
+                hashed, n = np.unique(np.concatenate([np.zeros(0, np.uint32), *held]), return_counts=True)
+                held = []
+                for lo in range(0, len(hashed), ROWS):
+                    yield pa.RecordBatch.from_arrays([pa.array(hashed[lo : lo + ROWS].astype(np.int64)), pa.array(n[lo : lo + ROWS], pa.int64())], names=["hash", "f"])
 
     return texts.mapInArrow(count, "hash bigint, f bigint").groupBy("hash").agg(F.sum("f").alias("f"))
 
@@ -169,21 +208,17 @@ def occurrences(texts: DataFrame, tables: list[bytes]) -> DataFrame:
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = [np.frombuffer(t.value, np.uint8) for t in shared]
-        for chunk in _chunks(batches):
+        for chunk in _chunks(batches, wait=False):
             _, (_, pair, triple) = chunk.runs(own)
-            w = chunk.at.astype(np.int64) + 1  # 0: no word
-            at = np.flatnonzero(pair)
-            third = np.where(triple[at], _ahead(w, 2)[at], 0)
-            fourth = np.where(triple[at] & _ahead(triple)[at], _ahead(w, 3)[at], 0)
-            head, tail = w[at] << 32 | _ahead(w)[at], third << 32 | fourth
-            order = np.lexsort((tail, head))
-            head, tail = head[order], tail[order]
-            new = np.flatnonzero(np.concatenate([np.ones(min(1, len(head)), bool), (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])]))
-            n = np.diff(np.append(new, len(head)))
-            head, tail = head[new], tail[new]
-            words = pa.array([b"", *(x + b" " for x in chunk.words.to_pylist())], pa.large_binary())
-            cols = [words.take(pa.array(x)) for x in (head >> 32, head & 0xFFFFFFFF, tail >> 32, tail & 0xFFFFFFFF)]
-            yield chunk.rows(pc.binary_join_element_wise(*cols, pa.scalar(b"", pa.large_binary())), n)
+            # Numbers of the words that may be frequent; 0: no word.
+            frequent = np.flatnonzero(chunk.frequent(own[0]))
+            number = np.zeros(len(chunk.named), np.uint64)
+            number[frequent] = np.arange(1, len(frequent) + 1)
+            w, at = number[chunk.at], np.flatnonzero(pair)
+            third, fourth = triple[at], triple[at] & _ahead(triple)[at]
+            cols, n = _distinct([w[at], _ahead(w)[at], _ahead(w, 2)[at] * third, _ahead(w, 3)[at] * fourth], len(frequent).bit_length())
+            words = pa.array([b"", *(chunk.named[k] + b" " for k in frequent.tolist())], pa.large_binary())
+            yield chunk.rows(pc.binary_join_element_wise(*(words.take(pa.array(c)) for c in cols), pa.scalar(b"", pa.large_binary())), n)
 
     return texts.mapInArrow(project, _ROWS)
 

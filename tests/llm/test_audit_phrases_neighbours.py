@@ -135,6 +135,32 @@ def test_phrases_edges(spark, empty):
     assert as_found(phrases.collocations(df)) == plain_phrases([(b, a) for a, b in rows], 30, 2000)
 
 
+def test_texts_of_a_rare_language_are_taken_together(monkeypatch):
+    """Texts wait until their language has enough of them, or an average share of what waits; none is lost."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(phrases, "CHUNK", 1000)
+    monkeypatch.setattr(phrases, "WAITING", 2000, raising=False)
+    texts = [("rare" if k % 10 == 0 else "often", f"w{k} " * 10) for k in range(300)] + [("long", "l " * 5000)]
+    batches = [pa.RecordBatch.from_pydict({"lang": [x for x, _ in texts[lo : lo + 7]], "text": [t for _, t in texts[lo : lo + 7]]}) for lo in range(0, len(texts), 7)]
+    made, found = Counter(), Counter()
+    for chunk in phrases._chunks(iter(batches)):
+        made[chunk.lang] += 1
+        found.update((chunk.lang, w.decode()) for w in chunk.words.take(pa.array(chunk.at)).to_pylist() if w != phrases._END)
+    assert found == Counter((lang, w) for lang, t in texts for w in t.split())
+    assert made["rare"] <= 2 and made["long"] == 1 and made["often"] < 20
+
+
+@pytest.mark.parametrize("bits", [3, 16, 17, 31])
+def test_distinct_rows_of_numbers(bits):
+    rng = np.random.default_rng(bits)
+    top = rng.integers(0, 1 << bits, 3).tolist() + [0, (1 << bits) - 1]
+    for n in (0, 1, 500):
+        rows = rng.choice(np.array(top, np.uint64), (n, 4))
+        cols, f = phrases._distinct(list(rows.T), bits)
+        assert dict(zip(zip(*(c.tolist() for c in cols)), f.tolist())) == Counter(map(tuple, rows.tolist())) and len(f) == len(set(map(tuple, rows.tolist())))
+
+
 # --- neighbours
 
 
