@@ -11,8 +11,9 @@ follow one rule: a tree fitted on a bounded sample deals the classes over shards
 grows a tree over all points down to leaves of LEAF. Distances are checked on whole fingerprints. A shard that cannot be
 split (a dense group) is compared block by block, and rows that a group has settled are not compared again.
 
-`simhash_components` returns the components of the links. `near_distinct` takes the links as candidates alone: exact
-Jaccard similarities decide (see there).
+`simhash_components` returns the components of the links. `near_distinct` looks for similar sets of shingles, whose fingerprints
+differ in many bits; there bands of min-hashes, which texts without a shingle in common do not share, say which fingerprints are
+compared, and these give candidates alone: exact Jaccard similarities decide (see there).
 
 Null and empty texts have no words: fingerprint zero, which links like any other. Repeated rows and null ids are kept, one
 result row for each; a component's id is its smallest non-null id. Ids are integers. Empty tables give empty results.
@@ -38,8 +39,10 @@ SEED = 42
 LEAF, SHARD = 64, 4_096
 #: The trees that deal the shards are fitted on so many fingerprints of each shard, and at most SAMPLE in all.
 FIT, SAMPLE = 64, 1_048_576
-#: A shard that cannot be split is compared in blocks of so many classes.
+#: A shard that cannot be split, or the classes of one band, are compared in blocks of so many classes.
 BLOCK = 262_144
+#: Min-hashes of a set of shingles, and how many of them make a band.
+HASHES, BAND = 64, 4
 #: Pairs that are compared at once; leaves of more pairs than CROWD are compared row by row, settled rows left out.
 PAIRS, CROWD = 400_000, 1_000_000
 #: Shingles of the texts that one side of an exact comparison holds.
@@ -51,6 +54,7 @@ FEW = 1_000_000
 #: Longest run of shingles whose bits are unpacked at once.
 _STEP = 8_192
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)
+_FACTORS = np.random.default_rng(SEED).integers(0, 2**31, (HASHES, 1), np.uint32) * np.uint32(2) + np.uint32(1)
 
 
 def _hashes(text: str | None, shingle: int) -> np.ndarray:
@@ -67,8 +71,10 @@ def _hashes(text: str | None, shingle: int) -> np.ndarray:
 def simhash(text: str | None, shingle: int, words64: int = 1, distinct: bool = False) -> tuple[bytes, int]:
     """Fingerprint of 64 * words64 bits, big-endian, and the number of shingles. The first 64 bits are those of the plain XXH64."""
     hashes = _hashes(text, shingle)
-    if distinct:
-        hashes = np.unique(hashes)
+    return _printed(np.unique(hashes) if distinct else hashes, words64)
+
+
+def _printed(hashes: np.ndarray, words64: int) -> tuple[bytes, int]:
     n, total = len(hashes), np.zeros(64 * words64, np.int64)
     for lo in range(0, n, _STEP):
         first = hashes[lo : lo + _STEP]
@@ -83,19 +89,38 @@ def simhash(text: str | None, shingle: int, words64: int = 1, distinct: bool = F
     return np.packbits(total * 2 > n).tobytes(), n
 
 
-def fingerprints(docs: DataFrame, shingle: int, words64: int = 1, text_col: str = "text", keep: list[str] | None = None, distinct: bool = False) -> DataFrame:
-    """fp (binary) and n_shingles (long) beside the columns named in keep; with `distinct` repeated shingles count once."""
+def bands(hashes: np.ndarray) -> np.ndarray:
+    """A number (int32) for each band of the min-hashes of a set of shingles: two sets have one of them in common with a chance of
+    their similarity to the power BAND."""
+    high, least = (hashes >> np.uint64(32)).astype(np.uint32), np.full(HASHES, 2**32 - 1, np.uint32)
+    for lo in range(0, len(high), 1_024):
+        np.minimum(least, (high[lo : lo + 1_024] * _FACTORS).min(1), out=least)
+    mixed = (least.reshape(-1, BAND).astype(np.uint64) * np.array(_ODD[:BAND], np.uint64)).sum(1)
+    mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(_ODD[-1])
+    return (mixed >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def fingerprints(docs: DataFrame, shingle: int, words64: int = 1, text_col: str = "text", keep: list[str] | None = None, distinct: bool = False, banded: bool = False) -> DataFrame:
+    """fp (binary) and n_shingles (long) beside the columns named in keep; with `distinct` repeated shingles count once, with
+    `banded` there is `keys` (array of int), the numbers of the bands."""
     keep = keep or []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cache("simhash")  # nothing is kept here, and what other operators kept goes
         for batch in batches:
-            made = [simhash(t.as_py(), shingle, words64, distinct) for t in batch.column("_text")]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array([f for f, _ in made], pa.binary()), pa.array([n for _, n in made], pa.int64())], names=[*keep, "fp", "n_shingles"])
+            made, keys = [], []
+            for t in batch.column("_text"):
+                hashes = _hashes(t.as_py(), shingle)
+                hashes = np.unique(hashes) if distinct else hashes
+                made.append(_printed(hashes, words64))
+                if banded:
+                    keys.append(bands(hashes))
+            out = [pa.array([f for f, _ in made], pa.binary()), pa.array([n for _, n in made], pa.int64())] + [pa.array(keys, pa.list_(pa.int32()))] * banded
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + out, names=[*keep, "fp", "n_shingles"] + ["keys"] * banded)
 
     flat = docs.select(*keep, F.col(text_col).alias("_text"))
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in flat.schema if f.name in keep]
-    return flat.mapInArrow(run, ", ".join([*kinds, "fp binary", "n_shingles bigint"]))
+    return flat.mapInArrow(run, ", ".join([*kinds, "fp binary", "n_shingles bigint"] + ["keys array<int>"] * banded))
 
 
 # --- the search
@@ -211,7 +236,7 @@ def _links(fp: np.ndarray, values: np.ndarray, home: np.ndarray, part_radius: in
     yield from checked()
 
 
-Found = Callable[[pd.DataFrame, np.ndarray, int, Callable[[Callable], Iterator[tuple[np.ndarray, np.ndarray]]]], pd.DataFrame]
+Found = Callable[..., pd.DataFrame]
 
 
 def _words(col: pd.Series, words64: int) -> np.ndarray:
@@ -255,13 +280,64 @@ def _searched(points: DataFrame, radius: int, words64: int, radii: list[int], sh
     return cells.groupBy("cell", "i", "j").applyInPandas(compare, schema)
 
 
-def _first_meeting(fp: np.ndarray, x: np.ndarray, y: np.ndarray, part: int, radii: list[int]) -> np.ndarray:
-    """Whether no earlier part lets a pair meet."""
-    ok = np.ones(len(x), bool)
-    for p in range(part):
-        values = _part(fp, p, len(radii))
-        ok &= np.bitwise_count(values[x] ^ values[y]) > radii[p]
-    return ok
+def _of_bands(points: DataFrame, shard: int) -> DataFrame:
+    """The points once for each of their keys, beside band and key; rows of equal cell, i and j meet, of which only those of one
+    band and key are compared. cell: some `shard` rows; i, j: blocks of a key that very many points have."""
+    n = points.count()
+    flat = points.select("*", F.posexplode("keys").alias("band", "key"))
+    cell = F.pmod(F.xxhash64("band", "key"), F.lit(max(1, -(-n * (HASHES // BAND) // shard)))).alias("cell")
+    if n > BLOCK:
+        share = min(1.0, 256 / BLOCK)
+        times = flat.select("band", "key").sample(fraction=share, seed=SEED).groupBy("band", "key").count()
+        many = written(times.select("band", "key", F.ceil(F.col("count") / F.lit(share * BLOCK)).cast("int").alias("blocks")).where("blocks > 1"), "blocks")
+        if not many.isEmpty():
+            flat = flat.join(many, ["band", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+            flat = flat.withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+            return flat.select(*points.columns, "band", "key", cell, F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+    return flat.select("*", cell, F.lit(0).alias("i"), F.lit(0).alias("j"))
+
+
+def _equal(fp: np.ndarray, code: np.ndarray, radius: int, is_open: Callable[[np.ndarray], np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs within radius among rows of equal code; of codes that very many rows have, those with rows that are open."""
+    order = np.argsort(code, kind="stable")
+    starts = np.flatnonzero(np.diff(code[order], prepend=-1))
+    times = np.diff(starts, append=len(order))
+    for k in np.flatnonzero(times * times > CROWD):
+        yield from _crowded(fp, order[starts[k] : starts[k] + times[k]], radius, is_open)
+    order = order[np.repeat(times * times <= CROWD, times)]
+    sorted_, at, apart = code[order], np.arange(len(order)), 1
+    while len(at := at[at + apart < len(order)]) and len(at := at[sorted_[at] == sorted_[at + apart]]):
+        for lo in range(0, len(at), PAIRS):
+            x, y = order[at[lo : lo + PAIRS]], order[at[lo : lo + PAIRS] + apart]
+            close = _near(fp, x, y, radius)
+            yield x[close], y[close]
+        apart += 1
+
+
+def _banded(points: DataFrame, radius: int, words64: int, shard: int, found: Found, schema: str, once: bool = True) -> DataFrame:
+    """What `found` makes of the pairs of points within radius that have a key of some band in common. points: fp (binary, unique),
+    keys, and what else `found` needs. With `once` a pair is seen in the first such band alone.
+
+    found(rows, fp, links) gets rows of a cell and links(is_open), the pairs of row numbers.
+    """
+    flat = _of_bands(points, shard)
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        code = (pdf["band"].to_numpy(np.int64) << 32) + (pdf["key"].to_numpy(np.int64) & 0xFFFFFFFF)
+        _, at, times = np.unique(code, return_inverse=True, return_counts=True)
+        some = np.flatnonzero(times[at] > 1)  # who is alone with a key goes at once
+        pdf, code = pdf.iloc[some], code[some]
+        fp = _words(pdf["fp"], words64)
+        keys = np.stack(pdf["keys"]) if once and len(pdf) else None
+
+        def links(is_open: Callable[[np.ndarray], np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for x, y in _equal(fp, code, radius, is_open):
+                ok = np.ones(len(x), bool) if keys is None else (keys[x] == keys[y]).argmax(1) == code[x] >> 32
+                yield x[ok], y[ok]
+
+        return found(pdf, fp, links)
+
+    return (flat if once else flat.drop("keys")).groupBy("cell", "i", "j").applyInPandas(compare, schema)
 
 
 # --- components
@@ -381,9 +457,10 @@ def near_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     its Jaccard similarity of shingle sets to one that stayed is at least so high. So no two that stay are alike, and each
     that goes is like one that stayed. Equal rows stay or go together; texts without words are alike.
 
-    Candidates: a similarity s is a cosine of 2s / (1 + s) or more, so fingerprints of the distinct shingles within the
-    expected Hamming distance at that cosine and four standard deviations, of which one part of 16 bits differs by one bit
-    at most. Exact similarities decide on all of them:
+    Candidates: texts that have one of 16 bands of four min-hashes in common (at a similarity of 0.8 all but 1 - (1 - 0.8^4)^16,
+    0.02 %, have), and whose fingerprints are near: a similarity s is a cosine of 2s / (1 + s) or more, so those of the distinct
+    shingles within the expected Hamming distance at that cosine and four standard deviations. Texts without a shingle in common
+    never meet, so the search grows with the table and not with its square. Exact similarities decide on all candidates:
     1. A class of equal fingerprints without a candidate before it gives its first row as a centre, which stays.
     2. Rows are compared with the centres near them, and go if they are alike. A group of copies of any size ends here, with
        as many comparisons as it has rows.
@@ -401,50 +478,47 @@ def near_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def near_removed(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float, words64: int, shard: int, batch: int) -> DataFrame:
     """The nodes of the rows that `near_distinct` drops."""
     bits, share = 64 * words64, float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    radius, radii = round(bits * share + 4 * (bits * share * (1 - share)) ** 0.5), [1] * (4 * words64)
+    radius = round(bits * share + 4 * (bits * share * (1 - share)) ** 0.5)
     flat = docs.select(_node(id_col, text_col).alias("_node"), F.col(f"`{id_col}`").cast("bigint").alias("_id"), F.col(f"`{text_col}`").alias("_body"))
-    prints = fingerprints(flat, shingle, words64, "_body", ["_node", "_id"], distinct=True)
+    prints = fingerprints(flat, shingle, words64, "_body", ["_node", "_id"], distinct=True, banded=True)
     me = F.struct(F.col("_id").isNull().alias("none"), F.coalesce("_id", F.lit(0)).alias("id"), F.col("_node").alias("node"))
-    prints = written(prints.select("fp", me.alias("me")), "simhash")
+    prints = written(prints.select("fp", "keys", me.alias("me")), "simhash")
 
     def order(pdf: pd.DataFrame, fp: np.ndarray) -> np.ndarray:
         rank = np.empty(len(pdf), np.int64)
         rank[np.lexsort((*fp.T, pdf["id"].to_numpy(), pdf["none"].to_numpy(bool)))] = np.arange(len(pdf))
         return rank
 
-    def preceded(pdf: pd.DataFrame, fp: np.ndarray, part: int, pairs: Callable) -> pd.DataFrame:
+    def preceded(pdf: pd.DataFrame, fp: np.ndarray, pairs: Callable) -> pd.DataFrame:
         rank, after, met = order(pdf, fp), np.zeros(len(fp), bool), np.zeros(len(fp), bool)
         for x, y in pairs(lambda rows: ~after[rows]):
             met[x] = met[y] = True
             after[np.where(rank[x] < rank[y], y, x)] = True
         return pd.DataFrame({"fp": pdf["fp"].to_numpy()[met], "after": after[met]})
 
-    def of_centres(pdf: pd.DataFrame, fp: np.ndarray, part: int, pairs: Callable) -> pd.DataFrame:
+    def of_centres(pdf: pd.DataFrame, fp: np.ndarray, pairs: Callable) -> pd.DataFrame:
         centre, asks = (pdf[c].to_numpy(bool) for c in ("centre", "asks"))
         names, out = pdf["fp"].to_numpy(), [(np.zeros(0, np.int64),) * 2]
         for x, y in pairs(lambda rows: centre[rows]):
             for a, b in ((x, y), (y, x)):
                 ok = asks[a] & centre[b]
-                a, b = a[ok], b[ok]
-                ok = _first_meeting(fp, a, b, part, radii)
                 out.append((a[ok], b[ok]))
         x, y = map(np.concatenate, zip(*out, strict=True))
         return pd.DataFrame({"fp": names[x], "other": names[y]})
 
-    def every(pdf: pd.DataFrame, fp: np.ndarray, part: int, pairs: Callable) -> pd.DataFrame:
+    def every(pdf: pd.DataFrame, fp: np.ndarray, pairs: Callable) -> pd.DataFrame:
         names, out = pdf["fp"].to_numpy(), [(np.zeros(0, np.int64),) * 2]
-        for x, y in pairs(lambda rows: np.ones(len(rows), bool)):
-            ok = _first_meeting(fp, x, y, part, radii)
-            out.append((x[ok], y[ok]))
+        out += pairs(lambda rows: np.ones(len(rows), bool))
         x, y = map(np.concatenate, zip(*out, strict=True))
         return pd.DataFrame({"fp": names[x], "other": names[y]})
 
-    search = lambda points, found, schema: _searched(points, radius, words64, radii, shard, found, schema)
-    classes = written(prints.groupBy("fp").agg(F.min("me").alias("least"), F.count(F.lit(1)).alias("n")), "classes")
-    met = search(classes.select("fp", "least.none", "least.id"), preceded, "fp binary, after boolean").groupBy("fp").agg(F.bool_or("after").alias("after"))
-    play = classes.join(met, "fp", "left").where("after IS NOT NULL OR n > 1").select("fp", "least", "n", (~F.coalesce("after", F.lit(False))).alias("centre"))
+    # A class has the keys of its first row.
+    classes = prints.groupBy("fp").agg(F.min(F.struct(F.col("me").alias("least"), "keys")).alias("first"), F.count(F.lit(1)).alias("n"))
+    classes = written(classes.select("fp", "first.*", "n"), "classes")
+    met = _banded(classes.select("fp", "keys", "least.none", "least.id"), radius, words64, shard, preceded, "fp binary, after boolean", once=False).groupBy("fp").agg(F.bool_or("after").alias("after"))
+    play = classes.join(met, "fp", "left").where("after IS NOT NULL OR n > 1").select("fp", "keys", "least", "n", (~F.coalesce("after", F.lit(False))).alias("centre"))
     play = written(play, "candidates")
-    rows = written(prints.join(play.select("fp", "centre", "least"), "fp").select("fp", "me", (F.col("centre") & (F.col("me") == F.col("least"))).alias("centre")).distinct(), "candidate-rows")
+    rows = written(prints.drop("keys").join(play.select("fp", "keys", "centre", "least"), "fp").select("fp", "keys", "me", (F.col("centre") & (F.col("me") == F.col("least"))).alias("centre")).distinct(), "candidate-rows")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -459,11 +533,10 @@ def near_removed(docs: DataFrame, id_col: str, text_col: str, shingle: int, simi
     sets = written(texts.mapInArrow(grams, "node binary, grams array<bigint>"), "sets")
 
     def like(asking: DataFrame, stayed: DataFrame) -> DataFrame:
-        """The nodes of `asking` that are alike to one of `stayed`; both hold fp and me."""
-        asks = asking.select("fp").distinct().withColumn("asks", F.lit(True))
-        points = asks.join(stayed.select("fp").distinct().withColumn("centre", F.lit(True)), "fp", "full")
-        points = written(points.select("fp", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("asks", "centre")]), "points")
-        met = search(points, of_centres, "fp binary, other binary").distinct()
+        """The nodes of `asking` that are alike to one of `stayed`; both hold fp, keys and me."""
+        points = asking.select("fp", "keys", F.lit(True).alias("asks")).unionByName(stayed.select("fp", "keys", F.lit(False).alias("asks")))
+        points = written(points.groupBy("fp", "keys").agg(F.bool_or("asks").alias("asks"), F.bool_or(~F.col("asks")).alias("centre")), "points")
+        met = _banded(points, radius, words64, shard, of_centres, "fp binary, other binary").distinct()
         met = met.unionByName(points.where("asks AND centre").select("fp", F.col("fp").alias("other")))
         met = written(met.join(stayed.select(F.col("fp").alias("other"), F.col("me.node").alias("b")), "other").select("fp", "b"), "near-stayed")
         asked = written(asking.select("fp", F.col("me.node").alias("a")).join(met, "fp").select("a", "b"), "asked")
@@ -471,7 +544,7 @@ def near_removed(docs: DataFrame, id_col: str, text_col: str, shingle: int, simi
 
     def among(these: DataFrame) -> DataFrame:
         """The nodes of `these` that go when they are settled in order."""
-        met = search(these.select("fp").distinct(), every, "fp binary, other binary").distinct()
+        met = _banded(these.select("fp", "keys").distinct(), radius, words64, shard, every, "fp binary, other binary").distinct()
         met = met.unionByName(these.groupBy("fp").count().where("count > 1").select("fp", F.col("fp").alias("other")))
         pairs = met.join(these.select("fp", F.col("me").alias("x")), "fp").join(these.select(F.col("fp").alias("other"), F.col("me").alias("y")), "other").where("x <> y")
         pairs = written(pairs.select(F.least("x", "y").alias("low"), F.greatest("x", "y").alias("high")).distinct(), "pairs")
@@ -480,10 +553,10 @@ def near_removed(docs: DataFrame, id_col: str, text_col: str, shingle: int, simi
         return first_of_neighbours(written(edges, "edges")).select("node.node")
 
     def without(these: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
-        return written(these.join(nodes.select(F.col("node").alias("_gone")), F.col("me.node") == F.col("_gone"), "left_anti").select("fp", "me"), name)
+        return written(these.join(nodes.select(F.col("node").alias("_gone")), F.col("me.node") == F.col("_gone"), "left_anti").select("fp", "keys", "me"), name)
 
-    rest = rows.where("NOT centre").select("fp", "me")
-    gone = like(rest, rows.where("centre").select("fp", "me"))
+    rest = rows.where("NOT centre").select("fp", "keys", "me")
+    gone = like(rest, rows.where("centre").select("fp", "keys", "me"))
     left = without(rest, gone, "rows-left")
     while n := left.count():
         size = max(batch, n // BATCHES)

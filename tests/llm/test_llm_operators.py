@@ -210,6 +210,66 @@ def test_pipeline_near_against_all_pairs(spark):
     assert {r.doc_id for r in corpus_pipeline.near(spark, docs, "").collect()} == want
 
 
+def test_unlike_texts_do_not_meet(spark):
+    """The candidates for near duplicates grow with the table: of 2,000 texts of their own words hardly any two are compared, and those alike are."""
+    made = [(i, " ".join(f"d{i}w{j}" for j in range(30 + i % 50))) for i in range(2_000)]
+    made += [(i + 5_000, f"{t} and more") for i, t in made[40:50]]
+    points = simhash.fingerprints(spark.createDataFrame(made, "id bigint, text string"), 5, 5, keep=["id"], distinct=True, banded=True)
+    flat = simhash._of_bands(points, 1_000)
+    met = flat.alias("x").join(flat.alias("y"), ["cell", "i", "j", "band", "key"]).where("x.fp < y.fp").select("x.fp", "y.fp").distinct().count()
+    fp = np.frombuffer(b"".join(r.fp for r in points.select("fp").collect()), ">u8").astype(np.uint64).reshape(-1, 5)
+    by_parts = np.zeros((len(fp), len(fp)), bool)
+    for part in range(20):
+        values = simhash._part(fp, part, 20)
+        by_parts |= np.bitwise_count(values[:, None] ^ values) <= 1
+    assert 10 <= met < 30 and np.triu(by_parts, 1).sum() > 100 * met  # parts of 16 bits that differ by one at most meet by chance
+    assert flat.groupBy("cell").count().count() > 16
+
+
+def test_near_distinct_just_above_the_similarity(spark):
+    """1,500 pairs of texts at 0.81 to 0.85: a text goes of each."""
+    rng, made = np.random.default_rng(5), []
+    for p in range(1_500):
+        words = [f"p{p}w{j}" for j in range(300)]
+        made.append((len(made), " ".join(words)))
+        for at in rng.choice(49, rng.choice([5, 6]), False) * 6 + 5:
+            words[at] = f"x{p}"
+        made.append((len(made), " ".join(words)))
+    docs = spark.createDataFrame(made, "doc_id bigint, text string").repartition(5)
+    near = [len(a & b) / len(a | b) for a, b in ((grams_of(made[k][1]), grams_of(made[k + 1][1])) for k in range(0, len(made), 2))]
+    assert min(near) > 0.8 and max(near) < 0.86
+    assert {r.doc_id for r in simhash.near_distinct(docs).collect()} == set(range(0, len(made), 2))
+
+
+def test_near_distinct_in_blocks(spark, monkeypatch):
+    """A family whose bands very many texts share is compared block by block."""
+    monkeypatch.setattr(simhash, "BLOCK", 60)
+    rng, base, made = np.random.default_rng(9), [f"t{j}" for j in range(200)], []
+    for c in range(260):
+        words = list(base)
+        for at in rng.choice(200, rng.integers(0, 9), False):
+            words[at] = f"x{c % 90}"
+        made.append((c, " ".join(words)))
+    made = list({t: (i, t) for i, t in reversed(made)}.values())
+    docs = spark.createDataFrame(made, "doc_id bigint, text string").repartition(5)
+    points = simhash.fingerprints(docs, 5, 5, distinct=True, banded=True).dropDuplicates(["fp"])
+    assert {r.i for r in simhash._of_bands(points, 50).select("i").distinct().collect()} >= {0, 1}
+    assert {r.doc_id for r in simhash.near_distinct(docs).collect()} == plain_near(made)
+
+
+@pytest.mark.parametrize("crowd", [1, 200, 10**6])
+def test_band_search_against_all_pairs(monkeypatch, crowd):
+    """The pairs of rows of equal code, in few rows and in many, which are searched row by row."""
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    monkeypatch.setattr(simhash, "PAIRS", 300)
+    rng = np.random.default_rng(6)
+    fp, code = rng.integers(0, 2**63, 300, dtype=np.uint64)[:, None], np.concatenate([np.zeros(80, np.int64), rng.integers(1, 60, 220) << 32])
+    got = {(min(a, b), max(a, b)) for x, y in simhash._equal(fp, code, 30, lambda rows: np.ones(len(rows), bool)) for a, b in zip(x.tolist(), y.tolist(), strict=True)}
+    far = np.bitwise_count(fp ^ fp.T)
+    assert got == {(a, b) for a, b in itertools.combinations(range(300), 2) if code[a] == code[b] and far[a, b] <= 30} != set()
+    assert not list(simhash._equal(fp[:0], code[:0], 30, lambda rows: rows >= 0))
+
+
 def test_neighbours_are_settled_in_order(spark):
     rng = np.random.default_rng(3)
     pairs = {(min(a, b), max(a, b)) for a, b in rng.integers(0, 60, (90, 2)).tolist() if a != b} | {(k, k + 1) for k in range(100, 112)}
